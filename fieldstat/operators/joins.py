@@ -1,14 +1,17 @@
 """Joins of the census pipeline (inventory J1-J8, F4).
 
 Code lists are small by nature (tens to hundreds of codes), but that is a
-property of the data, not something Spark can assume: ``bounded_broadcast``
-checks the row count of a list before hinting a broadcast, and falls back to
-a shuffled join when the list is larger than the bound.  Without a hint AQE
-still converts to a broadcast at runtime when the measured side is small.
+property of the data, not something Spark can assume.  Sizes are checked
+once, where a catalog is loaded (``checked_broadcast``): a list within the
+bound gets a broadcast hint, a larger one none, and then Spark's own size
+statistics (static file size, AQE runtime sizes) pick the join.  Label joins
+inherit the hint from the list, so they never re-check or re-scan it.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,14 +21,39 @@ from fieldstat._util import as_list
 MAX_BROADCAST_ROWS = 200_000
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only when the frame has at most ``max_rows`` rows.
+def checked_broadcast(frames: dict[str, DataFrame], max_rows: int = MAX_BROADCAST_ROWS,
+                      cache: bool = False) -> dict[str, DataFrame]:
+    """Size-check several small frames in **one** job and hint a broadcast on
+    those within ``max_rows``; larger ones are returned unhinted.
 
-    The check reads at most ``max_rows + 1`` rows (a limit job), so it is
-    cheap for small lists and bounded for large ones.
+    Each frame contributes at most ``max_rows + 1`` rows to the check, so its
+    cost is bounded however large a frame turns out to be.  ``cache=True``
+    keeps frames that are derived by an aggregation (for example a list of
+    distinct years) in memory, so the check and the joins share one
+    computation; a lost executor only means recomputing them from lineage.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    if not frames:
+        return {}
+    if cache:
+        frames = {k: v.cache() for k, v in frames.items()}
+    probes = [v.limit(max_rows + 1).select(F.lit(k).alias("frame")) for k, v in frames.items()]
+    counts = {r["frame"]: r["n"] for r in
+              reduce(DataFrame.unionByName, probes).groupBy("frame")
+              .agg(F.count(F.lit(1)).alias("n")).collect()}
+    out = {}
+    for k, v in frames.items():
+        if counts.get(k, 0) <= max_rows:
+            out[k] = F.broadcast(v)
+        else:
+            if cache:
+                v.unpersist()
+            out[k] = v
+    return out
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast hint only when the frame has at most ``max_rows`` rows."""
+    return checked_broadcast({"frame": df}, max_rows)["frame"]
 
 
 def _is_text(df: DataFrame, col: str) -> bool:
@@ -47,14 +75,15 @@ def code_key(df: DataFrame, col: str, other: DataFrame, other_col: str) -> tuple
 
 def label_join(df: DataFrame, codes: DataFrame, left_key: str, code_col: str,
                labels: dict[str, str] | list[str] | str, how: str = "inner",
-               max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+               check_size: bool = False) -> DataFrame:
     """J1/J4 ``INNER JOIN list ON fact.code = list.code``: add label columns.
 
     ``labels`` maps code-list columns to output names (or lists them to keep
     their names); an output name equal to an input column, ignoring case,
     replaces that column.  Rows whose code is missing or unknown drop (F4); use
-    ``unmatched_codes`` to see them.  The list is broadcast when its size is
-    within the bound, so the fact side is never shuffled for a label.
+    ``unmatched_codes`` to see them.  A list from a loaded catalog carries its
+    broadcast hint (size checked at load), so the fact side is not shuffled
+    for a label; ``check_size=True`` checks an unchecked list here.
     """
     if isinstance(labels, str):
         labels = [labels]
@@ -63,7 +92,8 @@ def label_join(df: DataFrame, codes: DataFrame, left_key: str, code_col: str,
     small = codes.select(code_col, *labels.keys())
     small = small.select(*[F.col(c).alias(f"__code_{i}") for i, c in enumerate(small.columns)])
     renamed = dict(zip([code_col, *labels.keys()], small.columns))
-    small = bounded_broadcast(small, max_broadcast_rows)
+    if check_size:
+        small = bounded_broadcast(small)
     lk, rk = code_key(df, left_key, small, renamed[code_col])
     joined = df.join(small, lk == rk, how)
     # Spark resolves names case-insensitively: a label named like an input
@@ -74,12 +104,10 @@ def label_join(df: DataFrame, codes: DataFrame, left_key: str, code_col: str,
                          *[F.col(renamed[src]).alias(dst) for src, dst in labels.items()])
 
 
-def unmatched_codes(df: DataFrame, codes: DataFrame, left_key: str, code_col: str,
-                    max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+def unmatched_codes(df: DataFrame, codes: DataFrame, left_key: str, code_col: str) -> DataFrame:
     """F4 diagnostic: the rows an inner label join silently drops (missing,
     blank, unknown or non-numeric code)."""
-    small = bounded_broadcast(codes.select(F.col(code_col).alias("__code")).distinct(),
-                              max_broadcast_rows)
+    small = codes.select(F.col(code_col).alias("__code"))
     lk, rk = code_key(df, left_key, small, "__code")
     return df.join(small, lk == rk, "left_anti")
 

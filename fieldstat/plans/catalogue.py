@@ -222,8 +222,8 @@ def _industry_years(t):
 
 def q_industry_year_crosstab(spark, sf):
     t = _t(spark, sf)
-    years = J.bounded_broadcast(t["reference_year"], 10_000)  # size-checked list
-    values = sorted(r[0] for r in years.select("reference_year_desc").collect())
+    # the pivot columns: labels of the (size-checked, cached) year list
+    values = sorted(r[0] for r in t["reference_year"].select("reference_year_desc").collect())
     return G.crosstab_count(_industry_years(t), "Industry", "Reference_Year", values)
 
 

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldstat.functions.columns import as_integer
-from fieldstat.operators.joins import bounded_broadcast
+from fieldstat.operators.joins import checked_broadcast
 from fieldstat.operators.reshape import to_category
 
 TABLES = ("region", "nation", "customer", "orders", "lineitem", "events", "part")
@@ -52,8 +52,9 @@ SKILL_COLUMNS = ("mang_vanmale", "skill_vanmale", "unskil_vanmale",
 
 
 def main_table(src: dict[str, DataFrame]) -> DataFrame:
+    """``src["nation"]`` is expected size-checked (see ``census_tables``)."""
     c, n = src["customer"], src["nation"]
-    nat = bounded_broadcast(n.select("n_nationkey", "n_regionkey"))
+    nat = n.select("n_nationkey", "n_regionkey")
     raw = c.join(nat, c.c_nationkey == nat.n_nationkey).select(
         F.col("c_custkey").alias("id"),
         F.col("c_name").alias("name_businesEsta"),
@@ -99,10 +100,35 @@ def code_list(df: DataFrame, code: str, label: str, name: str) -> DataFrame:
     return df.select(F.col(code).alias(name), F.col(label).alias(f"{name}_desc"))
 
 
-def census_tables(spark: SparkSession, sf_dir: str, measures: bool = False,
-                  src: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
-    src = src or read_tables(spark, sf_dir)
-    n, r, o, e = src["nation"], src["region"], src["orders"], src["events"]
+_CATALOGS: dict[tuple, dict[str, DataFrame]] = {}
+
+
+def census_tables(spark: SparkSession, sf_dir: str, measures: bool = False) -> dict[str, DataFrame]:
+    """The census tables for one data folder, built once per session.
+
+    Like the reference, which loads its code lists once per run for all
+    reports, the lists are size-checked once (one job for all of them); the
+    two lists that are aggregates of big tables are cached so the check and
+    every later join share one computation.
+    """
+    key = (id(spark), sf_dir.rstrip("/"), measures)
+    if key not in _CATALOGS:
+        _CATALOGS[key] = _build_census_tables(spark, sf_dir, measures)
+    return dict(_CATALOGS[key])
+
+
+def _build_census_tables(spark: SparkSession, sf_dir: str, measures: bool) -> dict[str, DataFrame]:
+    src = read_tables(spark, sf_dir)
+    o, e = src["orders"], src["events"]
+    lists = checked_broadcast({"nation": src["nation"], "region": src["region"]})
+    derived = checked_broadcast({
+        "reference_year": o.select(F.year("o_orderdate").alias("reference_year")).distinct()
+                           .withColumn("reference_year_desc", F.col("reference_year").cast("string")),
+        "enumerators": e.select(F.col("event_type").alias("enum")).distinct()
+                        .withColumn("enumdesc", F.upper("enum")),
+    }, cache=True)
+    src = {**src, **lists}
+    n, r = lists["nation"], lists["region"]
     t = {
         "main": main_table(src),
         "ref_yearDetails": ref_year_details(src, measures),
@@ -116,12 +142,9 @@ def census_tables(spark: SparkSession, sf_dir: str, measures: bool = False,
                                       F.col("event_id").alias("line_no")),
         "errors": e.where(F.col("event_type") == "error").select(
             F.col("user_id").alias("id"), F.col("props").alias("variable")),
-        "reference_year": o.select(F.year("o_orderdate").alias("reference_year")).distinct()
-                           .withColumn("reference_year_desc", F.col("reference_year").cast("string")),
-        "enumerators": e.select(F.col("event_type").alias("enum")).distinct()
-                        .withColumn("enumdesc", F.upper("enum")),
+        **derived,
     }
-    for name in ("area_council", "ref_letter", "major_label_vansic", "major_Infolabel_vanisic"):
+    for name in ("area_council", "major_label_vansic", "major_Infolabel_vanisic"):
         t[name] = code_list(n, "n_nationkey", "n_name", name)
     t["ref_letter"] = n.select(F.col("n_nationkey").alias("ref_number"),
                                F.col("n_name").alias("ref_number_desc"))

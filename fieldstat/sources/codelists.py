@@ -13,6 +13,8 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fieldstat.operators.joins import MAX_BROADCAST_ROWS, checked_broadcast
+
 # The 40 code lists of the census workbook, in workbook order.
 CODE_LISTS = (
     "ref_letter", "position", "owner_sex", "owner_character", "employee_sex", "registered",
@@ -30,11 +32,14 @@ TEXT_CODED = ("enumerators",)
 
 
 def load_code_lists(spark: SparkSession, directory: str, names: Iterable[str] | None = None,
-                    fmt: str = "csv", text_coded: Iterable[str] = TEXT_CODED) -> dict[str, DataFrame]:
+                    fmt: str = "csv", text_coded: Iterable[str] = TEXT_CODED,
+                    max_broadcast_rows: int | None = MAX_BROADCAST_ROWS) -> dict[str, DataFrame]:
     """``read_excel(path, sheet = name)`` for every list: ``{name: DataFrame}``.
 
-    Lazy: nothing is read until a list is used.  CSV lists are read as text
-    (no inference) and the code column is converted with ``try_cast``.
+    CSV lists are read as text (no inference) and the code column is
+    converted with ``try_cast``.  All list sizes are checked in one job; lists
+    within ``max_broadcast_rows`` carry a broadcast hint into every label join
+    (``None`` skips the check and leaves the choice to Spark's statistics).
     """
     text_coded = set(text_coded)
     out = {}
@@ -48,4 +53,6 @@ def load_code_lists(spark: SparkSession, directory: str, names: Iterable[str] |
         if name not in text_coded:
             df = df.withColumn(code, F.col(f"`{code}`").try_cast("double"))
         out[name] = df
+    if max_broadcast_rows is not None:
+        out = checked_broadcast(out, max_broadcast_rows)
     return out
