@@ -75,8 +75,9 @@ def archive_lines(spark: SparkSession, path: str, members: Iterable[str] | None
 
 def read_member(lines: DataFrame, member: str, schema: T.StructType, sep: str = "\t",
                 null_value: str = "NA", check_header: bool = True) -> DataFrame:
-    """Typed rows of one member (``read_delim(unzip(zip, member))``), with
-    ``archive`` and ``line_no`` kept for provenance and source order.
+    """Typed rows of one member (``read_delim(unzip(zip, member))``): the
+    member's columns in header order, then ``archive`` and ``line_no`` for
+    provenance and source order.
 
     ``check_header`` reads only the header lines (one per archive) to fail
     early when the member is missing or its columns differ from ``schema``.
@@ -94,7 +95,7 @@ def read_member(lines: DataFrame, member: str, schema: T.StructType, sep: str =
     opts = {"sep": sep, "nullValue": null_value, "mode": "PERMISSIVE"}
     parsed = rows.where(F.col("line_no") > 0).select(
         "archive", "line_no", F.from_csv("line", schema.simpleString(), opts).alias("r"))
-    out = parsed.select("archive", "line_no", "r.*")
+    out = parsed.select("r.*", "archive", "line_no")
     # readr reads an empty field as missing for every type, text included
     return out.withColumns({f.name: F.when(F.col(f"`{f.name}`") != "", F.col(f"`{f.name}`"))
                             for f in schema.fields if isinstance(f.dataType, T.StringType)})
