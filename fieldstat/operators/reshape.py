@@ -56,16 +56,34 @@ def cast_many(df: DataFrame, cols: Iterable[str], fn: Callable[[Column], Column]
     return df.withColumns({c: fn(F.col(c)) for c in wanted})
 
 
+_INTEGRAL = ("tinyint", "smallint", "int")
+
+
 def to_integer(df: DataFrame, cols: Iterable[str]) -> DataFrame:
-    """P7 with X3: ``mutate_at(df, vars(...), as.integer)``."""
-    return cast_many(df, cols, as_integer)
+    """P7 with X3: ``mutate_at(df, vars(...), as.integer)``.  Columns that
+    already are 32-bit integers only lose R's NA sentinel (same result as the
+    general conversion, simpler plan)."""
+    types = dict(df.dtypes)
+    wanted = list(dict.fromkeys(cols))
+    missing = [c for c in wanted if c not in types]
+    if missing:
+        raise KeyError(f"columns not found: {missing}")
+    from pyspark.sql import functions as F
+    from fieldstat.functions.columns import R_INT_NA
+
+    def conv(c):
+        if types[c] in _INTEGRAL:  # only R's NA sentinel changes
+            return F.when(F.col(c) != F.lit(R_INT_NA), F.col(c).cast("int"))
+        return as_integer(F.col(c))
+    return df.withColumns({c: conv(c) for c in wanted})
 
 
 def to_category(df: DataFrame, cols: Iterable[str]) -> DataFrame:
     """P7 with X4: ``mutate_at(df, vars(...), as.factor)``.
 
     The database stores categories as text.  Numeric columns get R's label
-    text; string columns already are their label and are kept as they are.
+    text (for integer types simply their digits); string columns already are
+    their label and are kept as they are.
     """
     types = dict(df.dtypes)
     wanted = list(dict.fromkeys(cols))
@@ -75,7 +93,12 @@ def to_category(df: DataFrame, cols: Iterable[str]) -> DataFrame:
     from pyspark.sql import functions as F
     out = {}
     for c in wanted:
-        out[c] = F.col(c) if types[c] == "string" else category_text(F.col(c))
+        if types[c] == "string":
+            out[c] = F.col(c)
+        elif types[c] in _INTEGRAL + ("bigint",):
+            out[c] = F.col(c).cast("string")  # an integer's label is its digits
+        else:
+            out[c] = category_text(F.col(c))
     return df.withColumns(out)
 
 

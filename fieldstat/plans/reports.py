@@ -53,17 +53,23 @@ def establishments_by_industry_year(t: Tables, ind: DataFrame, sort: bool = True
     sorted by Industry; the bare ``Area_Council``/``Province`` are the first
     pair of the group in label order.
 
-    Plan: (id, year) pairs are made distinct before the join; then one
-    aggregate by (Industry, year, id) — no exchange, the join is already
-    partitioned by id — and a final aggregate by (Industry, year) whose
-    partial step runs map-side.  A hot industry adds no skew: the first
-    exchange is keyed by id.
+    Plan: (id, year) pairs are made distinct map-side and shuffled once, by
+    id; the joins on id reuse that partitioning; one aggregate by (Industry,
+    year, id) needs no exchange either (the data is already partitioned by
+    id); the final aggregate by (Industry, year) combines partial counts
+    map-side.  A hot industry adds no skew: every exchange before the last,
+    tiny one is keyed by id.
     """
     m = t["main"].select("id", "area_council", "province")
     m = label_join(m, t["area_council"], "area_council", "area_council",
                    {"area_council_desc": "Area_Council"})
     m = label_join(m, t["province"], "province", "province", {"province_desc": "Province"})
-    years = _roster_years(t, []).select("id", "Reference_Year").distinct()
+    # distinct (id, year) pairs, deduplicated map-side and shuffled once by
+    # id (the key of both joins below); a set holds at most one entry per
+    # code of the size-checked year list, however hot the id
+    years = (_roster_years(t, []).groupBy("id")
+             .agg(F.collect_set("Reference_Year").alias("years"))
+             .select("id", F.explode("years").alias("Reference_Year")))
     j = years.join(m.select("id", "Area_Council", "Province"), "id").join(
         ind.select("id", "Industry"), "id")
     per_id = (j.groupBy("Industry", "Reference_Year", "id")

@@ -27,3 +27,10 @@ def test_cast_lists_are_one_projection(spark):
     assert tuple(out.first()) == (3, "2", "x")
     with pytest.raises(KeyError):
         P.to_integer(df, ["nope"])
+
+
+def test_to_integer_fast_path_keeps_r_semantics(spark):
+    df = spark.createDataFrame([(5, 7), (-2147483648, None)], "a int, b bigint")
+    out = P.to_integer(df, ["a", "b"])
+    assert out.dtypes == [("a", "int"), ("b", "int")]
+    assert [tuple(r) for r in out.collect()] == [(5, 7), (None, None)]
