@@ -94,10 +94,11 @@ def parse_time(col, formats=("yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm:ss",
 
 def minutes_between(start, end) -> Column:
     """X10 ``difftime(end, start, units="mins")``: fractional minutes, end
-    minus start (disabled in the reference)."""
-    s = to_col(start).cast("timestamp")
-    e = to_col(end).cast("timestamp")
-    return (F.unix_micros(e) - F.unix_micros(s)) / F.lit(60_000_000.0)
+    minus start (disabled in the reference).  Computed on wall-clock
+    timestamps, so the result does not depend on the session time zone."""
+    s = to_col(start).cast("timestamp_ntz")
+    e = to_col(end).cast("timestamp_ntz")
+    return F.timestamp_diff("MICROSECOND", s, e) / F.lit(60_000_000.0)
 
 
 def positive_code(col) -> Column:
