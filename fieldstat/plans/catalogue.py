@@ -148,6 +148,10 @@ def q_first_action(spark, sf):
     return quality.first_action(_t(spark, sf))
 
 
+def q_interviewer_errors(spark, sf):
+    return quality.interviewer_errors(_t(spark, sf))
+
+
 def q_errors_by_originator(spark, sf):
     return quality.errors_by_originator(_t(spark, sf))
 
@@ -162,6 +166,10 @@ def q_fieldwork_monitor(spark, sf):
     return marts.fieldwork_monitor(_t(spark, sf))
 
 
+def q_fieldwork_industry(spark, sf):
+    return marts.fieldwork_industry(_t(spark, sf))
+
+
 def q_fieldwork_export_lines(spark, sf):
     t = _t(spark, sf)
     return csv_document(spark, marts.fieldwork_industry(t), sort_by=["id", "IndustryType"])
@@ -213,6 +221,27 @@ def q_legal_status_by_year(spark, sf):
     return reports.legal_status_by_year(t, _ind(t), YEAR)
 
 
+def q_size_totals_by_year(spark, sf):
+    t = _t(spark, sf)
+    return reports.measure_totals_by_year(t, _ind(t), ["tot_paid_emp"], YEARS)
+
+
+def q_sales_totals_by_year(spark, sf):
+    t = _t(spark, sf)
+    return reports.measure_totals_by_year(t, _ind(t), ["sales_goods_services"], YEARS)
+
+
+def q_employee_totals_by_year(spark, sf):
+    t = _t(spark, sf, measures=True)
+    return reports.measure_totals_by_year(t, _ind(t), list(reports.EMPLOYEE_MEASURES), YEARS)
+
+
+def q_skill_totals_by_year(spark, sf):
+    t = _t(spark, sf, measures=True)
+    return reports.measure_totals_by_year(
+        t, _ind(t), list(reports.COMPENSATION_MEASURES) + list(reports.SKILL_MEASURES), YEARS)
+
+
 def _industry_years(t):
     r = t["ref_yearDetails"].select("id", "ref_yearDetails__id")
     r = J.label_join(r, t["reference_year"], "ref_yearDetails__id", "reference_year",
@@ -369,9 +398,11 @@ QUERIES: dict[str, Query] = {
     "errors_by_variable": q_errors_by_variable,
     "errors_by_interview": q_errors_by_interview,
     "first_action": q_first_action,
+    "interviewer_errors": q_interviewer_errors,
     "errors_by_originator": q_errors_by_originator,
     "sector_union": q_sector_union,
     "fieldwork_monitor": q_fieldwork_monitor,
+    "fieldwork_industry": q_fieldwork_industry,
     "fieldwork_export_lines": q_fieldwork_export_lines,
     "establishments_by_industry_year": q_establishments_by_industry_year,
     "size_by_industry": q_size_by_industry,
@@ -382,6 +413,10 @@ QUERIES: dict[str, Query] = {
     "skills_all_years": q_skills_all_years,
     "pilot_extract": q_pilot_extract,
     "legal_status_by_year": q_legal_status_by_year,
+    "size_totals_by_year": q_size_totals_by_year,
+    "sales_totals_by_year": q_sales_totals_by_year,
+    "employee_totals_by_year": q_employee_totals_by_year,
+    "skill_totals_by_year": q_skill_totals_by_year,
     "industry_year_crosstab": q_industry_year_crosstab,
     "industry_year_totals": q_industry_year_totals,
     "cast_integer": q_cast_integer,

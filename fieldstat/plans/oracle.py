@@ -96,6 +96,12 @@ chk AS (SELECT id, COUNT(id) AS totError FROM errs GROUP BY id)
 SELECT f.originator, CAST(SUM(c.totError) AS BIGINT) AS totError
 FROM chk c JOIN first_action f ON c.id IS NOT DISTINCT FROM f.id GROUP BY f.originator"""
 
+SQL["interviewer_errors"] = with_standins("acts", "errs") + "," + _FIRST_ACTION + """,
+chk AS (SELECT id, COUNT(id) AS totError FROM errs GROUP BY id)
+SELECT COALESCE(c.id, f.id) AS id, c.totError, f.originator, f.responsible__name, f.date,
+       f.time, f.line_no
+FROM chk c JOIN first_action f ON c.id IS NOT DISTINCT FROM f.id"""
+
 SQL["sector_union"] = with_standins("main", "industry") + """
 SELECT id, name_businesEsta, Industry, IndustryType FROM industry"""
 
@@ -129,6 +135,11 @@ SELECT '"id","Reference_Number","Business_Name","Major_Label_Vansic","IndustryTy
 UNION ALL
 SELECT {_CSV_FIELDS} AS value FROM fwm f JOIN industry i ON f.id = i.id"""
 
+SQL["fieldwork_industry"] = with_standins("main", "acts", "enumerators", "industry") + "," + _FWM + """
+SELECT f.id, f.Reference_Number, f.Business_Name, i.Industry AS Major_Label_Vansic, i.IndustryType,
+       f.originator, f.responsible__name, f.enumdesc, f.date
+FROM fwm f JOIN industry i ON f.id = i.id"""
+
 _T1 = f"""
 j AS (SELECT a.n_name AS Area_Council, p.r_name AS Province,
              y.reference_year_desc AS Reference_Year, i.Industry, i.id
@@ -334,3 +345,22 @@ SQL["code_list_catalog"] = """
 SELECT 'area_council' AS list_name, CAST(n_nationkey AS DOUBLE) AS code, n_name AS label FROM nation
 UNION ALL
 SELECT 'province' AS list_name, CAST(r_regionkey AS DOUBLE) AS code, r_name AS label FROM region"""
+
+
+def _totals(standin: str, measures: list[str]) -> str:
+    sums = ", ".join(f"CAST(SUM(ry.{c}) AS BIGINT) AS Total_{c}" for c in measures)
+    return with_standins("main", standin, "reference_year", "industry") + f"""
+SELECT i.Industry, i.IndustryType, y.reference_year_desc AS Reference_Year,
+       COUNT(DISTINCT ry.id) AS Number_Of_Establishments, {sums}
+FROM ry
+JOIN reference_year y ON {_n('ry.ref_yearDetails__id')} = CAST(y.reference_year AS DOUBLE)
+JOIN industry i ON ry.id = i.id
+WHERE y.reference_year_desc IN ({_YEARS_IN})
+GROUP BY i.Industry, i.IndustryType, y.reference_year_desc"""
+
+
+SQL["size_totals_by_year"] = _totals("ry", ["tot_paid_emp"])
+SQL["sales_totals_by_year"] = _totals("ry", ["sales_goods_services"])
+SQL["employee_totals_by_year"] = _totals("ry_measures", [c for c, _ in _EMP])
+SQL["skill_totals_by_year"] = _totals(
+    "ry_measures", ["local_emp", "foreign_emp", "employee_comp", *SKILL_COLUMNS])

@@ -224,3 +224,21 @@ def legal_status_by_year(t: Tables, ind: DataFrame, year: str) -> DataFrame:
     return (j.groupBy("Industry", "IndustryType", "Legal_Status")
             .agg(F.countDistinct("id").alias("Number_Of_Establishments"))
             .withColumn("Reference_Year", F.lit(year)))
+
+
+def measure_totals_by_year(t: Tables, ind: DataFrame, measures: Iterable[str],
+                           years: Iterable[str] = REPORT_YEARS) -> DataFrame:
+    """Title version of Tables 2 and 5-10: per (Industry, IndustryType,
+    Reference_Year) the number of establishments and the sum of each
+    measure over every roster row of the year (year filtered first, no row
+    choice).  An establishment with both sector codes counts in both.
+
+    Partial sums are combined map-side; the distinct count is planned on
+    (keys, id), so a hot industry is spread by id.
+    """
+    measures = list(measures)
+    r = _roster_years(t, measures, only=list(years))
+    j = r.join(ind.select("id", "Industry", "IndustryType"), "id")
+    return (j.groupBy("Industry", "IndustryType", "Reference_Year")
+            .agg(F.countDistinct("id").alias("Number_Of_Establishments"),
+                 *[F.sum(c).alias(f"Total_{c}") for c in measures]))
