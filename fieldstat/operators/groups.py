@@ -69,8 +69,7 @@ def bar_data(df: DataFrame, x, y: str, alias: str | None = None) -> DataFrame:
     return df.groupBy(*as_list(x)).agg(F.sum(y).alias(alias or y))
 
 
-def crosstab_count(df: DataFrame, rows, col: str, values: list | None = None,
-                   count_alias: str = "n") -> DataFrame:
+def crosstab_count(df: DataFrame, rows, col: str, values: list | None = None) -> DataFrame:
     """A9 pivot table, cell = ``n()``: one row per ``rows`` value, one column
     per value of ``col``.  Give ``values`` to avoid the extra distinct job
     Spark otherwise runs to find the columns.  An empty cell is null."""

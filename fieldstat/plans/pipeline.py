@@ -102,17 +102,21 @@ INTEGER_COLUMNS = {
 
 def land_raw(spark: SparkSession, archive_dir: str, root: str,
              schemas: Mapping[str, T.StructType] | None = None,
-             members: Mapping[str, str] = EXPORT_MEMBERS) -> dict[str, str]:
+             members: Mapping[str, str] = EXPORT_MEMBERS,
+             partition_by: Mapping[str, list[str]] | None = None) -> dict[str, str]:
     """S1 + P1 + K1: every export member to the raw layer, first column
     renamed to ``id``.  Without a declared schema a member is landed as text
-    (column names from its header); typing happens in the clean step."""
+    (column names from its header); typing happens in the clean step.
+    ``partition_by`` names partition columns per table (for example the
+    interview status, so that the S6 extract prunes folders)."""
     schemas = schemas or {}
     lines = archive_lines(spark, archive_dir, members=list(members))
     paths = {}
     for member, table in members.items():
         schema = schemas.get(table) or _text_schema(lines, member)
         df = read_member(lines, member, schema).drop("archive")
-        paths[table] = write_layer(rename_first(df, "id"), root, "raw", table)
+        paths[table] = write_layer(rename_first(df, "id"), root, "raw", table,
+                                   (partition_by or {}).get(table))
     return paths
 
 
@@ -148,10 +152,12 @@ CLEANED = ("main", "ref_yearDetails", "exp_range", "exp_details", "other_cost",
            "other_invest", "capital_goods", "interview_actions")
 
 
-def build_marts(t: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """Every derived dataset of the script (R1-R18), lazily, by table name."""
-    ind = marts.industry(t)
-    fwm = marts.fieldwork_monitor(t)
+def build_marts(t: Mapping[str, DataFrame], ind: DataFrame | None = None,
+                fwm: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Every derived dataset of the script (R1-R18), lazily, by table name.
+    ``ind``/``fwm`` may be passed in already materialised (see ``run``)."""
+    ind = ind if ind is not None else marts.industry(t)
+    fwm = fwm if fwm is not None else marts.fieldwork_monitor(t)
     return {
         "fwm": fwm,
         "Formal_Industry": marts.formal_industry(t),
@@ -198,8 +204,14 @@ def run(spark: SparkSession, archive_dir: str, codes_dir: str, root: str,
                else read_layer(spark, root, "raw", name))
         for name in EXPORT_MEMBERS.values()}
     t.update(load_code_lists(spark, codes_dir, CODE_LISTS, fmt=code_format))
-    for name, df in {**build_marts(t), **build_dashboard(t)}.items():
+    # the two results every later dataset reuses are written first and read
+    # back, as the reference stores them: computed once, short lineage after
+    for name, df in (("Industry", marts.industry(t)), ("fwm", marts.fieldwork_monitor(t))):
         written[f"mart.{name}"] = write_layer(df, root, "mart", name)
+    ind, fwm = read_layer(spark, root, "mart", "Industry"), read_layer(spark, root, "mart", "fwm")
+    for name, df in {**build_marts(t, ind, fwm), **build_dashboard(t)}.items():
+        if name not in ("Industry", "fwm"):
+            written[f"mart.{name}"] = write_layer(df, root, "mart", name)
     if csv_path:
         fwi = read_layer(spark, root, "mart", "fwm_industry")
         written["fieldwork.csv"] = write_quoted_csv(spark, fwi, csv_path,

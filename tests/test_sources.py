@@ -77,3 +77,14 @@ def test_extract_status(spark):
     assert extract_status(df, "status").count() == 2
     assert extract_status(df, "status", qnr_col="qnr", qnr="q$2").count() == 1
     assert extract_status(df, "status", "Completed").where(F.col("qnr") == "q$2").count() == 1
+
+
+def test_status_extract_prunes_partitioned_layer(spark, scratch):
+    from fieldstat.sinks.layers import read_layer, write_layer
+    df = spark.createDataFrame([(i, "ApprovedByHeadquarters" if i % 2 else "Completed") for i in range(20)],
+                               "id int, interview__status string")
+    write_layer(df, scratch, "raw", "main", partition_by=["interview__status"])
+    out = extract_status(read_layer(spark, scratch, "raw", "main"), "interview__status")
+    assert out.count() == 10
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(interview__status" in plan
