@@ -69,8 +69,11 @@ def informal_industry(t: Tables) -> DataFrame:
 
 def industry(t: Tables) -> DataFrame:
     """R4 ``rbind(Formal_Industry, Informal_Industry)``: an establishment with
-    both codes appears twice.  Both halves scan ``main`` once each; both are
-    narrow (no shuffle), so the union needs no exchange."""
+    both codes appears twice.  Both halves are narrow (a pruned three-column
+    scan of ``main`` and a broadcast join each), so the union needs no
+    exchange.  A single-pass variant (left-join both lists, explode) was
+    rejected: with a duplicated code in one list it would also multiply the
+    other sector's rows, which the union of inner joins does not."""
     return formal_industry(t).unionByName(informal_industry(t))
 
 
