@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fieldstat.operators.groups import crosstab_count, crosstab_totals
 from fieldstat.operators.reshape import drop_range, rename_first, to_category, to_integer
 from fieldstat.plans import marts, quality, reports
 from fieldstat.sinks.layers import read_layer, write_layer
@@ -180,6 +181,18 @@ def build_marts(t: Mapping[str, DataFrame], ind: DataFrame | None = None,
     }
 
 
+def build_pivots(t: Mapping[str, DataFrame], table_1: DataFrame) -> dict[str, DataFrame]:
+    """A9/A10, disabled in the reference: the pivot of Table_1 with
+    Industry rows, Reference_Year columns and ``n()`` cells, and its totals.
+    The columns are the labels of the (size-checked) reference-year list."""
+    years = sorted({r[0] for r in t["reference_year"].select("reference_year_desc").collect()
+                    if r[0] is not None})
+    return {
+        "Table_1_pivot": crosstab_count(table_1, "Industry", "Reference_Year", years),
+        "Table_1_pivot_totals": crosstab_totals(table_1, "Industry", "Reference_Year"),
+    }
+
+
 def build_dashboard(t: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     """The three dashboard chart datasets."""
     return {
@@ -212,6 +225,9 @@ def run(spark: SparkSession, archive_dir: str, codes_dir: str, root: str,
     for name, df in {**build_marts(t, ind, fwm), **build_dashboard(t)}.items():
         if name not in ("Industry", "fwm"):
             written[f"mart.{name}"] = write_layer(df, root, "mart", name)
+    table_1 = read_layer(spark, root, "mart", "Table_1")
+    for name, df in build_pivots(t, table_1).items():
+        written[f"mart.{name}"] = write_layer(df, root, "mart", name)
     if csv_path:
         fwi = read_layer(spark, root, "mart", "fwm_industry")
         written["fieldwork.csv"] = write_quoted_csv(spark, fwi, csv_path,

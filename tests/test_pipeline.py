@@ -205,3 +205,11 @@ def test_fieldwork_csv(run):
     ids = [ln.split(",")[0] for ln in lines[1:]]
     assert ids == sorted(ids)
     assert any('"Shop ""One"", Ltd"' in ln for ln in lines)
+
+
+def test_table_1_pivot(run):
+    piv = {r.Industry: (r["2019"], r["2021"]) for r in mart(run, "Table_1_pivot").collect()}
+    assert piv == {"Mining": (1, 1), "Retail": (1, None)}
+    tot = {(r.Industry, r.Reference_Year, r.total_level): r.n
+           for r in mart(run, "Table_1_pivot_totals").collect()}
+    assert tot[(None, None, 3)] == 3 and tot[("Mining", None, 1)] == 2
