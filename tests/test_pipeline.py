@@ -36,6 +36,7 @@ ROSTER = [("01-01-01-01", "1", "3", "100.7"), ("01-01-01-01", "2", "4", "200"),
           ("01-01-01-02", "1", "NA", "50"), ("01-01-01-03", "2", "1", "10"),
           ("01-01-01-05", "2", "2", "20"), ("01-01-01-06", "1", "NA", "30")]
 RY_INTS = PL.INTEGER_COLUMNS["ref_yearDetails"]
+MAIN_MEMBER = next(m for m, table in PL.EXPORT_MEMBERS.items() if table == "main")
 
 
 def tsv(header, rows):
@@ -69,7 +70,7 @@ def export_members():
             ("01-01-01-03", "2022-07-01", "int2", "int2"), ("01-01-01-05", "2022-07-05", "int1", "int1"),
             ("01-01-01-06", "2022-07-06", "int2", "int2")]
     members = {
-        "business_census2022.tab": tsv(MAIN_COLS, main_rows()),
+        MAIN_MEMBER: tsv(MAIN_COLS, main_rows()),
         "ref_yearDetails.tab": tsv(ry_header, ry_rows),
         "register_id.tab": tsv(["interview__key", "register_id__id"],
                                [("01-01-01-01", "1"), ("01-01-01-01", "2"), ("01-01-01-02", "1")]),
@@ -111,7 +112,7 @@ def run(spark, tmp_path_factory):
     with zipfile.ZipFile(buf, "w") as zf:
         for m, text in export_members().items():
             zf.writestr(m, text)
-    (exp / "business_census2022_2_Tabular_ApprovedByHeadquarters.zip").write_bytes(buf.getvalue())
+    (exp / "export.zip").write_bytes(buf.getvalue())
     for name in CODE_LISTS:
         rows = LISTS.get(name, [("1", f"{name} one")])
         code = "ref_number" if name == "ref_letter" else ("enum" if name == "enumerators" else name)
