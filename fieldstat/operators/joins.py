@@ -17,14 +17,19 @@ from pyspark.sql import functions as F
 
 from fieldstat._util import as_list
 
-# A code list larger than this is joined by shuffle instead of broadcast.
+# A code list larger than this (rows, or bytes of its rows as JSON text) is
+# joined by shuffle instead of broadcast.
 MAX_BROADCAST_ROWS = 200_000
+MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def checked_broadcast(frames: dict[str, DataFrame], max_rows: int = MAX_BROADCAST_ROWS,
-                      cache: bool = False) -> dict[str, DataFrame]:
+                      cache: bool = False,
+                      max_bytes: int = MAX_BROADCAST_BYTES) -> dict[str, DataFrame]:
     """Size-check several small frames in **one** job and hint a broadcast on
-    those within ``max_rows``; larger ones are returned unhinted.
+    those within ``max_rows`` rows and ``max_bytes`` bytes (measured as the
+    JSON text of the rows, an upper estimate of their size); larger ones are
+    returned unhinted.
 
     Each frame contributes at most ``max_rows + 1`` rows to the check, so its
     cost is bounded however large a frame turns out to be.  ``cache=True``
@@ -36,13 +41,17 @@ def checked_broadcast(frames: dict[str, DataFrame], max_rows: int = MAX_BROADCAS
         return {}
     if cache:
         frames = {k: v.cache() for k, v in frames.items()}
-    probes = [v.limit(max_rows + 1).select(F.lit(k).alias("frame")) for k, v in frames.items()]
-    counts = {r["frame"]: r["n"] for r in
-              reduce(DataFrame.unionByName, probes).groupBy("frame")
-              .agg(F.count(F.lit(1)).alias("n")).collect()}
+    probes = [v.limit(max_rows + 1).select(
+        F.lit(k).alias("frame"),
+        F.length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in v.columns]))).alias("bytes"))
+        for k, v in frames.items()]
+    sizes = {r["frame"]: (r["n"], r["bytes"] or 0) for r in
+             reduce(DataFrame.unionByName, probes).groupBy("frame")
+             .agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes")).collect()}
     out = {}
     for k, v in frames.items():
-        if counts.get(k, 0) <= max_rows:
+        n, size = sizes.get(k, (0, 0))
+        if n <= max_rows and size <= max_bytes:
             out[k] = F.broadcast(v)
         else:
             if cache:

@@ -23,7 +23,7 @@ from fieldstat.operators.reshape import drop_range, rename_first, to_category, t
 from fieldstat.plans import marts, quality, reports
 from fieldstat.sinks.layers import read_layer, write_layer
 from fieldstat.sinks.quoted_csv import write_quoted_csv
-from fieldstat.sources.archive import archive_lines, read_member
+from fieldstat.sources.archive import archive_headers, archive_lines, check_headers, read_member
 from fieldstat.sources.codelists import CODE_LISTS, load_code_lists
 
 # Export members and the table each becomes, in export order.
@@ -111,19 +111,22 @@ def land_raw(spark: SparkSession, archive_dir: str, root: str,
     ``partition_by`` names partition columns per table (for example the
     interview status, so that the S6 extract prunes folders)."""
     schemas = schemas or {}
+    # one cheap pass for all headers (one line per member and archive)
+    headers = archive_headers(spark, archive_dir, members=list(members)).cache()
     lines = archive_lines(spark, archive_dir, members=list(members))
     paths = {}
     for member, table in members.items():
-        schema = schemas.get(table) or _text_schema(lines, member)
-        df = read_member(lines, member, schema).drop("archive")
+        schema = schemas.get(table) or _text_schema(headers, member)
+        check_headers(headers, member, schema.fieldNames())
+        df = read_member(lines, member, schema, check_header=False).drop("archive")
         paths[table] = write_layer(rename_first(df, "id"), root, "raw", table,
                                    (partition_by or {}).get(table))
+    headers.unpersist()
     return paths
 
 
-def _text_schema(lines: DataFrame, member: str) -> T.StructType:
-    head = (lines.where((F.col("member") == member) & (F.col("line_no") == 0))
-            .select("line").limit(1).collect())
+def _text_schema(headers: DataFrame, member: str) -> T.StructType:
+    head = headers.where(F.col("member") == member).select("line").limit(1).collect()
     if not head:
         raise FileNotFoundError(f"member {member!r} not found in any archive")
     names = [c.strip('"') for c in head[0]["line"].split("\t")]

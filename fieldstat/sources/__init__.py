@@ -1,6 +1,8 @@
 """Sources (inventory S1-S6)."""
 
-from fieldstat.sources.archive import archive_lines, explode_archives, read_member  # noqa: F401
+from fieldstat.sources.archive import (  # noqa: F401
+    archive_headers, archive_lines, check_headers, explode_archives, read_member,
+)
 from fieldstat.sources.codelists import load_code_lists  # noqa: F401
 from fieldstat.sources.delimited import read_delimited  # noqa: F401
 from fieldstat.sources.extract import extract_status  # noqa: F401

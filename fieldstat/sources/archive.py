@@ -29,7 +29,7 @@ LINE_SCHEMA = T.StructType([
 ])
 
 
-def _stream_members(members: list[str] | None, batch_lines: int):
+def _stream_members(members: list[str] | None, batch_lines: int, header_only: bool = False):
     wanted = set(members) if members else None
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -45,6 +45,8 @@ def _stream_members(members: list[str] | None, batch_lines: int):
                             for i, line in enumerate(text):
                                 rows_no.append(i)
                                 rows.append(line.rstrip("\r\n"))
+                                if header_only:
+                                    break
                                 if len(rows) >= batch_lines:
                                     yield pd.DataFrame({"archive": path, "member": info.filename,
                                                         "line_no": rows_no, "line": rows})
@@ -56,42 +58,65 @@ def _stream_members(members: list[str] | None, batch_lines: int):
 
 
 def explode_archives(files: DataFrame, members: Iterable[str] | None = None,
-                     batch_lines: int = 50_000) -> DataFrame:
+                     batch_lines: int = 50_000, header_only: bool = False) -> DataFrame:
     """Lines of the wanted members of each archive in ``files`` (columns
     ``path`` and ``content``, as ``binaryFile`` gives them).
 
-    ``line_no`` 0 is the header line of a member.
+    ``line_no`` 0 is the header line of a member.  ``header_only`` reads just
+    that line of each member (a cheap pass for schema checks).
     """
     return files.select("path", "content").mapInPandas(
-        _stream_members(list(members) if members else None, batch_lines), LINE_SCHEMA)
+        _stream_members(list(members) if members else None, batch_lines, header_only),
+        LINE_SCHEMA)
+
+
+def _files(spark: SparkSession, path: str, glob: str) -> DataFrame:
+    # binaryFile packs small archives into one task up to maxPartitionBytes;
+    # a larger archive is a task of its own (a zip is not splittable)
+    return spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
 
 
 def archive_lines(spark: SparkSession, path: str, members: Iterable[str] | None = None,
                   glob: str = "*.zip", batch_lines: int = 50_000) -> DataFrame:
     """``unzip(zip, member)`` for every archive under ``path``, as lines."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
-    return explode_archives(files, members, batch_lines)
+    return explode_archives(_files(spark, path, glob), members, batch_lines)
+
+
+def archive_headers(spark: SparkSession, path: str, members: Iterable[str] | None = None,
+                    glob: str = "*.zip") -> DataFrame:
+    """The header line of every wanted member of every archive, reading one
+    line per member (no full pass over the data)."""
+    return explode_archives(_files(spark, path, glob), members, header_only=True)
+
+
+def check_headers(headers: DataFrame, member: str, names: list[str], sep: str = "\t") -> None:
+    """Fail early when ``member`` is in no archive, or when any archive's
+    header differs from ``names``.  Collects one line per archive."""
+    heads = {r["line"] for r in headers.where(F.col("member") == member).select("line").collect()}
+    if not heads:
+        raise FileNotFoundError(f"member {member!r} not found in any archive")
+    for h in heads:
+        got = [c.strip('"') for c in h.split(sep)]
+        if got != names:
+            raise ValueError(f"member {member!r}: header {got} does not match schema {names}")
 
 
 def read_member(lines: DataFrame, member: str, schema: T.StructType, sep: str = "\t",
-                null_value: str = "NA", check_header: bool = True) -> DataFrame:
+                null_value: str = "NA", check_header: bool = True,
+                headers: DataFrame | None = None) -> DataFrame:
     """Typed rows of one member (``read_delim(unzip(zip, member))``): the
     member's columns in header order, then ``archive`` and ``line_no`` for
     provenance and source order.
 
-    ``check_header`` reads only the header lines (one per archive) to fail
-    early when the member is missing or its columns differ from ``schema``.
+    ``check_header`` fails early when the member is missing or a header
+    differs from ``schema``.  Pass ``headers`` (from ``archive_headers``) to
+    check by reading one line per member; without it the check filters
+    ``lines`` for the header rows, which streams the archives once more.
     """
     rows = lines.where(F.col("member") == member)
     if check_header:
-        heads = rows.where(F.col("line_no") == 0).select("line").distinct().limit(2).collect()
-        if not heads:
-            raise FileNotFoundError(f"member {member!r} not found in any archive")
-        for h in heads:
-            names = [c.strip('"') for c in h["line"].split(sep)]
-            if names != schema.fieldNames():
-                raise ValueError(f"member {member!r}: header {names} does not match schema "
-                                 f"{schema.fieldNames()}")
+        heads = headers if headers is not None else rows.where(F.col("line_no") == 0)
+        check_headers(heads, member, schema.fieldNames(), sep)
     opts = {"sep": sep, "nullValue": null_value, "mode": "PERMISSIVE"}
     parsed = rows.where(F.col("line_no") > 0).select(
         "archive", "line_no", F.from_csv("line", schema.simpleString(), opts).alias("r"))

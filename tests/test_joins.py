@@ -74,3 +74,11 @@ def test_label_join_check_size_flag(spark):
     out = J.label_join(facts(spark), codes(spark), "area_council", "area_council",
                        ["area_council_desc"], check_size=True)
     assert out.where(F.col("area_council_desc") == "One").count() == 1
+
+
+def test_checked_broadcast_byte_bound(spark):
+    wide = spark.range(50).select(F.repeat(F.lit("x"), 1000).alias("label"))
+    out = J.checked_broadcast({"wide": wide}, max_rows=100, max_bytes=10_000)
+    assert "broadcast" not in out["wide"]._jdf.queryExecution().analyzed().toString().lower()
+    out = J.checked_broadcast({"wide": wide}, max_rows=100, max_bytes=1_000_000)
+    assert "broadcast" in out["wide"]._jdf.queryExecution().analyzed().toString().lower()

@@ -88,3 +88,17 @@ def test_status_extract_prunes_partitioned_layer(spark, scratch):
     assert out.count() == 10
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(interview__status" in plan
+
+
+def test_header_only_scan_checks_without_reading_data(spark, scratch):
+    from fieldstat.sources import archive_headers, check_headers
+    make_archive(scratch, "a.zip", {"main.tab": MAIN, "actions.tab": ACTS})
+    make_archive(scratch, "b.zip", {"main.tab": MAIN})
+    heads = archive_headers(spark, scratch)
+    rows = heads.collect()
+    assert len(rows) == 3 and all(r.line_no == 0 for r in rows)
+    check_headers(heads, "main.tab", SCHEMA.fieldNames())
+    with pytest.raises(FileNotFoundError):
+        check_headers(heads, "nope.tab", ["x"])
+    lines = archive_lines(spark, scratch, members=["main.tab"])
+    assert read_member(lines, "main.tab", SCHEMA, headers=heads).count() == 6
