@@ -103,5 +103,7 @@ def minutes_between(start, end) -> Column:
 
 def positive_code(col) -> Column:
     """F1 ``WHERE code > 0`` on a text code: missing, blank, negative
-    sentinels and non-numbers all fail."""
+    sentinels and non-numbers all fail.  (SQLite compares a text column with
+    ``0`` as text, which gives the same answer for numeric codes, blanks and
+    sentinels but would let a non-numeric code such as ``'x'`` pass.)"""
     return to_col(col).try_cast("double") > 0
