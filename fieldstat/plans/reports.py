@@ -233,12 +233,17 @@ def measure_totals_by_year(t: Tables, ind: DataFrame, measures: Iterable[str],
     measure over every roster row of the year (year filtered first, no row
     choice).  An establishment with both sector codes counts in both.
 
-    Partial sums are combined map-side; the distinct count is planned on
-    (keys, id), so a hot industry is spread by id.
+    Two aggregation levels instead of ``countDistinct`` next to sums (which
+    Spark plans by expanding every row): first per (keys, id) — no exchange,
+    the join already partitions by id — then per keys, counting the ids and
+    adding the partial sums, combined map-side.  A hot industry is spread
+    by id until the last, small exchange.
     """
     measures = list(measures)
+    keys = ["Industry", "IndustryType", "Reference_Year"]
     r = _roster_years(t, measures, only=list(years))
     j = r.join(ind.select("id", "Industry", "IndustryType"), "id")
-    return (j.groupBy("Industry", "IndustryType", "Reference_Year")
-            .agg(F.countDistinct("id").alias("Number_Of_Establishments"),
+    per_id = j.groupBy(*keys, "id").agg(*[F.sum(c).alias(c) for c in measures])
+    return (per_id.groupBy(*keys)
+            .agg(F.count(F.lit(1)).alias("Number_Of_Establishments"),
                  *[F.sum(c).alias(f"Total_{c}") for c in measures]))
