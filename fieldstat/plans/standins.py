@@ -126,7 +126,7 @@ def census_tables(spark: SparkSession, sf_dir: str, measures: bool = False) -> d
     two lists that are aggregates of big tables are cached so the check and
     every later join share one computation.
     """
-    key = (id(spark), sf_dir.rstrip("/"), measures)
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), measures)
     if key not in _CATALOGS:
         _CATALOGS[key] = _build_census_tables(spark, sf_dir, measures)
     return dict(_CATALOGS[key])
