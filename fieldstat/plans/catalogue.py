@@ -252,7 +252,8 @@ def _industry_years(t):
 def q_industry_year_crosstab(spark, sf):
     t = _t(spark, sf)
     # the pivot columns: labels of the (size-checked, cached) year list
-    values = sorted(r[0] for r in t["reference_year"].select("reference_year_desc").collect())
+    values = sorted(r[0] for r in t["reference_year"].select("reference_year_desc").collect()
+                    if r[0] is not None)
     return G.crosstab_count(_industry_years(t), "Industry", "Reference_Year", values)
 
 
