@@ -152,10 +152,6 @@ def clean_tables(raw: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     return out
 
 
-CLEANED = ("main", "ref_yearDetails", "exp_range", "exp_details", "other_cost",
-           "other_invest", "capital_goods", "interview_actions")
-
-
 def build_marts(t: Mapping[str, DataFrame], ind: DataFrame | None = None,
                 fwm: DataFrame | None = None) -> dict[str, DataFrame]:
     """Every derived dataset of the script (R1-R18), lazily, by table name.
@@ -207,18 +203,22 @@ def build_dashboard(t: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
 
 def run(spark: SparkSession, archive_dir: str, codes_dir: str, root: str,
         csv_path: str | None = None, schemas: Mapping[str, T.StructType] | None = None,
-        code_format: str = "csv") -> dict[str, str]:
+        code_format: str = "csv", id_buckets: int | None = None) -> dict[str, str]:
     """The whole script: land, clean, load lists, write every mart and report,
-    export the fieldwork CSV.  Returns the written paths by name."""
+    export the fieldwork CSV.  Returns the written paths by name.
+
+    ``id_buckets`` writes every clean table bucketed on ``id`` into that many
+    buckets (size it like the shuffle partitions of the largest roster): the
+    reports then join ``main``, the rosters and the logs, and choose rows per
+    establishment, without shuffling them.
+    """
     written = dict(land_raw(spark, archive_dir, root, schemas))
     raw = {name: read_layer(spark, root, "raw", name) for name in EXPORT_MEMBERS.values()}
+    bucket = {"bucket_by": ["id"], "buckets": id_buckets} if id_buckets else {}
     for name, df in clean_tables(raw).items():
-        if name in CLEANED:
-            written[f"clean.{name}"] = write_layer(df, root, "clean", name)
-    t: dict[str, DataFrame] = {
-        name: (read_layer(spark, root, "clean", name) if name in CLEANED
-               else read_layer(spark, root, "raw", name))
-        for name in EXPORT_MEMBERS.values()}
+        written[f"clean.{name}"] = write_layer(df, root, "clean", name, **bucket)
+    t: dict[str, DataFrame] = {name: read_layer(spark, root, "clean", name)
+                               for name in EXPORT_MEMBERS.values()}
     t.update(load_code_lists(spark, codes_dir, CODE_LISTS, fmt=code_format))
     # the two results every later dataset reuses are written first and read
     # back, as the reference stores them: computed once, short lineage after

@@ -5,7 +5,8 @@ name.  Spark refuses to overwrite a path it is reading from, and a failed
 rewrite would lose the input, so data moves through layers instead:
 ``raw`` -> ``clean`` -> ``mart``; each write replaces one table of one layer.
 Tables are Parquet folders under a shared root (object store / HDFS on a
-cluster), optionally partitioned so later filters prune files.
+cluster), optionally partitioned so later filters prune files, or bucketed on
+``id`` so the many joins on ``id`` read co-partitioned data.
 """
 
 from __future__ import annotations
@@ -22,15 +23,45 @@ def layer_path(root: str, layer: str, name: str) -> str:
 
 
 def write_layer(df: DataFrame, root: str, layer: str, name: str,
-                partition_by: list[str] | None = None) -> str:
-    """``dbWriteTable(con, name, df, overwrite=TRUE)`` into one layer."""
+                partition_by: list[str] | None = None,
+                bucket_by: list[str] | None = None, buckets: int | None = None) -> str:
+    """``dbWriteTable(con, name, df, overwrite=TRUE)`` into one layer.
+
+    ``bucket_by``/``buckets`` store the table hash-bucketed (and sorted) on
+    those columns, registered in the session catalog as ``<layer>.<name>``
+    with its files at the layer path.  Tables bucketed the same way join and
+    group on the bucket columns without a shuffle.
+    """
     path = layer_path(root, layer, name)
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    if bucket_by:
+        if not buckets:
+            raise ValueError("bucket_by needs a bucket count")
+        df.sparkSession.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
+        (w.bucketBy(buckets, *bucket_by).sortBy(*bucket_by)
+         .option("path", path).saveAsTable(f"{layer}.{name}"))
+    else:
+        w.parquet(path)
     return path
 
 
+def _location(spark: SparkSession, table: str) -> str | None:
+    row = (spark.sql(f"DESCRIBE TABLE EXTENDED {table}")
+           .where("col_name = 'Location'").select("data_type").first())
+    return row[0] if row else None
+
+
 def read_layer(spark: SparkSession, root: str, layer: str, name: str) -> DataFrame:
-    return spark.read.parquet(layer_path(root, layer, name))
+    """A layer table: through the catalog when it is registered there for
+    this very folder (which keeps its bucketing), else from its files."""
+    path = layer_path(root, layer, name)
+    table = f"{layer}.{name}"
+    if spark.catalog.tableExists(table):
+        location = (_location(spark, table) or "").rstrip("/")
+        # the catalog stores a qualified URI (file:/..., hdfs://...); compare
+        # the path part so another root's table of the same name is ignored
+        if location.endswith(path.rstrip("/").split(":", 1)[-1]):
+            return spark.table(table)
+    return spark.read.parquet(path)

@@ -120,7 +120,8 @@ def run(spark, tmp_path_factory):
         (codes / f"{name}.csv").write_text(f"{code},{desc}\n" + "".join(f"{a},{b}\n" for a, b in rows))
     for name in ("interview_status", "institution_reg", "account_keeping"):
         (codes / f"{name}.csv").write_text(f"{name},{name}_desc\n1,Label one\n2,Label two\n")
-    written = PL.run(spark, str(exp), str(codes), str(root), csv_path=str(base / "fieldwork.csv"))
+    written = PL.run(spark, str(exp), str(codes), str(root), csv_path=str(base / "fieldwork.csv"),
+                     id_buckets=4)
     return spark, str(root), written
 
 

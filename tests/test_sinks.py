@@ -49,3 +49,22 @@ def test_layers_round_trip_and_reject_unknown_layer(spark, scratch):
     assert read_layer(spark, scratch, "clean", "t").columns == ["id", "w"]
     with pytest.raises(ValueError):
         layer_path(scratch, "tmp", "t")
+
+
+def test_bucketed_layers_join_without_shuffle(spark, scratch):
+    a = spark.range(200).selectExpr("id", "id * 2 AS v")
+    b = spark.range(200).selectExpr("id", "id * 3 AS w")
+    write_layer(a, scratch, "clean", "a_bucketed", bucket_by=["id"], buckets=4)
+    write_layer(b, scratch, "clean", "b_bucketed", bucket_by=["id"], buckets=4)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        j = read_layer(spark, scratch, "clean", "a_bucketed").join(
+            read_layer(spark, scratch, "clean", "b_bucketed"), "id")
+        assert j.count() == 200
+        plan = j._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange hashpartitioning" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    with pytest.raises(ValueError):
+        write_layer(a, scratch, "clean", "x", bucket_by=["id"])
