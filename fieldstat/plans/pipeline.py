@@ -207,10 +207,10 @@ def run(spark: SparkSession, archive_dir: str, codes_dir: str, root: str,
     """The whole script: land, clean, load lists, write every mart and report,
     export the fieldwork CSV.  Returns the written paths by name.
 
-    ``id_buckets`` writes every clean table bucketed on ``id`` into that many
-    buckets (size it like the shuffle partitions of the largest roster): the
-    reports then join ``main``, the rosters and the logs, and choose rows per
-    establishment, without shuffling them.
+    ``id_buckets`` writes every clean table, and the reused ``Industry`` and
+    ``fwm`` marts, bucketed on ``id`` into that many buckets (size it like the
+    shuffle partitions of the largest roster): the reports then join them and
+    choose rows per establishment without shuffling them.
     """
     written = dict(land_raw(spark, archive_dir, root, schemas))
     raw = {name: read_layer(spark, root, "raw", name) for name in EXPORT_MEMBERS.values()}
@@ -223,7 +223,7 @@ def run(spark: SparkSession, archive_dir: str, codes_dir: str, root: str,
     # the two results every later dataset reuses are written first and read
     # back, as the reference stores them: computed once, short lineage after
     for name, df in (("Industry", marts.industry(t)), ("fwm", marts.fieldwork_monitor(t))):
-        written[f"mart.{name}"] = write_layer(df, root, "mart", name)
+        written[f"mart.{name}"] = write_layer(df, root, "mart", name, **bucket)
     ind, fwm = read_layer(spark, root, "mart", "Industry"), read_layer(spark, root, "mart", "fwm")
     for name, df in {**build_marts(t, ind, fwm), **build_dashboard(t)}.items():
         if name not in ("Industry", "fwm"):
