@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fieldstat._util import as_list, to_col
 
@@ -26,7 +27,9 @@ _RN = "__rn"
 def _order(df: DataFrame, keys: list[str], order_by) -> list[Column]:
     first = as_list(order_by)
     named = {c for c in first if isinstance(c, str)}
-    rest = [c for c in df.columns if c not in keys and c not in named]
+    # every remaining column joins the order, except maps (Spark cannot sort them)
+    rest = [f.name for f in df.schema.fields
+            if f.name not in keys and f.name not in named and not isinstance(f.dataType, T.MapType)]
     cols = []
     for c in first + rest:
         col = to_col(c) if not isinstance(c, str) else F.col(f"`{c}`")

@@ -67,3 +67,9 @@ def test_crosstab_and_totals(spark):
     assert tot[("Mining", None, 1)] == 3
     assert tot[(None, "2021", 2)] == 2
     assert tot[("Retail", "2021", 0)] == 1
+
+
+def test_representative_skips_unsortable_map_columns(spark):
+    df = spark.createDataFrame([(1, "b", {"k": 1}), (1, "a", {"k": 2})], "id int, v string, m map<string,int>")
+    out = G.representative_rows(df, "id").collect()
+    assert [(r.id, r.v, r.m) for r in out] == [(1, "a", {"k": 2})]
