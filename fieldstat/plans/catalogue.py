@@ -23,7 +23,7 @@ from fieldstat.operators import groups as G
 from fieldstat.operators import joins as J
 from fieldstat.operators import reshape as P
 from fieldstat.plans import marts, quality, reports
-from fieldstat.plans.standins import census_tables, read_tables, with_standins
+from fieldstat.plans.standins import census_tables, read_tables
 from fieldstat.session import checkpoint_root
 from fieldstat.sinks.quoted_csv import csv_document
 from fieldstat.sources.archive import explode_archives, read_member

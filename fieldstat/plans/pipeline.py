@@ -236,3 +236,30 @@ def run(spark: SparkSession, archive_dir: str, codes_dir: str, root: str,
         written["fieldwork.csv"] = write_quoted_csv(spark, fwi, csv_path,
                                                     sort_by=["id", "IndustryType"])
     return written
+
+
+def main(argv: list[str] | None = None) -> None:
+    """``python -m fieldstat.plans.pipeline --archives DIR --codes DIR --root DIR``.
+
+    Uses the session the environment configures (``spark-submit`` settings,
+    ``spark.checkpoint.dir``); it only sets an application name.
+    """
+    import argparse
+    import json
+
+    p = argparse.ArgumentParser(description="Census batch run: land, clean, marts, reports, CSV.")
+    p.add_argument("--archives", required=True, help="folder with the zip exports")
+    p.add_argument("--codes", required=True, help="folder with one file per code list")
+    p.add_argument("--root", required=True, help="shared warehouse folder for the layers")
+    p.add_argument("--csv", help="folder for the fieldwork CSV export")
+    p.add_argument("--code-format", default="csv", help="code list file format (csv, parquet)")
+    p.add_argument("--id-buckets", type=int, help="bucket the clean layer on id")
+    a = p.parse_args(argv)
+    spark = SparkSession.builder.appName("fieldstat-census").getOrCreate()
+    written = run(spark, a.archives, a.codes, a.root, csv_path=a.csv,
+                  code_format=a.code_format, id_buckets=a.id_buckets)
+    print(json.dumps(written, indent=2))
+
+
+if __name__ == "__main__":
+    main()
