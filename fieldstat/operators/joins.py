@@ -134,12 +134,20 @@ def merge_frames(x: DataFrame, y: DataFrame, by, suffixes=(".x", ".y"),
     """J8 R ``merge(x, y, by)``: inner join on shared key names where a
     missing key matches a missing key; output is the key, then the rest of
     ``x``, then the rest of ``y``; clashing names get ``.x``/``.y``; rows
-    sorted by the key (``sort=False`` skips the global sort).
+    sorted by the key (``sort=False`` skips the global sort).  Keys of
+    different types are matched as text, like R.
 
     Null keys are joined with ``<=>`` (an equi-join key for Spark, so still a
     hash/sort-merge join); AQE's skew handling splits a hot key partition.
     """
     keys = as_list(by)
+    # R matches keys of different types as text (``match`` coerces to
+    # character); an implicit Spark cast would throw on a dirty key in ANSI mode
+    xt, yt = dict(x.dtypes), dict(y.dtypes)
+    mixed = [k for k in keys if xt[k] != yt[k]]
+    if mixed:
+        from fieldstat.operators.reshape import to_category
+        x, y = to_category(x, mixed), to_category(y, mixed)
     xa, ya = x.alias("__x"), y.alias("__y")
     cond = None
     for k in keys:

@@ -41,7 +41,11 @@ def _stream_members(members: list[str] | None, batch_lines: int, header_only: bo
                             continue
                         rows_no, rows = [], []
                         with zf.open(info) as fh:
-                            text = io.TextIOWrapper(fh, encoding="utf-8-sig", newline="")
+                            # lines end at "\n" only (a stray "\r" inside a field
+                            # stays in it); a bad byte becomes U+FFFD instead
+                            # of failing the task, as readr tolerates it
+                            text = io.TextIOWrapper(fh, encoding="utf-8-sig", newline="\n",
+                                                    errors="replace")
                             for i, line in enumerate(text):
                                 rows_no.append(i)
                                 rows.append(line.rstrip("\r\n"))
@@ -118,7 +122,8 @@ def read_member(lines: DataFrame, member: str, schema: T.StructType, sep: str =
         heads = headers if headers is not None else rows.where(F.col("line_no") == 0)
         check_headers(heads, member, schema.fieldNames(), sep)
     opts = {"sep": sep, "nullValue": null_value, "mode": "PERMISSIVE"}
-    parsed = rows.where(F.col("line_no") > 0).select(
+    # readr skips blank lines
+    parsed = rows.where((F.col("line_no") > 0) & (F.col("line") != "")).select(
         "archive", "line_no", F.from_csv("line", schema.simpleString(), opts).alias("r"))
     out = parsed.select("r.*", "archive", "line_no")
     # readr reads an empty field as missing for every type, text included

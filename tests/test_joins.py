@@ -82,3 +82,10 @@ def test_checked_broadcast_byte_bound(spark):
     assert "broadcast" not in out["wide"]._jdf.queryExecution().analyzed().toString().lower()
     out = J.checked_broadcast({"wide": wide}, max_rows=100, max_bytes=1_000_000)
     assert "broadcast" in out["wide"]._jdf.queryExecution().analyzed().toString().lower()
+
+
+def test_merge_matches_mixed_type_keys_as_text(spark):
+    x = spark.createDataFrame([("1", 5), ("x", 6), ("2.5", 7)], "k string, n int")
+    y = spark.createDataFrame([(1.0, "One"), (2.5, "Two and a half")], "k double, label string")
+    out = J.merge_frames(x, y, "k")
+    assert [tuple(r) for r in out.collect()] == [("1", 5, "One"), ("2.5", 7, "Two and a half")]

@@ -102,3 +102,17 @@ def test_header_only_scan_checks_without_reading_data(spark, scratch):
         check_headers(heads, "nope.tab", ["x"])
     lines = archive_lines(spark, scratch, members=["main.tab"])
     assert read_member(lines, "main.tab", SCHEMA, headers=heads).count() == 6
+
+
+def test_archive_lines_split_on_newline_only_and_skip_blank(spark, scratch):
+    text = "interview__key\tprovince\tname\r\n01-01\t1\tShop\rA\r\n\r\n01-02\t2\tB\xff\n"
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w") as zf:
+        zf.writestr("main.tab", text.encode("latin-1"))
+    with open(os.path.join(scratch, "a.zip"), "wb") as fh:
+        fh.write(buf.getvalue())
+    df = read_member(archive_lines(spark, scratch), "main.tab", SCHEMA)
+    rows = {r.interview__key: r for r in df.collect()}
+    assert set(rows) == {"01-01", "01-02"}
+    assert rows["01-01"].name == "Shop\rA"
+    assert rows["01-02"].name == "B�"
