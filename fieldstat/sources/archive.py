@@ -1,13 +1,19 @@
 """Read named members of zip exports, in parallel across archives.
 
-``binaryFile`` yields one row per archive; ``mapInPandas`` opens it and
-streams each wanted member as batches of ``(archive, member, line_no, line)``
-so no member is ever held whole as text or parsed on the driver.  The typed
-frame comes from ``from_csv`` on the line column (JVM side).  ``line_no``
-keeps the export's row order, which the keep-first operator (A7) can use.
-
-Limits: an archive must fit one task (``binaryFile`` content < 2 GB, zip is
-not splittable) and fields must not contain line breaks.
+Each archive is one task (a zip is not splittable); ``mapInPandas`` opens it
+and streams each wanted member as batches of ``(archive, member, line_no,
+line)``, so no member is ever held whole as text or parsed on the driver.
+The typed frame comes from ``from_csv`` on the line column (JVM side).
+``line_no`` keeps the export's row order, which keep-first (A7) can use.
+
+How an archive reaches its task depends on its size.  Up to
+``STREAM_ABOVE`` bytes, ``binaryFile`` ships its content (portable through
+Spark's own file systems).  Larger archives are listed by path only: the
+``length`` filter is pushed into ``binaryFile``, so their content is never
+loaded as one array (which is capped at 2 GB).  The task then opens the path
+with ``pyarrow.fs`` and reads the zip by random access.
+
+Limit: fields must not contain line breaks.
 """
 
 from __future__ import annotations
@@ -29,13 +35,32 @@ LINE_SCHEMA = T.StructType([
 ])
 
 
+# Archives larger than this are opened by path inside the task.
+STREAM_ABOVE = 1 << 30
+
+
+def _open_path(path: str):
+    """A seekable file for a Spark path (file:, hdfs:, s3a:, gs:, abfs: ...)."""
+    from pyarrow import fs
+    if path.startswith("file:"):
+        local = path[len("file:"):]
+        while local.startswith("//"):
+            local = local[1:]
+        return fs.LocalFileSystem().open_input_file(local)
+    uri = "s3://" + path.split("://", 1)[1] if path.startswith(("s3a://", "s3n://")) else path
+    filesystem, inner = fs.FileSystem.from_uri(uri)
+    return filesystem.open_input_file(inner)
+
+
 def _stream_members(members: list[str] | None, batch_lines: int, header_only: bool = False):
     wanted = set(members) if members else None
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for path, content in zip(pdf["path"], pdf["content"]):
-                with zipfile.ZipFile(io.BytesIO(content)) as zf:
+            contents = pdf["content"] if "content" in pdf else [None] * len(pdf)
+            for path, content in zip(pdf["path"], contents):
+                source = io.BytesIO(content) if content is not None else _open_path(path)
+                with source, zipfile.ZipFile(source) as zf:
                     for info in zf.infolist():
                         if info.is_dir() or (wanted is not None and info.filename not in wanted):
                             continue
@@ -69,28 +94,38 @@ def explode_archives(files: DataFrame, members: Iterable[str] | None = None,
     ``line_no`` 0 is the header line of a member.  ``header_only`` reads just
     that line of each member (a cheap pass for schema checks).
     """
-    return files.select("path", "content").mapInPandas(
+    cols = [c for c in ("path", "content") if c in files.columns]
+    return files.select(*cols).mapInPandas(
         _stream_members(list(members) if members else None, batch_lines, header_only),
         LINE_SCHEMA)
 
 
-def _files(spark: SparkSession, path: str, glob: str) -> DataFrame:
-    # binaryFile packs small archives into one task up to maxPartitionBytes;
-    # a larger archive is a task of its own (a zip is not splittable)
-    return spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
+def _explode_all(spark: SparkSession, path: str, glob: str, members, batch_lines: int,
+                 header_only: bool, stream_above: int) -> DataFrame:
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
+    # small archives: content shipped by binaryFile, packed into tasks up to
+    # maxPartitionBytes; large ones: path only (the length filter is pushed
+    # into the scan, so their content is not loaded), opened in the task and
+    # spread one per task
+    small = files.where(F.col("length") <= stream_above).select("path", "content")
+    large = files.where(F.col("length") > stream_above).select("path")
+    large = large.repartition(large.sparkSession.sparkContext.defaultParallelism)
+    return (explode_archives(small, members, batch_lines, header_only)
+            .unionByName(explode_archives(large, members, batch_lines, header_only)))
 
 
 def archive_lines(spark: SparkSession, path: str, members: Iterable[str] | None = None,
-                  glob: str = "*.zip", batch_lines: int = 50_000) -> DataFrame:
+                  glob: str = "*.zip", batch_lines: int = 50_000,
+                  stream_above: int = STREAM_ABOVE) -> DataFrame:
     """``unzip(zip, member)`` for every archive under ``path``, as lines."""
-    return explode_archives(_files(spark, path, glob), members, batch_lines)
+    return _explode_all(spark, path, glob, members, batch_lines, False, stream_above)
 
 
 def archive_headers(spark: SparkSession, path: str, members: Iterable[str] | None = None,
-                    glob: str = "*.zip") -> DataFrame:
+                    glob: str = "*.zip", stream_above: int = STREAM_ABOVE) -> DataFrame:
     """The header line of every wanted member of every archive, reading one
     line per member (no full pass over the data)."""
-    return explode_archives(_files(spark, path, glob), members, header_only=True)
+    return _explode_all(spark, path, glob, members, 1, True, stream_above)
 
 
 def check_headers(headers: DataFrame, member: str, names: list[str], sep: str = "\t") -> None:

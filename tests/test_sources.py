@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fieldstat.sources import (archive_lines, extract_status, load_code_lists, read_delimited,
+from fieldstat.sources import (archive_headers, archive_lines, extract_status, load_code_lists, read_delimited,
                                read_member)
 
 MAIN = "interview__key\tprovince\tname\n01-01\t1\tShop A\n01-02\tNA\t\n01-03\t-999999999\tShop \"C\"\n"
@@ -116,3 +116,15 @@ def test_archive_lines_split_on_newline_only_and_skip_blank(spark, scratch):
     assert set(rows) == {"01-01", "01-02"}
     assert rows["01-01"].name == "Shop\rA"
     assert rows["01-02"].name == "B�"
+
+
+def test_large_archives_are_opened_by_path(spark, scratch):
+    make_archive(scratch, "a.zip", {"main.tab": MAIN, "actions.tab": ACTS})
+    make_archive(scratch, "b.zip", {"main.tab": MAIN.splitlines(True)[0] + "02-01\t2\tShop D\n"})
+    # every archive counts as large: the task opens it by path
+    lines = archive_lines(spark, scratch, members=["main.tab"], stream_above=0)
+    heads = archive_headers(spark, scratch, stream_above=0)
+    df = read_member(lines, "main.tab", SCHEMA, headers=heads)
+    assert sorted(r.interview__key for r in df.collect()) == ["01-01", "01-02", "01-03", "02-01"]
+    plan = lines._jdf.queryExecution().optimizedPlan().toString()
+    assert "length" in plan
