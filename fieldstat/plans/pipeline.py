@@ -113,7 +113,12 @@ def land_raw(spark: SparkSession, archive_dir: str, root: str,
     schemas = schemas or {}
     # one cheap pass for all headers (one line per member and archive)
     headers = archive_headers(spark, archive_dir, members=list(members)).cache()
-    lines = archive_lines(spark, archive_dir, members=list(members))
+    # one pass through the archives for all members' lines, staged as Parquet
+    # partitioned by member; each member is then parsed from its own folder
+    # (partition pruning) instead of decompressing the export once per member
+    write_layer(archive_lines(spark, archive_dir, members=list(members)), root, "raw",
+                "_export_lines", partition_by=["member"])
+    lines = read_layer(spark, root, "raw", "_export_lines")
     paths = {}
     for member, table in members.items():
         schema = schemas.get(table) or _text_schema(headers, member)

@@ -215,3 +215,16 @@ def test_table_1_pivot(run):
     tot = {(r.Industry, r.Reference_Year, r.total_level): r.n
            for r in mart(run, "Table_1_pivot_totals").collect()}
     assert tot[(None, None, 3)] == 3 and tot[("Mining", None, 1)] == 2
+
+
+def test_members_parsed_from_staged_lines_with_pruning(run):
+    from fieldstat.sources.archive import read_member
+    from pyspark.sql import types as T
+    spark, root, _ = run
+    staged = read_layer(spark, root, "raw", "_export_lines")
+    schema = T.StructType([T.StructField("interview__key", T.StringType()),
+                           T.StructField("variable", T.StringType())])
+    df = read_member(staged, "interview__errors.tab", schema, check_header=False)
+    assert df.count() == 3
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(member" in plan
