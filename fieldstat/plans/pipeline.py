@@ -157,12 +157,26 @@ def clean_tables(raw: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     return out
 
 
+def shared_rows(t: Mapping[str, DataFrame], ind: DataFrame) -> dict[str, DataFrame]:
+    """Row sets each shared by a pair of report tables (2/5, 3/4, 6/7, 8/9):
+    materialised once, they halve the passes over the roster."""
+    return {
+        "size_sales": reports.size_sales_rows(t, ind),
+        "legal_status": reports.legal_status_rows(t, ind),
+        "employees": reports.employee_rows(t, ind),
+        "compensation": reports.compensation_rows(t, ind),
+    }
+
+
 def build_marts(t: Mapping[str, DataFrame], ind: DataFrame | None = None,
-                fwm: DataFrame | None = None) -> dict[str, DataFrame]:
+                fwm: DataFrame | None = None,
+                rows: Mapping[str, DataFrame] | None = None) -> dict[str, DataFrame]:
     """Every derived dataset of the script (R1-R18), lazily, by table name.
-    ``ind``/``fwm`` may be passed in already materialised (see ``run``)."""
+    ``ind``/``fwm`` and the ``shared_rows`` may be passed in already
+    materialised (see ``run``)."""
     ind = ind if ind is not None else marts.industry(t)
     fwm = fwm if fwm is not None else marts.fieldwork_monitor(t)
+    rows = rows if rows is not None else shared_rows(t, ind)
     return {
         "fwm": fwm,
         "Formal_Industry": marts.formal_industry(t),
@@ -170,14 +184,14 @@ def build_marts(t: Mapping[str, DataFrame], ind: DataFrame | None = None,
         "Industry": ind,
         "fwm_industry": marts.fieldwork_industry(t, fwm, ind),
         "Table_1": reports.establishments_by_industry_year(t, ind),
-        "Table_2": reports.size_by_industry(t, ind),
-        "Table_3": reports.legal_status_in_year(t, ind, "2019"),
-        "Table_4": reports.legal_status_in_year(t, ind, "2021"),
-        "Table_5": reports.sales_by_industry(t, ind),
-        "Table_6": reports.employees_in_year(t, ind, "2019"),
-        "Table_7": reports.employees_in_year(t, ind, "2021"),
-        "Table_8": reports.compensation_in_year(t, ind, "2019"),
-        "Table_9": reports.compensation_in_year(t, ind, "2021"),
+        "Table_2": reports.size_by_industry(t, ind, rows=rows["size_sales"]),
+        "Table_3": reports.legal_status_in_year(t, ind, "2019", rows=rows["legal_status"]),
+        "Table_4": reports.legal_status_in_year(t, ind, "2021", rows=rows["legal_status"]),
+        "Table_5": reports.sales_by_industry(t, ind, rows=rows["size_sales"]),
+        "Table_6": reports.employees_in_year(t, ind, "2019", rows=rows["employees"]),
+        "Table_7": reports.employees_in_year(t, ind, "2021", rows=rows["employees"]),
+        "Table_8": reports.compensation_in_year(t, ind, "2019", rows=rows["compensation"]),
+        "Table_9": reports.compensation_in_year(t, ind, "2021", rows=rows["compensation"]),
         "Table_10": reports.skills_all_years(t, ind),
         "pilotData": reports.pilot_extract(t),
         "prov_results": quality.interviews_per_province(t),
@@ -230,7 +244,11 @@ def run(spark: SparkSession, archive_dir: str, codes_dir: str, root: str,
     for name, df in (("Industry", marts.industry(t)), ("fwm", marts.fieldwork_monitor(t))):
         written[f"mart.{name}"] = write_layer(df, root, "mart", name, **bucket)
     ind, fwm = read_layer(spark, root, "mart", "Industry"), read_layer(spark, root, "mart", "fwm")
-    for name, df in {**build_marts(t, ind, fwm), **build_dashboard(t)}.items():
+    rows = {}
+    for name, df in shared_rows(t, ind).items():
+        written[f"mart._rows_{name}"] = write_layer(df, root, "mart", f"_rows_{name}")
+        rows[name] = read_layer(spark, root, "mart", f"_rows_{name}")
+    for name, df in {**build_marts(t, ind, fwm, rows), **build_dashboard(t)}.items():
         if name not in ("Industry", "fwm"):
             written[f"mart.{name}"] = write_layer(df, root, "mart", name)
     table_1 = read_layer(spark, root, "mart", "Table_1")

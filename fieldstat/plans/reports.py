@@ -82,28 +82,39 @@ def establishments_by_industry_year(t: Tables, ind: DataFrame, sort: bool = True
     return out.orderBy("Industry") if sort else out
 
 
-def size_by_industry(t: Tables, ind: DataFrame, years: Iterable[str] = REPORT_YEARS,
-                     sort: bool = True) -> DataFrame:
-    """R7 ``Table_2``: one row per establishment (``GROUP BY Industry.id,
-    ref_yearDetails.id``, equal by the join), kept if *that row's* year is one
-    of ``years`` (A5), sorted by ``Paid_Emp_Formal`` with missing first."""
-    r = _roster_years(t, ["tot_paid_emp"])
-    r = representative_rows(r, "id", ["Reference_Year", "tot_paid_emp"])
+def size_sales_rows(t: Tables, ind: DataFrame, years: Iterable[str] = REPORT_YEARS) -> DataFrame:
+    """The rows Tables 2 and 5 show: one per establishment, kept if *that
+    row's* year is one of ``years`` (A5).  The row is first by year label,
+    IndustryType, Industry, paid employees, informal paid employees, sales.
+    Table 2 leaves out sales, the last tie-break, so it is a projection of
+    these rows, and both tables can share one pass over the roster."""
+    r = _roster_years(t, ["tot_paid_emp", "sales_goods_services"])
+    r = representative_rows(r, "id", ["Reference_Year", "tot_paid_emp", "sales_goods_services"])
     i = representative_rows(ind.select("id", "Industry", "IndustryType"), "id",
                             ["IndustryType", "Industry"])
     j = r.join(i, "id").join(t["main"].select("id", "infor_paidEmp"), "id")
-    out = (j.where(F.col("Reference_Year").isin(list(years)))
-           .select("Industry", "Reference_Year", F.col("IndustryType").alias("Sector"),
-                   F.col("tot_paid_emp").alias("Paid_Emp_Formal"),
-                   F.col("infor_paidEmp").alias("Paid_Emp_Informal")))
+    return (j.where(F.col("Reference_Year").isin(list(years)))
+            .select("Industry", "Reference_Year", "IndustryType", "tot_paid_emp",
+                    "infor_paidEmp", "sales_goods_services"))
+
+
+def size_by_industry(t: Tables, ind: DataFrame, years: Iterable[str] = REPORT_YEARS,
+                     sort: bool = True, rows: DataFrame | None = None) -> DataFrame:
+    """R7 ``Table_2``: one row per establishment (``GROUP BY Industry.id,
+    ref_yearDetails.id``, equal by the join), kept if *that row's* year is one
+    of ``years`` (A5), sorted by ``Paid_Emp_Formal`` with missing first.
+    ``rows`` may pass ``size_sales_rows`` computed once for Tables 2 and 5."""
+    rows = rows if rows is not None else size_sales_rows(t, ind, years)
+    out = rows.select("Industry", "Reference_Year", F.col("IndustryType").alias("Sector"),
+                      F.col("tot_paid_emp").alias("Paid_Emp_Formal"),
+                      F.col("infor_paidEmp").alias("Paid_Emp_Informal"))
     return out.orderBy(F.col("Paid_Emp_Formal").asc_nulls_first()) if sort else out
 
 
-def legal_status_in_year(t: Tables, ind: DataFrame, year: str) -> DataFrame:
-    """R8/R9 ``Table_3``/``Table_4``: one row per (establishment, legal
-    status), kept if that row's year is ``year`` (A5).  The row is the one
-    with the earliest year label, so an establishment reporting several
-    years lands in the table of its first year only, as in the reference."""
+def legal_status_rows(t: Tables, ind: DataFrame) -> DataFrame:
+    """One row per (establishment, legal status), the one with the earliest
+    year label (then IndustryType, Industry, Legal_Status): the rows Tables 3
+    and 4 test, so both can share one pass over the roster."""
     first_year = (_roster_years(t, []).groupBy("id")
                   .agg(F.min("Reference_Year").alias("Reference_Year")))
     m = t["main"].select("id", F.col("legal_status").alias("legal_status_code"))
@@ -112,22 +123,27 @@ def legal_status_in_year(t: Tables, ind: DataFrame, year: str) -> DataFrame:
     j = first_year.join(ind.select("id", "Industry", "IndustryType"), "id").join(m, "id")
     rep = representative_rows(j, ["id", "legal_status_code"],
                               ["Reference_Year", "IndustryType", "Industry", "Legal_Status"])
-    return (rep.where(F.col("Reference_Year") == F.lit(year))
-            .select("Industry", "IndustryType", "Reference_Year", "Legal_Status"))
+    return rep.select("Industry", "IndustryType", "Reference_Year", "Legal_Status")
 
 
-def sales_by_industry(t: Tables, ind: DataFrame, years: Iterable[str] = REPORT_YEARS) -> DataFrame:
+def legal_status_in_year(t: Tables, ind: DataFrame, year: str,
+                         rows: DataFrame | None = None) -> DataFrame:
+    """R8/R9 ``Table_3``/``Table_4``: one row per (establishment, legal
+    status), kept if that row's year is ``year`` (A5).  The row is the one
+    with the earliest year label, so an establishment reporting several
+    years lands in the table of its first year only, as in the reference."""
+    rows = rows if rows is not None else legal_status_rows(t, ind)
+    return rows.where(F.col("Reference_Year") == F.lit(year))
+
+
+def sales_by_industry(t: Tables, ind: DataFrame, years: Iterable[str] = REPORT_YEARS,
+                      rows: DataFrame | None = None) -> DataFrame:
     """R10 ``Table_5``: as Table_2 plus ``Total_Sales``, unsorted."""
-    r = _roster_years(t, ["tot_paid_emp", "sales_goods_services"])
-    r = representative_rows(r, "id", ["Reference_Year", "tot_paid_emp", "sales_goods_services"])
-    i = representative_rows(ind.select("id", "Industry", "IndustryType"), "id",
-                            ["IndustryType", "Industry"])
-    j = r.join(i, "id").join(t["main"].select("id", "infor_paidEmp"), "id")
-    return (j.where(F.col("Reference_Year").isin(list(years)))
-            .select("Reference_Year", "Industry", "IndustryType",
-                    F.col("tot_paid_emp").alias("Paid_Emp_Formal"),
-                    F.col("infor_paidEmp").alias("Paid_Emp_Informal"),
-                    F.col("sales_goods_services").alias("Total_Sales")))
+    rows = rows if rows is not None else size_sales_rows(t, ind, years)
+    return rows.select("Reference_Year", "Industry", "IndustryType",
+                       F.col("tot_paid_emp").alias("Paid_Emp_Formal"),
+                       F.col("infor_paidEmp").alias("Paid_Emp_Informal"),
+                       F.col("sales_goods_services").alias("Total_Sales"))
 
 
 # Table_6/7 measure columns and their published names, in order.
@@ -164,19 +180,36 @@ def _per_year_rows(t: Tables, ind: DataFrame, measures: list[str], only=None,
     return r.join(i, "id")
 
 
-def employees_in_year(t: Tables, ind: DataFrame, year: str) -> DataFrame:
+def employee_rows(t: Tables, ind: DataFrame, years: Iterable[str] = REPORT_YEARS) -> DataFrame:
+    """Rows of Tables 6 and 7 for all their ``years`` at once (one roster pass
+    for both); each table keeps its year."""
+    return _per_year_rows(t, ind, list(EMPLOYEE_MEASURES), only=list(years))
+
+
+def employees_in_year(t: Tables, ind: DataFrame, year: str,
+                      rows: DataFrame | None = None) -> DataFrame:
     """R11/R12 ``Table_6``/``Table_7``: per (establishment, year code) of
     ``year``.  The tested label is fixed by the group's year code (A6), so the
-    year list is filtered before the join and the roster is pruned early."""
-    j = _per_year_rows(t, ind, list(EMPLOYEE_MEASURES), only=[year])
+    year list is filtered before the join and the roster is pruned early.
+    ``rows`` may pass ``employee_rows`` computed once for both years."""
+    j = (rows.where(F.col("Reference_Year") == F.lit(year)) if rows is not None
+         else _per_year_rows(t, ind, list(EMPLOYEE_MEASURES), only=[year]))
     return j.select("Industry", "IndustryType",
                     *[F.col(c).alias(a) for c, a in EMPLOYEE_MEASURES.items()])
 
 
-def compensation_in_year(t: Tables, ind: DataFrame, year: str) -> DataFrame:
+def compensation_rows(t: Tables, ind: DataFrame, years: Iterable[str] = REPORT_YEARS) -> DataFrame:
+    """Rows of Tables 8 and 9 for all their ``years`` at once."""
+    return _per_year_rows(t, ind, list(COMPENSATION_MEASURES), only=list(years),
+                          require_main=True)
+
+
+def compensation_in_year(t: Tables, ind: DataFrame, year: str,
+                         rows: DataFrame | None = None) -> DataFrame:
     """R13/R14 ``Table_8``/``Table_9``: as R11 with compensation measures;
     ``main`` only has to exist (J5, semi join)."""
-    j = _per_year_rows(t, ind, list(COMPENSATION_MEASURES), only=[year], require_main=True)
+    j = (rows.where(F.col("Reference_Year") == F.lit(year)) if rows is not None
+         else _per_year_rows(t, ind, list(COMPENSATION_MEASURES), only=[year], require_main=True))
     return j.select("Reference_Year", "Industry", "IndustryType", *COMPENSATION_MEASURES)
 
 

@@ -74,3 +74,22 @@ def test_a6_prefilter_equals_having_when_key_fixes_label(spark):
         "Industry", "IndustryType", *[F.col(c).alias(a) for c, a in reports.EMPLOYEE_MEASURES.items()])
     assert sorted(map(tuple, pushed.collect())) == sorted(map(tuple, late.collect()))
     assert pushed.count() > 0
+
+
+def test_shared_rows_give_the_standalone_tables(spark):
+    t = census_tables(spark, SF, measures=True)
+    ind = marts.industry(t)
+    years = ["1996", "1998"]
+    same = lambda a, b: sorted(map(tuple, a.collect()), key=repr) == sorted(map(tuple, b.collect()), key=repr)
+    ss = reports.size_sales_rows(t, ind, years)
+    assert same(reports.size_by_industry(t, ind, years, sort=False),
+                reports.size_by_industry(t, ind, years, sort=False, rows=ss))
+    assert same(reports.sales_by_industry(t, ind, years), reports.sales_by_industry(t, ind, years, rows=ss))
+    ls = reports.legal_status_rows(t, ind)
+    emp = reports.employee_rows(t, ind, years)
+    comp = reports.compensation_rows(t, ind, years)
+    for y in years:
+        assert same(reports.legal_status_in_year(t, ind, y), reports.legal_status_in_year(t, ind, y, rows=ls))
+        assert same(reports.employees_in_year(t, ind, y), reports.employees_in_year(t, ind, y, rows=emp))
+        assert same(reports.compensation_in_year(t, ind, y),
+                    reports.compensation_in_year(t, ind, y, rows=comp))
