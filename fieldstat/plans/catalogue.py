@@ -221,6 +221,18 @@ def q_legal_status_by_year(spark, sf):
     return reports.legal_status_by_year(t, _ind(t), YEAR)
 
 
+def q_size_by_industry_by_year(spark, sf):
+    t = _t(spark, sf)
+    rows = reports.size_sales_rows(t, _ind(t), YEARS, filter_first=True)
+    return reports.size_by_industry(t, _ind(t), YEARS, rows=rows)
+
+
+def q_sales_by_industry_by_year(spark, sf):
+    t = _t(spark, sf)
+    rows = reports.size_sales_rows(t, _ind(t), YEARS, filter_first=True)
+    return reports.sales_by_industry(t, _ind(t), YEARS, rows=rows)
+
+
 def q_size_totals_by_year(spark, sf):
     t = _t(spark, sf)
     return reports.measure_totals_by_year(t, _ind(t), ["tot_paid_emp"], YEARS)
@@ -414,6 +426,8 @@ QUERIES: dict[str, Query] = {
     "skills_all_years": q_skills_all_years,
     "pilot_extract": q_pilot_extract,
     "legal_status_by_year": q_legal_status_by_year,
+    "size_by_industry_by_year": q_size_by_industry_by_year,
+    "sales_by_industry_by_year": q_sales_by_industry_by_year,
     "size_totals_by_year": q_size_totals_by_year,
     "sales_totals_by_year": q_sales_totals_by_year,
     "employee_totals_by_year": q_employee_totals_by_year,

@@ -161,13 +161,16 @@ SQL["establishments_by_industry_year"] = with_standins(
     "main", "ry", "reference_year", "industry") + "," + _T1
 
 
-def _size(extra_cols: str, extra_order: tuple[str, ...], select: str) -> str:
+def _size(extra_cols: str, extra_order: tuple[str, ...], select: str,
+          filter_first: bool = False) -> str:
+    first = f"WHERE y.reference_year_desc IN ({_YEARS_IN})" if filter_first else ""
     return with_standins("main", "ry", "reference_year", "industry") + f""",
 j AS (SELECT i.Industry, y.reference_year_desc AS Reference_Year, i.IndustryType,
              ry.tot_paid_emp, m.infor_paidEmp{extra_cols}, ry.id AS gid
       FROM ry JOIN industry i ON ry.id = i.id
       JOIN main m ON ry.id = m.id
-      JOIN reference_year y ON {_n('ry.ref_yearDetails__id')} = CAST(y.reference_year AS DOUBLE)),
+      JOIN reference_year y ON {_n('ry.ref_yearDetails__id')} = CAST(y.reference_year AS DOUBLE)
+      {first}),
 r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY gid ORDER BY
         {_nf('Reference_Year', 'IndustryType', 'Industry', 'tot_paid_emp', 'infor_paidEmp', *extra_order)}) AS rn
       FROM j)
@@ -184,6 +187,16 @@ SQL["sales_by_industry"] = _size(", ry.sales_goods_services", ("sales_goods_serv
                                  "infor_paidEmp AS Paid_Emp_Informal, "
                                  "sales_goods_services AS Total_Sales")
 
+SQL["size_by_industry_by_year"] = _size("", (), "Industry, Reference_Year, IndustryType AS Sector, "
+                                                "tot_paid_emp AS Paid_Emp_Formal, "
+                                                "infor_paidEmp AS Paid_Emp_Informal", filter_first=True)
+
+SQL["sales_by_industry_by_year"] = _size(", ry.sales_goods_services", ("sales_goods_services",),
+                                         "Reference_Year, Industry, IndustryType, "
+                                         "tot_paid_emp AS Paid_Emp_Formal, "
+                                         "infor_paidEmp AS Paid_Emp_Informal, "
+                                         "sales_goods_services AS Total_Sales", filter_first=True)
+
 SQL["legal_status_in_year"] = with_standins("main", "ry", "reference_year", "industry") + f""",
 j AS (SELECT i.Industry, i.IndustryType, y.reference_year_desc AS Reference_Year,
              ls.r_name AS Legal_Status, i.id AS gid, ls.r_regionkey AS gls

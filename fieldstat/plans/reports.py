@@ -82,13 +82,19 @@ def establishments_by_industry_year(t: Tables, ind: DataFrame, sort: bool = True
     return out.orderBy("Industry") if sort else out
 
 
-def size_sales_rows(t: Tables, ind: DataFrame, years: Iterable[str] = REPORT_YEARS) -> DataFrame:
+def size_sales_rows(t: Tables, ind: DataFrame, years: Iterable[str] = REPORT_YEARS,
+                    filter_first: bool = False) -> DataFrame:
     """The rows Tables 2 and 5 show: one per establishment, kept if *that
     row's* year is one of ``years`` (A5).  The row is first by year label,
     IndustryType, Industry, paid employees, informal paid employees, sales.
     Table 2 leaves out sales, the last tie-break, so it is a projection of
-    these rows, and both tables can share one pass over the roster."""
-    r = _roster_years(t, ["tot_paid_emp", "sales_goods_services"])
+    these rows, and both tables can share one pass over the roster.
+
+    ``filter_first=True`` is the title's version (SURVEY 2.12): the year list
+    is cut to ``years`` before the row is chosen, so every establishment with
+    a row in one of the years appears."""
+    r = _roster_years(t, ["tot_paid_emp", "sales_goods_services"],
+                      only=list(years) if filter_first else None)
     r = representative_rows(r, "id", ["Reference_Year", "tot_paid_emp", "sales_goods_services"])
     i = representative_rows(ind.select("id", "Industry", "IndustryType"), "id",
                             ["IndustryType", "Industry"])
