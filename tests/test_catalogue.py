@@ -36,12 +36,19 @@ def test_every_query_has_an_oracle_or_is_a_source():
     assert missing == set()
 
 
+# Spark type name -> DuckDB type name, for the schema part of the check
+DUCK = {"bigint": "BIGINT", "int": "INTEGER", "smallint": "SMALLINT", "string": "VARCHAR",
+        "double": "DOUBLE", "date": "DATE", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
+
+
 @pytest.mark.parametrize("name", sorted(E.queries()))
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF)
     rows = [tuple(r) for r in df.collect()]
     rel = con.sql(E.oracle_sql()[name])
     assert sorted(df.columns) == sorted(rel.columns)
+    oracle_types = dict(zip(rel.columns, map(str, rel.types)))
+    assert {c: DUCK.get(t, t) for c, t in df.dtypes} == oracle_types
     orows = rel.fetchall()
     assert len(rows) == len(orows)
     assert canon(df.columns, rows) == canon(rel.columns, orows)
