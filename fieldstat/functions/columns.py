@@ -107,3 +107,24 @@ def positive_code(col) -> Column:
     ``0`` as text, which gives the same answer for numeric codes, blanks and
     sentinels but would let a non-numeric code such as ``'x'`` pass.)"""
     return to_col(col).try_cast("double") > 0
+
+
+def label_in(col, values) -> Column:
+    """F2/F3 ``label = '2019' OR label = '2021'`` with SQLite's comparison:
+    a label equals a value when the texts are equal or when both read as the
+    same number (a list label stored as the number 2019.0 matches '2019')."""
+    c = to_col(col)
+    values = [str(v) for v in values]
+    text = c.cast("string").isin(values)
+    nums = [float(v) for v in values if _is_number(v)]
+    if not nums:
+        return text
+    return text | c.cast("string").try_cast("double").isin(nums)
+
+
+def _is_number(v: str) -> bool:
+    try:
+        float(v)
+    except ValueError:
+        return False
+    return True

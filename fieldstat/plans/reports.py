@@ -25,6 +25,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fieldstat.functions.columns import label_in
 from fieldstat.operators.groups import representative_rows
 from fieldstat.operators.joins import exists_join, label_join
 
@@ -38,7 +39,7 @@ def _years(t: Tables, only: Iterable[str] | None = None) -> DataFrame:
     """``reference_year`` list, optionally cut to some labels (A6 pushdown)."""
     ry = t["reference_year"].select("reference_year", "reference_year_desc")
     if only is not None:
-        ry = ry.where(F.col("reference_year_desc").isin(list(only)))
+        ry = ry.where(label_in("reference_year_desc", list(only)))
     return ry
 
 
@@ -99,7 +100,7 @@ def size_sales_rows(t: Tables, ind: DataFrame, years: Iterable[str] = REPORT_YEA
     i = representative_rows(ind.select("id", "Industry", "IndustryType"), "id",
                             ["IndustryType", "Industry"])
     j = r.join(i, "id").join(t["main"].select("id", "infor_paidEmp"), "id")
-    return (j.where(F.col("Reference_Year").isin(list(years)))
+    return (j.where(label_in("Reference_Year", list(years)))
             .select("Industry", "Reference_Year", "IndustryType", "tot_paid_emp",
                     "infor_paidEmp", "sales_goods_services"))
 
@@ -139,7 +140,7 @@ def legal_status_in_year(t: Tables, ind: DataFrame, year: str,
     with the earliest year label, so an establishment reporting several
     years lands in the table of its first year only, as in the reference."""
     rows = rows if rows is not None else legal_status_rows(t, ind)
-    return rows.where(F.col("Reference_Year") == F.lit(year))
+    return rows.where(label_in("Reference_Year", [year]))
 
 
 def sales_by_industry(t: Tables, ind: DataFrame, years: Iterable[str] = REPORT_YEARS,
@@ -198,7 +199,7 @@ def employees_in_year(t: Tables, ind: DataFrame, year: str,
     ``year``.  The tested label is fixed by the group's year code (A6), so the
     year list is filtered before the join and the roster is pruned early.
     ``rows`` may pass ``employee_rows`` computed once for both years."""
-    j = (rows.where(F.col("Reference_Year") == F.lit(year)) if rows is not None
+    j = (rows.where(label_in("Reference_Year", [year])) if rows is not None
          else _per_year_rows(t, ind, list(EMPLOYEE_MEASURES), only=[year]))
     return j.select("Industry", "IndustryType",
                     *[F.col(c).alias(a) for c, a in EMPLOYEE_MEASURES.items()])
@@ -214,7 +215,7 @@ def compensation_in_year(t: Tables, ind: DataFrame, year: str,
                          rows: DataFrame | None = None) -> DataFrame:
     """R13/R14 ``Table_8``/``Table_9``: as R11 with compensation measures;
     ``main`` only has to exist (J5, semi join)."""
-    j = (rows.where(F.col("Reference_Year") == F.lit(year)) if rows is not None
+    j = (rows.where(label_in("Reference_Year", [year])) if rows is not None
          else _per_year_rows(t, ind, list(COMPENSATION_MEASURES), only=[year], require_main=True))
     return j.select("Reference_Year", "Industry", "IndustryType", *COMPENSATION_MEASURES)
 

@@ -67,3 +67,11 @@ def test_positive_code(spark):
     vals = [("1",), ("0",), ("-999999999",), ("",), (None,), ("x",), ("2.5",)]
     out = one(spark, X.positive_code("p"), vals, "p string")
     assert out == [True, False, False, None, None, None, True]
+
+
+def test_label_in_matches_text_or_number(spark):
+    df = spark.createDataFrame([("2019",), ("2019.0",), ("2021",), ("x",), (None,)], "y string")
+    out = [r[0] for r in df.select(X.label_in("y", ["2019", "x"])).collect()]
+    assert out == [True, True, False, True, None]
+    nums = spark.createDataFrame([(2019.0,), (2020.0,)], "y double")
+    assert [r[0] for r in nums.select(X.label_in("y", ["2019"])).collect()] == [True, False]
