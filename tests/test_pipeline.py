@@ -228,3 +228,17 @@ def test_members_parsed_from_staged_lines_with_pruning(run):
     assert df.count() == 3
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(member" in plan
+
+
+def test_command_line_wires_arguments(monkeypatch, spark):
+    seen = {}
+
+    def fake_run(s, archives, codes, root, **kw):
+        seen.update(archives=archives, codes=codes, root=root, **kw)
+        return {"x": "y"}
+
+    monkeypatch.setattr(PL, "run", fake_run)
+    PL.main(["--archives", "A", "--codes", "C", "--root", "R", "--csv", "O", "--id-buckets", "16",
+             "--code-format", "parquet"])
+    assert seen == {"archives": "A", "codes": "C", "root": "R", "csv_path": "O",
+                    "code_format": "parquet", "id_buckets": 16}
