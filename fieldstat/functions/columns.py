@@ -30,10 +30,17 @@ def paste(*cols, sep: str = " ") -> Column:
     return F.concat_ws(sep, *parts)
 
 
+# Day numbers of 0001-01-01 and 9999-12-31: the dates both Spark and R print.
+_MIN_DAY, _MAX_DAY = -719162, 2932896
+
+
 def epoch_day(col) -> Column:
-    """X2 ``as.Date(number)``: day number since 1970-01-01, fraction dropped."""
+    """X2 ``as.Date(number)``: day number since 1970-01-01, fraction dropped.
+    NaN, infinities and days outside years 1-9999 give a missing date (a
+    plain cast would throw in ANSI mode, and Spark's ``floor`` maps NaN to 0)."""
     d = to_col(col).try_cast("double")
-    return F.date_from_unix_date(F.floor(d).cast("int"))
+    ok = (d >= _MIN_DAY) & (d < _MAX_DAY + 1)  # false for NaN and infinities
+    return F.date_from_unix_date(F.when(ok, F.floor(d).cast("int")))
 
 
 def as_integer(col) -> Column:

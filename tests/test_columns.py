@@ -16,8 +16,10 @@ def test_paste_prints_missing_as_na(spark):
 
 
 def test_epoch_day_drops_fraction(spark):
-    out = one(spark, X.epoch_day("n"), [(0.0,), (19193.9,), (-1.5,), (None,)], "n double")
-    assert out == [dt.date(1970, 1, 1), dt.date(2022, 7, 20), dt.date(1969, 12, 30), None]
+    out = one(spark, X.epoch_day("n"), [(0.0,), (19193.9,), (-1.5,), (None,), (float("nan"),),
+                                        (1e12,), (float("inf"),)], "n double")
+    assert out == [dt.date(1970, 1, 1), dt.date(2022, 7, 20), dt.date(1969, 12, 30), None,
+                   None, None, None]
 
 
 def test_as_integer_edges(spark):
