@@ -13,10 +13,14 @@ from pyspark.sql import types as T
 
 
 def read_delimited(spark: SparkSession, path: str, schema: T.StructType, sep: str = "\t",
-                   null_value: str = "NA", header: bool = True) -> DataFrame:
+                   null_value: str = "NA", header: bool = True,
+                   mode: str = "PERMISSIVE") -> DataFrame:
+    """A field that does not parse as its declared type reads as missing
+    (``PERMISSIVE``, as readr gives NA with a warning); ``mode="FAILFAST"``
+    stops at the first such row instead."""
     df = (spark.read.schema(schema)
           .option("sep", sep).option("header", header).option("enforceSchema", not header)
-          .option("nullValue", null_value).option("mode", "FAILFAST")
+          .option("nullValue", null_value).option("mode", mode)
           .csv(path))
     return df.withColumns({f.name: F.when(F.col(f"`{f.name}`") != "", F.col(f"`{f.name}`"))
                            for f in schema.fields if isinstance(f.dataType, T.StringType)})

@@ -128,3 +128,12 @@ def test_large_archives_are_opened_by_path(spark, scratch):
     assert sorted(r.interview__key for r in df.collect()) == ["01-01", "01-02", "01-03", "02-01"]
     plan = lines._jdf.queryExecution().optimizedPlan().toString()
     assert "length" in plan
+
+
+def test_read_delimited_bad_value_is_missing(spark, scratch):
+    path = os.path.join(scratch, "main.tab")
+    with open(path, "w") as fh:
+        fh.write("interview__key\tprovince\tname\n01-01\tnot-a-number\tShop A\n01-02\t2\tShop B\n")
+    rows = {r.interview__key: r for r in read_delimited(spark, path, SCHEMA).collect()}
+    assert rows["01-01"].province is None and rows["01-01"].name == "Shop A"
+    assert rows["01-02"].province == 2.0
