@@ -98,19 +98,20 @@ def label_join(df: DataFrame, codes: DataFrame, left_key: str, code_col: str,
         labels = [labels]
     if not isinstance(labels, dict):
         labels = {c: c for c in labels}
-    small = codes.select(code_col, *labels.keys())
-    small = small.select(*[F.col(c).alias(f"__code_{i}") for i, c in enumerate(small.columns)])
-    renamed = dict(zip([code_col, *labels.keys()], small.columns))
+    # list columns get positional names, so the code column may also be
+    # asked for as a label and nothing clashes with the fact side
+    src_cols = [code_col, *labels.keys()]
+    small = codes.select(*[F.col(f"`{c}`").alias(f"__code_{i}") for i, c in enumerate(src_cols)])
     if check_size:
         small = bounded_broadcast(small)
-    lk, rk = code_key(df, left_key, small, renamed[code_col])
+    lk, rk = code_key(df, left_key, small, "__code_0")
     joined = df.join(small, lk == rk, how)
     # Spark resolves names case-insensitively: a label named like an input
     # column (code ``area_council``, label ``Area_Council``) replaces it.
     taken = {dst.lower() for dst in labels.values()}
     keep = [F.col(f"`{c}`") for c in df.columns if c.lower() not in taken]
-    return joined.select(*keep,
-                         *[F.col(renamed[src]).alias(dst) for src, dst in labels.items()])
+    return joined.select(*keep, *[F.col(f"__code_{i + 1}").alias(dst)
+                                  for i, dst in enumerate(labels.values())])
 
 
 def unmatched_codes(df: DataFrame, codes: DataFrame, left_key: str, code_col: str) -> DataFrame:

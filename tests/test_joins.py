@@ -89,3 +89,10 @@ def test_merge_matches_mixed_type_keys_as_text(spark):
     y = spark.createDataFrame([(1.0, "One"), (2.5, "Two and a half")], "k double, label string")
     out = J.merge_frames(x, y, "k")
     assert [tuple(r) for r in out.collect()] == [("1", 5, "One"), ("2.5", 7, "Two and a half")]
+
+
+def test_label_join_can_return_the_list_code(spark):
+    out = J.label_join(facts(spark), codes(spark), "area_council", "area_council",
+                       {"area_council": "matched_code", "area_council_desc": "label"}, how="left")
+    rows = {r.id: (r.matched_code, r.label) for r in out.collect()}
+    assert rows["a"] == (1.0, "One") and rows["e"] == (None, None)
