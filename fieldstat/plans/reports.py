@@ -273,16 +273,19 @@ def measure_totals_by_year(t: Tables, ind: DataFrame, measures: Iterable[str],
     measure over every roster row of the year (year filtered first, no row
     choice).  An establishment with both sector codes counts in both.
 
-    Two aggregation levels instead of ``countDistinct`` next to sums (which
-    Spark plans by expanding every row): first per (keys, id) — no exchange,
-    the join already partitions by id — then per keys, counting the ids and
-    adding the partial sums, combined map-side.  A hot industry is spread
-    by id until the last, small exchange.
+    Aggregation runs in levels instead of ``countDistinct`` next to sums
+    (which Spark plans by expanding every row).  The roster is first summed
+    per (id, year), which shrinks it before the join.  Then per (keys, id),
+    which needs no exchange after the join on id and keeps the count of
+    establishments exact.  Then per keys, counting ids and adding the
+    partial sums map-side.  A hot industry is spread by id until the last,
+    small exchange.
     """
     measures = list(measures)
     keys = ["Industry", "IndustryType", "Reference_Year"]
     r = _roster_years(t, measures, only=list(years))
-    j = r.join(ind.select("id", "Industry", "IndustryType"), "id")
+    per_year = r.groupBy("id", "Reference_Year").agg(*[F.sum(c).alias(c) for c in measures])
+    j = per_year.join(ind.select("id", "Industry", "IndustryType"), "id")
     per_id = j.groupBy(*keys, "id").agg(*[F.sum(c).alias(c) for c in measures])
     return (per_id.groupBy(*keys)
             .agg(F.count(F.lit(1)).alias("Number_Of_Establishments"),
