@@ -261,6 +261,18 @@ def run(spark: SparkSession, archive_dir: str, codes_dir: str, root: str,
     return written
 
 
+def dashboard(spark: SparkSession, codes_dir: str, root: str,
+              code_format: str = "csv") -> dict[str, str]:
+    """Entry point 3 on its own: the three chart datasets from the clean
+    layer of an earlier run (no re-landing, unlike the reference's
+    dashboard, which reloads and re-stores the raw export)."""
+    t: dict[str, DataFrame] = {name: read_layer(spark, root, "clean", name)
+                               for name in ("main", "errors", "interview_actions")}
+    t.update(load_code_lists(spark, codes_dir, ["province"], fmt=code_format))
+    return {f"mart.{name}": write_layer(df, root, "mart", name)
+            for name, df in build_dashboard(t).items()}
+
+
 def main(argv: list[str] | None = None) -> None:
     """``python -m fieldstat.plans.pipeline --archives DIR --codes DIR --root DIR``.
 
@@ -271,16 +283,23 @@ def main(argv: list[str] | None = None) -> None:
     import json
 
     p = argparse.ArgumentParser(description="Census batch run: land, clean, marts, reports, CSV.")
-    p.add_argument("--archives", required=True, help="folder with the zip exports")
+    p.add_argument("--archives", help="folder with the zip exports (not for --dashboard-only)")
     p.add_argument("--codes", required=True, help="folder with one file per code list")
     p.add_argument("--root", required=True, help="shared warehouse folder for the layers")
     p.add_argument("--csv", help="folder for the fieldwork CSV export")
     p.add_argument("--code-format", default="csv", help="code list file format (csv, parquet)")
     p.add_argument("--id-buckets", type=int, help="bucket the clean layer on id")
+    p.add_argument("--dashboard-only", action="store_true",
+                   help="only the chart datasets, from the clean layer of an earlier run")
     a = p.parse_args(argv)
+    if not a.dashboard_only and not a.archives:
+        p.error("--archives is required unless --dashboard-only is given")
     spark = SparkSession.builder.appName("fieldstat-census").getOrCreate()
-    written = run(spark, a.archives, a.codes, a.root, csv_path=a.csv,
-                  code_format=a.code_format, id_buckets=a.id_buckets)
+    if a.dashboard_only:
+        written = dashboard(spark, a.codes, a.root, code_format=a.code_format)
+    else:
+        written = run(spark, a.archives, a.codes, a.root, csv_path=a.csv,
+                      code_format=a.code_format, id_buckets=a.id_buckets)
     print(json.dumps(written, indent=2))
 
 

@@ -242,3 +242,14 @@ def test_command_line_wires_arguments(monkeypatch, spark):
              "--code-format", "parquet"])
     assert seen == {"archives": "A", "codes": "C", "root": "R", "csv_path": "O",
                     "code_format": "parquet", "id_buckets": 16}
+
+
+def test_dashboard_alone_from_the_clean_layer(run, tmp_path_factory):
+    spark, root, _ = run
+    codes = tmp_path_factory.mktemp("dash_codes")
+    (codes / "province.csv").write_text("province,province_desc\n1,North\n2,South\n")
+    written = PL.dashboard(spark, str(codes), root)
+    assert set(written) == {"mart.chart_errors_by_originator", "mart.chart_errors_by_variable",
+                            "mart.chart_interviews_per_province"}
+    chart = {r.originator: r.totError for r in mart(run, "chart_errors_by_originator").collect()}
+    assert chart == {"int1": 3, "int2": 2, "int9": 1}
