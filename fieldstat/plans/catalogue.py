@@ -25,7 +25,8 @@ from fieldstat.operators import reshape as P
 from fieldstat.plans import marts, quality, reports
 from fieldstat.plans.standins import census_tables, read_tables
 from fieldstat.session import checkpoint_root
-from fieldstat.sinks.quoted_csv import csv_document
+from fieldstat.sinks.quoted_csv import csv_document, quoted_csv_lines
+from fieldstat.sources.delimited import read_delimited
 from fieldstat.sources.archive import explode_archives, read_member
 from fieldstat.sources.codelists import load_code_lists
 from fieldstat.sources.extract import extract_status
@@ -398,6 +399,26 @@ def q_code_list_catalog(spark, sf):
                                                   F.col("province_desc").alias("label"))))
 
 
+def q_delimited_round_trip(spark, sf):
+    """``customer`` is written as a tab-delimited export with a header and
+    ``NA`` for missing values (in the shared folder), then read back with its
+    declared schema."""
+    c = _src(spark, sf, "customer")["customer"]
+    path = f"{checkpoint_root(spark).rstrip('/')}/tab-export-{uuid.uuid4().hex}"
+    (c.select("c_custkey", "c_name", F.nullif("c_nationkey", F.lit(0)).alias("c_nationkey"),
+              "c_acctbal", "c_mktsegment")
+     .write.option("sep", "\t").option("header", True).option("nullValue", "NA").csv(path))
+    return read_delimited(spark, path, CUSTOMER_SCHEMA)
+
+
+def q_orders_csv_lines(spark, sf):
+    """K3 on a numeric table: R ``write.csv`` lines of ``orders`` (text
+    quoted, numbers and date-times bare, R's number text)."""
+    o = _src(spark, sf, "orders")["orders"]
+    return quoted_csv_lines(o.select("o_orderkey", "o_orderstatus", "o_totalprice",
+                                     "o_orderdate", "o_orderpriority"))
+
+
 QUERIES: dict[str, Query] = {
     "label_join": q_label_join,
     "mixed_type_label_join": q_mixed_type_label_join,
@@ -445,5 +466,7 @@ QUERIES: dict[str, Query] = {
     "rename_first_drop_range": q_rename_first_drop_range,
     "status_extract": q_status_extract,
     "zip_members": q_zip_members,
+    "delimited_round_trip": q_delimited_round_trip,
+    "orders_csv_lines": q_orders_csv_lines,
     "code_list_catalog": q_code_list_catalog,
 }

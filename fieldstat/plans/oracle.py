@@ -377,3 +377,14 @@ SQL["sales_totals_by_year"] = _totals("ry", ["sales_goods_services"])
 SQL["employee_totals_by_year"] = _totals("ry_measures", [c for c, _ in _EMP])
 SQL["skill_totals_by_year"] = _totals(
     "ry_measures", ["local_emp", "foreign_emp", "employee_comp", *SKILL_COLUMNS])
+
+SQL["delimited_round_trip"] = """
+SELECT c_custkey, c_name, NULLIF(c_nationkey, 0) AS c_nationkey, c_acctbal, c_mktsegment
+FROM customer"""
+
+SQL["orders_csv_lines"] = f"""
+SELECT CAST(o_orderkey AS VARCHAR) || ',' || {_q('o_orderstatus')} || ',' ||
+       COALESCE({_CAT.format(x='o_totalprice')}, 'NA') || ',' ||
+       COALESCE(strftime(o_orderdate, '%Y-%m-%d %H:%M:%S'), 'NA') || ',' ||
+       {_q('o_orderpriority')} AS value
+FROM orders"""
