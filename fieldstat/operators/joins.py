@@ -152,13 +152,13 @@ def merge_frames(x: DataFrame, y: DataFrame, by, suffixes=(".x", ".y"),
     xa, ya = x.alias("__x"), y.alias("__y")
     cond = None
     for k in keys:
-        c = F.col(f"__x.{k}").eqNullSafe(F.col(f"__y.{k}"))
+        c = F.col(f"__x.`{k}`").eqNullSafe(F.col(f"__y.`{k}`"))
         cond = c if cond is None else cond & c
     joined = xa.join(ya, cond, "inner")
     x_rest = [c for c in x.columns if c not in keys]
     y_rest = [c for c in y.columns if c not in keys]
     clash = set(x_rest) & set(y_rest)
-    cols = [F.coalesce(F.col(f"__x.{k}"), F.col(f"__y.{k}")).alias(k) for k in keys]
+    cols = [F.coalesce(F.col(f"__x.`{k}`"), F.col(f"__y.`{k}`")).alias(k) for k in keys]
     cols += [F.col(f"__x.`{c}`").alias(c + suffixes[0] if c in clash else c) for c in x_rest]
     cols += [F.col(f"__y.`{c}`").alias(c + suffixes[1] if c in clash else c) for c in y_rest]
     out = joined.select(*cols)

@@ -96,3 +96,9 @@ def test_label_join_can_return_the_list_code(spark):
                        {"area_council": "matched_code", "area_council_desc": "label"}, how="left")
     rows = {r.id: (r.matched_code, r.label) for r in out.collect()}
     assert rows["a"] == (1.0, "One") and rows["e"] == (None, None)
+
+
+def test_merge_key_with_a_dot(spark):
+    x = spark.createDataFrame([(1, "a")], "`k.1` int, v string")
+    y = spark.createDataFrame([(1, "b")], "`k.1` int, w string")
+    assert [tuple(r) for r in J.merge_frames(x, y, "k.1").collect()] == [(1, "a", "b")]
