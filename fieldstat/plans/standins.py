@@ -134,6 +134,10 @@ def census_tables(spark: SparkSession, sf_dir: str, measures: bool = False) -> d
 
 def _build_census_tables(spark: SparkSession, sf_dir: str, measures: bool) -> dict[str, DataFrame]:
     src = read_tables(spark, sf_dir)
+    # the roster and the paradata log feed row choices and joins: spread
+    # their scans when a file is one unsplittable row group (no-op otherwise)
+    src["orders"] = spread_small_scan(src["orders"])
+    src["events"] = spread_small_scan(src["events"])
     o, e = src["orders"], src["events"]
     lists = checked_broadcast({"nation": src["nation"], "region": src["region"]})
     derived = checked_broadcast({
