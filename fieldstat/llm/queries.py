@@ -88,7 +88,7 @@ SQL = {
         FROM r""",
     "op2_substring_dedup": r"""
         WITH d AS (
-            SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') AS words
+            SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
             FROM documents
         ), p AS (
             SELECT doc_id, words, unnest(range(1, len(words) - 11)) AS i FROM d
@@ -104,7 +104,7 @@ SQL = {
             SELECT d.doc_id, words, coalesce(gone, []) AS gone FROM d LEFT JOIN g USING (doc_id)
         ), k AS (
             SELECT e.doc_id, len(words) AS n_words, len(gone) AS n_removed,
-                   array_to_string(list_filter(words, (x, i) -> NOT list_contains(gone, i)), ' ') AS kept
+                   array_to_string(list_filter(words, lambda x, i: NOT list_contains(gone, i)), ' ') AS kept
             FROM e
         )
         SELECT doc_id, n_words::BIGINT AS n_words, n_removed::BIGINT AS n_removed, sha256(kept) AS kept_sha256 FROM k""",
