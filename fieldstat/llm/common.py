@@ -58,13 +58,17 @@ def attach(rows: DataFrame, table: DataFrame, keys: list[str], size: str, total:
 
 def slices(batches: Iterator[pa.RecordBatch], column: str = "body",
            budget: int = 8 << 20) -> Iterator[pa.RecordBatch]:
-    """Arrow batches cut into slices of about ``budget`` bytes of ``column``,
-    so that what a task holds does not depend on how long the texts are."""
+    """Arrow batches cut into slices of about ``budget`` bytes of ``column``, so
+    that what a task holds does not depend on how long the texts are.  A number
+    column gives the bytes itself."""
     for batch in batches:
-        at, n = 0, batch.num_rows
+        at, n, sizes = 0, batch.num_rows, batch.column(column)
         if n == 0:
             continue
-        lengths = [len(x) if x is not None else 0 for x in map(_buffer, batch.column(column))]
+        if pa.types.is_integer(sizes.type):
+            lengths = sizes.to_pylist()
+        else:
+            lengths = [len(x) if x is not None else 0 for x in map(_buffer, sizes)]
         while at < n:
             stop, held = at, 0
             while stop < n and (stop == at or held + lengths[stop] <= budget):

@@ -52,6 +52,8 @@ ANCHOR = 5
 SHARD = 1 << 16
 #: Distinct runs of one anchor that stay in one shard.
 RUNS = 2000
+#: Anchors (8 bytes each) beyond ``RUNS`` that may be broadcast; more are joined by a shuffle.
+BROADCAST_ANCHORS = 1_000_000
 #: Bytes of text whose anchors are sent as one message round.
 ROUND = 12 << 20
 _LAST = (1 << 63) - 1
@@ -195,14 +197,32 @@ def repeated_places(docs: DataFrame, window: int, anchor: int) -> DataFrame:
         _answer, "key long, anchors array<long>, starts array<int>, lengths array<int>")
 
 
+def _squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Bodies compressed before they are shuffled."""
+    codec = pa.Codec("zstd", compression_level=1)
+    for part in slices(batches):
+        bodies = part.column("body").to_pylist()
+        packed = [codec.compress(b, asbytes=True) for b in bodies]
+        yield pa.RecordBatch.from_arrays(
+            [part.column("key"), part.column("doc_id"), pa.array(map(len, bodies), pa.int64()), pa.array(packed, pa.binary())],
+            ["key", "doc_id", "size", "packed"])
+
+
+def _bodies(part: pa.RecordBatch) -> list[bytes]:
+    codec = pa.Codec("zstd")
+    return [codec.decompress(p, n, asbytes=True) if n else b"" for p, n in zip(
+        part.column("packed").to_pylist(), part.column("size").to_pylist())]
+
+
 def _cut(window: int, with_text: bool):
     """Runs of documents at their places."""
     names = ["key", "doc_id", "anchor", "run", "start", "n"] + ["words"] * with_text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches):
+        for part in slices(batches, "size"):
             out: list[tuple] = []
-            for key, doc_id, body, places in zip(*(part.column(c).to_pylist() for c in ("key", "doc_id", "body", "places"))):
+            columns = (part.column(c).to_pylist() for c in ("key", "doc_id", "places"))
+            for body, key, doc_id, places in zip(_bodies(part), *columns):
                 words = body.split()
                 for place in places:
                     for anchor, start, n in zip(place["anchors"], place["starts"], place["lengths"]):
@@ -355,9 +375,9 @@ def _keep(window: int):
     names = ["doc_id", "n_words", "n_removed", "kept"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches):
+        for part in slices(batches, "size"):
             out = []
-            for doc_id, body, spans in zip(*(part.column(c).to_pylist() for c in ("doc_id", "body", "spans"))):
+            for body, doc_id, spans in zip(_bodies(part), *(part.column(c).to_pylist() for c in ("doc_id", "spans"))):
                 words = body.split()
                 kept, at, removed = [], 0, 0
                 for start, stop in sorted((s["start"], s["stop"]) for s in spans or ()):
@@ -389,20 +409,21 @@ def remove_repeats(docs: DataFrame, window: int = 13, anchor: int = ANCHOR) -> D
     rows = rows.withColumn("key", F.xxhash64("doc_id", "body"))
     places = stored(repeated_places(rows, window, anchor), "places")
     grouped = places.groupBy("key").agg(F.collect_set(F.struct("anchors", "starts", "lengths")).alias("places"))
-    found = rows.join(grouped, "key").select("key", "doc_id", "body", "places")
+    texts = rows.mapInArrow(_squeeze, "key long, doc_id long, size long, packed binary")
+    found = texts.join(grouped, "key").select("key", "doc_id", "size", "packed", "places")
     schema = "key long, doc_id long, anchor long, run long, start int, n int"
     runs = found.mapInArrow(_cut(window, True), schema + ", words binary")
     refs = stored(runs.groupBy("anchor", "run", "words").agg(F.min("doc_id").alias("first")), "runs")
-    large = refs.groupBy("anchor").count().filter(F.col("count") > RUNS).select("anchor", F.lit(True).alias("large"))
-    marked = refs.join(large, "anchor", "left")
-    shards = marked.filter("large is null").drop("large")
-    shards = shards.repartition(n, "anchor").sortWithinPartitions("anchor", "first")
+    large = stored(refs.groupBy("anchor").count().filter(F.col("count") > RUNS).select("anchor"), "large")
+    if large.count() <= BROADCAST_ANCHORS:
+        large = F.broadcast(large)
+    shards = refs.join(large, "anchor", "left_anti").repartition(n, "anchor").sortWithinPartitions("anchor", "first")
     marks = shards.mapInArrow(_match(window), "anchor long, run long, marks array<int>")
-    marks = marks.unionByName(_single_windows(marked.filter("large").drop("large"), window))
+    marks = stored(marks.unionByName(_single_windows(refs.join(large, "anchor", "left_semi"), window)), "marks")
     firsts = refs.select("anchor", "run", "first").join(marks, ["anchor", "run"], "left")
     again = found.mapInArrow(_cut(window, False), schema)
     spans = _spans(again.join(firsts, ["anchor", "run"]), window)
     spans = spans.groupBy("key").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
-    kept = rows.join(spans, "key", "left").select("doc_id", "body", "spans").mapInArrow(
+    kept = texts.join(spans, "key", "left").select("doc_id", "size", "packed", "spans").mapInArrow(
         _keep(window), "doc_id long, n_words long, n_removed long, kept binary")
     return kept.withColumn("doc_id", F.when(F.col("doc_id") != _LAST, F.col("doc_id")))
