@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from fieldstat.session import checkpoint_root
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
@@ -28,9 +30,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{checkpoint_root(spark)}/llm/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    # Shuffle files of a finished step go when the driver's JVM collects its plan, which may be much later.
-    spark.sparkContext._jvm.System.gc()
+    before = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")  # the step's shuffle files go with its end
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

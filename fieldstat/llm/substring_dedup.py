@@ -217,22 +217,28 @@ def _bodies(part: pa.RecordBatch) -> list[bytes]:
 def _cut(window: int, with_text: bool):
     """Runs of documents at their places."""
     names = ["key", "doc_id", "anchor", "run", "start", "n"] + ["words"] * with_text
+    types = [pa.int64()] * 4 + [pa.int32()] * 2 + [pa.binary()] * with_text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "size"):
-            out: list[tuple] = []
+            key, doc_id, anchor, start, n, texts = ([] for _ in range(6))
             columns = (part.column(c).to_pylist() for c in ("key", "doc_id", "places"))
-            for body, key, doc_id, places in zip(_bodies(part), *columns):
+            for body, k, d, places in zip(_bodies(part), *columns):
                 words = body.split()
+                joined = b" ".join(words)
+                ends = (np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1).tolist()
                 for place in places:
-                    for anchor, start, n in zip(place["anchors"], place["starts"], place["lengths"]):
-                        text = b" ".join(words[start:start + n + window - 1])
-                        row = (key, doc_id, anchor, xxhash.xxh3_64_intdigest(text) - (1 << 63), start, n)
-                        out.append((*row, text) if with_text else row)
-            if out:
-                columns = list(zip(*out))
-                types = [pa.int64()] * 4 + [pa.int32()] * 2 + [pa.binary()] * with_text
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
+                    starts, lengths = place["starts"], place["lengths"]
+                    key += [k] * len(starts)
+                    doc_id += [d] * len(starts)
+                    anchor += place["anchors"]
+                    start += starts
+                    n += lengths
+                    texts += [joined[ends[a - 1] + 1 if a else 0:ends[a + m + window - 2]] for a, m in zip(starts, lengths)]
+            if texts:
+                runs = np.fromiter(map(xxhash.xxh3_64_intdigest, texts), np.uint64, len(texts)).view(np.int64)
+                out = [key, doc_id, anchor, runs, start, n] + [texts] * with_text
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)], names)
 
     return run
 
@@ -301,12 +307,11 @@ class _Automaton:
 
 
 def _match(window: int):
-    """Distinct runs, sorted by (anchor, first doc), to the windows that a smaller document has."""
-    names = ["anchor", "run", "marks"]
+    """Distinct runs, sorted by (anchor, first doc), with the windows that a smaller document has."""
+    names = ["anchor", "run", "first", "marks"]
 
-    def matched(row: dict, automaton: _Automaton) -> list[int]:
+    def matched(words: list[bytes], first: int, automaton: _Automaton) -> list[int]:
         """Offsets of windows seen in a smaller document; spans not seen are added."""
-        words, first = row["words"].split(), row["first"]
         labels = automaton.windows(words, window)
         at = 0
         while at < len(labels):
@@ -318,28 +323,26 @@ def _match(window: int):
             at = stop + 1
         return [i for i, label in enumerate(labels) if label is not None and label < first]
 
-    def emit(out: list[tuple]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.list_(pa.int32())))], names)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton, before, alone, out = _Automaton(), None, True, []
+        automaton, before, alone = _Automaton(), None, True
         for batch in batches:
-            for row in batch.to_pylist():
-                if before is None or row["anchor"] != before["anchor"]:
+            marks = []
+            columns = (batch.column(c).to_pylist() for c in ("anchor", "first", "words"))
+            for row in zip(*columns):
+                found = None
+                if before is None or row[0] != before[0]:
                     alone = True
                     if len(automaton) > 2 * SHARD:
                         automaton = _Automaton()
                 else:
                     if alone:  # an anchor's first run is only added when another one follows
-                        matched(before, automaton)
+                        matched(before[2].split(), before[1], automaton)
                         alone = False
-                    if marks := matched(row, automaton):
-                        out.append((row["anchor"], row["run"], marks))
+                    found = matched(row[2].split(), row[1], automaton) or None
+                marks.append(found)
                 before = row
-            if out:
-                yield emit(out)
-                out = []
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(c) for c in names[:3]] + [pa.array(marks, pa.list_(pa.int32()))], names)
 
     return run
 
@@ -363,12 +366,13 @@ def _windows(window: int):
 
 
 def _single_windows(runs: DataFrame, window: int) -> DataFrame:
-    """Marks of the runs of anchors that stand in very many contexts: window by window, so that no
-    shard grows with them.  Equal windows of a task are merged before the shuffle."""
+    """Like ``_match`` for the runs of anchors that stand in very many contexts: window by window, so that
+    no shard grows with them.  Equal windows of a task are merged before the shuffle."""
     windows = runs.mapInArrow(_windows(window), "anchor long, run long, offset int, first long, words binary")
     least = windows.groupBy("words").agg(F.min("first").alias("least"))
     found = windows.join(least, "words").filter("least < first")
-    return found.groupBy("anchor", "run").agg(F.collect_list("offset").alias("marks"))
+    marks = found.groupBy("anchor", "run").agg(F.collect_list("offset").alias("marks"))
+    return runs.select("anchor", "run", "first").join(marks, ["anchor", "run"], "left")
 
 
 def _keep(window: int):
@@ -418,11 +422,10 @@ def remove_repeats(docs: DataFrame, window: int = 13, anchor: int = ANCHOR) -> D
     if large.count() <= BROADCAST_ANCHORS:
         large = F.broadcast(large)
     shards = refs.join(large, "anchor", "left_anti").repartition(n, "anchor").sortWithinPartitions("anchor", "first")
-    marks = shards.mapInArrow(_match(window), "anchor long, run long, marks array<int>")
-    marks = stored(marks.unionByName(_single_windows(refs.join(large, "anchor", "left_semi"), window)), "marks")
-    firsts = refs.select("anchor", "run", "first").join(marks, ["anchor", "run"], "left")
+    matched = shards.mapInArrow(_match(window), "anchor long, run long, first long, marks array<int>")
+    matched = stored(matched.unionByName(_single_windows(refs.join(large, "anchor", "left_semi"), window)), "matched")
     again = found.mapInArrow(_cut(window, False), schema)
-    spans = _spans(again.join(firsts, ["anchor", "run"]), window)
+    spans = _spans(again.join(matched, ["anchor", "run"]), window)
     spans = spans.groupBy("key").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
     kept = texts.join(spans, "key", "left").select("doc_id", "size", "packed", "spans").mapInArrow(
         _keep(window), "doc_id long, n_words long, n_removed long, kept binary")
