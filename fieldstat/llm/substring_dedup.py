@@ -44,7 +44,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import shuffle_partitions, slices, stored, text_bytes
+from .common import attach, shuffle_partitions, slices, stored, text_bytes
 
 #: Words of an anchor.
 ANCHOR = 5
@@ -369,8 +369,9 @@ def _single_windows(runs: DataFrame, window: int) -> DataFrame:
     """Like ``_match`` for the runs of anchors that stand in very many contexts: window by window, so that
     no shard grows with them.  Equal windows of a task are merged before the shuffle."""
     windows = runs.mapInArrow(_windows(window), "anchor long, run long, offset int, first long, words binary")
-    least = windows.groupBy("words").agg(F.min("first").alias("least"))
-    found = windows.join(least, "words").filter("least < first")
+    windows = stored(windows, "windows")
+    least = windows.groupBy("words").agg(F.min("first").alias("least"), F.count(F.lit(1)).alias("rows"))
+    found = attach(windows, stored(least, "least"), ["words"], "rows", windows.count()).filter("least < first")
     marks = found.groupBy("anchor", "run").agg(F.collect_list("offset").alias("marks"))
     return runs.select("anchor", "run", "first").join(marks, ["anchor", "run"], "left")
 
