@@ -26,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from .common import shuffle_partitions, stored
 
@@ -40,42 +40,49 @@ _FOUND = "query_id long, vec_id long, score double"
 _SLACK = 1e-5
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    from pyspark import TaskContext
+def _blocks(kind: str):
+    """Rows (vec_id, embedding) to blocks; ``kind``: the components as they are kept."""
 
-    number, held = TaskContext.get().partitionId() << 32, {}
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        number, held = TaskContext.get().partitionId() << 32, {}
 
-    def emit(dim: int, ids: list, vectors: list) -> pa.RecordBatch:
-        nonlocal number
-        number += 1
-        row = (dim, number, len(ids), np.array(ids, np.int64).tobytes(), np.stack(vectors).tobytes())
-        types = (pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary())
-        return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types)], [c.split()[0] for c in _BLOCKS.split(", ")])
+        def emit(dim: int, ids: list, vectors: list) -> pa.RecordBatch:
+            nonlocal number
+            number += 1
+            row = (dim, number, len(ids), np.array(ids, np.int64).tobytes(), np.stack(vectors).astype(kind).tobytes())
+            types = (pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary())
+            return pa.RecordBatch.from_arrays(
+                [pa.array([v], t) for v, t in zip(row, types)], [c.split()[0] for c in _BLOCKS.split(", ")])
 
-    for batch in batches:
-        for vec_id, vector in zip(batch.column("vec_id").to_pylist(), batch.column("embedding")):
-            values = vector.values
-            if vec_id is None or not vector.is_valid or values.null_count or not len(values):
-                continue
-            v = values.to_numpy(zero_copy_only=False).astype(np.float64)
-            with np.errstate(over="ignore"):
-                if not np.isfinite(v).all() or not v.any() or not np.isfinite((v * v).sum()):
+        for batch in batches:
+            for vec_id, vector in zip(batch.column("vec_id").to_pylist(), batch.column("embedding")):
+                values = vector.values
+                if vec_id is None or not vector.is_valid or values.null_count or not len(values):
                     continue
-            ids, vectors = held.setdefault(len(v), ([], []))
-            ids.append(vec_id)
-            vectors.append(v)
-            if len(ids) == BLOCK:
-                yield emit(len(v), *held.pop(len(v)))
-    for dim, (ids, vectors) in held.items():
-        yield emit(dim, ids, vectors)
+                v = values.to_numpy(zero_copy_only=False).astype(np.float64)
+                with np.errstate(over="ignore", under="ignore"):
+                    square = (v * v).sum()
+                if not np.isfinite(v).all() or not np.isfinite(square) or square == 0:
+                    continue
+                ids, vectors = held.setdefault(len(v), ([], []))
+                ids.append(vec_id)
+                vectors.append(v)
+                if len(ids) == BLOCK:
+                    yield emit(len(v), *held.pop(len(v)))
+        for dim, (ids, vectors) in held.items():
+            yield emit(dim, ids, vectors)
+
+    return run
 
 
 class _Tile:
     """A block with its int8 form."""
 
-    def __init__(self, row: dict):
+    def __init__(self, row: dict, kind: str):
         self.ids = np.frombuffer(row["ids"], np.int64)
-        self.vectors = np.frombuffer(row["vectors"], np.float64).reshape(row["n"], row["dim"])
+        self.vectors = np.frombuffer(row["vectors"], kind).reshape(row["n"], row["dim"]).astype(np.float64)
         self.norms = np.sqrt((self.vectors * self.vectors).sum(axis=1))
         unit = self.vectors / self.norms[:, None]
         self.scales = np.abs(unit).max(axis=1) / 127
@@ -95,7 +102,7 @@ def _approximate(q: _Tile, c: _Tile) -> tuple[np.ndarray, np.ndarray]:
     return near, off.astype(np.float32)
 
 
-def _search(k: int):
+def _search(k: int, kind: str):
     def offer(heap: list, score: float, vec_id: int) -> None:
         """``heap``: the k best as (score, -id), worst first."""
         item = (score, -vec_id)
@@ -142,7 +149,7 @@ def _search(k: int):
                 if key != cell:
                     yield from emit()
                     cell, queries, heaps = key, [], []
-                block = _Tile(row)
+                block = _Tile(row, kind)
                 if row["kind"] == 0:
                     queries.append(block)
                     heaps.append([[] for _ in range(row["n"])])
@@ -190,16 +197,18 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     (both vec_id, embedding)."""
     spark = vectors.sparkSession
     n = shuffle_partitions(spark)
-    columns = [F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding")]
-    asked = stored(queries.select(columns).mapInArrow(_blocks, _BLOCKS), "queries")
+    single = vectors.schema["embedding"].dataType == queries.schema["embedding"].dataType == T.ArrayType(T.FloatType())
+    kind, array = ("<f4", "array<float>") if single else ("<f8", "array<double>")
+    columns = [F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast(array).alias("embedding")]
+    asked = stored(queries.select(columns).mapInArrow(_blocks(kind), _BLOCKS), "queries")
     groups = max(1, -(-asked.count() // QUERY_BLOCKS))
-    group = F.pmod(F.xxhash64("block"), F.lit(groups)).cast("int")
-    shard = F.pmod(F.xxhash64("block"), F.lit(n)).cast("int")
+    turn = F.shiftright("block", 32) + F.col("block").bitwiseAND(0xFFFFFFFF)  # blocks are dealt in turn
+    group, shard = (F.pmod(turn, F.lit(size)).cast("int") for size in (groups, n))
     every = lambda size: F.explode(F.sequence(F.lit(0), F.lit(size - 1)))
     cells = asked.select("*", F.lit(0).alias("kind"), group.alias("grp"), every(n).alias("shard")).unionByName(
-        vectors.select(columns).mapInArrow(_blocks, _BLOCKS).select(
+        vectors.select(columns).mapInArrow(_blocks(kind), _BLOCKS).select(
             "*", F.lit(1).alias("kind"), every(groups).alias("grp"), shard.alias("shard")))
     key = ["dim", "grp", "shard"]
-    found = cells.repartition(n, *key).sortWithinPartitions(*key, "kind", "block").mapInArrow(_search(k), _FOUND)
+    found = cells.repartition(n, *key).sortWithinPartitions(*key, "kind", "block").mapInArrow(_search(k, kind), _FOUND)
     return found.repartition(n, "query_id").sortWithinPartitions("query_id").mapInArrow(
         _merge(k), "query_id long, rank int, vec_id long, score double")
