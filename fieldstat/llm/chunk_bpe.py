@@ -101,29 +101,39 @@ class ChunkCoder:
         """Ids of the chunks, words that a cut split encoded again; (last word, first word) of the other joins."""
         out: list[bytes] = []
         seams: list[tuple[bytes, bytes]] = []
-        word = ids = b""  # last word so far; not yet in ``out``
+        word, ids = b"", b""  # last word so far, not yet in ``out``; no ids: put together from several chunks
         split = False  # the next chunk may go on with it
         for chunk in chunks:
             n, first, last, first_ids, inner, last_ids = self._entry(chunk)
             if n == 0:
                 split = False
                 continue
-            if word and split and not _SPACE.match(chunk):
-                first = word + first
-                self._learn({first})
-                first_ids = self.words[first]
-            elif word:
-                out.append(ids)
-                seams.append((word, first))
-            if n == 1:
-                word, ids = first, first_ids
-            else:
-                out += (first_ids, inner)
-                word, ids = last, last_ids
+            goes_on = split and not _SPACE.match(chunk)
             split = not _SPACE.match(chunk[-1:])
-        out.append(ids)
+            if goes_on:
+                word, ids = word + first, None
+                if n == 1:
+                    continue
+                out.append(self._single(word))
+            else:
+                if word:
+                    out.append(self._single(word) if ids is None else ids)
+                    seams.append((word, first))
+                if n == 1:
+                    word, ids = first, first_ids
+                    continue
+                out.append(first_ids)
+            out.append(inner)
+            word, ids = last, last_ids
+        out.append(self._single(word) if ids is None else ids)
         return b"".join(out), seams
 
+    def _single(self, word: bytes) -> bytes:
+        """Ids of a word that cuts had split."""
+        if (ids := self.words.get(word)) is None:
+            ids = self._library([word])[0]
+        return ids
+
     def encode(self, bodies: list[bytes]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers."""
         if self.held > KEPT:
@@ -136,8 +146,7 @@ class ChunkCoder:
         joined = [self._join(p) for p in parts]
         seams = list({s for _, ss in joined for s in ss})
         around = self._library([left + b" " + right for left, right in seams])
-        self._learn({w for s in seams for w in s})
-        wrong = {s for s, got in zip(seams, around) if got != self.words[s[0]] + self.words[s[1]]}
+        wrong = {s for s, got in zip(seams, around) if got != self._single(s[0]) + self._single(s[1])}
         return [self._library([body])[0] if wrong and not wrong.isdisjoint(ss) else ids
                 for body, (ids, ss) in zip(bodies, joined)]
 
