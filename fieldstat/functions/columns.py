@@ -20,26 +20,41 @@ from fieldstat._util import to_col
 NA_TEXT = "NA"
 R_INT_NA = -2147483648
 
+# Text that reads as a number: plain decimal digits with an optional exponent.
+# Spark's cast also takes ``1d``, ``1f``, ``NaN`` and ``Infinity``; neither R
+# nor SQLite reads those as a code.
+_PLAIN_NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+
+
+def is_text(col: Column) -> Column:
+    """Whether the column is text; folded to a constant when the plan is made."""
+    return F.typeof(col) == "string"
+
+
+def number(col, kind: str = "double") -> Column:
+    """``col`` as a number of type ``kind``: text only if it is plain decimal
+    text (else missing), numbers as they are."""
+    c = to_col(col)
+    plain = ~is_text(c) | c.cast("string").rlike(_PLAIN_NUMBER)
+    return F.when(plain, c.try_cast(kind))
+
 
 def paste(*cols, sep: str = " ") -> Column:
-    """X1 ``paste(a, b)``: join parts with ``sep``; a missing part prints ``NA``.
+    """X1 ``paste(a, b)``: join parts with ``sep``; a missing part prints ``NA``
+    and a number prints as R prints it (``95``, not ``95.0``).
 
     ``concat`` would give null and bare ``concat_ws`` would drop the part.
     """
-    parts = [F.coalesce(to_col(c).cast("string"), F.lit(NA_TEXT)) for c in cols]
+    parts = [F.coalesce(category_text(c), F.lit(NA_TEXT)) for c in cols]
     return F.concat_ws(sep, *parts)
 
 
-# Day numbers of 0001-01-01 and 9999-12-31: the dates both Spark and R print.
-_MIN_DAY, _MAX_DAY = -719162, 2932896
-
-
 def epoch_day(col) -> Column:
     """X2 ``as.Date(number)``: day number since 1970-01-01, fraction dropped.
-    NaN, infinities and days outside years 1-9999 give a missing date (a
+    NaN, infinities and days beyond a 32-bit day number give a missing date (a
     plain cast would throw in ANSI mode, and Spark's ``floor`` maps NaN to 0)."""
-    d = to_col(col).try_cast("double")
-    ok = (d >= _MIN_DAY) & (d < _MAX_DAY + 1)  # false for NaN and infinities
+    d = number(col)
+    ok = (d >= -2147483648.0) & (d < 2147483648.0)  # false for NaN and infinities
     return F.date_from_unix_date(F.when(ok, F.floor(d).cast("int")))
 
 
@@ -50,7 +65,7 @@ def as_integer(col) -> Column:
     Text goes through double first: ``try_cast('3.7' as int)`` is null in
     Spark while R gives 3.
     """
-    d = to_col(col).try_cast("double")
+    d = number(col)
     # one range test: it also excludes R's NA sentinel (-2^31 after
     # truncation), NaN and infinities.  Kept to a single CASE on purpose: a
     # nested form that re-reads the cast result generated code ten times
@@ -61,17 +76,25 @@ def as_integer(col) -> Column:
 def category_text(col) -> Column:
     """X4 ``as.factor``: the category label R would print for a value.
 
-    Whole numbers print without ``.0``; fractions in fixed notation (the
-    reference asks for no scientific notation); text stays as it is.
+    A double prints 15 significant digits in fixed notation (the reference
+    asks for no scientific notation), whole numbers without a point; every
+    other type, text included, prints as it is.  Beyond 1e38 the notation stays
+    scientific.
     """
     c = to_col(col)
     d = c.try_cast("double")
-    whole = d == F.floor(d)
+    whole = (d == F.floor(d)) & (F.abs(d) < 1e15)
+    # 15 significant digits, rounded from the exact binary value
+    places = F.lit(14) - F.floor(F.log10(F.abs(d))).cast("int")
+    shown = F.replace(F.call_function("format_number", d, F.when(F.abs(d) < 1e15, places)), F.lit(","))
     # trailing zeros, then a bare point, trimmed without a regex per row
-    fixed = F.rtrim(F.rtrim(d.try_cast("decimal(38,15)").cast("string"), F.lit("0")), F.lit("."))
-    as_num = (F.when(whole & (F.abs(d) < 9.2e18), d.cast("bigint").cast("string"))
-              .otherwise(F.coalesce(fixed, d.cast("string"))))
-    return F.when(d.isNull(), c.cast("string")).otherwise(as_num)
+    fixed = F.rtrim(F.rtrim(shown, F.lit("0")), F.lit("."))
+    large = F.format_string("%.14e", d).try_cast("decimal(38,0)").cast("string")
+    text = (F.when(whole, d.cast("bigint").cast("string"))
+            .when(F.abs(d) >= 1e15, F.coalesce(large, d.cast("string")))
+            .otherwise(F.coalesce(fixed, d.cast("string"))))
+    floating = F.typeof(c).isin("double", "float") | F.typeof(c).startswith("decimal")
+    return F.when(floating, text).otherwise(c.cast("string"))
 
 
 def fill_missing(col, value) -> Column:
@@ -92,10 +115,11 @@ def time_of_day_text(col) -> Column:
     return F.regexp_replace(to_col(col).cast("string"), "^[^T]*T", "")
 
 
-def parse_time(col, formats=("yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm:ss",
-                             "MM/dd/yyyy HH:mm:ss", "MM-dd-yyyy HH:mm:ss")) -> Column:
-    """X9 ``mdy_hms`` and the ISO form: first format that parses wins,
-    unparsable text gives null (disabled in the reference)."""
+def parse_time(col, formats=("yyyy-M-d'T'H:m:s", "yyyy-M-d H:m:s", "M/d/yyyy H:m:s", "M-d-yyyy H:m:s",
+                             "M.d.yyyy H:m:s")) -> Column:
+    """X9 ``mdy_hms`` and the ISO form, with or without leading zeros: first
+    format that parses wins, unparsable text gives null (disabled in the
+    reference)."""
     c = to_col(col).cast("string")
     return F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in formats])
 
@@ -114,20 +138,18 @@ def positive_code(col) -> Column:
     sentinels and non-numbers all fail.  (SQLite compares a text column with
     ``0`` as text, which gives the same answer for numeric codes, blanks and
     sentinels but would let a non-numeric code such as ``'x'`` pass.)"""
-    return to_col(col).try_cast("double") > 0
+    return number(col) > 0
 
 
 def label_in(col, values) -> Column:
-    """F2/F3 ``label = '2019' OR label = '2021'`` with SQLite's comparison:
-    a label equals a value when the texts are equal or when both read as the
-    same number (a list label stored as the number 2019.0 matches '2019')."""
+    """F2/F3 ``label = '2019' OR label = '2021'`` with SQLite's comparison: a
+    text label equals a value when the texts are equal, a numeric label when
+    the value reads as the same number (2019.0 matches '2019')."""
     c = to_col(col)
     values = [str(v) for v in values]
-    text = c.cast("string").isin(values)
     nums = [float(v) for v in values if _is_number(v)]
-    if not nums:
-        return text
-    return text | c.cast("string").try_cast("double").isin(nums)
+    text = c.cast("string").isin(values)
+    return F.when(is_text(c), text).otherwise(c.try_cast("double").isin(nums) if nums else F.lit(False))
 
 
 def _is_number(v: str) -> bool:

@@ -72,19 +72,39 @@ def bar_data(df: DataFrame, x, y: str, alias: str | None = None) -> DataFrame:
     return df.groupBy(*as_list(x)).agg(F.sum(y).alias(alias or y))
 
 
-def crosstab_count(df: DataFrame, rows, col: str, values: list | None = None) -> DataFrame:
+#: Columns a pivot may have; more are refused.
+MAX_PIVOT_COLUMNS = 1000
+
+
+def pivot_values(labels: DataFrame, column: str) -> list:
+    """The pivot columns: distinct labels of a code list, sorted.  At most
+    ``MAX_PIVOT_COLUMNS + 1`` rows reach the driver; a longer list is refused."""
+    found = (labels.select(column).where(F.col(f"`{column}`").isNotNull()).distinct()
+             .limit(MAX_PIVOT_COLUMNS + 1).collect())
+    if len(found) > MAX_PIVOT_COLUMNS:
+        raise ValueError(f"more than {MAX_PIVOT_COLUMNS} pivot columns in {column!r}")
+    return sorted(r[0] for r in found)
+
+
+def crosstab_count(df: DataFrame, rows, col: str, values: list | None = None,
+                   weight: str | None = None) -> DataFrame:
     """A9 pivot table, cell = ``n()``: one row per ``rows`` value, one column
     per value of ``col``.  Give ``values`` to avoid the extra distinct job
-    Spark otherwise runs to find the columns.  An empty cell is null."""
+    Spark otherwise runs to find the columns; ``weight`` names a column of
+    counts when ``df`` is already counted.  An empty cell is null."""
     g = df.groupBy(*as_list(rows))
     p = g.pivot(col, values) if values is not None else g.pivot(col)
-    return p.count()
+    return p.agg(F.sum(weight)) if weight else p.count()
 
 
-def crosstab_totals(df: DataFrame, rows: str, col: str, count_alias: str = "n") -> DataFrame:
+def crosstab_totals(df: DataFrame, rows: str, col: str, count_alias: str = "n",
+                    weight: str | None = None) -> DataFrame:
     """A10 pivot-table grand totals (pivottabler's default): counts per cell,
     per row, per column and overall, long form.  ``grouping_id`` tells a
-    total (``1``/``2``/``3``) from a cell whose key is itself missing (``0``)."""
-    return (df.cube(rows, col)
-            .agg(F.count(F.lit(1)).alias(count_alias),
+    total (``1``/``2``/``3``) from a cell whose key is itself missing (``0``).
+    Cells are counted first, so only their counts are expanded into totals;
+    ``weight`` names a column of counts when ``df`` is already counted."""
+    cells = df.groupBy(rows, col).agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("__n"))
+    return (cells.cube(rows, col)
+            .agg(F.sum("__n").alias(count_alias),
                  F.grouping_id(rows, col).alias("total_level")))

@@ -14,8 +14,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fieldstat._util import as_list
+from fieldstat.functions.columns import number
 
 # A code list larger than this (rows, or bytes of its rows as JSON text) is
 # joined by shuffle instead of broadcast.
@@ -65,21 +67,22 @@ def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> Data
     return checked_broadcast({"frame": df}, max_rows)["frame"]
 
 
-def _is_text(df: DataFrame, col: str) -> bool:
-    return dict(df.dtypes)[col] == "string"
+_WHOLE = ("tinyint", "smallint", "int", "bigint")
 
 
 def code_key(df: DataFrame, col: str, other: DataFrame, other_col: str) -> tuple[Column, Column]:
     """Join key expressions with SQLite's comparison rule for codes.
 
-    Codes stored as TEXT are compared numerically with a numeric code list
-    ('3' = 3.0, 'x' matches nothing).  Two text keys compare as text.  Plain
-    ``string = double`` in ANSI mode fails on a dirty code, so both sides go
-    through ``try_cast``.
+    Keys of one kind (two texts, two whole numbers, two doubles) compare
+    directly, so nothing is rounded and bucketing stays usable.  A text key
+    meets a numeric list as a number ('3' = 3.0, 'x' and '1d' match nothing):
+    exactly (decimal) against whole numbers, as a double against doubles.
     """
-    if _is_text(df, col) and _is_text(other, other_col):
+    lt, rt = dict(df.dtypes)[col], dict(other.dtypes)[other_col]
+    if "string" not in (lt, rt) or lt == rt:
         return df[col], other[other_col]
-    return df[col].try_cast("double"), other[other_col].try_cast("double")
+    kind = "decimal(38,18)" if {lt, rt} & set(_WHOLE) else "double"
+    return number(df[col], kind), number(other[other_col], kind)
 
 
 def label_join(df: DataFrame, codes: DataFrame, left_key: str, code_col: str,
@@ -138,8 +141,10 @@ def merge_frames(x: DataFrame, y: DataFrame, by, suffixes=(".x", ".y"),
     sorted by the key (``sort=False`` skips the global sort).  Keys of
     different types are matched as text, like R.
 
-    Null keys are joined with ``<=>`` (an equi-join key for Spark, so still a
-    hash/sort-merge join); AQE's skew handling splits a hot key partition.
+    Keys that are present join by ``=``, which keeps any partitioning or
+    bucketing by the key; rows with a missing key part are joined on their own
+    by ``<=>`` (their filter reaches the scans).  AQE's skew handling splits a
+    hot key partition.
     """
     keys = as_list(by)
     # R matches keys of different types as text (``match`` coerces to
@@ -149,19 +154,24 @@ def merge_frames(x: DataFrame, y: DataFrame, by, suffixes=(".x", ".y"),
     if mixed:
         from fieldstat.operators.reshape import to_category
         x, y = to_category(x, mixed), to_category(y, mixed)
-    xa, ya = x.alias("__x"), y.alias("__y")
-    cond = None
-    for k in keys:
-        c = F.col(f"__x.`{k}`").eqNullSafe(F.col(f"__y.`{k}`"))
-        cond = c if cond is None else cond & c
-    joined = xa.join(ya, cond, "inner")
     x_rest = [c for c in x.columns if c not in keys]
     y_rest = [c for c in y.columns if c not in keys]
     clash = set(x_rest) & set(y_rest)
-    cols = [F.coalesce(F.col(f"__x.`{k}`"), F.col(f"__y.`{k}`")).alias(k) for k in keys]
-    cols += [F.col(f"__x.`{c}`").alias(c + suffixes[0] if c in clash else c) for c in x_rest]
-    cols += [F.col(f"__y.`{c}`").alias(c + suffixes[1] if c in clash else c) for c in y_rest]
-    out = joined.select(*cols)
+
+    def pairs(left: DataFrame, right: DataFrame, same) -> DataFrame:
+        cond = reduce(Column.__and__, [same(F.col(f"__x.`{k}`"), F.col(f"__y.`{k}`")) for k in keys])
+        cols = [F.col(f"__x.`{k}`").alias(k) for k in keys]
+        cols += [F.col(f"__x.`{c}`").alias(c + suffixes[0] if c in clash else c) for c in x_rest]
+        cols += [F.col(f"__y.`{c}`").alias(c + suffixes[1] if c in clash else c) for c in y_rest]
+        return left.alias("__x").join(right.alias("__y"), cond, "inner").select(*cols)
+
+    out = pairs(x, y, Column.__eq__)
+    if any(x.schema[k].nullable and y.schema[k].nullable for k in keys):
+        missing = reduce(Column.__or__, [F.col(f"`{k}`").isNull() for k in keys])
+        out = out.unionByName(pairs(x.where(missing), y.where(missing), Column.eqNullSafe))
     if sort:
-        out = out.orderBy(*[F.col(f"`{k}`").asc_nulls_last() for k in keys])
+        # the other columns only break ties: rows of a key that holds much of
+        # the data can then be sorted by several tasks
+        rest = [f.name for f in out.schema.fields if f.name not in keys and not isinstance(f.dataType, T.MapType)]
+        out = out.orderBy(*[F.col(f"`{c}`").asc_nulls_last() for c in [*keys, *rest]])
     return out

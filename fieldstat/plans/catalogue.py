@@ -28,6 +28,7 @@ from fieldstat.session import checkpoint_root
 from fieldstat.sinks.quoted_csv import csv_document, quoted_csv_lines
 from fieldstat.sources.delimited import read_delimited
 from fieldstat.sources.archive import explode_archives, read_member
+from fieldstat.sinks.layers import read_layer, store_code_lists, write_layer
 from fieldstat.sources.codelists import load_code_lists
 from fieldstat.sources.extract import extract_status
 
@@ -39,8 +40,8 @@ YEARS = ("1996", "1998")
 YEAR = "1996"
 
 
-def _t(spark, sf, measures=False):
-    return census_tables(spark, sf, measures=measures)
+def _t(spark, sf, **wanted):
+    return census_tables(spark, sf, **wanted)
 
 
 def _ind(t):
@@ -51,42 +52,66 @@ def _src(spark, sf, *names):
     return read_tables(spark, sf, names)
 
 
+# Codes as they come in exports: what reads as a number and what does not.
+DIRTY = {0: None, 1: "1d", 2: "1f", 3: "NaN", 4: "007", 5: " 5", 6: "6e0", 7: "x7", 8: "", 9: "Infinity"}
+#: Added to a code, it is beyond what a double holds exactly.
+BIG = 9007199254740993
+
+
 def _dirty_codes(customer: DataFrame) -> DataFrame:
     """Area codes stored as text with the usual faults: whole numbers with a
-    ``.0``, non-numeric text and missing values."""
+    ``.0``, texts that only look like numbers, blanks and missing values."""
     c = F.col("c_nationkey").cast("string")
-    code = (F.when(F.col("c_mktsegment") == "HOUSEHOLD", F.concat(c, F.lit(".0")))
-            .when(F.col("c_mktsegment") == "MACHINERY", F.concat(F.lit("x"), c))
-            .otherwise(F.nullif(F.col("c_nationkey"), F.lit(0)).cast("string")))
-    return customer.select("c_custkey", code.alias("area_code"))
+    code = F.when(F.col("c_mktsegment") == "HOUSEHOLD", F.concat(c, F.lit(".0")))
+    for key, text in DIRTY.items():
+        code = code.when((F.col("c_mktsegment") == "MACHINERY") & (F.col("c_nationkey") == key), F.lit(text))
+    code = code.when(F.col("c_mktsegment") == "BUILDING", (F.col("c_nationkey") + F.lit(BIG)).cast("string"))
+    return customer.select("c_custkey", code.otherwise(c).alias("area_code"))
+
+
+def _big_codes(nation: DataFrame) -> DataFrame:
+    """The list twice: its own codes, and the same ones beyond 2**53."""
+    labels = nation.select(F.col("n_nationkey").cast("bigint").alias("n_nationkey"), "n_name")
+    return labels.unionByName(labels.select((F.col("n_nationkey") + F.lit(BIG)).alias("n_nationkey"),
+                                            F.concat("n_name", F.lit(" (big)")).alias("n_name")))
 
 
-DIRTY_SQL = """dirty AS (
+_DIRTY_CASES = "\n".join(
+    f"              WHEN c_mktsegment = 'MACHINERY' AND c_nationkey = {k} THEN {'NULL' if v is None else repr(v)}"
+    for k, v in DIRTY.items())
+DIRTY_SQL = f"""dirty AS (
   SELECT c_custkey,
          CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN CAST(c_nationkey AS VARCHAR) || '.0'
-              WHEN c_mktsegment = 'MACHINERY' THEN 'x' || CAST(c_nationkey AS VARCHAR)
-              ELSE CAST(NULLIF(c_nationkey, 0) AS VARCHAR) END AS area_code
-  FROM customer)"""
+{_DIRTY_CASES}
+              WHEN c_mktsegment = 'BUILDING' THEN CAST(c_nationkey + {BIG} AS VARCHAR)
+              ELSE CAST(c_nationkey AS VARCHAR) END AS area_code
+  FROM customer),
+big AS (
+  SELECT CAST(n_nationkey AS BIGINT) AS n_nationkey, n_name FROM nation
+  UNION ALL SELECT n_nationkey + {BIG}, n_name || ' (big)' FROM nation),
+coded AS (
+  SELECT *, CASE WHEN regexp_full_match(trim(area_code), '[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?')
+                 THEN CAST(CAST(trim(area_code) AS DECIMAL(38,6)) AS HUGEINT) END AS code FROM dirty)"""
 
 
 # ---------------------------------------------------------------- joins ----
 
 def q_label_join(spark, sf):
     s = _src(spark, sf, "customer", "nation")
-    c = s["customer"].select("c_custkey", "c_name", "c_nationkey")
-    return J.label_join(c, s["nation"], "c_nationkey", "n_nationkey",
-                        {"n_name": "nation_label"}).drop("c_nationkey")
+    c = s["customer"].select("c_custkey", "c_name", F.when(
+        F.col("c_mktsegment") == "BUILDING", F.col("c_nationkey") + F.lit(BIG)).otherwise(F.col("c_nationkey")).alias("code"))
+    return J.label_join(c, _big_codes(s["nation"]), "code", "n_nationkey", {"n_name": "nation_label"}).drop("code")
 
 
 def q_mixed_type_label_join(spark, sf):
     s = _src(spark, sf, "customer", "nation")
-    return J.label_join(_dirty_codes(s["customer"]), s["nation"], "area_code", "n_nationkey",
+    return J.label_join(_dirty_codes(s["customer"]), _big_codes(s["nation"]), "area_code", "n_nationkey",
                         {"n_name": "area_label"})
 
 
 def q_unmatched_codes(spark, sf):
     s = _src(spark, sf, "customer", "nation")
-    return J.unmatched_codes(_dirty_codes(s["customer"]), s["nation"], "area_code", "n_nationkey")
+    return J.unmatched_codes(_dirty_codes(s["customer"]), _big_codes(s["nation"]), "area_code", "n_nationkey")
 
 
 def q_star_labels(spark, sf):
@@ -164,15 +189,19 @@ def q_sector_union(spark, sf):
 
 
 def q_fieldwork_monitor(spark, sf):
-    return marts.fieldwork_monitor(_t(spark, sf))
+    return marts.fieldwork_monitor(_t(spark, sf, enumerators=True))
+
+
+def q_fieldwork_durations(spark, sf):
+    return marts.interview_durations(marts.fieldwork_monitor(_t(spark, sf, enumerators=True)))
 
 
 def q_fieldwork_industry(spark, sf):
-    return marts.fieldwork_industry(_t(spark, sf))
+    return marts.fieldwork_industry(_t(spark, sf, enumerators=True))
 
 
 def q_fieldwork_export_lines(spark, sf):
-    t = _t(spark, sf)
+    t = _t(spark, sf, enumerators=True)
     return csv_document(spark, marts.fieldwork_industry(t), sort_by=["id", "IndustryType"])
 
 
@@ -199,12 +228,12 @@ def q_sales_by_industry(spark, sf):
 
 
 def q_employees_in_year(spark, sf):
-    t = _t(spark, sf, measures=True)
+    t = _t(spark, sf, measures=True, years=[YEAR])
     return reports.employees_in_year(t, _ind(t), YEAR)
 
 
 def q_compensation_in_year(spark, sf):
-    t = _t(spark, sf, measures=True)
+    t = _t(spark, sf, measures=True, years=[YEAR])
     return reports.compensation_in_year(t, _ind(t), YEAR)
 
 
@@ -245,33 +274,33 @@ def q_sales_totals_by_year(spark, sf):
 
 
 def q_employee_totals_by_year(spark, sf):
-    t = _t(spark, sf, measures=True)
+    t = _t(spark, sf, measures=True, years=YEARS)
     return reports.measure_totals_by_year(t, _ind(t), list(reports.EMPLOYEE_MEASURES), YEARS)
 
 
 def q_skill_totals_by_year(spark, sf):
-    t = _t(spark, sf, measures=True)
+    t = _t(spark, sf, measures=True, years=YEARS)
     return reports.measure_totals_by_year(
         t, _ind(t), list(reports.COMPENSATION_MEASURES) + list(reports.SKILL_MEASURES), YEARS)
 
 
-def _industry_years(t):
-    r = t["ref_yearDetails"].select("id", "ref_yearDetails__id")
-    r = J.label_join(r, t["reference_year"], "ref_yearDetails__id", "reference_year",
-                     {"reference_year_desc": "Reference_Year"})
-    return r.join(_ind(t).select("id", "Industry"), "id")
-
-
 def q_industry_year_crosstab(spark, sf):
     t = _t(spark, sf)
-    # the pivot columns: labels of the (size-checked, cached) year list
-    values = sorted(r[0] for r in t["reference_year"].select("reference_year_desc").collect()
-                    if r[0] is not None)
-    return G.crosstab_count(_industry_years(t), "Industry", "Reference_Year", values)
+    values = G.pivot_values(t["reference_year"], "reference_year_desc")
+    return G.crosstab_count(reports.industry_years(t, _ind(t)), "Industry", "Reference_Year", values, weight="n")
 
 
 def q_industry_year_totals(spark, sf):
-    return G.crosstab_totals(_industry_years(_t(spark, sf)), "Industry", "Reference_Year")
+    t = _t(spark, sf)
+    return G.crosstab_totals(reports.industry_years(t, _ind(t)), "Industry", "Reference_Year", weight="n")
+
+
+def q_table_1_pivot(spark, sf):
+    """A9 as the reference has it: rows of Table_1 per Industry and year."""
+    t = _t(spark, sf)
+    values = G.pivot_values(t["reference_year"], "reference_year_desc")
+    table_1 = reports.establishments_by_industry_year(t, _ind(t), sort=False)
+    return G.crosstab_count(table_1, "Industry", "Reference_Year", values)
 
 
 # ----------------------------------------------------- scalar functions ----
@@ -284,6 +313,9 @@ def q_cast_integer(spark, sf):
         X.as_integer(-F.col("p_retailprice") / 7).alias("from_negative"),
         X.as_integer(F.col("p_retailprice") * 1e7).alias("from_too_large"),
         X.as_integer("p_brand").alias("from_label"),
+        X.as_integer(F.concat(F.lit("00"), F.col("p_size").cast("string"))).alias("from_padded"),
+        X.as_integer(F.concat(F.col("p_size").cast("string"), F.when(F.col("p_size") % 3 == 0, "d")
+                              .when(F.col("p_size") % 3 == 1, "f").otherwise("e1"))).alias("from_suffixed"),
         X.as_integer(F.col("p_size").cast("string")).alias("from_int_text"),
     )
 
@@ -299,21 +331,27 @@ def q_category_text(spark, sf):
     c = _src(spark, sf, "customer")["customer"]
     return c.select("c_custkey", X.category_text("c_acctbal").alias("acctbal_label"),
                     X.category_text(F.col("c_nationkey").cast("double")).alias("nation_label"),
-                    X.category_text("c_mktsegment").alias("segment_label"))
+                    X.category_text("c_mktsegment").alias("segment_label"),
+                    X.category_text(F.col("c_acctbal") / 7).alias("digits_label"),
+                    X.category_text(F.col("c_custkey") * 1e-20).alias("tiny_label"),
+                    X.category_text(F.concat(F.lit("00"), "c_nationkey")).alias("text_label"))
 
 
 def q_epoch_day_to_date(spark, sf):
     o = _src(spark, sf, "orders")["orders"]
     d = o.select("o_orderkey", (F.unix_date(F.to_date("o_orderdate")).cast("double") + 0.75)
                  .alias("day_number"))
-    return d.withColumn("order_day", X.epoch_day("day_number"))
+    late = X.epoch_day(F.lit(2932896.0) + F.col("o_orderkey"))  # beyond the year 9999
+    return d.withColumn("order_day", X.epoch_day("day_number")).withColumn("late_day", F.unix_date(late))
 
 
 def q_paste_missing(spark, sf):
     c = _src(spark, sf, "customer")["customer"]
     return c.select("c_custkey",
                     X.paste(F.nullif("c_mktsegment", F.lit("HOUSEHOLD")), "c_nationkey")
-                    .alias("Reference_Number"))
+                    .alias("Reference_Number"),
+                    X.paste(F.lit("LS"), F.col("c_nationkey").cast("double"), F.col("c_nationkey") / 4)
+                    .alias("number_parts"))
 
 
 def q_clean_time_text(spark, sf):
@@ -321,7 +359,10 @@ def q_clean_time_text(spark, sf):
     iso = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")
     return e.select("event_id", iso.alias("iso_text"), X.time_text(iso).alias("spaced_text"),
                     X.time_of_day_text(iso).alias("clock_text"),
-                    X.parse_time(iso).cast("timestamp_ntz").alias("parsed"))
+                    X.parse_time(iso).cast("timestamp_ntz").alias("parsed"),
+                    *[X.parse_time(F.date_format("ts", f)).cast("timestamp_ntz").alias(name) for name, f in (
+                        ("parsed_mdy", "M/d/yyyy H:mm:ss"), ("parsed_dashes", "MM-dd-yyyy HH:mm:ss"),
+                        ("parsed_dots", "M.d.yyyy H:m:s"))])
 
 
 def q_minutes_between(spark, sf):
@@ -354,25 +395,40 @@ CUSTOMER_SCHEMA = T.StructType([
 ])
 
 
+def _hard_names(customer: DataFrame) -> DataFrame:
+    """Names as exports hold them: quotes, a backslash before the quote, the
+    separator, two quotes in a row."""
+    name, kind = F.col("c_name"), F.col("c_custkey") % 5
+    hard = (F.when(kind == 0, F.concat(F.lit('The "Best" '), name)).when(kind == 1, F.concat(name, F.lit("\\")))
+            .when(kind == 2, F.concat(name, F.lit("\tShop, Ltd"))).when(kind == 3, F.concat(name, F.lit('""')))
+            .otherwise(name))
+    return customer.withColumn("c_name", hard)
+
+
+HARD_NAME_SQL = """CASE c_custkey % 5 WHEN 0 THEN 'The "Best" ' || c_name WHEN 1 THEN c_name || chr(92)
+            WHEN 2 THEN c_name || chr(9) || 'Shop, Ltd' WHEN 3 THEN c_name || '""' ELSE c_name END"""
+
+
 def _pack_archives(member: str) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    """Per partition: one zip export holding ``member`` as a tab file."""
+    """Per batch: one zip export holding ``member`` as a tab file, named by
+    its place, so that a repeated task writes the same archive."""
     def run(batches):
-        frames = list(batches)
-        if not frames:
-            return
-        pdf = pd.concat(frames)
-        buf = io.BytesIO()
-        with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
-            zf.writestr(member, pdf.to_csv(sep="\t", index=False, na_rep="NA"))
-            zf.writestr("other.tab", "id\n1\n")
-        yield pd.DataFrame({"path": [f"export-{uuid.uuid4().hex}.zip"], "content": [buf.getvalue()]})
+        from pyspark import TaskContext
+
+        for number, pdf in enumerate(batches):
+            buf = io.BytesIO()
+            with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
+                zf.writestr(member, pdf.to_csv(sep="\t", index=False, na_rep="NA"))
+                zf.writestr("other.tab", "id\n1\n")
+            name = f"export-{TaskContext.get().partitionId()}-{number}.zip"
+            yield pd.DataFrame({"path": [name], "content": [buf.getvalue()]})
     return run
 
 
 def q_zip_members(spark, sf):
-    """S1 round trip: each partition of ``customer`` becomes one zip export
-    (plus an unrelated member), the archive scan reads the member back."""
-    c = _src(spark, sf, "customer")["customer"]
+    """S1 round trip: each batch of ``customer`` becomes one zip export (plus
+    an unrelated member), the archive scan reads the member back."""
+    c = _hard_names(_src(spark, sf, "customer")["customer"])
     archives = c.mapInPandas(_pack_archives("customer.tab"), "path string, content binary")
     rows = read_member(explode_archives(archives, ["customer.tab"]), "customer.tab",
                        CUSTOMER_SCHEMA, check_header=False)
@@ -380,17 +436,19 @@ def q_zip_members(spark, sf):
 
 
 def q_code_list_catalog(spark, sf):
-    """S3: lists land as CSV files in the shared folder, the catalog loads
-    them lazily and types the codes."""
+    """S3: lists land as CSV files in the shared folder, the catalog types the
+    codes, and the lists are stored as tables (K1) and read back.  One label
+    is ``NA``: only an empty cell is missing."""
     s = _src(spark, sf, "nation", "region")
     root = f"{checkpoint_root(spark).rstrip('/')}/code-lists-{uuid.uuid4().hex}"
     s["nation"].select(F.col("n_nationkey").alias("area_council"),
                        F.col("n_name").alias("area_council_desc")) \
         .write.option("header", True).csv(f"{root}/area_council.csv")
     s["region"].select(F.col("r_regionkey").alias("province"),
-                       F.col("r_name").alias("province_desc")) \
+                       F.when(F.col("r_regionkey") == 0, "NA").otherwise(F.col("r_name")).alias("province_desc")) \
         .write.option("header", True).csv(f"{root}/province.csv")
     lists = load_code_lists(spark, root, ["area_council", "province"])
+    lists = {name: read_layer(spark, root, "raw", name) for name in store_code_lists(lists, root)}
     return (lists["area_council"].select(F.lit("area_council").alias("list_name"),
                                          F.col("area_council").alias("code"),
                                          F.col("area_council_desc").alias("label"))
@@ -403,14 +461,38 @@ def q_delimited_round_trip(spark, sf):
     """``customer`` is written as a tab-delimited export with a header and
     ``NA`` for missing values (in the shared folder), then read back with its
     declared schema."""
-    c = _src(spark, sf, "customer")["customer"]
+    c = _hard_names(_src(spark, sf, "customer")["customer"])
     path = f"{checkpoint_root(spark).rstrip('/')}/tab-export-{uuid.uuid4().hex}"
     (c.select("c_custkey", "c_name", F.nullif("c_nationkey", F.lit(0)).alias("c_nationkey"),
               "c_acctbal", "c_mktsegment")
-     .write.option("sep", "\t").option("header", True).option("nullValue", "NA").csv(path))
+     .write.option("sep", "\t").option("header", True).option("nullValue", "NA").option("escape", '"').csv(path))
     return read_delimited(spark, path, CUSTOMER_SCHEMA)
 
 
+def q_comma_csv_list(spark, sf):
+    """The province list as a comma CSV file (labels hold commas, quotes
+    and an ``NA`` that is missing), read with its declared schema."""
+    r = _src(spark, sf, "region")["region"]
+    path = f"{checkpoint_root(spark).rstrip('/')}/comma-list-{uuid.uuid4().hex}"
+    label = F.when(F.col("r_regionkey") != 2, F.concat(F.lit('"'), "r_name", F.lit('", north')))
+    (r.select(F.col("r_regionkey").alias("province"), label.alias("province_desc"))
+     .write.option("header", True).option("nullValue", "NA").option("escape", '"').csv(path))
+    schema = T.StructType([T.StructField("province", T.DoubleType()), T.StructField("province_desc", T.StringType())])
+    return read_delimited(spark, path, schema, sep=",")
+
+
+def q_layer_round_trip(spark, sf):
+    """K1/K2: ``orders`` stored in the raw layer, read back, cleaned and
+    stored one layer up; stored twice, so the second write replaces the first."""
+    root = f"{checkpoint_root(spark).rstrip('/')}/layers-{uuid.uuid4().hex}"
+    o = _src(spark, sf, "orders")["orders"]
+    write_layer(o.where(F.col("o_orderstatus") == "F"), root, "raw", "orders")
+    write_layer(o, root, "raw", "orders")
+    raw = P.rename_first(read_layer(spark, root, "raw", "orders"), "id")
+    write_layer(P.to_integer(raw, ["o_totalprice"]), root, "clean", "orders")
+    return read_layer(spark, root, "clean", "orders")
+
+
 def q_orders_csv_lines(spark, sf):
     """K3 on a numeric table: R ``write.csv`` lines of ``orders`` (text
     quoted, numbers and date-times bare, R's number text)."""
@@ -455,6 +537,8 @@ QUERIES: dict[str, Query] = {
     "skill_totals_by_year": q_skill_totals_by_year,
     "industry_year_crosstab": q_industry_year_crosstab,
     "industry_year_totals": q_industry_year_totals,
+    "table_1_pivot": q_table_1_pivot,
+    "fieldwork_durations": q_fieldwork_durations,
     "cast_integer": q_cast_integer,
     "to_integer_columns": q_to_integer_columns,
     "category_text": q_category_text,
@@ -469,4 +553,6 @@ QUERIES: dict[str, Query] = {
     "delimited_round_trip": q_delimited_round_trip,
     "orders_csv_lines": q_orders_csv_lines,
     "code_list_catalog": q_code_list_catalog,
+    "comma_csv_list": q_comma_csv_list,
+    "layer_round_trip": q_layer_round_trip,
 }

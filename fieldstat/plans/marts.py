@@ -12,7 +12,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldstat.functions.columns import paste
+from fieldstat.functions.columns import (
+    minutes_between, parse_time, paste, time_of_day_text, time_text)
 from fieldstat.operators.groups import representative_rows
 from fieldstat.operators.joins import label_join
 
@@ -34,20 +35,26 @@ def fieldwork_monitor(t: Tables) -> DataFrame:
                       t["enumerators"], "originator", "enum", ["enumdesc"])
     acts = representative_rows(acts, "id", order_by=["date", "originator", "responsible__name",
                                                      "enumdesc", *order[1:]])
-    main_cols = ["id", "interview__status", "ref_letter", "ref_number", "name_businesEsta"]
-    main_cols += [c for c in ("start_time", "start_end_time") if c in t["main"].columns]
-    m = t["main"].select(*main_cols)
+    m = t["main"].select("id", "interview__status", "ref_letter", "ref_number", "name_businesEsta",
+                         "start_time", "start_end_time")
     m = label_join(m, t["interview_status"], "interview__status", "interview_status",
                    ["interview_status_desc"])
     m = label_join(m, t["ref_letter"], "ref_letter", "ref_number",
                    {"ref_number_desc": "Ref_Letter"})
     j = acts.join(m, "id")
-    cols = [F.col("id"), F.col("interview_status_desc"), F.col("originator"),
-            F.col("responsible__name"), F.col("enumdesc"), F.col("date")]
-    cols += [F.col(c) for c in ("start_time", "start_end_time") if c in main_cols]
-    cols += [F.col("Ref_Letter"), F.col("ref_number"), F.col("name_businesEsta").alias("Business_Name"),
-             paste("Ref_Letter", "ref_number").alias("Reference_Number")]
-    return j.select(*cols)
+    return j.select("id", "interview_status_desc", "originator", "responsible__name", "enumdesc", "date",
+                    "start_time", "start_end_time", "Ref_Letter", "ref_number",
+                    F.col("name_businesEsta").alias("Business_Name"),
+                    paste("Ref_Letter", "ref_number").alias("Reference_Number"))
+
+
+def interview_durations(fwm: DataFrame) -> DataFrame:
+    """The monitor's time columns cleaned and the interview's minutes (X7-X10,
+    the chain the reference prepares on ``start_time`` and ``start_end_time``)."""
+    start, end = parse_time("start_time"), parse_time("start_end_time")
+    return fwm.select("id", time_text("start_time").alias("start_text"),
+                      time_of_day_text("start_end_time").alias("end_clock"),
+                      start.cast("timestamp_ntz").alias("started"), minutes_between(start, end).alias("minutes"))
 
 
 def sector(t: Tables, code_col: str, label: str) -> DataFrame:

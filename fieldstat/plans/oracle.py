@@ -9,8 +9,9 @@ Conventions that keep the comparison exact:
 
 from __future__ import annotations
 
-from fieldstat.plans.catalogue import DIRTY_SQL, YEAR, YEARS
-from fieldstat.plans.standins import SKILL_COLUMNS, with_standins
+from fieldstat.plans.catalogue import BIG, DIRTY_SQL, HARD_NAME_SQL, YEAR, YEARS
+from fieldstat.plans.reports import SKILL_MEASURES
+from fieldstat.plans.standins import with_standins
 
 
 def _n(x: str) -> str:
@@ -30,17 +31,18 @@ _YEARS_IN = ", ".join(f"'{y}'" for y in YEARS)
 
 SQL: dict[str, str] = {}
 
-SQL["label_join"] = """
-SELECT c.c_custkey, c.c_name, n.n_name AS nation_label
-FROM customer c JOIN nation n ON CAST(c.c_nationkey AS DOUBLE) = CAST(n.n_nationkey AS DOUBLE)"""
+SQL["label_join"] = f"""WITH {DIRTY_SQL}
+SELECT c.c_custkey, c.c_name, b.n_name AS nation_label
+FROM customer c JOIN big b
+  ON CASE WHEN c.c_mktsegment = 'BUILDING' THEN c.c_nationkey + {BIG} ELSE c.c_nationkey END = b.n_nationkey"""
 
 SQL["mixed_type_label_join"] = f"""WITH {DIRTY_SQL}
-SELECT d.c_custkey, d.area_code, n.n_name AS area_label
-FROM dirty d JOIN nation n ON {_n('d.area_code')} = CAST(n.n_nationkey AS DOUBLE)"""
+SELECT d.c_custkey, d.area_code, b.n_name AS area_label
+FROM coded d JOIN big b ON d.code = b.n_nationkey"""
 
 SQL["unmatched_codes"] = f"""WITH {DIRTY_SQL}
-SELECT d.c_custkey, d.area_code FROM dirty d
-WHERE NOT EXISTS (SELECT 1 FROM nation n WHERE {_n('d.area_code')} = CAST(n.n_nationkey AS DOUBLE))"""
+SELECT d.c_custkey, d.area_code FROM coded d
+WHERE d.code IS NULL OR NOT EXISTS (SELECT 1 FROM big b WHERE d.code = b.n_nationkey)"""
 
 SQL["star_labels"] = """
 SELECT o.o_orderkey, o.o_custkey AS id, c.c_name, n.n_name AS area_council_desc,
@@ -106,12 +108,12 @@ SQL["sector_union"] = with_standins("main", "industry") + """
 SELECT id, name_businesEsta, Industry, IndustryType FROM industry"""
 
 _FWM = f"""fwm AS (
-  SELECT id, interview_status_desc, originator, responsible__name, enumdesc, date,
+  SELECT id, interview_status_desc, originator, responsible__name, enumdesc, date, start_time, start_end_time,
          Ref_Letter, ref_number, Business_Name,
          concat_ws(' ', COALESCE(Ref_Letter, 'NA'), COALESCE(ref_number, 'NA')) AS Reference_Number
   FROM (SELECT m.id, st.r_name AS interview_status_desc, a.originator, a.responsible__name,
                e.enumdesc, a.date, rl.n_name AS Ref_Letter, m.ref_number,
-               m.name_businesEsta AS Business_Name,
+               m.name_businesEsta AS Business_Name, m.start_time, m.start_end_time,
                ROW_NUMBER() OVER (PARTITION BY m.id ORDER BY
                    {_nf('a.date', 'a.originator', 'a.responsible__name', 'e.enumdesc', 'a.time', 'a.line_no')}) AS rn
         FROM acts a
@@ -124,6 +126,15 @@ _FWM = f"""fwm AS (
 SQL["fieldwork_monitor"] = with_standins("main", "acts", "enumerators") + "," + _FWM + """
 SELECT * FROM fwm"""
 
+SQL["fieldwork_durations"] = with_standins("main", "acts", "enumerators") + "," + _FWM + """
+SELECT id, replace(start_time, 'T', ' ') AS start_text, split_part(start_end_time, 'T', 2) AS end_clock,
+       CAST(start_time AS TIMESTAMP) AS started,
+       date_diff('second', CAST(start_time AS TIMESTAMP), CAST(start_end_time AS TIMESTAMP)) / 60.0 AS minutes
+FROM fwm"""
+
+# Fixed value: the published file's header line.
+_CSV_HEADER = ('"id","Reference_Number","Business_Name","Major_Label_Vansic","IndustryType","originator",'
+               '"responsible__name","enumdesc","date"')
 _CSV_FIELDS = " || ',' || ".join([
     "CAST(f.id AS VARCHAR)", _q("f.Reference_Number"), _q("f.Business_Name"),
     _q("i.Industry"), _q("i.IndustryType"), _q("f.originator"), _q("f.responsible__name"),
@@ -131,7 +142,7 @@ _CSV_FIELDS = " || ',' || ".join([
 ])
 
 SQL["fieldwork_export_lines"] = with_standins("main", "acts", "enumerators", "industry") + "," + _FWM + f"""
-SELECT '"id","Reference_Number","Business_Name","Major_Label_Vansic","IndustryType","originator","responsible__name","enumdesc","date"' AS value
+SELECT '{_CSV_HEADER}' AS value
 UNION ALL
 SELECT {_CSV_FIELDS} AS value FROM fwm f JOIN industry i ON f.id = i.id"""
 
@@ -219,6 +230,7 @@ FROM ids JOIN industry i ON ids.id = i.id JOIN main m ON ids.id = m.id
 JOIN region ls ON {_n('m.legal_status')} = CAST(ls.r_regionkey AS DOUBLE)
 GROUP BY i.Industry, i.IndustryType, ls.r_name"""
 
+# Table_6/7 measure columns and their published names, in order.
 _EMP = [("local_emp", "Local_Emp"), ("foreign_emp", "Foreign_Empl"),
         ("mang_vanmale", "NiVan_Male_Managerial_Skills"), ("skill_vanmale", "Skilled_NiVan_Male"),
         ("unskil_vanmale", "Unskilled_NiVan_Male"),
@@ -255,8 +267,8 @@ SQL["compensation_in_year"] = _per_year(
     with_main=True, year=YEAR, year_first=True)
 
 SQL["skills_all_years"] = _per_year(
-    list(SKILL_COLUMNS),
-    "Reference_Year, Industry, IndustryType, " + ", ".join(SKILL_COLUMNS),
+    list(SKILL_MEASURES),
+    "Reference_Year, Industry, IndustryType, " + ", ".join(SKILL_MEASURES),
     with_main=True, year=None, year_first=True)
 
 SQL["pilot_extract"] = with_standins("main", "register_id") + f"""
@@ -281,6 +293,16 @@ SELECT Industry, """ + ", ".join(
     for y in range(1995, 2002)) + """
 FROM iy GROUP BY Industry"""
 
+SQL["table_1_pivot"] = with_standins("main", "ry", "reference_year", "industry") + _IY + """
+SELECT Industry, """ + ", ".join(
+    f"""NULLIF(COUNT(*) FILTER (WHERE Reference_Year = '{y}'), 0) AS "{y}\""""
+    for y in range(1995, 2002)) + f"""
+FROM (SELECT DISTINCT i.Industry, y.reference_year_desc AS Reference_Year
+      FROM ry JOIN reference_year y ON ry.ref_yearDetails__id = CAST(y.reference_year AS VARCHAR)
+      JOIN industry i ON ry.id = i.id JOIN main m ON ry.id = m.id
+      JOIN nation a ON m.area_council = CAST(a.n_nationkey AS VARCHAR)
+      JOIN region p ON m.province = CAST(p.r_regionkey AS VARCHAR)) GROUP BY Industry"""
+
 SQL["industry_year_totals"] = with_standins("main", "ry", "reference_year", "industry") + _IY + """
 SELECT Industry, Reference_Year, COUNT(*) AS n, GROUPING(Industry, Reference_Year) AS total_level
 FROM iy GROUP BY CUBE (Industry, Reference_Year)"""
@@ -296,6 +318,8 @@ SELECT p_partkey,
        {_int('-p_retailprice / 7')} AS from_negative,
        {_int('p_retailprice * 1e7')} AS from_too_large,
        {_int('p_brand')} AS from_label,
+       p_size AS from_padded,
+       CASE WHEN p_size % 3 = 2 THEN p_size * 10 END AS from_suffixed,
        {_int('CAST(p_size AS VARCHAR)')} AS from_int_text
 FROM part"""
 
@@ -312,26 +336,32 @@ _CAT = """CASE WHEN {x} = floor({x}) THEN CAST(CAST({x} AS BIGINT) AS VARCHAR)
 SQL["category_text"] = f"""
 SELECT c_custkey, {_CAT.format(x='c_acctbal')} AS acctbal_label,
        {_CAT.format(x='CAST(c_nationkey AS DOUBLE)')} AS nation_label,
-       c_mktsegment AS segment_label
+       c_mktsegment AS segment_label,
+       printf('%.15g', c_acctbal / 7) AS digits_label,
+       rtrim(rtrim('0.' || lpad(CAST(c_custkey AS VARCHAR), 20, '0'), '0'), '.') AS tiny_label,
+       '00' || CAST(c_nationkey AS VARCHAR) AS text_label
 FROM customer"""
 
 SQL["epoch_day_to_date"] = """
 WITH d AS (SELECT o_orderkey,
                   CAST(date_diff('day', DATE '1970-01-01', CAST(o_orderdate AS DATE)) AS DOUBLE) + 0.75
                   AS day_number FROM orders)
-SELECT o_orderkey, day_number, DATE '1970-01-01' + CAST(floor(day_number) AS INTEGER) AS order_day
+SELECT o_orderkey, day_number, DATE '1970-01-01' + CAST(floor(day_number) AS INTEGER) AS order_day,
+       CAST(2932896 + o_orderkey AS INTEGER) AS late_day
 FROM d"""
 
 SQL["paste_missing"] = """
 SELECT c_custkey, concat_ws(' ', COALESCE(NULLIF(c_mktsegment, 'HOUSEHOLD'), 'NA'),
-                            COALESCE(CAST(c_nationkey AS VARCHAR), 'NA')) AS Reference_Number
+                            COALESCE(CAST(c_nationkey AS VARCHAR), 'NA')) AS Reference_Number,
+       concat_ws(' ', 'LS', CAST(c_nationkey AS VARCHAR), printf('%.15g', c_nationkey / 4)) AS number_parts
 FROM customer"""
 
 SQL["clean_time_text"] = """
 WITH e AS (SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS iso_text FROM events)
 SELECT event_id, iso_text, replace(iso_text, 'T', ' ') AS spaced_text,
        regexp_replace(iso_text, '^[^T]*T', '') AS clock_text,
-       strptime(iso_text, '%Y-%m-%dT%H:%M:%S') AS parsed
+       strptime(iso_text, '%Y-%m-%dT%H:%M:%S') AS parsed, strptime(iso_text, '%Y-%m-%dT%H:%M:%S') AS parsed_mdy,
+       strptime(iso_text, '%Y-%m-%dT%H:%M:%S') AS parsed_dashes, strptime(iso_text, '%Y-%m-%dT%H:%M:%S') AS parsed_dots
 FROM e"""
 
 SQL["minutes_between"] = """
@@ -351,13 +381,22 @@ FROM lineitem"""
 SQL["status_extract"] = """
 SELECT * FROM orders WHERE o_orderstatus = 'F'"""
 
-SQL["zip_members"] = """
-SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer"""
+SQL["zip_members"] = f"""
+SELECT c_custkey, {HARD_NAME_SQL} AS c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer"""
 
 SQL["code_list_catalog"] = """
 SELECT 'area_council' AS list_name, CAST(n_nationkey AS DOUBLE) AS code, n_name AS label FROM nation
 UNION ALL
-SELECT 'province' AS list_name, CAST(r_regionkey AS DOUBLE) AS code, r_name AS label FROM region"""
+SELECT 'province' AS list_name, CAST(r_regionkey AS DOUBLE) AS code,
+       CASE WHEN r_regionkey = 0 THEN 'NA' ELSE r_name END AS label FROM region"""
+
+SQL["comma_csv_list"] = """
+SELECT CAST(r_regionkey AS DOUBLE) AS province,
+       CASE WHEN r_regionkey <> 2 THEN '"' || r_name || '", north' END AS province_desc FROM region"""
+
+SQL["layer_round_trip"] = f"""
+SELECT o_orderkey AS id, o_custkey, o_orderstatus, {_int('o_totalprice')} AS o_totalprice, o_orderdate, o_orderpriority
+FROM orders"""
 
 
 def _totals(standin: str, measures: list[str]) -> str:
@@ -376,10 +415,10 @@ SQL["size_totals_by_year"] = _totals("ry", ["tot_paid_emp"])
 SQL["sales_totals_by_year"] = _totals("ry", ["sales_goods_services"])
 SQL["employee_totals_by_year"] = _totals("ry_measures", [c for c, _ in _EMP])
 SQL["skill_totals_by_year"] = _totals(
-    "ry_measures", ["local_emp", "foreign_emp", "employee_comp", *SKILL_COLUMNS])
+    "ry_measures", ["local_emp", "foreign_emp", "employee_comp", *SKILL_MEASURES])
 
-SQL["delimited_round_trip"] = """
-SELECT c_custkey, c_name, NULLIF(c_nationkey, 0) AS c_nationkey, c_acctbal, c_mktsegment
+SQL["delimited_round_trip"] = f"""
+SELECT c_custkey, {HARD_NAME_SQL} AS c_name, NULLIF(c_nationkey, 0) AS c_nationkey, c_acctbal, c_mktsegment
 FROM customer"""
 
 SQL["orders_csv_lines"] = f"""

@@ -18,10 +18,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fieldstat.operators.groups import crosstab_count, crosstab_totals
+from fieldstat.functions.columns import number
+from fieldstat.operators.groups import crosstab_count, crosstab_totals, pivot_values
 from fieldstat.operators.reshape import drop_range, rename_first, to_category, to_integer
 from fieldstat.plans import marts, quality, reports
-from fieldstat.sinks.layers import read_layer, write_layer
+from fieldstat.sinks.layers import read_layer, store_code_lists, write_layer
 from fieldstat.sinks.quoted_csv import write_quoted_csv
 from fieldstat.sources.archive import archive_headers, archive_lines, check_headers, read_member
 from fieldstat.sources.codelists import CODE_LISTS, load_code_lists
@@ -120,9 +121,11 @@ def land_raw(spark: SparkSession, archive_dir: str, root: str,
                 "_export_lines", partition_by=["member"])
     lines = read_layer(spark, root, "raw", "_export_lines")
     paths = {}
+    read_as = _text_schemas(headers, [m for m, table in members.items() if table not in schemas])
+    read_as |= {m: schemas[table] for m, table in members.items() if table in schemas}
+    check_headers(headers, {m: schema.fieldNames() for m, schema in read_as.items()})
     for member, table in members.items():
-        schema = schemas.get(table) or _text_schema(headers, member)
-        check_headers(headers, member, schema.fieldNames())
+        schema = read_as[member]
         df = read_member(lines, member, schema, check_header=False).drop("archive")
         paths[table] = write_layer(rename_first(df, "id"), root, "raw", table,
                                    (partition_by or {}).get(table))
@@ -130,21 +133,23 @@ def land_raw(spark: SparkSession, archive_dir: str, root: str,
     return paths
 
 
-def _text_schema(headers: DataFrame, member: str) -> T.StructType:
-    head = headers.where(F.col("member") == member).select("line").limit(1).collect()
-    if not head:
-        raise FileNotFoundError(f"member {member!r} not found in any archive")
-    names = [c.strip('"') for c in head[0]["line"].split("\t")]
-    return T.StructType([T.StructField(n, T.StringType()) for n in names])
+def _text_schemas(headers: DataFrame, members: list[str]) -> dict[str, T.StructType]:
+    """All-text schemas from the members' header lines (one line per member)."""
+    heads = {r["member"]: r["line"] for r in headers.where(F.col("member").isin(members))
+             .groupBy("member").agg(F.min("line").alias("line")).collect()}
+    for member in members:
+        if member not in heads:
+            raise FileNotFoundError(f"member {member!r} not found in any archive")
+    return {m: T.StructType([T.StructField(n.strip('"'), T.StringType()) for n in line.split("\t")])
+            for m, line in heads.items()}
 
 
 def clean_tables(raw: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     """P2 + P7: the reference's cleaning, as one projection per table."""
     out = dict(raw)
     main = drop_range(raw["main"], *MAIN_DROP_RANGES)
-    main = to_category(main, [c for c in MAIN_CATEGORIES if c in main.columns])
-    main = main.withColumns({c: F.col(c).try_cast("double") for c in GPS_COLUMNS
-                             if c in main.columns})
+    main = to_category(main, MAIN_CATEGORIES)
+    main = main.withColumns({c: number(c) for c in GPS_COLUMNS})
     out["main"] = to_integer(main, INTEGER_COLUMNS["main"])
     ry = drop_range(raw["ref_yearDetails"], *REF_YEAR_DROP_RANGES)
     out["ref_yearDetails"] = to_integer(ry, INTEGER_COLUMNS["ref_yearDetails"])
@@ -202,9 +207,8 @@ def build_marts(t: Mapping[str, DataFrame], ind: DataFrame | None = None,
 def build_pivots(t: Mapping[str, DataFrame], table_1: DataFrame) -> dict[str, DataFrame]:
     """A9/A10, disabled in the reference: the pivot of Table_1 with
     Industry rows, Reference_Year columns and ``n()`` cells, and its totals.
-    The columns are the labels of the (size-checked) reference-year list."""
-    years = sorted({r[0] for r in t["reference_year"].select("reference_year_desc").collect()
-                    if r[0] is not None})
+    The columns are the labels of the reference-year list."""
+    years = pivot_values(t["reference_year"], "reference_year_desc")
     return {
         "Table_1_pivot": crosstab_count(table_1, "Industry", "Reference_Year", years),
         "Table_1_pivot_totals": crosstab_totals(table_1, "Industry", "Reference_Year"),
@@ -238,7 +242,9 @@ def run(spark: SparkSession, archive_dir: str, codes_dir: str, root: str,
         written[f"clean.{name}"] = write_layer(df, root, "clean", name, **bucket)
     t: dict[str, DataFrame] = {name: read_layer(spark, root, "clean", name)
                                for name in EXPORT_MEMBERS.values()}
-    t.update(load_code_lists(spark, codes_dir, CODE_LISTS, fmt=code_format))
+    lists = load_code_lists(spark, codes_dir, CODE_LISTS, fmt=code_format)
+    written |= {f"list.{name}": path for name, path in store_code_lists(lists, root).items()}
+    t.update(lists)
     # the two results every later dataset reuses are written first and read
     # back, as the reference stores them: computed once, short lineage after
     for name, df in (("Industry", marts.industry(t)), ("fwm", marts.fieldwork_monitor(t))):

@@ -14,8 +14,9 @@ Scale notes that hold for all of them:
   exact: the group's order is lexicographic over columns that each come from
   one input, and ``main``/``Industry`` are functions of ``id``, so the first
   row of the join is the join of each input's first row;
-* all joins are on ``id``, so after the first exchange every later join and
-  the final window reuse the same hash partitioning (no further shuffle).
+* joins are on ``id``.  Where a row is chosen per (id, year) first, its
+  exchange is by both keys (map tasks ship one candidate row per group), and
+  the reduced rows are exchanged once more by ``id`` for the joins.
 """
 
 from __future__ import annotations
@@ -55,11 +56,11 @@ def establishments_by_industry_year(t: Tables, ind: DataFrame, sort: bool = True
     pair of the group in label order.
 
     Plan: (id, year) pairs are made distinct map-side and shuffled once, by
-    id; the joins on id reuse that partitioning; one aggregate by (Industry,
-    year, id) needs no exchange either (the data is already partitioned by
-    id); the final aggregate by (Industry, year) combines partial counts
-    map-side.  A hot industry adds no skew: every exchange before the last,
-    tiny one is keyed by id.
+    id; the joins on id reuse that partitioning, and so does the grouping by
+    (Industry, year, id), which keeps the pairs of labels of an establishment
+    and counts it once however often its id is repeated.  Counts are then
+    combined per (Industry, year, pair) map-side, and only that small result
+    meets the last exchange.  All levels are hash aggregates (no sort).
     """
     m = t["main"].select("id", "area_council", "province")
     m = label_join(m, t["area_council"], "area_council", "area_council",
@@ -67,16 +68,18 @@ def establishments_by_industry_year(t: Tables, ind: DataFrame, sort: bool = True
     m = label_join(m, t["province"], "province", "province", {"province_desc": "Province"})
     # distinct (id, year) pairs, deduplicated map-side and shuffled once by
     # id (the key of both joins below); a set holds at most one entry per
-    # code of the size-checked year list, however hot the id
+    # code of the year list, however hot the id
     years = (_roster_years(t, []).groupBy("id")
              .agg(F.collect_set("Reference_Year").alias("years"))
              .select("id", F.explode("years").alias("Reference_Year")))
-    j = years.join(m.select("id", "Area_Council", "Province"), "id").join(
+    j = years.join(m.select("id", F.struct("Area_Council", "Province").alias("pair")), "id").join(
         ind.select("id", "Industry"), "id")
-    per_id = (j.groupBy("Industry", "Reference_Year", "id")
-              .agg(F.min(F.struct("Area_Council", "Province")).alias("rep")))
-    out = (per_id.groupBy("Industry", "Reference_Year")
-           .agg(F.count(F.lit(1)).alias("Number_Of_Establishments"), F.min("rep").alias("rep")))
+    per_id = (j.groupBy("Industry", "Reference_Year", "id").agg(F.collect_set("pair").alias("pairs"))
+              .select("Industry", "Reference_Year", F.posexplode("pairs").alias("place", "pair")))
+    counted = per_id.groupBy("Industry", "Reference_Year", "pair").agg(
+        F.count(F.when(F.col("place") == 0, 1)).alias("n"))
+    out = (counted.groupBy("Industry", "Reference_Year")
+           .agg(F.sum("n").alias("Number_Of_Establishments"), F.array_min(F.collect_set("pair")).alias("rep")))
     out = out.select(F.col("rep.Area_Council").alias("Area_Council"),
                      F.col("rep.Province").alias("Province"),
                      "Reference_Year", "Industry", "Number_Of_Establishments")
@@ -101,7 +104,7 @@ def size_sales_rows(t: Tables, ind: DataFrame, years: Iterable[str] = REPORT_YEA
                             ["IndustryType", "Industry"])
     j = r.join(i, "id").join(t["main"].select("id", "infor_paidEmp"), "id")
     return (j.where(label_in("Reference_Year", list(years)))
-            .select("Industry", "Reference_Year", "IndustryType", "tot_paid_emp",
+            .select("id", "Industry", "Reference_Year", "IndustryType", "tot_paid_emp",
                     "infor_paidEmp", "sales_goods_services"))
 
 
@@ -112,10 +115,13 @@ def size_by_industry(t: Tables, ind: DataFrame, years: Iterable[str] = REPORT_YE
     of ``years`` (A5), sorted by ``Paid_Emp_Formal`` with missing first.
     ``rows`` may pass ``size_sales_rows`` computed once for Tables 2 and 5."""
     rows = rows if rows is not None else size_sales_rows(t, ind, years)
-    out = rows.select("Industry", "Reference_Year", F.col("IndustryType").alias("Sector"),
-                      F.col("tot_paid_emp").alias("Paid_Emp_Formal"),
-                      F.col("infor_paidEmp").alias("Paid_Emp_Informal"))
-    return out.orderBy(F.col("Paid_Emp_Formal").asc_nulls_first()) if sort else out
+    if sort:
+        # ``id`` only breaks ties: establishments of one size (or of none) can
+        # then be sorted by several tasks
+        rows = rows.orderBy(F.col("tot_paid_emp").asc_nulls_first(), "id")
+    return rows.select("Industry", "Reference_Year", F.col("IndustryType").alias("Sector"),
+                       F.col("tot_paid_emp").alias("Paid_Emp_Formal"),
+                       F.col("infor_paidEmp").alias("Paid_Emp_Informal"))
 
 
 def legal_status_rows(t: Tables, ind: DataFrame) -> DataFrame:
@@ -227,6 +233,14 @@ def skills_all_years(t: Tables, ind: DataFrame) -> DataFrame:
     return j.select("Reference_Year", "Industry", "IndustryType", *SKILL_MEASURES)
 
 
+def industry_years(t: Tables, ind: DataFrame) -> DataFrame:
+    """Roster rows per (Industry, Reference_Year) and establishment (count
+    ``n``): counted per (id, year) before the join, so an establishment with
+    very many rows is one row in it."""
+    r = _roster_years(t, []).groupBy("id", "Reference_Year").agg(F.count(F.lit(1)).alias("n"))
+    return r.join(ind.select("id", "Industry"), "id")
+
+
 def pilot_extract(t: Tables) -> DataFrame:
     """R16 ``pilotData``: establishments with their labels, one row per
     registration (fan-out kept, J7)."""

@@ -26,12 +26,15 @@ mixed-type join J4.  ``STANDIN_SQL`` holds the same definitions for DuckDB.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldstat.functions.columns import as_integer
-from fieldstat.operators.joins import checked_broadcast
+from fieldstat.functions.columns import as_integer, label_in
+from fieldstat.operators.joins import checked_broadcast, exists_join
 from fieldstat.operators.reshape import to_category
+from fieldstat.plans.reports import SKILL_MEASURES
 
 TABLES = ("region", "nation", "customer", "orders", "lineitem", "events", "part")
 
@@ -44,15 +47,7 @@ def read_tables(spark: SparkSession, sf_dir: str, names=TABLES) -> dict[str, Dat
 MAIN_CATEGORIES = ("interview__status", "ref_letter", "ref_number", "major_label_vansic",
                    "major_Infolabel_vanisic", "province", "area_council", "legal_status",
                    "account_keeping")
-# The 12 skill measures of ref_yearDetails, in order.
-SKILL_COLUMNS = ("mang_vanmale", "skill_vanmale", "unskil_vanmale",
-                 "mang_vanfemale", "skill_vanfemale", "unskil_vanfemale",
-                 "mang_formale", "skill_formale", "unskil_formale",
-                 "mang_forfemale", "skill_forfemale", "unskil_forfemale")
-
-
 def main_table(src: dict[str, DataFrame]) -> DataFrame:
-    """``src["nation"]`` is expected size-checked (see ``census_tables``)."""
     c, n = src["customer"], src["nation"]
     nat = n.select("n_nationkey", "n_regionkey")
     raw = c.join(nat, c.c_nationkey == nat.n_nationkey).select(
@@ -70,87 +65,74 @@ def main_table(src: dict[str, DataFrame]) -> DataFrame:
         F.col("c_mktsegment").alias("infor_paidEmp"),
         F.col("c_acctbal").alias("busines_start_for"),
         F.col("c_nationkey").alias("business_locate"),
+        _interview_time(F.col("c_custkey") % 10_000).alias("start_time"),
+        _interview_time(F.col("c_custkey") % 10_000 + 17 + F.col("c_nationkey")).alias("start_end_time"),
     )
     return to_category(raw, MAIN_CATEGORIES)
 
 
-def spread_small_scan(df: DataFrame) -> DataFrame:
-    """Round-robin a scan over the session's cores when it yields fewer
-    partitions than there are cores, otherwise return it unchanged.
+def _interview_time(minutes) -> Column:
+    """ISO text of a moment so many minutes after the first interview."""
+    first = F.lit("2022-07-01 08:00:00").cast("timestamp_ntz")
+    return F.date_format(first + F.make_dt_interval(mins=minutes), "yyyy-MM-dd'T'HH:mm:ss")
 
-    The driver's Parquet files each hold a single row group, which Spark
-    cannot split, so such a scan runs in one task however many cores there
-    are.  Inputs at scale have many row groups and files, and then this is a
-    no-op: it never adds a shuffle to a scan that is already parallel.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
-def ref_year_details(src: dict[str, DataFrame], measures: bool = False) -> DataFrame:
-    o = src["orders"]
-    cols = [
-        F.col("o_custkey").alias("id"),
-        F.year("o_orderdate").cast("string").alias("ref_yearDetails__id"),
-        F.nullif(as_integer(F.col("o_totalprice") / 50000), F.lit(0)).alias("tot_paid_emp"),
-        as_integer("o_totalprice").alias("sales_goods_services"),
-    ]
+
+def ref_year_details(src: dict[str, DataFrame], measures: bool = False,
+                     years: Iterable[str] | None = None) -> DataFrame:
+    """``years`` cuts the orders to those years (through the year list, like
+    the reports) before they meet ``lineitem``: what a report drops by its
+    year is not shuffled by the order key."""
+    o = src["orders"].select("o_orderkey", F.col("o_custkey").alias("id"),
+                             F.year("o_orderdate").cast("string").alias("ref_yearDetails__id"), "o_totalprice")
+    paid = F.nullif(as_integer(F.col("o_totalprice") / 50000), F.lit(0)).alias("tot_paid_emp")
+    sales = as_integer("o_totalprice").alias("sales_goods_services")
     if not measures:
-        return o.select(*cols)
-    # heavy per-row work follows (15 derived measures, then the row choice's
-    # sort), so a single-task scan is spread first
-    li = spread_small_scan(src["lineitem"])
+        return o.select("id", "ref_yearDetails__id", paid, sales)
+    if years is not None:
+        wanted = src["reference_year"].where(label_in("reference_year_desc", list(years)))
+        o = exists_join(o, wanted.select(F.col("reference_year").cast("string").alias("ref_yearDetails__id")),
+                        "ref_yearDetails__id")
+    li = src["lineitem"]
     j = li.join(o, li.l_orderkey == o.o_orderkey)
-    cols += [
+    return j.select(
+        "id", "ref_yearDetails__id", paid, sales,
         as_integer("l_quantity").alias("local_emp"),
         F.col("l_linenumber").alias("foreign_emp"),
         as_integer("l_extendedprice").alias("employee_comp"),
-    ]
-    cols += [as_integer(F.col("l_extendedprice") / (100 * (k + 1))).alias(name)
-             for k, name in enumerate(SKILL_COLUMNS)]
-    return j.select(*cols)
+        *[as_integer(F.col("l_extendedprice") / (100 * (k + 1))).alias(name)
+          for k, name in enumerate(SKILL_MEASURES)])
 
 
 def code_list(df: DataFrame, code: str, label: str, name: str) -> DataFrame:
     return df.select(F.col(code).alias(name), F.col(label).alias(f"{name}_desc"))
 
 
-_CATALOGS: dict[tuple, dict[str, DataFrame]] = {}
+def census_tables(spark: SparkSession, sf_dir: str, measures: bool = False,
+                  years: Iterable[str] | None = None, enumerators: bool = False) -> dict[str, DataFrame]:
+    """The census tables of one data folder, read anew by every call.
 
-
-def census_tables(spark: SparkSession, sf_dir: str, measures: bool = False) -> dict[str, DataFrame]:
-    """The census tables for one data folder, built once per session.
-
-    Like the reference, which loads its code lists once per run for all
-    reports, the lists are size-checked once (one job for all of them); the
-    two lists that are aggregates of big tables are cached so the check and
-    every later join share one computation.
+    Nothing is cached or remembered, so replaced data is seen at once.  The
+    lists read from files (nation, region) carry Spark's own file sizes, which
+    decide about a broadcast without a job.  The year list is broadcast: its
+    rows are distinct years of timestamps, of which there are at most 600,000
+    (16 bytes each), whatever the data.  The list of originators has no such
+    bound: it is size-checked, and only where a plan asks for it.
     """
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), measures)
-    if key not in _CATALOGS:
-        _CATALOGS[key] = _build_census_tables(spark, sf_dir, measures)
-    return dict(_CATALOGS[key])
-
-
-def _build_census_tables(spark: SparkSession, sf_dir: str, measures: bool) -> dict[str, DataFrame]:
     src = read_tables(spark, sf_dir)
-    # the roster and the paradata log feed row choices and joins: spread
-    # their scans when a file is one unsplittable row group (no-op otherwise)
-    src["orders"] = spread_small_scan(src["orders"])
-    src["events"] = spread_small_scan(src["events"])
     o, e = src["orders"], src["events"]
-    lists = checked_broadcast({"nation": src["nation"], "region": src["region"]})
-    derived = checked_broadcast({
-        "reference_year": o.select(F.year("o_orderdate").alias("reference_year")).distinct()
-                           .withColumn("reference_year_desc", F.col("reference_year").cast("string")),
-        "enumerators": e.select(F.col("event_type").alias("enum")).distinct()
-                        .withColumn("enumdesc", F.upper("enum")),
-    }, cache=True)
-    src = {**src, **lists}
+    src["reference_year"] = F.broadcast(
+        o.select(F.year("o_orderdate").alias("reference_year")).distinct()
+        .withColumn("reference_year_desc", F.col("reference_year").cast("string")))
+    derived = {"reference_year": src["reference_year"]}
+    if enumerators:
+        derived |= checked_broadcast({
+            "enumerators": e.select(F.col("event_type").alias("enum")).distinct()
+                            .withColumn("enumdesc", F.upper("enum"))})
+    lists = src
     n, r = lists["nation"], lists["region"]
     t = {
         "main": main_table(src),
-        "ref_yearDetails": ref_year_details(src, measures),
+        "ref_yearDetails": ref_year_details(src, measures, years),
         "register_id": o.select(F.col("o_custkey").alias("id"),
                                 F.substring("o_orderpriority", 1, 1).alias("register_id__id")),
         "interview_actions": e.select(F.col("user_id").alias("id"),
@@ -194,7 +176,10 @@ STANDIN_SQL = {
          CAST(n.n_regionkey AS VARCHAR) AS legal_status,
          CAST(n.n_regionkey AS VARCHAR) AS account_keeping,
          c.c_mktsegment AS infor_paidEmp, c.c_acctbal AS busines_start_for,
-         c.c_nationkey AS business_locate
+         c.c_nationkey AS business_locate,
+         strftime(TIMESTAMP '2022-07-01 08:00:00' + to_minutes(c.c_custkey % 10000), '%Y-%m-%dT%H:%M:%S') AS start_time,
+         strftime(TIMESTAMP '2022-07-01 08:00:00' + to_minutes(c.c_custkey % 10000 + 17 + c.c_nationkey),
+                  '%Y-%m-%dT%H:%M:%S') AS start_end_time
   FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey)""",
     "ry": """ry AS (
   SELECT o_custkey AS id, CAST(year(o_orderdate) AS VARCHAR) AS ref_yearDetails__id,
@@ -206,7 +191,7 @@ STANDIN_SQL = {
                    "         l_linenumber AS foreign_emp,\n"
                    "         TRY_CAST(trunc(l_extendedprice) AS INTEGER) AS employee_comp,\n"
                    + ",\n".join(f"         TRY_CAST(trunc(l_extendedprice / {100 * (k + 1)}) AS INTEGER) AS {c}"
-                                for k, c in enumerate(SKILL_COLUMNS))
+                                for k, c in enumerate(SKILL_MEASURES))
                    + "\n  FROM lineitem JOIN orders ON l_orderkey = o_orderkey)",
     "reference_year": """reference_year AS (
   SELECT DISTINCT year(o_orderdate) AS reference_year,

@@ -39,17 +39,17 @@ def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
     On a cluster ``spark.checkpoint.dir`` names a shared (HDFS/object store)
-    folder; it is read from the session and never overridden.  Only when it is
-    unset (tests, local bench) a scratch folder is created and registered.
+    folder; it is read from the session and never overridden.  Where it is
+    unset, a session on one machine (tests, local bench) gets a folder of its
+    own there; any other session is refused, because its executors would each
+    write to their own disk.
     """
     sc = spark.sparkContext
-    root = sc.getConf().get("spark.checkpoint.dir", None)
+    root = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
-        root = sc.getCheckpointDir()
-    if not root:
-        root = tempfile.mkdtemp(prefix="fieldstat-ckpt-",
-                                dir=os.environ.get("TMPDIR", "/tmp"))
-        sc.setCheckpointDir(root)
-    elif sc.getCheckpointDir() is None:
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir is not set: executors need a shared folder")
+        root = os.path.join(tempfile.gettempdir(), f"fieldstat-{sc.applicationId}")
+    if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)
     return root

@@ -39,7 +39,7 @@ def write_layer(df: DataFrame, root: str, layer: str, name: str,
     if bucket_by:
         if not buckets:
             raise ValueError("bucket_by needs a bucket count")
-        df.sparkSession.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
+        df.sparkSession.sql(f"CREATE DATABASE IF NOT EXISTS {layer} LOCATION '{root.rstrip('/')}/{layer}'")
         (w.bucketBy(buckets, *bucket_by).sortBy(*bucket_by)
          .option("path", path).saveAsTable(f"{layer}.{name}"))
     else:
@@ -65,3 +65,9 @@ def read_layer(spark: SparkSession, root: str, layer: str, name: str) -> DataFra
         if location.endswith(path.rstrip("/").split(":", 1)[-1]):
             return spark.table(table)
     return spark.read.parquet(path)
+
+
+def store_code_lists(lists: dict[str, DataFrame], root: str) -> dict[str, str]:
+    """``dbWriteTable(con, list, ...)`` for every code list: stored in the raw
+    layer under the list's name."""
+    return {name: write_layer(df, root, "raw", name) for name, df in lists.items()}

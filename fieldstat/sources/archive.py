@@ -1,17 +1,15 @@
-"""Read named members of zip exports, in parallel across archives.
-
-Each archive is one task (a zip is not splittable); ``mapInPandas`` opens it
-and streams each wanted member as batches of ``(archive, member, line_no,
-line)``, so no member is ever held whole as text or parsed on the driver.
-The typed frame comes from ``from_csv`` on the line column (JVM side).
+"""Read named members of zip exports, in parallel across members.
+
+A first pass lists (archive, member) pairs from the zip directories; the pairs
+are then dealt out, so the members of one archive are read by different tasks.
+A task opens the archive by its path (``pyarrow.fs``), reads the zip by random
+access and streams its member as batches of ``(archive, member, line_no,
+line)``: no archive and no member is ever held whole, whatever its size.  The
+typed frame comes from ``from_csv`` on the line column (JVM side).
 ``line_no`` keeps the export's row order, which keep-first (A7) can use.
 
-How an archive reaches its task depends on its size.  Up to
-``STREAM_ABOVE`` bytes, ``binaryFile`` ships its content (portable through
-Spark's own file systems).  Larger archives are listed by path only: the
-``length`` filter is pushed into ``binaryFile``, so their content is never
-loaded as one array (which is capped at 2 GB).  The task then opens the path
-with ``pyarrow.fs`` and reads the zip by random access.
+Archives that already are rows (``path`` and ``content``) are read from the
+content instead (``explode_archives``).
 
 Limit: fields must not contain line breaks.
 """
@@ -35,10 +33,6 @@ LINE_SCHEMA = T.StructType([
 ])
 
 
-# Archives larger than this are opened by path inside the task.
-STREAM_ABOVE = 1 << 30
-
-
 def _open_path(path: str):
     """A seekable file for a Spark path (file:, hdfs:, s3a:, gs:, abfs: ...)."""
     from pyarrow import fs
@@ -52,92 +46,110 @@ def _open_path(path: str):
     return filesystem.open_input_file(inner)
 
 
-def _stream_members(members: list[str] | None, batch_lines: int, header_only: bool = False):
+def _lines(path: str, zf: zipfile.ZipFile, member: str, batch_lines: int,
+           header_only: bool) -> Iterator[pd.DataFrame]:
+    numbers, rows = [], []
+    with zf.open(member) as fh:
+        # lines end at "\n" only (a stray "\r" inside a field stays in it); a
+        # bad byte becomes U+FFFD instead of failing the task, as readr
+        # tolerates it
+        text = io.TextIOWrapper(fh, encoding="utf-8-sig", newline="\n", errors="replace")
+        for i, line in enumerate(text):
+            numbers.append(i)
+            rows.append(line.rstrip("\r\n"))
+            if header_only:
+                break
+            if len(rows) >= batch_lines:
+                yield pd.DataFrame({"archive": path, "member": member, "line_no": numbers, "line": rows})
+                numbers, rows = [], []
+    if rows:
+        yield pd.DataFrame({"archive": path, "member": member, "line_no": numbers, "line": rows})
+
+
+def _members(zf: zipfile.ZipFile, wanted: set[str] | None) -> list[str]:
+    return [i.filename for i in zf.infolist() if not i.is_dir() and (wanted is None or i.filename in wanted)]
+
+
+def explode_archives(files: DataFrame, members: Iterable[str] | None = None,
+                     batch_lines: int = 50_000, header_only: bool = False) -> DataFrame:
+    """Lines of the wanted members of archives held as rows (``path``,
+    ``content``).  ``line_no`` 0 is a member's header line; ``header_only``
+    reads just that line."""
     wanted = set(members) if members else None
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            contents = pdf["content"] if "content" in pdf else [None] * len(pdf)
-            for path, content in zip(pdf["path"], contents):
-                source = io.BytesIO(content) if content is not None else _open_path(path)
-                with source, zipfile.ZipFile(source) as zf:
-                    for info in zf.infolist():
-                        if info.is_dir() or (wanted is not None and info.filename not in wanted):
-                            continue
-                        rows_no, rows = [], []
-                        with zf.open(info) as fh:
-                            # lines end at "\n" only (a stray "\r" inside a field
-                            # stays in it); a bad byte becomes U+FFFD instead
-                            # of failing the task, as readr tolerates it
-                            text = io.TextIOWrapper(fh, encoding="utf-8-sig", newline="\n",
-                                                    errors="replace")
-                            for i, line in enumerate(text):
-                                rows_no.append(i)
-                                rows.append(line.rstrip("\r\n"))
-                                if header_only:
-                                    break
-                                if len(rows) >= batch_lines:
-                                    yield pd.DataFrame({"archive": path, "member": info.filename,
-                                                        "line_no": rows_no, "line": rows})
-                                    rows_no, rows = [], []
-                        if rows:
-                            yield pd.DataFrame({"archive": path, "member": info.filename,
-                                                "line_no": rows_no, "line": rows})
-    return run
+            for path, content in zip(pdf["path"], pdf["content"]):
+                with zipfile.ZipFile(io.BytesIO(content)) as zf:
+                    for member in _members(zf, wanted):
+                        yield from _lines(path, zf, member, batch_lines, header_only)
 
+    return files.select("path", "content").mapInPandas(run, LINE_SCHEMA)
 
-def explode_archives(files: DataFrame, members: Iterable[str] | None = None,
-                     batch_lines: int = 50_000, header_only: bool = False) -> DataFrame:
-    """Lines of the wanted members of each archive in ``files`` (columns
-    ``path`` and ``content``, as ``binaryFile`` gives them).
 
-    ``line_no`` 0 is the header line of a member.  ``header_only`` reads just
-    that line of each member (a cheap pass for schema checks).
-    """
-    cols = [c for c in ("path", "content") if c in files.columns]
-    return files.select(*cols).mapInPandas(
-        _stream_members(list(members) if members else None, batch_lines, header_only),
-        LINE_SCHEMA)
-
-
-def _explode_all(spark: SparkSession, path: str, glob: str, members, batch_lines: int,
-                 header_only: bool, stream_above: int) -> DataFrame:
-    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
-    # small archives: content shipped by binaryFile, packed into tasks up to
-    # maxPartitionBytes; large ones: path only (the length filter is pushed
-    # into the scan, so their content is not loaded), opened in the task and
-    # spread one per task
-    small = files.where(F.col("length") <= stream_above).select("path", "content")
-    large = files.where(F.col("length") > stream_above).select("path")
-    large = large.repartition(large.sparkSession.sparkContext.defaultParallelism)
-    return (explode_archives(small, members, batch_lines, header_only)
-            .unionByName(explode_archives(large, members, batch_lines, header_only)))
+def archive_members(spark: SparkSession, path: str, members: Iterable[str] | None = None,
+                    glob: str = "*.zip") -> DataFrame:
+    """(archive, member) of the wanted members of every archive under
+    ``path``, dealt one to a task (within what the session's cores can use).
+    Only the zip directories are read."""
+    wanted = set(members) if members else None
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for name in pdf["path"]:
+                with _open_path(name) as source, zipfile.ZipFile(source) as zf:
+                    found = _members(zf, wanted)
+                yield pd.DataFrame({"archive": name, "member": pd.Series(found, dtype=object)})
+
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select("path")
+    spread = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    pairs = files.repartition(spread).mapInPandas(run, "archive string, member string")
+    return pairs.repartition(max(1, min(pairs.count(), 8 * spread)))
+
+
+def _read_all(spark: SparkSession, path: str, glob: str, members, batch_lines: int,
+              header_only: bool) -> DataFrame:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for name, member in zip(pdf["archive"], pdf["member"]):
+                with _open_path(name) as source, zipfile.ZipFile(source) as zf:
+                    yield from _lines(name, zf, member, batch_lines, header_only)
+
+    return archive_members(spark, path, members, glob).mapInPandas(run, LINE_SCHEMA)
 
 
 def archive_lines(spark: SparkSession, path: str, members: Iterable[str] | None = None,
-                  glob: str = "*.zip", batch_lines: int = 50_000,
-                  stream_above: int = STREAM_ABOVE) -> DataFrame:
+                  glob: str = "*.zip", batch_lines: int = 50_000) -> DataFrame:
     """``unzip(zip, member)`` for every archive under ``path``, as lines."""
-    return _explode_all(spark, path, glob, members, batch_lines, False, stream_above)
+    return _read_all(spark, path, glob, members, batch_lines, False)
 
 
 def archive_headers(spark: SparkSession, path: str, members: Iterable[str] | None = None,
-                    glob: str = "*.zip", stream_above: int = STREAM_ABOVE) -> DataFrame:
+                    glob: str = "*.zip") -> DataFrame:
     """The header line of every wanted member of every archive, reading one
     line per member (no full pass over the data)."""
-    return _explode_all(spark, path, glob, members, 1, True, stream_above)
-
-
-def check_headers(headers: DataFrame, member: str, names: list[str], sep: str = "\t") -> None:
-    """Fail early when ``member`` is in no archive, or when any archive's
-    header differs from ``names``.  Collects one line per archive."""
-    heads = {r["line"] for r in headers.where(F.col("member") == member).select("line").collect()}
-    if not heads:
-        raise FileNotFoundError(f"member {member!r} not found in any archive")
-    for h in heads:
-        got = [c.strip('"') for c in h.split(sep)]
-        if got != names:
-            raise ValueError(f"member {member!r}: header {got} does not match schema {names}")
+    return _read_all(spark, path, glob, members, 1, True)
+
+
+def check_headers(headers: DataFrame, expected: dict[str, list[str]], sep: str = "\t") -> None:
+    """Fail early when a member of ``expected`` is in no archive, or when any
+    archive's header differs from the names given.  Headers are compared where
+    they are; one row per member reaches the driver."""
+    names = F.transform(F.split("line", F.concat(F.lit("\\Q"), F.lit(sep), F.lit("\\E"))),
+                        lambda x: F.btrim(x, F.lit('"')))
+    wanted = F.lit(None).cast("array<string>")
+    for member, columns in expected.items():
+        wanted = F.when(F.col("member") == member, F.array(*[F.lit(c) for c in columns])).otherwise(wanted)
+    found = (headers.where(F.col("member").isin(list(expected)))
+             .select("member", F.when(names != wanted, F.col("line")).alias("other"))
+             .groupBy("member").agg(F.min("other").alias("other")).collect())
+    for member in expected:
+        if member not in {r["member"] for r in found}:
+            raise FileNotFoundError(f"member {member!r} not found in any archive")
+    for r in found:
+        if r["other"] is not None:
+            raise ValueError(f"member {r['member']!r}: header {r['other']!r} does not match schema "
+                             f"{expected[r['member']]}")
 
 
 def read_member(lines: DataFrame, member: str, schema: T.StructType, sep: str = "\t",
@@ -155,8 +167,9 @@ def read_member(lines: DataFrame, member: str, schema: T.StructType, sep: str =
     rows = lines.where(F.col("member") == member)
     if check_header:
         heads = headers if headers is not None else rows.where(F.col("line_no") == 0)
-        check_headers(heads, member, schema.fieldNames(), sep)
-    opts = {"sep": sep, "nullValue": null_value, "mode": "PERMISSIVE"}
+        check_headers(heads, {member: schema.fieldNames()}, sep)
+    # a quote inside a quoted field is doubled; a backslash is an ordinary character
+    opts = {"sep": sep, "nullValue": null_value, "mode": "PERMISSIVE", "escape": '"'}
     # readr skips blank lines
     parsed = rows.where((F.col("line_no") > 0) & (F.col("line") != "")).select(
         "archive", "line_no", F.from_csv("line", schema.simpleString(), opts).alias("r"))

@@ -11,8 +11,8 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
+from fieldstat.functions.columns import number
 from fieldstat.operators.joins import MAX_BROADCAST_ROWS, checked_broadcast
 
 # The 40 code lists of the census workbook, in workbook order.
@@ -37,7 +37,7 @@ def load_code_lists(spark: SparkSession, directory: str, names: Iterable[str] |
     """``read_excel(path, sheet = name)`` for every list: ``{name: DataFrame}``.
 
     CSV lists are read as text (no inference) and the code column is
-    converted with ``try_cast``.  All list sizes are checked in one job; lists
+    converted where it is plain decimal text.  All list sizes are checked in one job; lists
     within ``max_broadcast_rows`` carry a broadcast hint into every label join
     (``None`` skips the check and leaves the choice to Spark's statistics).
     """
@@ -46,12 +46,13 @@ def load_code_lists(spark: SparkSession, directory: str, names: Iterable[str] |
     for name in (names or CODE_LISTS):
         path = f"{directory.rstrip('/')}/{name}.{fmt}"
         if fmt == "csv":
-            df = spark.read.option("header", True).option("nullValue", "NA").csv(path)
+            # only an empty cell is missing: ``NA`` is a label like any other
+            df = spark.read.option("header", True).option("escape", '"').csv(path)
         else:
             df = spark.read.format(fmt).load(path)
         code = df.columns[0]
         if name not in text_coded:
-            df = df.withColumn(code, F.col(f"`{code}`").try_cast("double"))
+            df = df.withColumn(code, number(f"`{code}`"))
         out[name] = df
     if max_broadcast_rows is not None:
         out = checked_broadcast(out, max_broadcast_rows)

@@ -21,6 +21,7 @@ def read_delimited(spark: SparkSession, path: str, schema: T.StructType, sep: st
     df = (spark.read.schema(schema)
           .option("sep", sep).option("header", header).option("enforceSchema", not header)
           .option("nullValue", null_value).option("mode", mode)
+          .option("escape", '"')  # a quote is doubled; a backslash is an ordinary character
           .csv(path))
     return df.withColumns({f.name: F.when(F.col(f"`{f.name}`") != "", F.col(f"`{f.name}`"))
                            for f in schema.fields if isinstance(f.dataType, T.StringType)})

@@ -14,7 +14,7 @@ YEARS = [str(y) for y in range(1995, 2002)]
 
 @pytest.fixture(scope="module")
 def t(spark):
-    return census_tables(spark, SF)
+    return census_tables(spark, SF, enumerators=True)
 
 
 def test_monitor_unique_per_establishment(t):
@@ -93,3 +93,20 @@ def test_shared_rows_give_the_standalone_tables(spark):
         assert same(reports.employees_in_year(t, ind, y), reports.employees_in_year(t, ind, y, rows=emp))
         assert same(reports.compensation_in_year(t, ind, y),
                     reports.compensation_in_year(t, ind, y, rows=comp))
+
+
+def test_replaced_data_is_seen_in_the_same_session(spark, tmp_path):
+    """Nothing is remembered between calls: new events give the new answer."""
+    import shutil
+    folder = tmp_path / "data"
+    shutil.copytree(SF, folder)
+    before = QUERIES["fieldwork_monitor"](spark, str(folder)).collect()
+    events = spark.read.parquet(f"{SF}/events.parquet").withColumn("event_type", F.concat(F.lit("new_"), "event_type"))
+    events.write.parquet(str(tmp_path / "other"))
+    (folder / "events.parquet").chmod(0o644)
+    folder.chmod(0o755)
+    (folder / "events.parquet").unlink()
+    (tmp_path / "other").rename(folder / "events.parquet")
+    spark.catalog.clearCache()
+    after = QUERIES["fieldwork_monitor"](spark, str(folder)).collect()
+    assert len(after) == len(before) > 0 and all(r.originator.startswith("new_") for r in after)

@@ -102,3 +102,25 @@ def test_merge_key_with_a_dot(spark):
     x = spark.createDataFrame([(1, "a")], "`k.1` int, v string")
     y = spark.createDataFrame([(1, "b")], "`k.1` int, w string")
     assert [tuple(r) for r in J.merge_frames(x, y, "k.1").collect()] == [(1, "a", "b")]
+
+
+def test_dirty_codes_and_large_codes(spark):
+    big = 9007199254740993
+    lists = spark.createDataFrame([(1, "One"), (big, "Big"), (big - 1, "Near")], "code bigint, label string")
+    rows = [("a", "1d"), ("b", "1f"), ("c", "NaN"), ("d", "007"), ("e", "1.0"), ("f", str(big)), ("g", " 1 "), ("h", "1.0000001")]
+    facts = spark.createDataFrame(rows, "id string, k string")
+    assert sorted(map(tuple, J.label_join(facts, lists, "k", "code", "label").select("id", "label").collect())) == [
+        ("e", "One"), ("f", "Big"), ("g", "One")]
+    whole = spark.createDataFrame([("x", big), ("y", big - 1)], "id string, k bigint")
+    joined = J.label_join(whole, lists, "k", "code", "label")
+    assert sorted(map(tuple, joined.select("id", "label").collect())) == [("x", "Big"), ("y", "Near")]
+    assert "cast" not in joined._jdf.queryExecution().optimizedPlan().toString().lower()
+    nan = spark.createDataFrame([(float("nan"), "NaN code")], "code double, label string")
+    assert J.label_join(facts, nan, "k", "code", "label").count() == 0
+
+
+def test_merge_with_several_keys_and_missing_parts(spark):
+    x = spark.createDataFrame([(1, None, "a"), (None, None, "b"), (1, 2, "c"), (None, 2, "d")], "k int, j int, v string")
+    y = spark.createDataFrame([(1, None, "p"), (None, None, "q"), (1, 2, "r"), (1, 2, "s")], "k int, j int, w string")
+    assert sorted((r.v, r.w) for r in J.merge_frames(x, y, ["k", "j"]).collect()) == [
+        ("a", "p"), ("b", "q"), ("c", "r"), ("c", "s")]

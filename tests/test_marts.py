@@ -1,17 +1,21 @@
 import datetime as dt
 
+import pytest
+
 from fieldstat.plans import marts
 
+TIMES = ("2022-07-01T08:00:00", "2022-07-01T08:30:30")
 D1, D2 = dt.date(2022, 7, 1), dt.date(2022, 7, 2)
 
 
 def tables(spark):
     return {
         "main": spark.createDataFrame(
-            [("k1", "1", "1", "95", "Shop A", "1", None), ("k2", "1", "1", "96", "Shop B", None, "1"),
-             ("k3", "9", "1", "97", "Shop C", "1", "1")],
+            [("k1", "1", "1", "95", "Shop A", "1", None, *TIMES), ("k2", "1", "1", "96", "Shop B", None, "1", *TIMES),
+             ("k3", "9", "1", "97", "Shop C", "1", "1", *TIMES)],
             "id string, interview__status string, ref_letter string, ref_number string, "
-            "name_businesEsta string, major_label_vansic string, major_Infolabel_vanisic string"),
+            "name_businesEsta string, major_label_vansic string, major_Infolabel_vanisic string, "
+            "start_time string, start_end_time string"),
         "interview_actions": spark.createDataFrame(
             [("k1", "intB", "intB", D1), ("k1", "intA", "intA", D1), ("k1", "intA", "intA", D2),
              ("k2", "intZ", "intZ", D1), ("k2", "intB", "intB", D2), ("k3", "intA", "intA", D1)],
@@ -43,10 +47,19 @@ def test_monitor_row_rule(spark):
 def test_fieldwork_industry_fans_out_per_sector(spark):
     t = tables(spark)
     t["main"] = t["main"].union(spark.createDataFrame(
-        [("k4", "1", "1", "98", "Shop D", "1", "1")], t["main"].schema))
+        [("k4", "1", "1", "98", "Shop D", "1", "1", *TIMES)], t["main"].schema))
     t["interview_actions"] = t["interview_actions"].union(spark.createDataFrame(
         [("k4", "intA", "intA", D1)], t["interview_actions"].schema))
     rows = sorted((r.id, r.IndustryType, r.Major_Label_Vansic)
                   for r in marts.fieldwork_industry(t).collect())
     assert rows == [("k1", "Formal", "Mining"), ("k2", "Informal", "Retail"),
                     ("k4", "Formal", "Mining"), ("k4", "Informal", "Retail")]
+
+
+def test_durations_and_missing_columns(spark):
+    t = tables(spark)
+    row = marts.interview_durations(marts.fieldwork_monitor(t)).where("id = 'k1'").first()
+    assert (row.start_text, row.end_clock, row.minutes) == ("2022-07-01 08:00:00", "08:30:30", 30.5)
+    t["main"] = t["main"].drop("start_time")
+    with pytest.raises(Exception, match="start_time"):
+        marts.fieldwork_monitor(t)

@@ -97,9 +97,9 @@ def test_header_only_scan_checks_without_reading_data(spark, scratch):
     heads = archive_headers(spark, scratch)
     rows = heads.collect()
     assert len(rows) == 3 and all(r.line_no == 0 for r in rows)
-    check_headers(heads, "main.tab", SCHEMA.fieldNames())
+    check_headers(heads, {"main.tab": SCHEMA.fieldNames()})
     with pytest.raises(FileNotFoundError):
-        check_headers(heads, "nope.tab", ["x"])
+        check_headers(heads, {"main.tab": SCHEMA.fieldNames(), "nope.tab": ["x"]})
     lines = archive_lines(spark, scratch, members=["main.tab"])
     assert read_member(lines, "main.tab", SCHEMA, headers=heads).count() == 6
 
@@ -118,16 +118,39 @@ def test_archive_lines_split_on_newline_only_and_skip_blank(spark, scratch):
     assert rows["01-02"].name == "B�"
 
 
-def test_large_archives_are_opened_by_path(spark, scratch):
-    make_archive(scratch, "a.zip", {"main.tab": MAIN, "actions.tab": ACTS})
-    make_archive(scratch, "b.zip", {"main.tab": MAIN.splitlines(True)[0] + "02-01\t2\tShop D\n"})
-    # every archive counts as large: the task opens it by path
-    lines = archive_lines(spark, scratch, members=["main.tab"], stream_above=0)
-    heads = archive_headers(spark, scratch, stream_above=0)
-    df = read_member(lines, "main.tab", SCHEMA, headers=heads)
-    assert sorted(r.interview__key for r in df.collect()) == ["01-01", "01-02", "01-03", "02-01"]
-    plan = lines._jdf.queryExecution().optimizedPlan().toString()
-    assert "length" in plan
+def test_members_of_one_archive_are_read_by_different_tasks(spark, scratch):
+    """One export of 14 members: 14 tasks, however few archives there are."""
+    make_archive(scratch, "a.zip", {f"m{i}.tab": f"id\n{i}\n" for i in range(14)})
+    lines = archive_lines(spark, scratch)
+    parts = lines.select("member", F.spark_partition_id().alias("p")).distinct().collect()
+    assert len(parts) == 14 and len({r.p for r in parts}) == 14
+    assert archive_lines(spark, scratch, members=["m3.tab"]).count() == 2
+
+
+def test_empty_folder_of_archives(spark, scratch):
+    make_archive(scratch, "a.zip", {"x.tab": "id\n1\n"})
+    assert archive_lines(spark, scratch, members=["y.tab"]).count() == 0
+
+
+QUOTED = 'interview__key\tprovince\tname\n1\t5\t"The ""Best"" shop"\n2\t6\t"a\\"\n3\t7\t"tab\tin"\n4\t8\tC:\\dir\n'
+
+
+def test_quoting_rules(spark, scratch):
+    """Doubled quotes, a backslash before the closing quote, the separator in quotes: no column shifts."""
+    want = {"1": (5.0, 'The "Best" shop'), "2": (6.0, "a\\"), "3": (7.0, "tab\tin"), "4": (8.0, "C:\\dir")}
+    with open(os.path.join(scratch, "main.tab"), "w") as fh:
+        fh.write(QUOTED)
+    make_archive(scratch, "a.zip", {"main.tab": QUOTED})
+    for df in (read_delimited(spark, os.path.join(scratch, "main.tab"), SCHEMA),
+               read_member(archive_lines(spark, scratch), "main.tab", SCHEMA)):
+        assert {r.interview__key: (r.province, r.name) for r in df.collect()} == want
+
+
+def test_code_list_label_na_is_a_label(spark, scratch):
+    with open(os.path.join(scratch, "province.csv"), "w") as fh:
+        fh.write('province,province_desc\n1,NA\n2,"The ""North"", all"\n1d,x\n4,\n')
+    rows = load_code_lists(spark, scratch, ["province"])["province"].collect()
+    assert [tuple(r) for r in rows] == [(1.0, "NA"), (2.0, 'The "North", all'), (None, "x"), (4.0, None)]
 
 
 def test_read_delimited_bad_value_is_missing(spark, scratch):
