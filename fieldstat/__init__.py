@@ -7,7 +7,7 @@ functions/  Column-level helpers (paste, integer/category casts, dates, times)
 operators/  reshaping, label joins, merges, representative rows, cross-tabs
 sinks/      layered table writes, quoted CSV lines, chart datasets
 plans/      the census marts and report tables, plus the driver-table stand-ins
-streaming/  intentionally empty (the reference has no streaming work)
+llm/        operators that prepare training text (optional; nothing else imports it)
 """
 
 __version__ = "0.1.0"

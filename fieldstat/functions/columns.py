@@ -31,12 +31,15 @@ def is_text(col: Column) -> Column:
     return F.typeof(col) == "string"
 
 
-def number(col, kind: str = "double") -> Column:
+def number(col, kind: str = "double", text: bool | None = None) -> Column:
     """``col`` as a number of type ``kind``: text only if it is plain decimal
-    text (else missing), numbers as they are."""
+    text (else missing), numbers as they are.  ``text`` tells which it is where
+    the caller knows (a shorter expression to analyse)."""
     c = to_col(col)
-    plain = ~is_text(c) | c.cast("string").rlike(_PLAIN_NUMBER)
-    return F.when(plain, c.try_cast(kind))
+    if text is False:
+        return c.try_cast(kind)
+    plain = c.cast("string").rlike(_PLAIN_NUMBER)
+    return F.when(plain if text else ~is_text(c) | plain, c.try_cast(kind))
 
 
 def paste(*cols, sep: str = " ") -> Column:
@@ -58,14 +61,14 @@ def epoch_day(col) -> Column:
     return F.date_from_unix_date(F.when(ok, F.floor(d).cast("int")))
 
 
-def as_integer(col) -> Column:
+def as_integer(col, text: bool | None = None) -> Column:
     """X3 ``as.integer``: truncate toward zero; unparsable, non-finite or
     out-of-32-bit values become missing, and so does R's NA sentinel.
 
     Text goes through double first: ``try_cast('3.7' as int)`` is null in
     Spark while R gives 3.
     """
-    d = number(col)
+    d = number(col, text=text)
     # one range test: it also excludes R's NA sentinel (-2^31 after
     # truncation), NaN and infinities.  Kept to a single CASE on purpose: a
     # nested form that re-reads the cast result generated code ten times
@@ -115,13 +118,26 @@ def time_of_day_text(col) -> Column:
     return F.regexp_replace(to_col(col).cast("string"), "^[^T]*T", "")
 
 
-def parse_time(col, formats=("yyyy-M-d'T'H:m:s", "yyyy-M-d H:m:s", "M/d/yyyy H:m:s", "M-d-yyyy H:m:s",
-                             "M.d.yyyy H:m:s")) -> Column:
-    """X9 ``mdy_hms`` and the ISO form, with or without leading zeros: first
-    format that parses wins, unparsable text gives null (disabled in the
-    reference)."""
+# Which texts each time format is tried on: a format that does not fit costs
+# an exception per row.
+TIME_FORMATS = {
+    r"^[0-9]{4}-[0-9]+-[0-9]+T": "yyyy-M-d'T'H:m:s",
+    r"^[0-9]{4}-": "yyyy-M-d H:m:s",
+    r"^[0-9]{1,2}/": "M/d/yyyy H:m:s",
+    r"^[0-9]{1,2}-": "M-d-yyyy H:m:s",
+    r"^[0-9]{1,2}[.]": "M.d.yyyy H:m:s",
+}
+
+
+def parse_time(col, formats: dict[str, str] = TIME_FORMATS) -> Column:
+    """X9 ``mdy_hms`` and the ISO form, with or without leading zeros: the
+    format whose pattern the text starts with; unparsable text gives null
+    (disabled in the reference)."""
     c = to_col(col).cast("string")
-    return F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in formats])
+    out = F.lit(None).cast("timestamp")
+    for start, fmt in reversed(formats.items()):
+        out = F.when(c.rlike(start), F.try_to_timestamp(c, F.lit(fmt))).otherwise(out)
+    return out
 
 
 def minutes_between(start, end) -> Column:

@@ -44,20 +44,14 @@ def representative_rows(df: DataFrame, keys, order_by=None) -> DataFrame:
     ``order_by`` lists the tie-break columns that decide which row represents
     the group (names sort ascending, nulls first; Column objects are used as
     given); every other non-key column follows, so the order is total up to
-    identical rows.
+    identical rows.  A test on the chosen row (A5, ``HAVING`` on a bare
+    column) is a ``where`` on the result; it must stay above the choice.
     """
     keys = as_list(keys)
     w = Window.partitionBy(*[F.col(f"`{k}`") for k in keys]).orderBy(*_order(df, keys, order_by))
     return df.withColumn(_RN, F.row_number().over(w)).where(F.col(_RN) == 1).drop(_RN)
 
 
-def having_on_representative(df: DataFrame, keys, condition: Column, order_by=None) -> DataFrame:
-    """A5 ``GROUP BY k HAVING p(bare column)``: choose the representative row
-    first, then test it.  The filter must stay above the choice; pushing it
-    below changes which groups survive."""
-    return representative_rows(df, keys, order_by).where(condition)
-
-
 def keep_first(df: DataFrame, keys, order_by=None) -> DataFrame:
     """A7 dplyr ``distinct(k1, k2, .keep_all = TRUE)``: first whole row per
     key combination, in source order when a line number is given as

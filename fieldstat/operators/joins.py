@@ -82,7 +82,7 @@ def code_key(df: DataFrame, col: str, other: DataFrame, other_col: str) -> tuple
     if "string" not in (lt, rt) or lt == rt:
         return df[col], other[other_col]
     kind = "decimal(38,18)" if {lt, rt} & set(_WHOLE) else "double"
-    return number(df[col], kind), number(other[other_col], kind)
+    return number(df[col], kind, lt == "string"), number(other[other_col], kind, rt == "string")
 
 
 def label_join(df: DataFrame, codes: DataFrame, left_key: str, code_col: str,

@@ -3,10 +3,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import types as T
+from pyspark.sql import DataFrame
 
 from fieldstat.functions.columns import as_integer, category_text
 
@@ -45,17 +44,6 @@ def drop_range(df: DataFrame, *ranges: tuple[str, str]) -> DataFrame:
     return df.select(*[c for c in cols if c not in doomed])
 
 
-def cast_many(df: DataFrame, cols: Iterable[str], fn: Callable[[Column], Column]) -> DataFrame:
-    """P7 ``mutate_at(df, vars(...), f)``: apply one function to a column list,
-    as one projection (duplicates in the list are ignored)."""
-    wanted = list(dict.fromkeys(cols))
-    missing = [c for c in wanted if c not in df.columns]
-    if missing:
-        raise KeyError(f"columns not found: {missing}")
-    from pyspark.sql import functions as F
-    return df.withColumns({c: fn(F.col(c)) for c in wanted})
-
-
 _INTEGRAL = ("tinyint", "smallint", "int")
 
 
@@ -74,7 +62,7 @@ def to_integer(df: DataFrame, cols: Iterable[str]) -> DataFrame:
     def conv(c):
         if types[c] in _INTEGRAL:  # only R's NA sentinel changes
             return F.when(F.col(c) != F.lit(R_INT_NA), F.col(c).cast("int"))
-        return as_integer(F.col(c))
+        return as_integer(F.col(c), text=types[c] == "string")
     return df.withColumns({c: conv(c) for c in wanted})
 
 
@@ -100,9 +88,3 @@ def to_category(df: DataFrame, cols: Iterable[str]) -> DataFrame:
         else:
             out[c] = category_text(F.col(c))
     return df.withColumns(out)
-
-
-def keep_types(df: DataFrame, cols: Iterable[str], dtype: T.DataType) -> DataFrame:
-    """Declare a type for columns that must not be reinterpreted (for example
-    GPS coordinates kept as double in the clean layer)."""
-    return df.withColumns({c: df[c].try_cast(dtype) for c in cols})

@@ -189,19 +189,19 @@ def q_sector_union(spark, sf):
 
 
 def q_fieldwork_monitor(spark, sf):
-    return marts.fieldwork_monitor(_t(spark, sf, enumerators=True))
+    return marts.fieldwork_monitor(_t(spark, sf))
 
 
 def q_fieldwork_durations(spark, sf):
-    return marts.interview_durations(marts.fieldwork_monitor(_t(spark, sf, enumerators=True)))
+    return marts.interview_durations(marts.fieldwork_monitor(_t(spark, sf)))
 
 
 def q_fieldwork_industry(spark, sf):
-    return marts.fieldwork_industry(_t(spark, sf, enumerators=True))
+    return marts.fieldwork_industry(_t(spark, sf))
 
 
 def q_fieldwork_export_lines(spark, sf):
-    t = _t(spark, sf, enumerators=True)
+    t = _t(spark, sf)
     return csv_document(spark, marts.fieldwork_industry(t), sort_by=["id", "IndustryType"])
 
 

@@ -26,21 +26,33 @@ mixed-type join J4.  ``STANDIN_SQL`` holds the same definitions for DuckDB.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldstat.functions.columns import as_integer, label_in
-from fieldstat.operators.joins import checked_broadcast, exists_join
+from fieldstat.operators.joins import bounded_broadcast, exists_join
 from fieldstat.operators.reshape import to_category
 from fieldstat.plans.reports import SKILL_MEASURES
 
 TABLES = ("region", "nation", "customer", "orders", "lineitem", "events", "part")
 
 
+class LazyTables(dict):
+    """Tables by name, each built when it is first asked for."""
+
+    def __init__(self, builders: dict[str, Callable[[], DataFrame]]):
+        super().__init__()
+        self._builders = builders
+
+    def __missing__(self, name: str) -> DataFrame:
+        self[name] = table = self._builders[name]()
+        return table
+
+
 def read_tables(spark: SparkSession, sf_dir: str, names=TABLES) -> dict[str, DataFrame]:
-    return {n: spark.read.parquet(f"{sf_dir.rstrip('/')}/{n}.parquet") for n in names}
+    return LazyTables({n: lambda n=n: spark.read.parquet(f"{sf_dir.rstrip('/')}/{n}.parquet") for n in names})
 
 
 # main's code columns stored as category text.
@@ -78,28 +90,28 @@ def _interview_time(minutes) -> Column:
 
 
 def ref_year_details(src: dict[str, DataFrame], measures: bool = False,
-                     years: Iterable[str] | None = None) -> DataFrame:
+                     years: Iterable[str] | None = None, year_list: DataFrame | None = None) -> DataFrame:
     """``years`` cuts the orders to those years (through the year list, like
     the reports) before they meet ``lineitem``: what a report drops by its
     year is not shuffled by the order key."""
     o = src["orders"].select("o_orderkey", F.col("o_custkey").alias("id"),
                              F.year("o_orderdate").cast("string").alias("ref_yearDetails__id"), "o_totalprice")
-    paid = F.nullif(as_integer(F.col("o_totalprice") / 50000), F.lit(0)).alias("tot_paid_emp")
-    sales = as_integer("o_totalprice").alias("sales_goods_services")
+    paid = F.nullif(as_integer(F.col("o_totalprice") / 50000, text=False), F.lit(0)).alias("tot_paid_emp")
+    sales = as_integer("o_totalprice", text=False).alias("sales_goods_services")
     if not measures:
         return o.select("id", "ref_yearDetails__id", paid, sales)
     if years is not None:
-        wanted = src["reference_year"].where(label_in("reference_year_desc", list(years)))
+        wanted = year_list.where(label_in("reference_year_desc", list(years)))
         o = exists_join(o, wanted.select(F.col("reference_year").cast("string").alias("ref_yearDetails__id")),
                         "ref_yearDetails__id")
     li = src["lineitem"]
     j = li.join(o, li.l_orderkey == o.o_orderkey)
     return j.select(
         "id", "ref_yearDetails__id", paid, sales,
-        as_integer("l_quantity").alias("local_emp"),
+        as_integer("l_quantity", text=False).alias("local_emp"),
         F.col("l_linenumber").alias("foreign_emp"),
-        as_integer("l_extendedprice").alias("employee_comp"),
-        *[as_integer(F.col("l_extendedprice") / (100 * (k + 1))).alias(name)
+        as_integer("l_extendedprice", text=False).alias("employee_comp"),
+        *[as_integer(F.col("l_extendedprice") / (100 * (k + 1)), text=False).alias(name)
           for k, name in enumerate(SKILL_MEASURES)])
 
 
@@ -108,51 +120,58 @@ def code_list(df: DataFrame, code: str, label: str, name: str) -> DataFrame:
 
 
 def census_tables(spark: SparkSession, sf_dir: str, measures: bool = False,
-                  years: Iterable[str] | None = None, enumerators: bool = False) -> dict[str, DataFrame]:
-    """The census tables of one data folder, read anew by every call.
+                  years: Iterable[str] | None = None) -> dict[str, DataFrame]:
+    """The census tables of one data folder, read anew by every call and only
+    where a plan asks for them.
 
-    Nothing is cached or remembered, so replaced data is seen at once.  The
+    Nothing is kept between calls, so replaced data is seen at once.  The
     lists read from files (nation, region) carry Spark's own file sizes, which
     decide about a broadcast without a job.  The year list is broadcast: its
     rows are distinct years of timestamps, of which there are at most 600,000
     (16 bytes each), whatever the data.  The list of originators has no such
-    bound: it is size-checked, and only where a plan asks for it.
+    bound: it is size-checked.
     """
     src = read_tables(spark, sf_dir)
-    o, e = src["orders"], src["events"]
-    src["reference_year"] = F.broadcast(
-        o.select(F.year("o_orderdate").alias("reference_year")).distinct()
-        .withColumn("reference_year_desc", F.col("reference_year").cast("string")))
-    derived = {"reference_year": src["reference_year"]}
-    if enumerators:
-        derived |= checked_broadcast({
-            "enumerators": e.select(F.col("event_type").alias("enum")).distinct()
-                            .withColumn("enumdesc", F.upper("enum"))})
-    lists = src
-    n, r = lists["nation"], lists["region"]
-    t = {
-        "main": main_table(src),
-        "ref_yearDetails": ref_year_details(src, measures, years),
-        "register_id": o.select(F.col("o_custkey").alias("id"),
-                                F.substring("o_orderpriority", 1, 1).alias("register_id__id")),
-        "interview_actions": e.select(F.col("user_id").alias("id"),
-                                      F.col("event_type").alias("originator"),
-                                      F.col("event_type").alias("responsible__name"),
-                                      F.to_date("ts").alias("date"),
-                                      F.col("ts").alias("time"),
-                                      F.col("event_id").alias("line_no")),
-        "errors": e.where(F.col("event_type") == "error").select(
-            F.col("user_id").alias("id"), F.col("props").alias("variable")),
-        **derived,
-    }
-    for name in ("area_council", "major_label_vansic", "major_Infolabel_vanisic"):
-        t[name] = code_list(n, "n_nationkey", "n_name", name)
-    t["ref_letter"] = n.select(F.col("n_nationkey").alias("ref_number"),
-                               F.col("n_name").alias("ref_number_desc"))
-    for name in ("province", "interview_status", "legal_status", "account_keeping",
-                 "institution_reg"):
-        t[name] = code_list(r, "r_regionkey", "r_name", name)
-    return t
+
+    def reference_year():
+        return F.broadcast(
+            src["orders"].select(F.year("o_orderdate").alias("reference_year")).distinct()
+            .withColumn("reference_year_desc", F.col("reference_year").cast("string")))
+
+    def enumerators():
+        return bounded_broadcast(src["events"].select(F.col("event_type").alias("enum")).distinct()
+                                 .withColumn("enumdesc", F.upper("enum")))
+
+    def register_id():
+        return src["orders"].select(F.col("o_custkey").alias("id"),
+                                    F.substring("o_orderpriority", 1, 1).alias("register_id__id"))
+
+    def interview_actions():
+        return src["events"].select(
+            F.col("user_id").alias("id"), F.col("event_type").alias("originator"),
+            F.col("event_type").alias("responsible__name"), F.to_date("ts").alias("date"),
+            F.col("ts").alias("time"), F.col("event_id").alias("line_no"))
+
+    def errors():
+        return src["events"].where(F.col("event_type") == "error").select(
+            F.col("user_id").alias("id"), F.col("props").alias("variable"))
+
+    tables = LazyTables({
+        "main": lambda: main_table(src),
+        "ref_yearDetails": lambda: ref_year_details(src, measures, years, tables["reference_year"] if years else None),
+        "register_id": register_id,
+        "interview_actions": interview_actions,
+        "errors": errors,
+        "reference_year": reference_year,
+        "enumerators": enumerators,
+        "ref_letter": lambda: src["nation"].select(F.col("n_nationkey").alias("ref_number"),
+                                                   F.col("n_name").alias("ref_number_desc")),
+        **{name: lambda name=name: code_list(src["nation"], "n_nationkey", "n_name", name)
+           for name in ("area_council", "major_label_vansic", "major_Infolabel_vanisic")},
+        **{name: lambda name=name: code_list(src["region"], "r_regionkey", "r_name", name)
+           for name in ("province", "interview_status", "legal_status", "account_keeping", "institution_reg")},
+    })
+    return tables
 
 
 # ---------------------------------------------------------------------------

@@ -32,7 +32,7 @@ def test_representative_is_deterministic_across_partitions(spark):
 def test_having_on_representative_differs_from_prefilter(spark):
     # A5: the test applies to the chosen row; filtering first gives another answer
     df = spark.createDataFrame([(1, "2019"), (1, "2021"), (2, "2021")], "id int, year string")
-    as_written = G.having_on_representative(df, "id", F.col("year") == "2021", ["year"])
+    as_written = G.representative_rows(df, "id", ["year"]).where(F.col("year") == "2021")
     prefiltered = G.representative_rows(df.where(F.col("year") == "2021"), "id", ["year"])
     assert rows_of(as_written) == [(2, "2021")]
     assert rows_of(prefiltered) == [(1, "2021"), (2, "2021")]
