@@ -58,9 +58,13 @@ BROADCAST_ANCHORS = 1_000_000
 ROUND = 12 << 20
 _LAST = (1 << 63) - 1
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9))
+_UNMIX = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+_COLUMNS = ("anchor", "doc", "run", "start", "length")
+_KINDS = {"anchor": np.uint64, "doc": np.uint32, "run": np.uint64, "start": np.uint32, "length": np.uint32}
 _MESSAGE = [("owner", pa.int64()), ("kind", pa.int32()), ("n", pa.int32()), ("docs", pa.binary()),
-            ("anchors", pa.binary()), ("doc", pa.binary()), ("start", pa.binary()), ("length", pa.binary())]
-_MESSAGES = "owner long, kind int, n int, docs binary, anchors binary, doc binary, start binary, length binary"
+            *[(c, pa.binary()) for c in _COLUMNS]]
+_MESSAGES = "owner long, kind int, n int, docs binary, " + ", ".join(f"{c} binary" for c in _COLUMNS)
+_PLACES = "key long, doc_id long, anchors array<long>, runs array<long>, starts array<int>, lengths array<int>"
 
 
 def _planes(values: np.ndarray) -> bytes:
@@ -72,16 +76,20 @@ def _unplanes(data: bytes, n: int, kind: type) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(-1, n).T).view(kind).ravel()
 
 
-def _runs(words: list[bytes], window: int, anchor: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(anchor value, first window, number of windows) of each run of a document with at least ``window`` words."""
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(29))) * _MIX[1]
+    return x ^ (x >> np.uint64(32))
+
+
+def _runs(words: list[bytes], window: int, anchor: int) -> tuple[np.ndarray, ...]:
+    """Anchor value, hash of its words, first window and number of windows of each run of a document with at
+    least ``window`` words."""
     hashes = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
     n = len(words) - anchor + 1
     grams = np.zeros(n, np.uint64)
     for k in range(anchor):
         grams = grams * _MIX[0] + hashes[k:k + n]
-    grams ^= grams >> np.uint64(29)
-    grams *= _MIX[1]
-    grams ^= grams >> np.uint64(32)
+    grams = _mixed(grams)
     span = window - anchor + 1
     m = n - span + 1
     least, place = grams[:m].copy(), np.arange(m)
@@ -90,48 +98,54 @@ def _runs(words: list[bytes], window: int, anchor: int) -> tuple[np.ndarray, np.
         least[less] = grams[k:k + m][less]
         place[less] = np.flatnonzero(less) + k
     first = np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1])))
-    return least[first], first.astype(np.uint32), np.diff(np.append(first, m)).astype(np.uint32)
+    length = np.diff(np.append(first, m))
+    # sums of hash * mix**place; the quotient by mix**first does not depend on where the run stands
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(hashes * np.cumprod(np.full(len(words), _MIX[0])), dtype=np.uint64)))
+    back = np.cumprod(np.full(len(words), _UNMIX))
+    run = _mixed((sums[first + length + window - 1] - sums[first]) * back[first])
+    return least[first], run, first.astype(np.uint32), length.astype(np.uint32)
 
 
 def _send(owners: int, window: int, anchor: int):
-    def message(owner: int, kind: int, docs: np.ndarray, *columns: np.ndarray) -> pa.RecordBatch:
-        row = [owner, kind, len(columns[0]), docs.tobytes(), *map(_planes, columns)]
+    def message(owner: int, kind: int, docs: np.ndarray, columns: dict[str, np.ndarray]) -> pa.RecordBatch:
+        """``docs``: key and doc_id of the documents that column doc counts."""
+        row = [owner, kind, len(columns["anchor"]), docs.tobytes(), *[_planes(columns[c]) for c in _COLUMNS]]
         return pa.RecordBatch.from_arrays([pa.array([v], t) for v, (_, t) in zip(row, _MESSAGE)], [c for c, _ in _MESSAGE])
 
-    def flush(keys: list[int], parts: list, round_no: int) -> Iterator[pa.RecordBatch]:
+    def flush(keys: list[tuple[int, int]], parts: list, round_no: int) -> Iterator[pa.RecordBatch]:
         docs = np.array(keys, np.int64)
-        value, start, length = (np.concatenate(x) for x in zip(*[p[1:] for p in parts]))
-        doc = np.repeat(np.array([p[0] for p in parts], np.uint32), [len(p[1]) for p in parts])
-        order = np.argsort(value, kind="stable")
-        value, start, length, doc = value[order], start[order], length[order], doc[order]
+        table = dict(zip(("anchor", "run", "start", "length"), (np.concatenate(x) for x in zip(*parts))))
+        table["doc"] = np.repeat(np.arange(len(parts), dtype=np.uint32), [len(p[0]) for p in parts])
+        order = np.argsort(table["anchor"], kind="stable")
+        table = {c: v[order] for c, v in table.items()}
+        value = table["anchor"]
         first = np.concatenate(([True], value[1:] != value[:-1]))
         last = np.concatenate((first[1:], [True]))
         alone = first & last
-        local = ~alone  # here twice already: the places need no answer, the owner only needs the anchor
-        if local.any():
-            yield message(round_no, 0, docs, value[local], doc[local], start[local], length[local])
-        none = np.zeros(0, np.uint32)
+        if not alone.all():  # here twice already: these places need no answer, the owner only needs the anchor
+            yield message(round_no, 0, docs, {c: v[~alone] for c, v in table.items()})
         step = min((1 << 64) // owners + 1, (1 << 64) - 1)
         for kind, rows in ((1, alone), (2, first & ~alone)):
             at = np.flatnonzero(rows)
             cuts = np.searchsorted(value[at], np.arange(1, owners, dtype=np.uint64) * np.uint64(step))
             for owner, part in enumerate(np.split(at, cuts)):
                 if len(part) and kind == 1:
-                    used, doc_here = np.unique(doc[part], return_inverse=True)
-                    yield message(owner, 1, docs[used], value[part], doc_here.astype(np.uint32), start[part], length[part])
+                    used, doc_here = np.unique(table["doc"][part], return_inverse=True)
+                    mine = {c: v[part] for c, v in table.items()} | {"doc": doc_here.astype(np.uint32)}
+                    yield message(owner, 1, docs[used], mine)
                 elif len(part):
-                    yield message(owner, 2, docs[:0], value[part], none, none, none)
+                    yield message(owner, 2, docs[:0], {c: value[part] if c == "anchor" else v[:0] for c, v in table.items()})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         round_no, keys, parts, held = TaskContext.get().partitionId(), [], [], 0
         for part in slices(batches):
-            for key, body in zip(part.column("key").to_pylist(), part.column("body").to_pylist()):
+            for key, doc_id, body in zip(*(part.column(c).to_pylist() for c in ("key", "doc_id", "body"))):
                 words = body.split()
                 if len(words) >= window:
-                    parts.append((len(keys), *_runs(words, window, anchor)))
-                    keys.append(key)
+                    parts.append(_runs(words, window, anchor))
+                    keys.append((key, doc_id))
                     held += len(body)
             if held >= ROUND:
                 yield from flush(keys, parts, round_no)
@@ -142,41 +156,43 @@ def _send(owners: int, window: int, anchor: int):
     return run
 
 
-def _hits(docs: np.ndarray, value, doc, start, length) -> Iterator[pa.RecordBatch]:
-    """One row per document: its places, as arrays."""
-    order = np.argsort(doc, kind="stable")
-    value, doc, start, length = value[order], doc[order], start[order], length[order]
+def _hits(m: dict, hit: np.ndarray | slice) -> Iterator[pa.RecordBatch]:
+    """One row per document of a message: its places at ``hit``, as arrays."""
+    docs = np.frombuffer(m["docs"], np.int64).reshape(-1, 2)
+    table = {c: _unplanes(m[c], m["n"], _KINDS[c])[hit] for c in _COLUMNS}
+    order = np.argsort(table["doc"], kind="stable")
+    table = {c: v[order] for c, v in table.items()}
+    doc = table["doc"]
     first = np.flatnonzero(np.concatenate(([True], doc[1:] != doc[:-1])))
     offsets = pa.array(np.append(first, len(doc)).astype(np.int32))
+    lists = (table["anchor"].view(np.int64), table["run"].view(np.int64), table["start"].astype(np.int32),
+             table["length"].astype(np.int32))
     yield pa.RecordBatch.from_arrays(
-        [pa.array(docs[doc[first]])] + [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (
-            value.view(np.int64), start.astype(np.int32), length.astype(np.int32))],
-        ["key", "anchors", "starts", "lengths"])
+        [pa.array(docs[doc[first], 0]), pa.array(docs[doc[first], 1])]
+        + [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in lists],
+        ["key", "doc_id", "anchors", "runs", "starts", "lengths"])
 
 
 def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Owners: rows come sorted by kind and owner; kind 0 passes."""
 
-    def owner_hits(messages: list[tuple]) -> Iterator[pa.RecordBatch]:
-        found = [_unplanes(m["anchors"], m["n"], np.uint64) for m in messages]
+    def owner_hits(messages: list[dict]) -> Iterator[pa.RecordBatch]:
+        found = [_unplanes(m["anchor"], m["n"], np.uint64) for m in messages]
         distinct, counts = np.unique(np.concatenate(found), return_counts=True)
-        repeated = distinct[counts > 1]
         bare = np.concatenate([f for f, m in zip(found, messages) if m["kind"] == 2] or [distinct[:0]])
-        repeated = np.union1d(repeated, bare)
+        repeated = np.union1d(distinct[counts > 1], bare)
         for value, m in zip(found, messages):
             if m["kind"] == 1 and len(repeated):
                 at = np.minimum(np.searchsorted(repeated, value), len(repeated) - 1)
                 hit = repeated[at] == value
                 if hit.any():
-                    yield from _hits(np.frombuffer(m["docs"], np.int64), value[hit],
-                                     *(_unplanes(m[c], m["n"], np.uint32)[hit] for c in ("doc", "start", "length")))
+                    yield from _hits(m, hit)
 
     held: list[dict] = []
     for batch in batches:
         for m in batch.to_pylist():
             if m["kind"] == 0:
-                yield from _hits(np.frombuffer(m["docs"], np.int64), _unplanes(m["anchors"], m["n"], np.uint64),
-                                 *(_unplanes(m[c], m["n"], np.uint32) for c in ("doc", "start", "length")))
+                yield from _hits(m, slice(None))
                 continue
             if held and held[0]["owner"] != m["owner"]:
                 yield from owner_hits(held)
@@ -187,14 +203,13 @@ def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def repeated_places(docs: DataFrame, window: int, anchor: int) -> DataFrame:
-    """key, anchors, starts, lengths: runs of ``docs`` (key, body) whose anchor occurs more than once.
-    A key has several rows (one per owner that answered)."""
+    """key, doc_id, anchors, runs, starts, lengths: runs of ``docs`` (key, doc_id, body) whose anchor occurs
+    more than once.  A key has several rows (one per owner that answered)."""
     n = shuffle_partitions(docs.sparkSession)
-    sent = docs.select("key", "body").mapInArrow(_send(n, window, anchor), _MESSAGES)
+    sent = docs.select("key", "doc_id", "body").mapInArrow(_send(n, window, anchor), _MESSAGES)
     local = F.col("kind") == 0
     dealt = sent.repartition(n, F.when(local, F.xxhash64("docs")).otherwise(F.col("owner")), local)
-    return dealt.sortWithinPartitions(~local, "owner").mapInArrow(
-        _answer, "key long, anchors array<long>, starts array<int>, lengths array<int>")
+    return dealt.sortWithinPartitions(~local, "owner").mapInArrow(_answer, _PLACES)
 
 
 def _squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -214,31 +229,27 @@ def _bodies(part: pa.RecordBatch) -> list[bytes]:
         part.column("packed").to_pylist(), part.column("size").to_pylist())]
 
 
-def _cut(window: int, with_text: bool):
-    """Runs of documents at their places."""
-    names = ["key", "doc_id", "anchor", "run", "start", "n"] + ["words"] * with_text
-    types = [pa.int64()] * 4 + [pa.int32()] * 2 + [pa.binary()] * with_text
+def _cut(window: int):
+    """Runs of documents, cut from their texts."""
+    types = (("anchor", pa.int64()), ("run", pa.int64()), ("words", pa.binary()), ("doc_id", pa.int64()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "size"):
-            key, doc_id, anchor, start, n, texts = ([] for _ in range(6))
-            columns = (part.column(c).to_pylist() for c in ("key", "doc_id", "places"))
-            for body, k, d, places in zip(_bodies(part), *columns):
+            anchor, runs, texts, ids = [], [], [], []
+            columns = (part.column(c).to_pylist() for c in ("doc_id", "places"))
+            for body, doc_id, places in zip(_bodies(part), *columns):
                 words = body.split()
                 joined = b" ".join(words)
                 ends = (np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1).tolist()
                 for place in places:
-                    starts, lengths = place["starts"], place["lengths"]
-                    key += [k] * len(starts)
-                    doc_id += [d] * len(starts)
                     anchor += place["anchors"]
-                    start += starts
-                    n += lengths
-                    texts += [joined[ends[a - 1] + 1 if a else 0:ends[a + m + window - 2]] for a, m in zip(starts, lengths)]
+                    runs += place["runs"]
+                    texts += [joined[ends[a - 1] + 1 if a else 0:ends[a + m + window - 2]]
+                              for a, m in zip(place["starts"], place["lengths"])]
+                    ids += [doc_id] * len(place["starts"])
             if texts:
-                runs = np.fromiter(map(xxhash.xxh3_64_intdigest, texts), np.uint64, len(texts)).view(np.int64)
-                out = [key, doc_id, anchor, runs, start, n] + [texts] * with_text
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)], names)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, (_, t) in zip((anchor, runs, texts, ids), types)], [n for n, _ in types])
 
     return run
 
@@ -413,11 +424,11 @@ def remove_repeats(docs: DataFrame, window: int = 13, anchor: int = ANCHOR) -> D
     rows = docs.select(F.coalesce(doc_id, F.lit(_LAST)).alias("doc_id"), text_bytes().alias("body"))
     rows = rows.withColumn("key", F.xxhash64("doc_id", "body"))
     places = stored(repeated_places(rows, window, anchor), "places")
-    grouped = places.groupBy("key").agg(F.collect_set(F.struct("anchors", "starts", "lengths")).alias("places"))
+    fields = ("anchors", "runs", "starts", "lengths")
+    grouped = places.groupBy("key").agg(F.collect_set(F.struct(*fields)).alias("places"))
     texts = rows.mapInArrow(_squeeze, "key long, doc_id long, size long, packed binary")
-    found = texts.join(grouped, "key").select("key", "doc_id", "size", "packed", "places")
-    schema = "key long, doc_id long, anchor long, run long, start int, n int"
-    runs = found.mapInArrow(_cut(window, True), schema + ", words binary")
+    found = texts.join(grouped, "key").select("doc_id", "size", "packed", "places")
+    runs = found.mapInArrow(_cut(window), "anchor long, run long, words binary, doc_id long")
     refs = stored(runs.groupBy("anchor", "run", "words").agg(F.min("doc_id").alias("first")), "runs")
     large = stored(refs.groupBy("anchor").count().filter(F.col("count") > RUNS).select("anchor"), "large")
     if large.count() <= BROADCAST_ANCHORS:
@@ -425,9 +436,11 @@ def remove_repeats(docs: DataFrame, window: int = 13, anchor: int = ANCHOR) -> D
     shards = refs.join(large, "anchor", "left_anti").repartition(n, "anchor").sortWithinPartitions("anchor", "first")
     matched = shards.mapInArrow(_match(window), "anchor long, run long, first long, marks array<int>")
     matched = stored(matched.unionByName(_single_windows(refs.join(large, "anchor", "left_semi"), window)), "matched")
-    again = found.mapInArrow(_cut(window, False), schema)
-    spans = _spans(again.join(matched, ["anchor", "run"]), window)
-    spans = spans.groupBy("key").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
+    each = places.select("key", "doc_id", F.inline(F.arrays_zip(*fields)))
+    each = each.select("key", "doc_id", F.col("anchors").alias("anchor"), F.col("runs").alias("run"),
+                       F.col("starts").alias("start"), F.col("lengths").alias("n"))
+    spans = _spans(each.join(matched, ["anchor", "run"]), window)
+    spans = spans.groupBy("key").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
     kept = texts.join(spans, "key", "left").select("doc_id", "size", "packed", "spans").mapInArrow(
         _keep(window), "doc_id long, n_words long, n_removed long, kept binary")
     return kept.withColumn("doc_id", F.when(F.col("doc_id") != _LAST, F.col("doc_id")))
