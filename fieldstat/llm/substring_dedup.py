@@ -54,6 +54,8 @@ SHARD = 1 << 16
 RUNS = 2000
 #: Anchors (8 bytes each) beyond ``RUNS`` that may be broadcast; more are joined by a shuffle.
 BROADCAST_ANCHORS = 1_000_000
+#: Bytes of text whose anchors one owner holds, on average; more text has more owners.
+PER_OWNER = 128 << 20
 #: Bytes of text whose anchors are sent as one message round.
 ROUND = 12 << 20
 _LAST = (1 << 63) - 1
@@ -205,7 +207,8 @@ def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def repeated_places(docs: DataFrame, window: int, anchor: int) -> DataFrame:
     """key, doc_id, anchors, runs, starts, lengths: runs of ``docs`` (key, doc_id, body) whose anchor occurs
     more than once.  A key has several rows (one per owner that answered)."""
-    n = shuffle_partitions(docs.sparkSession)
+    size = docs.agg(F.sum(F.octet_length("body").cast("long"))).first()[0] or 0
+    n = max(shuffle_partitions(docs.sparkSession), -(-size // PER_OWNER))
     sent = docs.select("key", "doc_id", "body").mapInArrow(_send(n, window, anchor), _MESSAGES)
     local = F.col("kind") == 0
     dealt = sent.repartition(n, F.when(local, F.xxhash64("docs")).otherwise(F.col("owner")), local)
