@@ -57,7 +57,7 @@ BROADCAST_ANCHORS = 1_000_000
 #: Bytes of text whose anchors one owner holds, on average; more text has more owners.
 PER_OWNER = 128 << 20
 #: Bytes of text whose anchors are sent as one message round.
-ROUND = 12 << 20
+ROUND = 8 << 20
 _LAST = (1 << 63) - 1
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9))
 _UNMIX = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -237,7 +237,7 @@ def _cut(window: int):
     types = (("anchor", pa.int64()), ("run", pa.int64()), ("words", pa.binary()), ("doc_id", pa.int64()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "size"):
+        for part in slices(batches, "size", 2 << 20):
             anchor, runs, texts, ids = [], [], [], []
             columns = (part.column(c).to_pylist() for c in ("doc_id", "places"))
             for body, doc_id, places in zip(_bodies(part), *columns):
@@ -394,7 +394,7 @@ def _keep(window: int):
     names = ["doc_id", "n_words", "n_removed", "kept"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "size"):
+        for part in slices(batches, "size", 4 << 20):
             out = []
             for body, doc_id, spans in zip(_bodies(part), *(part.column(c).to_pylist() for c in ("doc_id", "spans"))):
                 words = body.split()
