@@ -3,7 +3,8 @@
 A document is its ids and an end id.  One that is longer than a sequence is cut
 into whole sequences; the first piece takes the rest.  Pieces as long as a
 sequence are sequences by themselves.  The others are dealt into groups of
-about ``GROUP`` pieces by a hash, and each group is packed by itself: a bin
+about ``GROUP`` pieces by a hash that no number of equal rows can load one group
+with, and each group is packed by itself: a bin
 starts with the longest piece left, and a bitset subset-sum over the lengths
 available (Python's integers as bitsets) finds the fullest feasible
 combination, which is then removed.  A group's last bins are its only loss, and
@@ -116,12 +117,14 @@ def _pack(capacity: int):
 
 
 def pack(rows: DataFrame, key: list[str], capacity: int = 1024) -> DataFrame:
-    """``rows`` (with a ``length`` of 1 to ``capacity``; ``key`` tells them apart) with sequence_id and offset."""
+    """``rows`` (with a ``length`` of 1 to ``capacity``) with sequence_id and offset; ``key`` and a row number deal
+    them out, so rows that repeat the key spread as well."""
     rows = stored(rows, "pieces")
     groups = max(1, -(-rows.filter(F.col("length") < capacity).count() // GROUP))
     full = rows.filter(F.col("length") >= capacity).select(
         "*", (-F.monotonically_increasing_id() - 1).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
-    dealt = rows.filter(F.col("length") < capacity).withColumn("__group", F.pmod(F.xxhash64(*key), F.lit(groups)))
+    number = F.monotonically_increasing_id()  # of a stored row: the same when a task is run again
+    dealt = rows.withColumn("__group", F.pmod(F.xxhash64(*key, number), F.lit(groups))).filter(F.col("length") < capacity)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
     packed = dealt.groupBy("__group").applyInArrow(_pack(capacity), f"{schema}, sequence_id long, offset long")
     return full.unionByName(packed)
