@@ -11,19 +11,26 @@ comes from; findings in a layer are mapped back to code points of the original.
 Defined results: null and empty texts have no findings; the findings of the
 base patterns are always kept; the same kind and span found in several layers
 counts once; repeated rows get equal results; other columns are ignored by
-``scan`` and carried by ``redact``; an empty table gives an empty table.  A
-compressed payload is scanned up to ``INFLATED`` bytes, a bound on memory.
+``scan`` and carried by ``redact``; an empty table gives an empty table.
+
+Compressed payloads are inflated as a stream.  What exceeds a window is scanned
+in windows that overlap, so memory does not depend on what a payload holds.
+``INFLATED`` bytes of one payload are the end (a bound on the time that one
+payload, inflated a million times over, can take); a damaged one is scanned as
+far as it can be read.
 """
 
 from __future__ import annotations
 
 import base64
 import bz2
+import codecs
 import hashlib
+import itertools
 import lzma
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +38,12 @@ from pyspark.sql import DataFrame, functions as F
 
 from .common import slices, text_bytes
 
-#: Bytes that one compressed payload may inflate to in a task's memory.
-INFLATED = 16 << 20
+#: Bytes that are read of what one compressed payload inflates to.
+INFLATED = 1 << 30
+#: Bytes of an inflated payload that are scanned at once, and characters that windows share.
+WINDOW, OVERLAP = 4 << 20, 64 << 10
+#: First bytes of a payload, by which its compression is known: more than the largest block of any format.
+_HEAD = 1 << 20
 # Kinds and patterns of the findings, in the order they are listed.
 KINDS = ("assign", "access", "hex")
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -115,47 +126,107 @@ def _unicode(layer: _Layer) -> list:
     return parts
 
 
-def _inflate(data: bytes) -> bytes:
-    """``data`` with every layer of compression taken off; as it is if there is none."""
-    seen = set()
+def _opener(head: bytes) -> Callable | None:
+    """What takes off the compression that ``head`` begins with."""
+    if head[:2] == b"\x1f\x8b" or head[:1] == b"\x78" and len(head) > 2 and int.from_bytes(head[:2], "big") % 31 == 0:
+        return lambda: zlib.decompressobj(wbits=47)  # gzip or zlib
+    if head[:3] == b"BZh":
+        return bz2.BZ2Decompressor
+    if head[:6] == b"\xfd7zXZ\x00":
+        return lambda: lzma.LZMADecompressor(memlimit=1 << 28)
+    return None
+
+
+def _opened(source: Iterator[bytes], opener: Callable) -> Iterator[bytes]:
+    """Inflated pieces of ``source``, member after member, up to its end or to damaged data."""
+    member = opener()
+    for data in source:
+        while True:
+            try:
+                out = member.decompress(data, _HEAD)
+            except (zlib.error, OSError, EOFError, lzma.LZMAError):
+                return
+            if out:
+                yield out
+            if member.eof:
+                data, member = member.unused_data, opener()
+                if not data:
+                    break
+            else:
+                data = getattr(member, "unconsumed_tail", b"")
+                if not data and len(out) < _HEAD:
+                    break
+
+
+def _inflate(data: bytes) -> Iterator[bytes] | None:
+    """Pieces of ``data`` with every layer of compression taken off; None if there is none."""
+    pieces, seen = iter((data,)), set()
     while True:
-        if data[:2] == b"\x1f\x8b" or data[:1] == b"\x78" and len(data) > 2 and int.from_bytes(data[:2], "big") % 31 == 0:
-            opener = zlib.decompressobj(wbits=47)  # gzip or zlib
-        elif data[:3] == b"BZh":
-            opener = bz2.BZ2Decompressor()
-        elif data[:6] == b"\xfd7zXZ\x00":
-            opener = lzma.LZMADecompressor(memlimit=1 << 28)
-        else:
-            return data
-        seen.add(hashlib.sha256(data).digest())
-        try:
-            inner = opener.decompress(data, INFLATED)
-        except (zlib.error, OSError, EOFError, lzma.LZMAError):
-            return data
-        if not inner or hashlib.sha256(inner).digest() in seen:
-            return inner
-        data = inner
-
-
-def _base64(layer: _Layer) -> list:
+        held, size = [], 0
+        while size < _HEAD and (piece := next(pieces, None)) is not None:
+            held.append(piece)
+            size += len(piece)
+        head, pieces = b"".join(held), itertools.chain(held, pieces)
+        opener, digest = _opener(head), hashlib.sha256(head).digest()
+        if opener is None or digest in seen or next(_opened(iter((head,)), opener), None) is None:
+            return pieces if seen else None
+        seen.add(digest)
+        pieces = _opened(pieces, opener)
+
+
+def _windows(pieces: Iterator[bytes]) -> Iterator[str]:
+    """Texts of about ``WINDOW`` bytes; each begins with the last characters of the one before."""
+    decoder, held, size, total = codecs.getincrementaldecoder("utf-8")("replace"), [], 0, 0
+    fresh = False
+    for piece in pieces:
+        held.append(decoder.decode(piece))
+        size, total, fresh = size + len(piece), total + len(piece), True
+        if size >= WINDOW:
+            text = "".join(held)
+            yield text
+            held, size, fresh = [text[-OVERLAP:]], 0, False
+        if total >= INFLATED:
+            break
+    if tail := decoder.decode(b"", True):
+        held.append(tail)
+        fresh = True
+    if fresh:
+        yield "".join(held)
+
+
+def _printable(data: bytes) -> str | None:
+    try:
+        text = data.decode("utf-8")
+    except UnicodeDecodeError:
+        return None
+    return text if all(c.isprintable() or c in "\t\r\n" for c in text) else None
+
+
+def _base64(layer: _Layer, more: list[Iterator[_Layer]]) -> list:
+    """As the other decoders; the windows of a payload after its first are layers of their own, added to ``more``."""
     parts = []
     for m in _BASE64.finditer(layer.text):
         run = m.group().rstrip("=")
         if len(run) % 4 == 1:
             continue
         raw = base64.b64decode(run.translate({45: "+", 95: "/"}) + "=" * (-len(run) % 4))
-        data = _inflate(raw)
-        try:
-            text = data.decode("utf-8") if data is raw else data.decode("utf-8", "replace")
-        except UnicodeDecodeError:
-            continue
-        if data is raw and sum(c.isprintable() or c in "\t\r\n" for c in text) < len(text):
-            continue
-        spans = np.full(len(text), m.start()), np.full(len(text), m.end())
-        parts.append((m.start(), m.end(), text, *spans))
+        a, b = m.span()
+        if (text := _printable(raw)) is None:
+            if (pieces := _inflate(raw)) is None:
+                continue
+            windows = _windows(pieces)
+            if (text := next(windows, None)) is None:
+                continue
+            more.append(_placed(windows, int(layer.starts[a:b].min()), int(layer.ends[a:b].max())))
+        parts.append((a, b, text, np.full(len(text), a), np.full(len(text), b)))
     return parts
 
 
+def _placed(windows: Iterator[str], start: int, end: int) -> Iterator[_Layer]:
+    for text in windows:
+        yield _Layer(text, np.full(len(text), start), np.full(len(text), end))
+
+
 def findings(text: str) -> tuple[list[Finding], list[Finding]]:
     """Findings of the base patterns, and those with all decoded layers (spans of ``text``), both ordered."""
     base = base_findings(text)
@@ -163,20 +234,23 @@ def findings(text: str) -> tuple[list[Finding], list[Finding]]:
     if not ("%" in text or "\\" in text or "&#" in text or _BASE64.search(text)):
         return base, base
     places = np.arange(len(text))
-    work, seen = [_Layer(text, places, places + 1)], {hashlib.sha256(text.encode("utf-8", "surrogatepass")).digest()}
+    work: list[Iterator[_Layer]] = [iter((_Layer(text, places, places + 1),))]
+    seen = set()
     while work:
-        layer = work.pop()
-        for decode in (_url, _unicode, _base64):
-            parts = decode(layer)
-            if not parts:
-                continue
-            inner = layer.replaced(parts)
-            digest = hashlib.sha256(inner.text.encode("utf-8", "surrogatepass")).digest()
-            if digest not in seen:
-                seen.add(digest)
-                work.append(inner)
-                found.update((k, int(inner.starts[a:b].min()), int(inner.ends[a:b].max()))
-                             for k, a, b in base_findings(inner.text))
+        if (layer := next(work[-1], None)) is None:
+            work.pop()
+            continue
+        digest = hashlib.sha256(layer.text.encode("utf-8", "surrogatepass")).digest()
+        if not layer.text or (key := (digest, int(layer.starts[0]), int(layer.ends[-1]))) in seen:
+            continue
+        if seen:  # the text itself has been scanned
+            found.update((k, int(layer.starts[a:b].min()), int(layer.ends[a:b].max())) for k, a, b in base_findings(layer.text))
+        seen.add(key)
+        more: list[Iterator[_Layer]] = []
+        for parts in (_url(layer), _unicode(layer), _base64(layer, more)):
+            if parts:
+                work.append(iter((layer.replaced(parts),)))
+        work += more
     if len(found) == len(base):
         return base, base
     return base, sorted(found, key=lambda f: (f[1], KINDS.index(f[0]), f[2]))

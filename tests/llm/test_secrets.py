@@ -4,6 +4,7 @@ import gzip
 import hashlib
 import json
 import lzma
+import random
 import re
 import time
 import urllib.parse
@@ -93,6 +94,30 @@ def test_payload_bomb_is_bounded(monkeypatch):
     assert only(bomb)[0][0] == "assign" and time.time() - began < 5
 
 
+def test_long_payloads_are_scanned_in_windows(monkeypatch):
+    monkeypatch.setattr(secret_scan, "WINDOW", 5000)
+    monkeypatch.setattr(secret_scan, "OVERLAP", 100)
+    monkeypatch.setattr(secret_scan, "_HEAD", 1000)
+    for at in (0, 4980, 4999, 5000, 20_000, 29_900):
+        inner = ("0 " * 20_000)[:at].encode() + b" " + SECRET.encode() + b" " + ("0 " * 20_000)[at:].encode()
+        hidden = b64(gzip.compress(gzip.compress(inner)))
+        text = f"é {hidden} and {hidden}"  # equal payloads at two places
+        spans = only(text)
+        assert [f[0] for f in spans] == ["assign"] * 2, at
+        assert spans[0][1] >= 2 and spans[0][2] == 2 + len(hidden) and spans[1][1] >= 2 + len(hidden)
+    url = urllib.parse.quote(b64(SECRET), safe="").replace("c", "%63")
+    assert [f[0] for f in only(b64(bz2.compress(b"0 " * 9000 + url.encode())))] == ["assign"]
+
+
+def test_members_and_damaged_payloads():
+    first, second = gzip.compress(b"nothing here"), gzip.compress(SECRET.encode())
+    assert [f[0] for f in only(b64(first + second))] == ["assign"]
+    noise = random.Random(3).randbytes(50_000)
+    cut = gzip.compress(SECRET.encode() + b"\n" + noise)[:-20_000]
+    assert [f[0] for f in only(b64(cut))] == ["assign"]
+    assert [f[0] for f in only(b64(gzip.compress(b"x^ " + SECRET.encode())))] == ["assign"]
+
+
 def test_scan_on_edges(edges):
     docs = [*edge_texts()]
     want = [(d, *(sum(f[0] == k for f in plain_base(t or "")) for k in secret_scan.KINDS), written(plain_base(t or "")))
