@@ -1,6 +1,7 @@
 import hashlib
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -141,6 +142,10 @@ def test_packing_in_groups(spark, monkeypatch):
     packed = packing.pack(spark.createDataFrame(rows, "doc_id long, length long"), ["doc_id"]).collect()
     bins = len({r.sequence_id for r in packed})
     assert len(packed) == 3000 and bins <= sum(n for _, n in rows) / 1024 + 2 * 10 + 10
+    same = packing.pack(spark.createDataFrame([(None, 100)] * 3000, "doc_id long, length long"), ["doc_id"]).collect()
+    by_group = Counter(r.sequence_id >> 32 for r in same)
+    assert len(same) == 3000 and len(by_group) == 10 and max(by_group.values()) < 450
+    assert len({r.sequence_id for r in same}) == sum(-(-n // 10) for n in by_group.values())
 
 
 def test_queries(spark, sf, sf_docs):
