@@ -45,8 +45,11 @@ _END = b"\r\n\r\n"
 
 
 def _text(value) -> str:
-    """Header-safe: line breaks and percent signs escaped."""
-    return "null" if value is None else str(value).replace("%", "%25").replace("\r", "%0D").replace("\n", "%0A")
+    """Header-safe: line breaks and percent signs escaped; null is a word that no other value gives."""
+    if value is None:
+        return "null"
+    escaped = str(value).replace("%", "%25").replace("\r", "%0D").replace("\n", "%0A")
+    return "%6Eull" if escaped == "null" else escaped
 
 
 def header(page_id, url, size: int, sha1: str, refers_to, revisit: bool) -> bytes:
@@ -162,7 +165,7 @@ class _Reader:
             raise ValueError(f"payload digest differs in {f['WARC-Record-ID']}")
         page, refers = (_id(f.get(k)) for k in ("WARC-Record-ID", "WARC-Refers-To"))
         url = f["WARC-Target-URI"]
-        url = None if url == "null" else url.replace("%0A", "\n").replace("%0D", "\r").replace("%25", "%")
+        url = None if url == "null" else url.replace("%6E", "n").replace("%0A", "\n").replace("%0D", "\r").replace("%25", "%")
         return page, url, size, sha1, kind, refers
 
 

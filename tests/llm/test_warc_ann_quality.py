@@ -22,7 +22,8 @@ def page_rows():
     big = "<p>" + "é\r\n\r\nWARC/1.1\r\n" * 30_000
     return [(1, "u1", None), (2, None, ""), (3, "u3", "é" * 499), (4, "u4", "é" * 499), (5, "a\r\nb%0A", "x" * 1000),
             (9, "u9", "x" * 1000), (7, "u7", "x" * 1000), (8, "u8", big), (6, "u6", big), (None, "n", "x" * 1000),
-            (None, None, "y" * 2000), (12, "u", "z" * 1500), (12, "v", "z" * 1500)]
+            (None, None, "y" * 2000), (12, "u", "z" * 1500), (12, "v", "z" * 1500),
+            (13, "null", "a"), (14, "%6Eull", "b"), (15, "null null", "c")]
 
 
 def expected(rows):
