@@ -74,6 +74,22 @@ def test_rank_file_gives_the_librarys_ids():
     assert all(encode(t or "") == library_ids(BYTE, t) for _, t in edge_texts())
 
 
+def test_rank_file_on_many_code_points():
+    encode = encoder(BYTE)
+    points = [chr(c) for c in (*range(0x3400), *range(0x3400, 0x110000, 37)) if not 0xD800 <= c < 0xE000]
+    for at in range(0, len(points), 50_000):
+        text = "".join(f"{c}a{c} 1{c}{c}.  {c}" for c in points[at:at + 50_000])
+        assert encode(text) == library_ids(BYTE, text), at
+
+
+def test_very_long_white_space():
+    """tiktoken gives up on such runs."""
+    encode, ranks = encoder(BYTE), encoder(BYTE.removesuffix(".json") + ".tiktoken")
+    for text in (" " * 2_000_000, "a" + "\n" * 1_200_000 + "b", "x  " + "\t \u3000" * 700_000 + " y " + " " * 1_000_000 + "z  "):
+        want = library_ids(BYTE, text)
+        assert encode(text) == want and ranks(text) == want
+
+
 def test_histogram_on_edges(edges):
     lengths = np.array([len(library_ids(BYTE, t)) for _, t in edge_texts()])
     rows = length_histogram.limits_of(edges, BYTE).collect()
