@@ -1,9 +1,12 @@
 """Secret scan with a recursive decoding worklist.
 
 Each text is scanned by the base patterns.  It is then a layer on a worklist:
-every decoder (URL escapes, Unicode escapes and entities, base64) that changes
-a layer puts the decoded text back on the list; what base64 hides may itself be
-compressed (gzip, zlib, bzip2, xz) any number of times.  A layer whose digest
+every decoder (URL escapes, Unicode escapes and entities, UTF-16 and UTF-32 by
+their NULs, base64) that changes a layer puts the decoded text back on the list.
+A base64 run is decoded from each of its first four characters, so that what
+stands before a payload doesn't hide it; bytes that aren't UTF-8 are read as
+Latin-1, in which the patterns (all ASCII) match as well.  What base64 hides may
+itself be compressed (gzip, zlib, bzip2, xz) any number of times.  A layer whose digest
 has been seen is not scanned again, so cycles end and the list reaches its
 fixpoint.  Each character of a layer carries the span of the original text it
 comes from; findings in a layer are mapped back to code points of the original.
@@ -53,6 +56,12 @@ _WORDS = ("passw", "secret", "token", "api")
 _PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _ESCAPE = re.compile(r"(?:\\u[0-9A-Fa-f]{4})+|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2}|&#(?:[0-9]{1,7}|[xX][0-9A-Fa-f]{1,6});")
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+_NULS = re.compile(r"(?:[\x01-\x7f]\0(?:\0\0)?){4,}|(?:\0(?:\0\0)?[\x01-\x7f]){4,}")
+_WIDE = re.compile("[^\x00-\xff]")
+_MAGIC = re.compile("\x1f\x8b\x08|BZh[1-9](?:1AY&SY|\x17rE8P\x90)|\xfd7zXZ\0|x[\x01\x5e\x9c\xda]")
+#: Bytes without a match have no finding, and no decoder changes them.
+_WORTH = re.compile(rb"(?i:passw|secret|token|api)|AKIA|[0-9a-f]{32}|%[0-9A-Fa-f]{2}|\\[uUx]|&#|[A-Za-z0-9+/_-]{16}"
+                    rb"|[\x01-\x7f]\0(?:\0\0)?[\x01-\x7f]\0|\x1f\x8b\x08|BZh[1-9]|\xfd7zXZ\0|x[\x01\x5e\x9c\xda]")
 
 Finding = tuple[str, int, int]
 
@@ -126,6 +135,15 @@ def _unicode(layer: _Layer) -> list:
     return parts
 
 
+def _nuls(layer: _Layer) -> list:
+    """ASCII characters of UTF-16 and UTF-32 texts, whatever the bytes around them."""
+    parts = []
+    for m in _NULS.finditer(layer.text) if "\0" in layer.text else ():
+        at = m.start() + np.flatnonzero(np.frombuffer(m.group().encode(), np.uint8))
+        parts.append((m.start(), m.end(), m.group().replace("\0", ""), at, at + 1))
+    return parts
+
+
 def _opener(head: bytes) -> Callable | None:
     """What takes off the compression that ``head`` begins with."""
     if head[:2] == b"\x1f\x8b" or head[:1] == b"\x78" and len(head) > 2 and int.from_bytes(head[:2], "big") % 31 == 0:
@@ -202,36 +220,96 @@ def _printable(data: bytes) -> str | None:
     return text if all(c.isprintable() or c in "\t\r\n" for c in text) else None
 
 
+def _unpacked(run: str) -> Iterator[bytes]:
+    """Bytes of a base64 run read from each of its first four characters."""
+    run = run.translate({45: "+", 95: "/"})
+    for at in range(4):
+        n = len(run) - at
+        yield base64.b64decode(run[at:at + n - (n % 4 == 1)] + "=" * (-n % 4 % 3))
+
+
 def _base64(layer: _Layer, more: list[Iterator[_Layer]]) -> list:
-    """As the other decoders; the windows of a payload after its first are layers of their own, added to ``more``."""
+    """As the other decoders, for whole runs that are UTF-8 or compressed.  The windows of a payload after its first and
+    what a run holds in other ways are layers of their own, added to ``more``."""
     parts = []
     for m in _BASE64.finditer(layer.text):
-        run = m.group().rstrip("=")
-        if len(run) % 4 == 1:
-            continue
-        raw = base64.b64decode(run.translate({45: "+", 95: "/"}) + "=" * (-len(run) % 4))
         a, b = m.span()
-        if (text := _printable(raw)) is None:
-            if (pieces := _inflate(raw)) is None:
-                continue
-            windows = _windows(pieces)
-            if (text := next(windows, None)) is None:
-                continue
-            more.append(_placed(windows, int(layer.starts[a:b].min()), int(layer.ends[a:b].max())))
-        parts.append((a, b, text, np.full(len(text), a), np.full(len(text), b)))
+        start, end = int(layer.starts[a:b].min()), int(layer.ends[a:b].max())
+        for at, raw in enumerate(_unpacked(m.group().rstrip("="))):
+            if at == 0:
+                windows = iter(())
+                if (text := _printable(raw)) is None:
+                    pieces = _inflate(raw)
+                    windows = windows if pieces is None else _windows(pieces)
+                    if (text := next(windows, None)) is None:
+                        text = _utf8(raw)
+                if text is not None:
+                    more.append(_placed(windows, start, end))
+                    parts.append((a, b, text, np.full(len(text), a), np.full(len(text), b)))
+                if raw.isascii() and text is not None:
+                    continue
+            if _WORTH.search(raw):
+                more.append(_placed(iter((raw.decode("latin-1"),)), start, end))
     return parts
 
 
+def _utf8(data: bytes) -> str | None:
+    try:
+        return data.decode("utf-8")
+    except UnicodeDecodeError:
+        return None
+
+
+def _compressed(layer: _Layer, more: list[Iterator[_Layer]]) -> None:
+    """Adds what compressed bytes (as Latin-1 characters) in a layer inflate to, wherever they begin."""
+    text, data, base = layer.text, b"", 0
+    for m in _MAGIC.finditer(text):
+        if m.start() >= base + len(data):
+            wide = _WIDE.search(text, m.start())
+            base, data = m.start(), text[m.start():wide.start() if wide else len(text)].encode("latin-1")
+        at = m.start() - base
+        opener = _opener(data[at:at + 16])
+        if opener is None or not _opens(data[at:at + 4096], opener) or (pieces := _inflate(data[at:])) is None:
+            continue
+        stop = m.start() + _extent(data[at:], opener)
+        more.append(_placed(_windows(pieces), int(layer.starts[m.start():stop].min()), int(layer.ends[m.start():stop].max())))
+
+
+def _opens(head: bytes, opener: Callable) -> bool:
+    try:
+        opener().decompress(head, 1 << 16)
+    except (zlib.error, OSError, EOFError, lzma.LZMAError):
+        return False
+    return True
+
+
+def _extent(data: bytes, opener: Callable) -> int:
+    """Bytes of ``data`` that its compressed members take; all where one is damaged or cut."""
+    at = 0
+    while at < len(data) and _opener(data[at:at + 16]) is not None:
+        member, rest = opener(), data[at:]
+        try:
+            while not member.eof:
+                out = member.decompress(rest, _HEAD)
+                rest = getattr(member, "unconsumed_tail", b"")
+                if not out and not rest and not member.eof:
+                    return len(data)
+        except (zlib.error, OSError, EOFError, lzma.LZMAError):
+            return at or len(data)
+        at = len(data) - len(member.unused_data)
+    return at
+
+
 def _placed(windows: Iterator[str], start: int, end: int) -> Iterator[_Layer]:
     for text in windows:
-        yield _Layer(text, np.full(len(text), start), np.full(len(text), end))
+        yield _Layer(text, np.broadcast_to(np.int64(start), len(text)), np.broadcast_to(np.int64(end), len(text)))
 
 
 def findings(text: str) -> tuple[list[Finding], list[Finding]]:
     """Findings of the base patterns, and those with all decoded layers (spans of ``text``), both ordered."""
     base = base_findings(text)
     found = set(base)
-    if not ("%" in text or "\\" in text or "&#" in text or _BASE64.search(text)):
+    if not ("%" in text or "\\" in text or "&#" in text or "\0" in text or _BASE64.search(text)):
         return base, base
     places = np.arange(len(text))
     work: list[Iterator[_Layer]] = [iter((_Layer(text, places, places + 1),))]
@@ -247,7 +325,8 @@ def findings(text: str) -> tuple[list[Finding], list[Finding]]:
             found.update((k, int(layer.starts[a:b].min()), int(layer.ends[a:b].max())) for k, a, b in base_findings(layer.text))
         seen.add(key)
         more: list[Iterator[_Layer]] = []
-        for parts in (_url(layer), _unicode(layer), _base64(layer, more)):
+        _compressed(layer, more)
+        for parts in (_url(layer), _unicode(layer), _nuls(layer), _base64(layer, more)):
             if parts:
                 work.append(iter((layer.replaced(parts),)))
         work += more

@@ -118,6 +118,23 @@ def test_members_and_damaged_payloads():
     assert [f[0] for f in only(b64(gzip.compress(b"x^ " + SECRET.encode())))] == ["assign"]
 
 
+def test_payloads_that_are_not_printable():
+    raw = SECRET.encode()
+    for data in ("\ufeff" + SECRET, "\xa0" + SECRET, "\u200b" + SECRET, SECRET + "\0", "\x0c\x1b" + SECRET, SECRET + "\u2028",
+                 "é ".encode("latin-1") + raw, b"\xff\x00\xfe" + raw + b"\x80", SECRET.encode("utf-16"), SECRET.encode("utf-16-be"),
+                 b"\xff" + SECRET.encode("utf-16-le"), SECRET.encode("utf-32"), gzip.compress(SECRET.encode("utf-16"))):
+        hidden = b64(data)
+        assert only(f"é {hidden} x") == [("assign", 2, 2 + len(hidden))], data
+
+
+def test_what_stands_before_a_payload():
+    for data in (SECRET, SECRET + "~" * 50, gzip.compress(SECRET.encode()), lzma.compress(SECRET.encode())):
+        for head in ("/v1/", "k_", "a-", "abc/d/", "x", "xy", "xyz", "wxyz+"):
+            for tail in ("", "A", "/A", "_AB"):
+                hidden = head + b64(data).rstrip("=") + tail
+                assert [f[0] for f in only(f"é {hidden} x")] == ["assign"], (head, data)
+
+
 def test_scan_on_edges(edges):
     docs = [*edge_texts()]
     want = [(d, *(sum(f[0] == k for f in plain_base(t or "")) for k in secret_scan.KINDS), written(plain_base(t or "")))
