@@ -29,6 +29,7 @@ import base64
 import bz2
 import codecs
 import hashlib
+import html
 import itertools
 import lzma
 import re
@@ -56,6 +57,12 @@ _WORDS = ("passw", "secret", "token", "api")
 _PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _ESCAPE = re.compile(r"(?:\\u[0-9A-Fa-f]{4})+|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2}|&#(?:[0-9]{1,7}|[xX][0-9A-Fa-f]{1,6});")
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+# The same escapes, byte by byte, with those that writers put beside them.
+_PERCENT_BYTE = re.compile(r"%[0-9A-Fa-f]{2}")
+_PERCENT_PLUS = re.compile(r"%[0-9A-Fa-f]{2}|\+")
+_ESCAPE_BYTE = re.compile(r"""\\(?:u[0-9A-Fa-f]{4}|U0000[0-9A-Fa-f]{4}|x[0-9A-Fa-f]{2}|[abfnrtv0"'/\\])""")
+_ENTITY_BYTE = re.compile(r"&(?:#(?:[0-9]{1,7}|[xX][0-9A-Fa-f]{1,6})|amp|lt|gt|quot|apos);")
+_SHORT = dict(zip("abfnrtv0\"'/\\", "\a\b\f\n\r\t\v\0\"'/\\"))
 _NULS = re.compile(r"(?:[\x01-\x7f]\0(?:\0\0)?){4,}|(?:\0(?:\0\0)?[\x01-\x7f]){4,}")
 _WIDE = re.compile("[^\x00-\xff]")
 _MAGIC = re.compile("\x1f\x8b\x08|BZh[1-9](?:1AY&SY|\x17rE8P\x90)|\xfd7zXZ\0|x[\x01\x5e\x9c\xda]")
@@ -135,6 +142,43 @@ def _unicode(layer: _Layer) -> list:
     return parts
 
 
+def _literal(layer: _Layer, units: re.Pattern, value: Callable[[str], str]) -> _Layer | None:
+    """``layer`` with one character for each match of ``units``, if that shows the beginning of compressed bytes."""
+    spans, texts, at = [], [], 0
+    for m in units.finditer(layer.text):
+        spans.append(m.span())
+        texts += (layer.text[at:m.start()], value(m.group()))
+        at = m.end()
+    text = "".join([*texts, layer.text[at:]])
+    if not spans or not _MAGIC.search(text):
+        return None
+    first, last = np.array(spans).T
+    kept = np.ones(len(layer.text), bool)  # all but what a unit has after its first character
+    kept[:] = np.cumsum(np.bincount(first + 1, minlength=len(kept) + 1) - np.bincount(last, minlength=len(kept) + 1))[:-1] == 0
+    ends = layer.ends.copy()
+    ends[first] = layer.ends[last - 1]
+    return _Layer(text, layer.starts[kept], ends[kept])
+
+
+def _bytes_of(layer: _Layer) -> Iterator[_Layer]:
+    """Readings of a layer's escapes in which each byte is a character, for compressed bytes in them."""
+    percent = lambda s: " " if s == "+" else chr(int(s[1:], 16))
+    escape = lambda s: _SHORT.get(s[1]) or chr(int(s[2:], 16)) if s[0] == "\\" else html.unescape(s) if s[1] != "#" else (
+        chr(min(0xFFFF, int(s[3:-1], 16) if s[2] in "xX" else int(s[2:-1]))))
+    readings = []
+    if "%" in layer.text:
+        readings.append((_PERCENT_BYTE, percent))
+        if "+" in layer.text:
+            readings.append((_PERCENT_PLUS, percent))
+    if "\\" in layer.text:
+        readings.append((_ESCAPE_BYTE, escape))
+    if "&" in layer.text:
+        readings.append((_ENTITY_BYTE, escape))
+    for units, value in readings:
+        if (found := _literal(layer, units, value)) is not None:
+            yield found
+
+
 def _nuls(layer: _Layer) -> list:
     """ASCII characters of UTF-16 and UTF-32 texts, whatever the bytes around them."""
     parts = []
@@ -325,7 +369,8 @@ def findings(text: str) -> tuple[list[Finding], list[Finding]]:
             found.update((k, int(layer.starts[a:b].min()), int(layer.ends[a:b].max())) for k, a, b in base_findings(layer.text))
         seen.add(key)
         more: list[Iterator[_Layer]] = []
-        _compressed(layer, more)
+        for reading in (layer, *_bytes_of(layer)):
+            _compressed(reading, more)
         for parts in (_url(layer), _unicode(layer), _nuls(layer), _base64(layer, more)):
             if parts:
                 work.append(iter((layer.replaced(parts),)))

@@ -2,6 +2,7 @@ import base64
 import bz2
 import gzip
 import hashlib
+import html
 import json
 import lzma
 import random
@@ -135,6 +136,23 @@ def test_what_stands_before_a_payload():
                 assert [f[0] for f in only(f"é {hidden} x")] == ["assign"], (head, data)
 
 
+def test_compressed_bytes_in_escapes():
+    noise = random.Random(5).randbytes(700)
+    ways = (
+        lambda d: "".join(f"%{c:02X}" for c in d), lambda d: urllib.parse.quote(d), lambda d: urllib.parse.quote_plus(d),
+        lambda d: urllib.parse.quote(d.decode("latin-1")), lambda d: "".join(f"\\x{c:02x}" for c in d), lambda d: repr(d)[2:-1],
+        lambda d: "".join(f"\\u{c:04x}" for c in d), lambda d: json.dumps(d.decode("latin-1"))[1:-1],
+        lambda d: "".join(f"&#{c};" for c in d), lambda d: html.escape(d.decode("latin-1")).encode("ascii", "xmlcharrefreplace").decode())
+    for pack in (gzip.compress, zlib.compress, bz2.compress, lzma.compress):
+        for body in (SECRET.encode(), noise.hex(" ", 3).encode() + SECRET.encode()):
+            for i, way in enumerate(ways):
+                hidden = way(pack(body))
+                found = [f for f in only(f"é {hidden} x") if f[0] == "assign"]
+                assert any(a == 2 and 2 + len(hidden) - 12 <= b <= 3 + len(hidden) for _, a, b in found), (pack, i, found)
+                assert "assign" in [f[0] for f in only(b64(gzip.compress(way(pack(body)).encode())))], (pack, i)
+                assert "assign" in [f[0] for f in only(urllib.parse.quote(hidden))], (pack, i)
+
+
 def test_scan_on_edges(edges):
     docs = [*edge_texts()]
     want = [(d, *(sum(f[0] == k for f in plain_base(t or "")) for k in secret_scan.KINDS), written(plain_base(t or "")))
