@@ -4,7 +4,8 @@ Each text is scanned by the base patterns.  It is then a layer on a worklist:
 every decoder (URL escapes, Unicode escapes and entities, UTF-16 and UTF-32 by
 their NULs, base64) that changes a layer puts the decoded text back on the list.
 A base64 run is decoded from each of its first four characters, so that what
-stands before a payload doesn't hide it; bytes that aren't UTF-8 are read as
+stands before a payload doesn't hide it, and runs that only line breaks separate
+also as one; bytes that aren't UTF-8 are read as
 Latin-1, in which the patterns (all ASCII) match as well.  What base64 hides may
 itself be compressed (gzip, zlib, bzip2, xz) any number of times.  A layer whose digest
 has been seen is not scanned again, so cycles end and the list reaches its
@@ -63,6 +64,10 @@ _PERCENT_PLUS = re.compile(r"%[0-9A-Fa-f]{2}|\+")
 _ESCAPE_BYTE = re.compile(r"""\\(?:u[0-9A-Fa-f]{4}|U0000[0-9A-Fa-f]{4}|x[0-9A-Fa-f]{2}|[abfnrtv0"'/\\])""")
 _ENTITY_BYTE = re.compile(r"&(?:#(?:[0-9]{1,7}|[xX][0-9A-Fa-f]{1,6})|amp|lt|gt|quot|apos);")
 _SHORT = dict(zip("abfnrtv0\"'/\\", "\a\b\f\n\r\t\v\0\"'/\\"))
+#: Lines of base64: breaks as they are or written as \\n, with blanks at the beginning of a line.
+_BREAK = r"[ \t]*+(?:\r\n?|\n|\\r\\n|\\n)[ \t]*+"
+_LINES = re.compile(rf"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]++(?:{_BREAK}[A-Za-z0-9+/_-]++)++={{0,2}}")
+_LINE = re.compile(r"(\\r\\n|\\n)|([A-Za-z0-9+/_-]+)=*")
 _NULS = re.compile(r"(?:[\x01-\x7f]\0(?:\0\0)?){4,}|(?:\0(?:\0\0)?[\x01-\x7f]){4,}")
 _WIDE = re.compile("[^\x00-\xff]")
 _MAGIC = re.compile("\x1f\x8b\x08|BZh[1-9](?:1AY&SY|\x17rE8P\x90)|\xfd7zXZ\0|x[\x01\x5e\x9c\xda]")
@@ -297,6 +302,24 @@ def _base64(layer: _Layer, more: list[Iterator[_Layer]]) -> list:
     return parts
 
 
+def _joined(layer: _Layer, more: list[Iterator[_Layer]]) -> None:
+    """Adds what base64 runs over several lines hold; each character comes from the lines that its bits are in."""
+    for m in _LINES.finditer(layer.text):
+        lines = [(x.start(2), x.end(2), x.end()) for x in _LINE.finditer(layer.text, *m.span()) if x[2]]
+        run = "".join([layer.text[a:b] for a, b, _ in lines])
+        if len(run) < 16:
+            continue
+        sizes = [b - a for a, b, _ in lines]
+        for at, raw in enumerate(_unpacked(run)):
+            if not _WORTH.search(raw):
+                continue
+            line = np.repeat(np.arange(len(lines)), sizes)
+            byte = np.arange(len(raw))
+            starts = layer.starts[np.array([a for a, _, _ in lines])][line[at + byte * 4 // 3]]
+            ends = layer.ends[np.array([c for _, _, c in lines]) - 1][line[at + (byte * 8 + 7) // 6]]
+            more.append(iter((_Layer(raw.decode("latin-1"), starts, ends),)))
+
+
 def _utf8(data: bytes) -> str | None:
     try:
         return data.decode("utf-8")
@@ -353,7 +376,7 @@ def findings(text: str) -> tuple[list[Finding], list[Finding]]:
     """Findings of the base patterns, and those with all decoded layers (spans of ``text``), both ordered."""
     base = base_findings(text)
     found = set(base)
-    if not ("%" in text or "\\" in text or "&#" in text or "\0" in text or _BASE64.search(text)):
+    if not ("%" in text or "\\" in text or "&#" in text or "\0" in text or _BASE64.search(text) or _LINES.search(text)):
         return base, base
     places = np.arange(len(text))
     work: list[Iterator[_Layer]] = [iter((_Layer(text, places, places + 1),))]
@@ -371,6 +394,7 @@ def findings(text: str) -> tuple[list[Finding], list[Finding]]:
         more: list[Iterator[_Layer]] = []
         for reading in (layer, *_bytes_of(layer)):
             _compressed(reading, more)
+        _joined(layer, more)
         for parts in (_url(layer), _unicode(layer), _nuls(layer), _base64(layer, more)):
             if parts:
                 work.append(iter((layer.replaced(parts),)))

@@ -153,6 +153,24 @@ def test_compressed_bytes_in_escapes():
                 assert "assign" in [f[0] for f in only(urllib.parse.quote(hidden))], (pack, i)
 
 
+def test_base64_over_lines():
+    rng = random.Random(6)
+    plain = [f"{'n' * k} {SECRET}".encode() for k in (0, 40, 46, 50, 54, 57, 90)]
+    packed = [pack(SECRET.encode() + rng.randbytes(400).hex(" ", 2).encode()) for pack in (gzip.compress, bz2.compress, lzma.compress)]
+    for data in plain + packed:
+        for width in (8, 10, 64, 76):
+            for between in ("\n", "\r\n", "\n    ", "\n\t", "\\n"):
+                code = b64(data)
+                hidden = between.join(code[i:i + width] for i in range(0, len(code), width))
+                for text in (f"é\n{hidden}\nend of it", f"é {hidden} x", f"é\nword\n{hidden}", f"é {b64(hidden)} x"):
+                    found = only(text)
+                    assert "assign" in [f[0] for f in found], (text, data, width)
+                    assert all(2 <= a < b <= len(text) for _, a, b in found)
+    text = "é\n" + base64.encodebytes(b"n" * 100 + b" " + SECRET.encode() + b" " + b"n" * 100).decode()
+    lines = text.split("\n")
+    assert only(text) == [("assign", 2 + len(lines[1]) + 1, 2 + sum(len(x) + 1 for x in lines[1:4]) - 1)]
+
+
 def test_scan_on_edges(edges):
     docs = [*edge_texts()]
     want = [(d, *(sum(f[0] == k for f in plain_base(t or "")) for k in secret_scan.KINDS), written(plain_base(t or "")))
