@@ -49,7 +49,7 @@ def op7_secret_worklist(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in texts and in what texts encode."""
     found = secret_scan.scan(documents(spark, sf_dir))
     return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256"),
-                        "spans")
+                        "spans", "fully_scanned")
 
 
 def op8_min_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:

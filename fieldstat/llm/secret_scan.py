@@ -17,18 +17,18 @@ base patterns are always kept; the same kind and span found in several layers
 counts once; repeated rows get equal results; other columns are ignored by
 ``scan`` and carried by ``redact``; an empty table gives an empty table.
 
-Compressed payloads are inflated as a stream.  What exceeds a window is scanned
-in windows that overlap, so memory does not depend on what a payload holds.
-``INFLATED`` bytes of one payload are the end (a bound on the time that one
-payload, inflated a million times over, can take); a damaged one is scanned as
-far as it can be read.
+Compressed payloads are inflated as a stream to its end.  What exceeds a window is
+scanned in windows that end where no finding, run or nested payload is open, so
+nothing is cut and memory does not depend on what a payload holds.  Only one run
+or nested payload that is itself longer than ``INFLATED`` bytes is cut (windows
+then overlap); ``scan`` reports such a text in ``fully_scanned``.  A damaged
+payload is scanned as far as it can be read.
 """
 
 from __future__ import annotations
 
 import base64
 import bz2
-import codecs
 import hashlib
 import html
 import itertools
@@ -43,9 +43,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from .common import slices, text_bytes
 
-#: Bytes that are read of what one compressed payload inflates to.
-INFLATED = 1 << 30
-#: Bytes of an inflated payload that are scanned at once, and characters that windows share.
+#: Bytes of an inflated payload that are held while a run or nested payload stays open.
+INFLATED = 1 << 25
+#: Bytes of an inflated payload that are scanned at once, and bytes that windows share.
 WINDOW, OVERLAP = 4 << 20, 64 << 10
 #: First bytes of a payload, by which its compression is known: more than the largest block of any format.
 _HEAD = 1 << 20
@@ -68,6 +68,8 @@ _SHORT = dict(zip("abfnrtv0\"'/\\", "\a\b\f\n\r\t\v\0\"'/\\"))
 _BREAK = r"[ \t]*+(?:\r\n?|\n|\\r\\n|\\n)[ \t]*+"
 _LINES = re.compile(rf"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]++(?:{_BREAK}[A-Za-z0-9+/_-]++)++={{0,2}}")
 _LINE = re.compile(r"(\\r\\n|\\n)|([A-Za-z0-9+/_-]+)=*")
+#: Backwards: what parts two runs or findings (the first byte is the later one's).
+_APART = re.compile(rb"""(?<=[!-9;<>-~])[^!-~\0\r\n]+(?=[!#-&(-9;<>-~])|\0{8,}|\n\r?[ \t]*\n|(?<=[!-~])[\x80-\xff]+(?=[!-~ ])""")
 _NULS = re.compile(r"(?:[\x01-\x7f]\0(?:\0\0)?){4,}|(?:\0(?:\0\0)?[\x01-\x7f]){4,}")
 _WIDE = re.compile("[^\x00-\xff]")
 _MAGIC = re.compile("\x1f\x8b\x08|BZh[1-9](?:1AY&SY|\x17rE8P\x90)|\xfd7zXZ\0|x[\x01\x5e\x9c\xda]")
@@ -110,6 +112,13 @@ class _Layer:
         return _Layer("".join(texts), np.concatenate([*starts, self.starts[at:]]), np.concatenate([*ends, self.ends[at:]]))
 
 
+class _Work(list):
+    """Iterators of layers; ``report`` has an item for each run or payload that was cut."""
+
+    def __init__(self, report: list):
+        self.report = report
+
+
 def _characters(data: bytes) -> tuple[str, np.ndarray]:
     """Text of ``data`` and how many bytes each character took (Latin-1 where it isn't UTF-8)."""
     try:
@@ -241,24 +250,72 @@ def _inflate(data: bytes) -> Iterator[bytes] | None:
         pieces = _opened(pieces, opener)
 
 
-def _windows(pieces: Iterator[bytes]) -> Iterator[str]:
-    """Texts of about ``WINDOW`` bytes; each begins with the last characters of the one before."""
-    decoder, held, size, total = codecs.getincrementaldecoder("utf-8")("replace"), [], 0, 0
-    fresh = False
+def _open_stream(text: str) -> int | None:
+    """Where compressed bytes begin that go on at the end of ``text`` (0 if they are written as escapes)."""
+    places = np.broadcast_to(np.int64(0), len(text))
+    for n, layer in enumerate((_Layer(text, places, places), *_bytes_of(_Layer(text, places, places)))):
+        for m in _MAGIC.finditer(layer.text):
+            wide = _WIDE.search(layer.text, m.start())
+            if wide or (opener := _opener(layer.text[m.start():m.start() + 16].encode("latin-1"))) is None:
+                continue
+            if _opens(layer.text[m.start():m.start() + 4096].encode("latin-1"), opener) and _goes_on(
+                    layer.text[m.start():].encode("latin-1"), opener):
+                return m.start() if n == 0 else 0
+    return None
+
+
+def _goes_on(data: bytes, opener: Callable) -> bool:
+    member = opener()
+    try:
+        while not member.eof:
+            out = member.decompress(data, _HEAD)
+            data = getattr(member, "unconsumed_tail", b"")
+            if not out and not data and not member.eof:
+                return True
+    except (zlib.error, OSError, EOFError, lzma.LZMAError):
+        return False
+    return False
+
+
+def _border(held: bytes) -> int:
+    """The last place in ``held`` at which no run, finding or compressed payload is open; 0 if there is none."""
+    m = _APART.search(held[::-1])
+    border = len(held) - m.start() if m else 0
+    text = held.decode("latin-1")
+    if border and (at := _open_stream(text)) is not None:
+        border = min(border, at)
+    if border and not held.isascii() and (as_utf8 := _utf8(held[:border])) and _open_stream(as_utf8) is not None:
+        border = 0
+    return border
+
+
+def _windows(pieces: Iterator[bytes], report: list) -> Iterator[str]:
+    """Texts of about ``WINDOW`` bytes, each from the last bytes of the one before; ``report`` gets an item where a
+    run or payload had to be cut."""
+    held, limit, new = bytearray(), WINDOW, False
     for piece in pieces:
-        held.append(decoder.decode(piece))
-        size, total, fresh = size + len(piece), total + len(piece), True
-        if size >= WINDOW:
-            text = "".join(held)
-            yield text
-            held, size, fresh = [text[-OVERLAP:]], 0, False
-        if total >= INFLATED:
-            break
-    if tail := decoder.decode(b"", True):
-        held.append(tail)
-        fresh = True
-    if fresh:
-        yield "".join(held)
+        held += piece
+        new = True
+        if len(held) < limit:
+            continue
+        border = _border(bytes(held))
+        if border <= OVERLAP:
+            if len(held) < INFLATED:
+                limit = min(2 * len(held), INFLATED)
+                continue
+            report.append(len(held))
+            border = len(held)
+        yield from _views(bytes(held[:border]))
+        del held[:max(0, border - OVERLAP)]
+        limit, new = WINDOW + len(held), len(held) > OVERLAP
+    if new:
+        yield from _views(bytes(held))
+
+
+def _views(data: bytes) -> Iterator[str]:
+    yield data.decode("utf-8", "replace")
+    if not data.isascii() and _MAGIC.search(text := data.decode("latin-1")):
+        yield text
 
 
 def _printable(data: bytes) -> str | None:
@@ -277,7 +334,7 @@ def _unpacked(run: str) -> Iterator[bytes]:
         yield base64.b64decode(run[at:at + n - (n % 4 == 1)] + "=" * (-n % 4 % 3))
 
 
-def _base64(layer: _Layer, more: list[Iterator[_Layer]]) -> list:
+def _base64(layer: _Layer, more: _Work) -> list:
     """As the other decoders, for whole runs that are UTF-8 or compressed.  The windows of a payload after its first and
     what a run holds in other ways are layers of their own, added to ``more``."""
     parts = []
@@ -289,7 +346,7 @@ def _base64(layer: _Layer, more: list[Iterator[_Layer]]) -> list:
                 windows = iter(())
                 if (text := _printable(raw)) is None:
                     pieces = _inflate(raw)
-                    windows = windows if pieces is None else _windows(pieces)
+                    windows = windows if pieces is None else _windows(pieces, more.report)
                     if (text := next(windows, None)) is None:
                         text = _utf8(raw)
                 if text is not None:
@@ -302,7 +359,7 @@ def _base64(layer: _Layer, more: list[Iterator[_Layer]]) -> list:
     return parts
 
 
-def _joined(layer: _Layer, more: list[Iterator[_Layer]]) -> None:
+def _joined(layer: _Layer, more: _Work) -> None:
     """Adds what base64 runs over several lines hold; each character comes from the lines that its bits are in."""
     for m in _LINES.finditer(layer.text):
         lines = [(x.start(2), x.end(2), x.end()) for x in _LINE.finditer(layer.text, *m.span()) if x[2]]
@@ -327,7 +384,7 @@ def _utf8(data: bytes) -> str | None:
         return None
 
 
-def _compressed(layer: _Layer, more: list[Iterator[_Layer]]) -> None:
+def _compressed(layer: _Layer, more: _Work) -> None:
     """Adds what compressed bytes (as Latin-1 characters) in a layer inflate to, wherever they begin."""
     text, data, base = layer.text, b"", 0
     for m in _MAGIC.finditer(text):
@@ -339,7 +396,7 @@ def _compressed(layer: _Layer, more: list[Iterator[_Layer]]) -> None:
         if opener is None or not _opens(data[at:at + 4096], opener) or (pieces := _inflate(data[at:])) is None:
             continue
         stop = m.start() + _extent(data[at:], opener)
-        more.append(_placed(_windows(pieces), int(layer.starts[m.start():stop].min()), int(layer.ends[m.start():stop].max())))
+        more.append(_placed(_windows(pieces, more.report), int(layer.starts[m.start():stop].min()), int(layer.ends[m.start():stop].max())))
 
 
 def _opens(head: bytes, opener: Callable) -> bool:
@@ -374,13 +431,18 @@ def _placed(windows: Iterator[str], start: int, end: int) -> Iterator[_Layer]:
 
 def findings(text: str) -> tuple[list[Finding], list[Finding]]:
     """Findings of the base patterns, and those with all decoded layers (spans of ``text``), both ordered."""
+    return examined(text)[:2]
+
+
+def examined(text: str) -> tuple[list[Finding], list[Finding], bool]:
+    """As ``findings``; and whether nothing of the text was cut."""
     base = base_findings(text)
     found = set(base)
     if not ("%" in text or "\\" in text or "&#" in text or "\0" in text or _BASE64.search(text) or _LINES.search(text)):
-        return base, base
+        return base, base, True
     places = np.arange(len(text))
     work: list[Iterator[_Layer]] = [iter((_Layer(text, places, places + 1),))]
-    seen = set()
+    seen, report = set(), []
     while work:
         if (layer := next(work[-1], None)) is None:
             work.pop()
@@ -391,7 +453,7 @@ def findings(text: str) -> tuple[list[Finding], list[Finding]]:
         if seen:  # the text itself has been scanned
             found.update((k, int(layer.starts[a:b].min()), int(layer.ends[a:b].max())) for k, a, b in base_findings(layer.text))
         seen.add(key)
-        more: list[Iterator[_Layer]] = []
+        more = _Work(report)
         for reading in (layer, *_bytes_of(layer)):
             _compressed(reading, more)
         _joined(layer, more)
@@ -400,8 +462,8 @@ def findings(text: str) -> tuple[list[Finding], list[Finding]]:
                 work.append(iter((layer.replaced(parts),)))
         work += more
     if len(found) == len(base):
-        return base, base
-    return base, sorted(found, key=lambda f: (f[1], KINDS.index(f[0]), f[2]))
+        return base, base, not report
+    return base, sorted(found, key=lambda f: (f[1], KINDS.index(f[0]), f[2])), not report
 
 
 def written(spans: list[Finding]) -> str:
@@ -412,17 +474,18 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in slices(batches):
         out = []
         for doc_id, body in zip(part.column("doc_id").to_pylist(), part.column("body").to_pylist()):
-            base, spans = findings(body.decode("utf-8", "replace"))
-            out.append((doc_id, *(sum(f[0] == k for f in base) for k in KINDS), written(base), written(spans)))
-        types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string())
+            base, spans, whole = examined(body.decode("utf-8", "replace"))
+            out.append((doc_id, *(sum(f[0] == k for f in base) for k in KINDS), written(base), written(spans), whole))
+        types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.bool_())
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)],
-                                         ["doc_id", "n_assign", "n_access", "n_hex", "base", "spans"])
+                                         ["doc_id", "n_assign", "n_access", "n_hex", "base", "spans", "fully_scanned"])
 
 
 def scan(docs: DataFrame) -> DataFrame:
-    """doc_id, n_assign, n_access, n_hex (base findings), base and spans (kind:start:end, comma-joined) of every row."""
+    """doc_id, n_assign, n_access, n_hex (base findings), base and spans (kind:start:end, comma-joined),
+    fully_scanned of every row."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("body"))
-    return rows.mapInArrow(_scan, "doc_id long, n_assign long, n_access long, n_hex long, base string, spans string")
+    return rows.mapInArrow(_scan, "doc_id long, n_assign long, n_access long, n_hex long, base string, spans string, fully_scanned boolean")
 
 
 def _redacted(text: str, mark: str) -> str:

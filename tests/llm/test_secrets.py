@@ -171,6 +171,34 @@ def test_base64_over_lines():
     assert only(text) == [("assign", 2 + len(lines[1]) + 1, 2 + sum(len(x) + 1 for x in lines[1:4]) - 1)]
 
 
+def test_nested_payloads_over_window_borders(monkeypatch):
+    monkeypatch.setattr(secret_scan, "WINDOW", 5000)
+    monkeypatch.setattr(secret_scan, "OVERLAP", 100)
+    monkeypatch.setattr(secret_scan, "_HEAD", 1000)
+    rng = random.Random(8)
+    noise = rng.randbytes(6000).hex(" ", 3)
+    body = noise[:6000] + " " + SECRET + " " + noise[6000:]
+    packed = gzip.compress(body.encode())
+    nested = [b64(body).encode(), b64(packed).encode(), base64.encodebytes(packed), urllib.parse.quote(packed, safe="").encode(),
+              "".join(f"\\x{c:02x}" for c in packed).encode(), packed, bz2.compress(body.encode()),
+              ('password = "' + "x" * 12_000).encode()]
+    for n, inner in enumerate(nested):
+        for at in (1, 4001, 4990, 9000):
+            hidden = b64(gzip.compress(("0 " * 8000)[:at].encode() + b" " + inner + b" " + b"0 " * 4000))
+            base, spans, whole = secret_scan.examined(f"é {hidden} x")
+            assert ("assign", 2, 2 + len(hidden)) in spans and whole, (n, at)
+
+
+def test_no_end_of_inflated_bytes(monkeypatch):
+    monkeypatch.setattr(secret_scan, "INFLATED", 1 << 16)
+    monkeypatch.setattr(secret_scan, "WINDOW", 1 << 14)
+    monkeypatch.setattr(secret_scan, "OVERLAP", 1 << 10)
+    monkeypatch.setattr(secret_scan, "_HEAD", 1 << 12)
+    _, spans, whole = secret_scan.examined(b64(gzip.compress(b"0 " * 200_000 + SECRET.encode())))
+    assert [f[0] for f in spans] == ["assign"] and whole
+    assert not secret_scan.examined(b64(gzip.compress(b"Z" * 300_000 + b" " + SECRET.encode())))[2]  # a run that is too long
+
+
 def test_scan_on_edges(edges):
     docs = [*edge_texts()]
     want = [(d, *(sum(f[0] == k for f in plain_base(t or "")) for k in secret_scan.KINDS), written(plain_base(t or "")))
