@@ -8,9 +8,10 @@ Only document labels are used to learn: attention finds the passages that
 decide.
 
 The fit uses at most ``SAMPLE`` labelled documents outside the held-out third
-(the smallest hashes of doc_id, so the choice is stable) and at most ``BAG``
-evenly spaced passages of each; both bounds concern the fit alone.  Scoring
-reads all passages, in tasks, without a shuffle.
+(the smallest hashes of doc_id, so the choice is stable), each with all its
+passages; of very long ones fewer, so that all have at most ``TOTAL`` passages
+(one document is taken whatever its length).  Both bounds concern the fit alone.
+Scoring reads all passages, in tasks, without a shuffle.
 
 Defined results: a null or empty text is one empty passage and is scored; null
 labels are no labels, several labels of a doc_id count by their mean; a null
@@ -28,11 +29,12 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import slices, text_bytes
+from .common import slices, stored, text_bytes
 
 PASSAGE = 64
 SAMPLE = 6000
-BAG = 64
+TOTAL = 384_000
+STEP = 1 << 15
 HIDDEN = 24
 GATES = 12
 EPOCHS = 60
@@ -138,6 +140,11 @@ class Model:
         return self.forward((np.concatenate(bags) - self.mean) / self.scale, first)["y"]
 
 
+def _parts(chosen: np.ndarray, sizes: list[int]) -> list[np.ndarray]:
+    """``chosen`` in parts of about ``STEP`` passages, which bound the memory of a gradient."""
+    return np.split(chosen, np.flatnonzero(np.diff(np.cumsum(sizes) // STEP)) + 1)
+
+
 def train(bags: list[np.ndarray], labels: np.ndarray, batch: int = 256, rate: float = 5e-3) -> Model | None:
     """Model fitted to document labels; None if there are none to learn from."""
     if not len(bags):
@@ -152,8 +159,11 @@ def train(bags: list[np.ndarray], labels: np.ndarray, batch: int = 256, rate: fl
         order = rng.permutation(len(bags))
         for at in range(0, len(order), batch):
             chosen = order[at:at + batch]
-            first = np.cumsum([0] + [len(bags[i]) for i in chosen[:-1]])
-            g = model.gradient(np.concatenate([bags[i] for i in chosen]), first, labels[chosen])
+            g = {k: np.zeros_like(x) for k, x in model.p.items()}
+            for some in _parts(chosen, [len(bags[i]) for i in chosen]):
+                first = np.cumsum([0] + [len(bags[i]) for i in some[:-1]])
+                part = model.gradient(np.concatenate([bags[i] for i in some]), first, labels[some])
+                g = {k: x + part[k] * (len(some) / len(chosen)) for k, x in g.items()}
             step += 1
             now = rate * (1 - epoch / EPOCHS) * np.sqrt(1 - 0.999 ** step) / (1 - 0.9 ** step)
             for k, x in model.p.items():
@@ -173,10 +183,9 @@ def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = []
         for label, body in zip(part.column("label").to_pylist(), part.column("body").to_pylist()):
             rows = passages(body)
-            if len(rows) > BAG:
-                rows = rows[np.arange(BAG) * len(rows) // BAG]
-            out.append((label, rows.astype(np.float32).tobytes()))
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.float64(), pa.binary()))], ["label", "bag"])
+            out.append((label, len(rows), rows.astype(np.float32).tobytes()))
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.float64(), pa.int64(), pa.binary()))],
+                                         ["label", "n", "bag"])
 
 
 def fit(docs: DataFrame, labels: DataFrame, column: str = "quality") -> Model | None:
@@ -185,8 +194,11 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "quality") -> Model |
     usable = usable.groupBy("doc_id").agg(F.avg(column).alias("label"))
     chosen = usable.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
     rows = docs.select("doc_id", text_bytes().alias("body")).join(F.broadcast(chosen), "doc_id")
-    bags = rows.select("doc_id", "label", "body").mapInArrow(_bags, "label double, bag binary")
-    sample = bags.orderBy(F.xxhash64("bag"), "label").limit(SAMPLE).collect()
+    bags = rows.select("doc_id", "label", "body").mapInArrow(_bags, "label double, n long, bag binary")
+    bags = stored(bags.withColumn("hash", F.xxhash64("bag")), "bags")
+    sizes = [r["n"] for r in bags.select("hash", "label", "n").orderBy("hash", "label", "n").limit(SAMPLE).collect()]
+    fitting = max(1, int(np.searchsorted(np.cumsum(sizes), TOTAL, "right")))
+    sample = bags.orderBy("hash", "label", "n").limit(fitting).collect()
     return train([np.frombuffer(r["bag"], np.float32).reshape(-1, FEATURES).astype(np.float64) for r in sample],
                  np.array([r["label"] for r in sample]))
 

@@ -198,3 +198,32 @@ def test_passages_count_plainly():
         assert again == pytest.approx(sum(a == b for a, b in zip(part, part[1:])) / len(part))
         assert distinct == pytest.approx(len(set(part)) / len(part))
         assert most == pytest.approx(max(part.count(w) for w in part) / len(part))
+
+
+def test_fit_reads_all_passages(spark, monkeypatch):
+    rng = random.Random(12)
+    texts = [(i, " ".join(rng.choice(("one", "two2", "Three!", "4")) for _ in range(n))) for i, n in enumerate((20_000, 5_000, 30, 9_000) * 3)]
+    docs, labels = spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(
+        [(i, i % 2) for i, _ in texts], "doc_id long, quality int")
+    learned = {r.doc_id for r in labels.filter(~quality.held_out()).collect()}
+    want = sorted(len(quality.passages(t.encode())) for i, t in texts if i in learned)
+    seen = []
+    monkeypatch.setattr(quality, "train", lambda bags, labels: seen.append(sorted(map(len, bags))))
+    quality.fit(docs, labels)
+    assert seen == [want] and max(want) > 64
+    monkeypatch.setattr(quality, "TOTAL", sum(want) // 2)
+    quality.fit(docs, labels)
+    assert 0 < len(seen[1]) < len(want) and sum(seen[1]) <= sum(want) // 2 and set(seen[1]) <= set(want)
+    monkeypatch.setattr(quality, "TOTAL", 0)
+    quality.fit(docs, labels)
+    assert len(seen[2]) == 1
+
+
+def test_gradients_in_parts(monkeypatch):
+    rng = np.random.default_rng(3)
+    bags = [rng.normal(size=(n, quality.FEATURES)) for n in (1, 70, 3, 200, 5, 40)]
+    labels = np.array([0, 1, 1, 0, 1, 0.5])
+    monkeypatch.setattr(quality, "EPOCHS", 3)
+    whole = quality.train(bags, labels).scores(bags)
+    monkeypatch.setattr(quality, "STEP", 50)
+    assert np.allclose(quality.train(bags, labels).scores(bags), whole)
