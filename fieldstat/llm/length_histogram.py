@@ -83,5 +83,30 @@ def quantiles(limits: DataFrame, shares: list[float]) -> DataFrame:
     return limits.agg(*wanted).select(F.inline(pairs))
 
 
+def at_limits(limits: DataFrame, values: list[int]) -> DataFrame:
+    """Rows like those of ``limits`` for ``values`` that aren't among its lengths (n_docs 0); none for an empty table."""
+    values = sorted(set(values))
+    if not values:
+        return limits.limit(0)
+    length, n = F.col("context_limit"), F.col("n_docs")
+    over = lambda v, x: F.coalesce(F.sum(F.when(length > v, x)), F.lit(0))
+    sums = limits.agg(F.sum(n).alias("docs"), F.max("total_tokens").alias("total_tokens"), *[
+        F.struct(F.lit(v).cast("long").alias("context_limit"), over(v, n).alias("docs_over"), over(v, length * n).alias("tokens_over"),
+                 F.coalesce(F.max(length == v), F.lit(False)).alias("occurs")).alias(f"v{i}") for i, v in enumerate(values)])
+    rows = sums.filter("docs > 0").select("docs", "total_tokens", F.inline(F.array(*[f"v{i}" for i in range(len(values))])))
+    within = F.col("docs") - F.col("docs_over")
+    return rows.filter(~F.col("occurs")).select(
+        length, F.lit(0).cast("long").alias("n_docs"), within.alias("docs_within"), "docs_over", "tokens_over",
+        (F.col("total_tokens") - F.col("tokens_over") + length * F.col("docs_over")).alias("truncated_total"),
+        "total_tokens", (within / F.col("docs")).alias("quantile"))
+
+
+def with_shares(limits: DataFrame, shares: list[float]) -> DataFrame:
+    """``limits`` with ``shares``: those of ``shares`` (above 0) whose quantile, as by ``quantiles``, is the row's length."""
+    before = (F.col("docs_within") - F.col("n_docs")) / (F.col("docs_within") + F.col("docs_over"))
+    asked = F.array(*[F.lit(float(s)) for s in shares])
+    return limits.withColumn("shares", F.filter(asked, lambda s: (s > before) & (s <= F.col("quantile"))))
+
+
 def limits_of(docs: DataFrame, vocabulary: str) -> DataFrame:
     return context_limits(stored(histogram(docs, vocabulary), "histogram"))

@@ -41,8 +41,10 @@ def op5_pigeonring_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents by encoded length, and what every context limit keeps."""
-    return length_histogram.limits_of(documents(spark, sf_dir), vocabulary_path("byte_bpe_50k.json"))
+    """Documents by encoded length, and what every context limit keeps; usual limits and quantiles among them."""
+    limits = length_histogram.limits_of(documents(spark, sf_dir), vocabulary_path("byte_bpe_50k.json"))
+    limits = limits.unionByName(length_histogram.at_limits(limits, [1 << k for k in range(18)]))
+    return length_histogram.with_shares(limits, [0.01, 0.05, 0.1, 0.25, 0.5, 0.75, 0.9, 0.95, 0.99, 1.0])
 
 
 def op7_secret_worklist(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -112,6 +112,23 @@ def test_histogram_blocks_and_quantiles(spark, monkeypatch):
     assert found == {s: int(np.quantile(lengths, s, method="inverted_cdf")) for s in found}
 
 
+def test_given_limits_and_shares(spark):
+    counts = spark.createDataFrame([(n, n % 4 + 1) for n in range(6, 40, 3)], "length long, n_docs long")
+    lengths = np.repeat(np.arange(6, 40, 3), [n % 4 + 1 for n in range(6, 40, 3)])
+    limits = length_histogram.context_limits(counts)
+    rows = limits.unionByName(length_histogram.at_limits(limits, [0, 5, 6, 10, 10, 38, 1024])).collect()
+    assert sorted(r.context_limit for r in rows) == sorted({*lengths.tolist(), 0, 5, 10, 38, 1024})
+    for r in rows:
+        over = lengths > r.context_limit
+        assert (r.n_docs, r.docs_over, r.docs_within) == ((lengths == r.context_limit).sum(), over.sum(), (~over).sum())
+        assert (r.tokens_over, r.truncated_total) == (lengths[over].sum(), np.minimum(lengths, r.context_limit).sum())
+        assert r.total_tokens == lengths.sum() and r.quantile == pytest.approx((~over).mean())
+    shares = [0.1, 0.5, 0.9, 1.0]
+    found = {s: r.context_limit for r in length_histogram.with_shares(limits, shares).collect() for s in r.shares}
+    assert found == {r.share: r.length for r in length_histogram.quantiles(limits, shares).collect()}
+    assert length_histogram.at_limits(limits.limit(0), [1, 2]).count() == 0
+
+
 def test_fullest_combination_is_optimal():
     rng = random.Random(9)
     for _ in range(200):
