@@ -13,7 +13,8 @@ in double precision and go to the query's heap.  Heaps of the shards are merged
 per query.  The result is exact, not approximate: recall is 1.
 
 Defined results: vectors that are null, zero, or hold null or non-finite
-components take no part, nor do null ids; vectors are compared with vectors of
+components take no part, nor do null ids; components of any finite size count
+(vectors beyond 1e140 or below 1e-140 are scaled by a power of two); vectors are compared with vectors of
 their own length; rows that share an id are not candidates of each other; equal
 scores rank by smaller id; repeated candidates with one id count once; an empty
 table gives no rows; other columns are ignored.
@@ -62,10 +63,11 @@ def _blocks(kind: str):
                 if vec_id is None or not vector.is_valid or values.null_count or not len(values):
                     continue
                 v = values.to_numpy(zero_copy_only=False).astype(np.float64)
-                with np.errstate(over="ignore", under="ignore"):
-                    square = (v * v).sum()
-                if not np.isfinite(v).all() or not np.isfinite(square) or square == 0:
+                largest = np.abs(v).max()
+                if not np.isfinite(largest) or largest == 0:
                     continue
+                if not 1e-140 < largest < 1e140:  # squares would leave the range of double
+                    v = np.ldexp(v, -int(np.frexp(largest)[1]))
                 ids, vectors = held.setdefault(len(v), ([], []))
                 ids.append(vec_id)
                 vectors.append(v)

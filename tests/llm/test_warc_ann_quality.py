@@ -227,3 +227,14 @@ def test_gradients_in_parts(monkeypatch):
     whole = quality.train(bags, labels).scores(bags)
     monkeypatch.setattr(quality, "STEP", 50)
     assert np.allclose(quality.train(bags, labels).scores(bags), whole)
+
+
+def test_vectors_of_extreme_size(spark):
+    rng = np.random.default_rng(9)
+    plain = rng.normal(size=(40, 6))
+    scale = np.array([1.0, 1e160, 1e-165, 1e300, 1e-300])[np.arange(40) % 5]
+    frame = lambda rows: spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rows)], "vec_id long, embedding array<double>")
+    want, got = (sorted((r.query_id, r.rank, r.vec_id, r.score) for r in block_ann.nearest(f, f).collect())
+                 for f in (frame(plain), frame(plain * scale[:, None])))
+    assert [r[:3] for r in got] == [r[:3] for r in want] and len(got) == 200
+    assert np.allclose([r[3] for r in got], [r[3] for r in want])
