@@ -69,3 +69,34 @@ def near_groups(docs, distance=4):
 def cosines(vectors, query):
     m, q = np.array(vectors, np.float64), np.array(query, np.float64)
     return (m * q).sum(axis=1) / np.sqrt((m * m).sum(axis=1)) / np.sqrt((q * q).sum())
+
+
+def alignments(docs, a, b):
+    """doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups of every row.  ``a`` and ``b``: text -> list of
+    (id, bytes); a text is given to ``a`` with a space in front, ``b`` adds its own."""
+    held, counts, best = [], defaultdict(int), defaultdict(int)
+    for _, t in docs:
+        x, y = (a(" " + t), b(t)) if t else ([], [])
+        raw = (" " + (t or "")).encode()
+        groups = []
+        if t and b"".join(c for _, c in x) == raw == b"".join(c for _, c in y):
+            ends = [{sum(len(c) for _, c in z[:k]) for k in range(1, len(z) + 1)} if len(z) < 200 else
+                    set(np.cumsum([len(c) for _, c in z]).tolist()) for z in (x, y)]
+            cuts = sorted(ends[0] & ends[1])
+            groups = [([], []) for _ in cuts]
+            for side, z in enumerate((x, y)):
+                at, g = 0, 0
+                for i, c in z:
+                    at += len(c)
+                    while at > cuts[g]:
+                        g += 1
+                    groups[g][side].append(i)
+        links = [(i, j) for g in groups for i in g[0] for j in g[1]]
+        held.append((len(x) if groups else 0, len(y) if groups else 0, groups, links))
+        for p in set(links):
+            counts[p] += 1
+    for (i, _), c in counts.items():
+        best[i] = max(best[i], c)
+    text = lambda groups: ";".join(",".join(map(str, g)) + "|" + ",".join(map(str, h)) for g, h in groups)
+    return [(d, n, m, len(groups), len(links), sum(counts[p] == best[p[0]] for p in links), sum(counts[p] for p in links),
+             text(groups)) for (d, _), (n, m, groups, links) in zip(docs, held)]
