@@ -27,7 +27,8 @@ from fieldstat.plans.standins import census_tables, read_tables
 from fieldstat.session import checkpoint_root
 from fieldstat.sinks.quoted_csv import csv_document, quoted_csv_lines
 from fieldstat.sources.delimited import read_delimited
-from fieldstat.sources.archive import explode_archives, read_member
+from fieldstat.sources.archive import explode_blocks, read_member
+from fieldstat.sources.records import number_records, records, with_quote_state
 from fieldstat.sinks.layers import read_layer, store_code_lists, write_layer
 from fieldstat.sources.codelists import load_code_lists
 from fieldstat.sources.extract import extract_status
@@ -407,6 +408,9 @@ def _hard_names(customer: DataFrame) -> DataFrame:
 
 HARD_NAME_SQL = """CASE c_custkey % 5 WHEN 0 THEN 'The "Best" ' || c_name WHEN 1 THEN c_name || chr(92)
             WHEN 2 THEN c_name || chr(9) || 'Shop, Ltd' WHEN 3 THEN c_name || '""' ELSE c_name END"""
+BROKEN_NAME_SQL = f"""CASE c_custkey % 12 WHEN 1 THEN c_name || chr(10) || 'Branch 2'
+            WHEN 5 THEN '"A"' || chr(10) || chr(10) || c_name WHEN 9 THEN c_name || chr(10) || '"' || chr(9) || chr(10)
+            ELSE {HARD_NAME_SQL} END"""
 
 
 def _pack_archives(member: str) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
@@ -425,14 +429,62 @@ def _pack_archives(member: str) -> Callable[[Iterator[pd.DataFrame]], Iterator[p
     return run
 
 
+def _broken_names(customer: DataFrame) -> DataFrame:
+    """The same with line breaks in every fourth name: several in a row, behind a quote, before the closing quote."""
+    name, kind = F.col("c_name"), F.col("c_custkey") % 12
+    broken = (F.when(kind == 1, F.concat(name, F.lit("\nBranch 2"))).when(kind == 5, F.concat(F.lit('"A"\n\n'), name))
+              .when(kind == 9, F.concat(name, F.lit('\n"\t\n'))))
+    return _hard_names(customer).withColumn("c_name", F.coalesce(broken, F.col("c_name")))
+
+
+def _stored_blocks(spark: SparkSession, archives: DataFrame, member: str, block_lines: int) -> DataFrame:
+    """A member's lines staged in the raw layer, as the batch run does."""
+    root = f"{checkpoint_root(spark).rstrip('/')}/export-{uuid.uuid4().hex}"
+    write_layer(with_quote_state(explode_blocks(archives, [member], block_lines)), root, "raw", "_export_lines")
+    return read_layer(spark, root, "raw", "_export_lines")
+
+
 def q_zip_members(spark, sf):
     """S1 round trip: each batch of ``customer`` becomes one zip export (plus
-    an unrelated member), the archive scan reads the member back."""
-    c = _hard_names(_src(spark, sf, "customer")["customer"])
+    an unrelated member), the archive scan reads the member back.  Blocks are
+    short, so that many records with line breaks lie in two or more of them."""
+    c = _broken_names(_src(spark, sf, "customer")["customer"])
     archives = c.mapInPandas(_pack_archives("customer.tab"), "path string, content binary")
-    rows = read_member(explode_archives(archives, ["customer.tab"]), "customer.tab",
-                       CUSTOMER_SCHEMA, check_header=False)
-    return rows.drop("archive", "line_no")
+    blocks = _stored_blocks(spark, archives, "customer.tab", block_lines=64)
+    return read_member(records(blocks), "customer.tab", CUSTOMER_SCHEMA, check_header=False).drop("archive", "line_no")
+
+
+ACTION_SCHEMA = T.StructType([
+    T.StructField("id", T.LongType()), T.StructField("originator", T.StringType()),
+    T.StructField("responsible__name", T.StringType()), T.StructField("date", T.DateType()),
+])
+#: Rows of the action log in one archive.
+ARCHIVE_ROWS = 5000
+
+
+def _pack_actions(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    """One archive of the action log (at most ``ARCHIVE_ROWS`` rows)."""
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
+        log = rows.sort_values("event_id").drop(columns=["number", "event_id"])
+        zf.writestr("interview__actions.tab", log.to_csv(sep="\t", index=False, na_rep="NA"))
+    return pd.DataFrame({"path": [f"export-{key[0]:012d}.zip"], "content": [buf.getvalue()]})
+
+
+def q_first_action_in_archives(spark, sf):
+    """A7 over several archives: the log lies in archives whose order is not
+    that of its dates; the first action goes by the number of its record over
+    all archives."""
+    e = _src(spark, sf, "events")["events"]
+    log = e.select((F.lit(999_999_999) - F.floor(F.col("event_id") / ARCHIVE_ROWS)).cast("long").alias("number"), "event_id",
+                   F.col("user_id").alias("id"), F.col("event_type").alias("originator"),
+                   F.concat_ws("\n", "event_type", F.when(F.col("event_id") % 7 == 0, F.lit("second line"))).alias("responsible__name"),
+                   F.to_date("ts").alias("date"))
+    archives = log.groupBy("number").applyInPandas(_pack_actions, "path string, content binary")
+    blocks = _stored_blocks(spark, archives, "interview__actions.tab", block_lines=256)
+    lines = number_records(records(blocks), blocks)
+    actions = read_member(lines, "interview__actions.tab", ACTION_SCHEMA, check_header=False).drop("archive")
+    return quality.first_action({"interview_actions": actions})
 
 
 def q_code_list_catalog(spark, sf):
@@ -550,6 +602,7 @@ QUERIES: dict[str, Query] = {
     "rename_first_drop_range": q_rename_first_drop_range,
     "status_extract": q_status_extract,
     "zip_members": q_zip_members,
+    "first_action_in_archives": q_first_action_in_archives,
     "delimited_round_trip": q_delimited_round_trip,
     "orders_csv_lines": q_orders_csv_lines,
     "code_list_catalog": q_code_list_catalog,

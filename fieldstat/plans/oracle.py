@@ -9,7 +9,8 @@ Conventions that keep the comparison exact:
 
 from __future__ import annotations
 
-from fieldstat.plans.catalogue import BIG, DIRTY_SQL, HARD_NAME_SQL, YEAR, YEARS
+from fieldstat.plans.catalogue import (ARCHIVE_ROWS, BIG, BROKEN_NAME_SQL, DIRTY_SQL, HARD_NAME_SQL, YEAR,
+                                       YEARS)
 from fieldstat.plans.reports import SKILL_MEASURES
 from fieldstat.plans.standins import with_standins
 
@@ -382,7 +383,19 @@ SQL["status_extract"] = """
 SELECT * FROM orders WHERE o_orderstatus = 'F'"""
 
 SQL["zip_members"] = f"""
-SELECT c_custkey, {HARD_NAME_SQL} AS c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer"""
+SELECT c_custkey, {BROKEN_NAME_SQL} AS c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer"""
+
+SQL["first_action_in_archives"] = f"""
+WITH log AS (
+  SELECT user_id AS id, event_type AS originator,
+         event_type || CASE WHEN event_id % 7 = 0 THEN chr(10) || 'second line' ELSE '' END AS responsible__name,
+         CAST(ts AS DATE) AS date, event_id, -(event_id // {ARCHIVE_ROWS}) AS archive, event_id % 7 = 0 AS broken FROM events),
+numbered AS (
+  SELECT *, dense_rank() OVER (ORDER BY archive) + row_number() OVER w - 1
+            + COALESCE(SUM(broken::INT) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS line_no
+  FROM log WINDOW w AS (ORDER BY archive, event_id))
+SELECT id, originator, responsible__name, date, CAST(line_no AS BIGINT) AS line_no FROM numbered
+QUALIFY row_number() OVER (PARTITION BY id, originator ORDER BY line_no) = 1"""
 
 SQL["code_list_catalog"] = """
 SELECT 'area_council' AS list_name, CAST(n_nationkey AS DOUBLE) AS code, n_name AS label FROM nation

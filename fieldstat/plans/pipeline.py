@@ -24,8 +24,9 @@ from fieldstat.operators.reshape import drop_range, rename_first, to_category, t
 from fieldstat.plans import marts, quality, reports
 from fieldstat.sinks.layers import read_layer, store_code_lists, write_layer
 from fieldstat.sinks.quoted_csv import write_quoted_csv
-from fieldstat.sources.archive import archive_headers, archive_lines, check_headers, read_member
+from fieldstat.sources.archive import archive_blocks, archive_headers, check_headers, read_member
 from fieldstat.sources.codelists import CODE_LISTS, load_code_lists
+from fieldstat.sources.records import number_records, records, with_quote_state
 
 # Export members and the table each becomes, in export order.
 EXPORT_MEMBERS = {
@@ -114,12 +115,14 @@ def land_raw(spark: SparkSession, archive_dir: str, root: str,
     schemas = schemas or {}
     # one cheap pass for all headers (one line per member and archive)
     headers = archive_headers(spark, archive_dir, members=list(members)).cache()
-    # one pass through the archives for all members' lines, staged as Parquet
-    # partitioned by member; each member is then parsed from its own folder
-    # (partition pruning) instead of decompressing the export once per member
-    write_layer(archive_lines(spark, archive_dir, members=list(members)), root, "raw",
-                "_export_lines", partition_by=["member"])
-    lines = read_layer(spark, root, "raw", "_export_lines")
+    # one pass through the archives for all members' blocks of lines, staged as
+    # Parquet partitioned by member; each member is then cut into records and
+    # parsed from its own folder (partition pruning) instead of decompressing
+    # the export once per member
+    blocks = with_quote_state(archive_blocks(spark, archive_dir, members=list(members)))
+    write_layer(blocks, root, "raw", "_export_lines", partition_by=["member"])
+    blocks = read_layer(spark, root, "raw", "_export_lines")
+    lines = number_records(records(blocks), blocks)
     paths = {}
     read_as = _text_schemas(headers, [m for m, table in members.items() if table not in schemas])
     read_as |= {m: schemas[table] for m, table in members.items() if table in schemas}

@@ -42,9 +42,11 @@ def errors_by_interview(t: Tables) -> DataFrame:
 def first_action(t: Tables) -> DataFrame:
     """R20 ``interviewer``: the first action row of each (interview,
     originator), in source order when a line number is present, else by
-    date and time."""
+    date and time.  ``line_no`` counts over all archives in the raw layer
+    (``number_records``); a frame that still has the archive's path with a
+    number within each archive is ordered by both."""
     a = t["interview_actions"]
-    order = [c for c in ("line_no", "date", "time") if c in a.columns]
+    order = [c for c in ("archive", "line_no", "date", "time") if c in a.columns]
     return keep_first(a, ["id", "originator"], order)
 
 

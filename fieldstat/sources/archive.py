@@ -3,15 +3,16 @@
 A first pass lists (archive, member) pairs from the zip directories; the pairs
 are then dealt out, so the members of one archive are read by different tasks.
 A task opens the archive by its path (``pyarrow.fs``), reads the zip by random
-access and streams its member as batches of ``(archive, member, line_no,
-line)``: no archive and no member is ever held whole, whatever its size.  The
-typed frame comes from ``from_csv`` on the line column (JVM side).
-``line_no`` keeps the export's row order, which keep-first (A7) can use.
+access and streams its member as *blocks*: rows of ``(archive, member,
+first_line, n_lines, lines)`` with a bounded number of consecutive lines.  No
+archive and no member is ever held whole, whatever its size.  ``records`` (in
+``sources.records``) cuts stored blocks into records, whose quoted fields may
+hold line breaks; ``archive_lines`` gives plain lines.  The typed frame comes
+from ``from_csv`` on the line column (JVM side).  ``line_no`` keeps the
+export's row order within a member, ``source_no`` over all archives.
 
 Archives that already are rows (``path`` and ``content``) are read from the
-content instead (``explode_archives``).
-
-Limit: fields must not contain line breaks.
+content instead (``explode_archives``, ``explode_blocks``).
 """
 
 from __future__ import annotations
@@ -25,14 +26,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-LINE_SCHEMA = T.StructType([
-    T.StructField("archive", T.StringType()),
-    T.StructField("member", T.StringType()),
-    T.StructField("line_no", T.LongType()),
-    T.StructField("line", T.StringType()),
-])
-
-
 def _open_path(path: str):
     """A seekable file for a Spark path (file:, hdfs:, s3a:, gs:, abfs: ...)."""
     from pyarrow import fs
@@ -46,35 +39,55 @@ def _open_path(path: str):
     return filesystem.open_input_file(inner)
 
 
-def _lines(path: str, zf: zipfile.ZipFile, member: str, batch_lines: int,
-           header_only: bool) -> Iterator[pd.DataFrame]:
-    numbers, rows = [], []
+BLOCK_SCHEMA = T.StructType([
+    T.StructField("archive", T.StringType()),
+    T.StructField("member", T.StringType()),
+    T.StructField("first_line", T.LongType()),
+    T.StructField("n_lines", T.LongType()),
+    T.StructField("lines", T.ArrayType(T.StringType())),
+])
+
+#: Lines of a block, and characters after which it ends early.
+BLOCK_LINES = 4096
+BLOCK_CHARS = 4 << 20
+
+
+def _blocks(path: str, zf: zipfile.ZipFile, member: str, block_lines: int, header_only: bool) -> Iterator[pd.DataFrame]:
+    def block(first: int, rows: list[str]) -> pd.DataFrame:
+        return pd.DataFrame({"archive": [path], "member": [member], "first_line": [first], "n_lines": [len(rows)],
+                             "lines": [rows]})
+
+    first, rows, held = 0, [], 0
     with zf.open(member) as fh:
         # lines end at "\n" only (a stray "\r" inside a field stays in it); a
         # bad byte becomes U+FFFD instead of failing the task, as readr
         # tolerates it
-        text = io.TextIOWrapper(fh, encoding="utf-8-sig", newline="\n", errors="replace")
-        for i, line in enumerate(text):
-            numbers.append(i)
-            rows.append(line.rstrip("\r\n"))
+        for line in io.TextIOWrapper(fh, encoding="utf-8-sig", newline="\n", errors="replace"):
+            rows.append(line.removesuffix("\n"))
+            held += len(line)
             if header_only:
                 break
-            if len(rows) >= batch_lines:
-                yield pd.DataFrame({"archive": path, "member": member, "line_no": numbers, "line": rows})
-                numbers, rows = [], []
+            if len(rows) >= block_lines or held >= BLOCK_CHARS:
+                yield block(first, rows)
+                first, rows, held = first + len(rows), [], 0
     if rows:
-        yield pd.DataFrame({"archive": path, "member": member, "line_no": numbers, "line": rows})
+        yield block(first, rows)
 
 
 def _members(zf: zipfile.ZipFile, wanted: set[str] | None) -> list[str]:
     return [i.filename for i in zf.infolist() if not i.is_dir() and (wanted is None or i.filename in wanted)]
 
 
-def explode_archives(files: DataFrame, members: Iterable[str] | None = None,
-                     batch_lines: int = 50_000, header_only: bool = False) -> DataFrame:
-    """Lines of the wanted members of archives held as rows (``path``,
-    ``content``).  ``line_no`` 0 is a member's header line; ``header_only``
-    reads just that line."""
+def as_lines(blocks: DataFrame) -> DataFrame:
+    """Blocks as rows of one line each."""
+    rows = blocks.select("archive", "member", "first_line", F.posexplode("lines").alias("at", "line"))
+    return rows.select("archive", "member", (F.col("first_line") + F.col("at")).alias("line_no"),
+                       F.rtrim("line", F.lit("\r")).alias("line"))
+
+
+def explode_blocks(files: DataFrame, members: Iterable[str] | None = None, block_lines: int = BLOCK_LINES,
+                   header_only: bool = False) -> DataFrame:
+    """Blocks of the wanted members of archives held as rows (``path``, ``content``)."""
     wanted = set(members) if members else None
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -82,9 +95,16 @@ def explode_archives(files: DataFrame, members: Iterable[str] | None = None,
             for path, content in zip(pdf["path"], pdf["content"]):
                 with zipfile.ZipFile(io.BytesIO(content)) as zf:
                     for member in _members(zf, wanted):
-                        yield from _lines(path, zf, member, batch_lines, header_only)
+                        yield from _blocks(path, zf, member, block_lines, header_only)
+
+    return files.select("path", "content").mapInPandas(run, BLOCK_SCHEMA)
 
-    return files.select("path", "content").mapInPandas(run, LINE_SCHEMA)
+
+def explode_archives(files: DataFrame, members: Iterable[str] | None = None,
+                     block_lines: int = BLOCK_LINES, header_only: bool = False) -> DataFrame:
+    """Lines of the wanted members of archives held as rows.  ``line_no`` 0 is
+    a member's header line; ``header_only`` reads just that line."""
+    return as_lines(explode_blocks(files, members, block_lines, header_only))
 
 
 def archive_members(spark: SparkSession, path: str, members: Iterable[str] | None = None,
@@ -107,28 +127,29 @@ def archive_members(spark: SparkSession, path: str, members: Iterable[str] | Non
     return pairs.repartition(max(1, min(pairs.count(), 8 * spread)))
 
 
-def _read_all(spark: SparkSession, path: str, glob: str, members, batch_lines: int,
-              header_only: bool) -> DataFrame:
+def archive_blocks(spark: SparkSession, path: str, members: Iterable[str] | None = None, glob: str = "*.zip",
+                   block_lines: int = BLOCK_LINES, header_only: bool = False) -> DataFrame:
+    """``unzip(zip, member)`` for every archive under ``path``, as blocks of lines."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for name, member in zip(pdf["archive"], pdf["member"]):
                 with _open_path(name) as source, zipfile.ZipFile(source) as zf:
-                    yield from _lines(name, zf, member, batch_lines, header_only)
+                    yield from _blocks(name, zf, member, block_lines, header_only)
 
-    return archive_members(spark, path, members, glob).mapInPandas(run, LINE_SCHEMA)
+    return archive_members(spark, path, members, glob).mapInPandas(run, BLOCK_SCHEMA)
 
 
-def archive_lines(spark: SparkSession, path: str, members: Iterable[str] | None = None,
-                  glob: str = "*.zip", batch_lines: int = 50_000) -> DataFrame:
+def archive_lines(spark: SparkSession, path: str, members: Iterable[str] | None = None, glob: str = "*.zip",
+                  block_lines: int = BLOCK_LINES) -> DataFrame:
     """``unzip(zip, member)`` for every archive under ``path``, as lines."""
-    return _read_all(spark, path, glob, members, batch_lines, False)
+    return as_lines(archive_blocks(spark, path, members, glob, block_lines))
 
 
 def archive_headers(spark: SparkSession, path: str, members: Iterable[str] | None = None,
                     glob: str = "*.zip") -> DataFrame:
     """The header line of every wanted member of every archive, reading one
     line per member (no full pass over the data)."""
-    return _read_all(spark, path, glob, members, 1, True)
+    return as_lines(archive_blocks(spark, path, members, glob, 1, True))
 
 
 def check_headers(headers: DataFrame, expected: dict[str, list[str]], sep: str = "\t") -> None:
@@ -157,7 +178,8 @@ def read_member(lines: DataFrame, member: str, schema: T.StructType, sep: str =
                 headers: DataFrame | None = None) -> DataFrame:
     """Typed rows of one member (``read_delim(unzip(zip, member))``): the
     member's columns in header order, then ``archive`` and ``line_no`` for
-    provenance and source order.
+    provenance and source order; ``line_no`` is the number over all archives
+    where ``lines`` has one (``number_records``).
 
     ``check_header`` fails early when the member is missing or a header
     differs from ``schema``.  Pass ``headers`` (from ``archive_headers``) to
@@ -172,7 +194,7 @@ def read_member(lines: DataFrame, member: str, schema: T.StructType, sep: str =
     opts = {"sep": sep, "nullValue": null_value, "mode": "PERMISSIVE", "escape": '"'}
     # readr skips blank lines
     parsed = rows.where((F.col("line_no") > 0) & (F.col("line") != "")).select(
-        "archive", "line_no", F.from_csv("line", schema.simpleString(), opts).alias("r"))
+        "archive", F.col("source_no" if "source_no" in rows.columns else "line_no").alias("line_no"), F.from_csv("line", schema.simpleString(), opts).alias("r"))
     out = parsed.select("r.*", "archive", "line_no")
     # readr reads an empty field as missing for every type, text included
     return out.withColumns({f.name: F.when(F.col(f"`{f.name}`") != "", F.col(f"`{f.name}`"))

@@ -218,13 +218,13 @@ def test_table_1_pivot(run):
 
 
 def test_members_parsed_from_staged_lines_with_pruning(run):
-    from fieldstat.sources.archive import read_member
+    from fieldstat.sources import read_member, records
     from pyspark.sql import types as T
     spark, root, _ = run
     staged = read_layer(spark, root, "raw", "_export_lines")
     schema = T.StructType([T.StructField("interview__key", T.StringType()),
                            T.StructField("variable", T.StringType())])
-    df = read_member(staged, "interview__errors.tab", schema, check_header=False)
+    df = read_member(records(staged), "interview__errors.tab", schema, check_header=False)
     assert df.count() == 3
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(member" in plan

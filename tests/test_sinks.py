@@ -68,3 +68,49 @@ def test_bucketed_layers_join_without_shuffle(spark, scratch):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     with pytest.raises(ValueError):
         write_layer(a, scratch, "clean", "x", bucket_by=["id"])
+
+
+def test_replacement_is_seen_whole_or_not_at_all(spark, scratch, monkeypatch):
+    """A write killed before its commit, at any point, leaves the old table; the next one replaces it."""
+    import fieldstat.sinks.layers as L
+    old, new = spark.range(5).selectExpr("id", "'old' AS v"), spark.range(9).selectExpr("id", "'new' AS v")
+    write_layer(old, scratch, "raw", "t")
+    held = read_layer(spark, scratch, "raw", "t")
+
+    failing = new.selectExpr("id", "CASE WHEN id = 8 THEN raise_error('lost') ELSE v END AS v").repartition(4)
+    with pytest.raises(Exception, match="lost"):
+        write_layer(failing, scratch, "raw", "t")
+    assert {r.v for r in read_layer(spark, scratch, "raw", "t").collect()} == {"old"}
+
+    def killed(*_):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as m:
+        m.setattr(L, "_commit", killed)
+        with pytest.raises(KeyboardInterrupt):
+            write_layer(new, scratch, "raw", "t")
+        with pytest.raises(KeyboardInterrupt):
+            write_layer(new, scratch, "raw", "t", bucket_by=["id"], buckets=2)
+    assert read_layer(spark, scratch, "raw", "t").count() == 5
+
+    write_layer(new, scratch, "raw", "t")
+    assert read_layer(spark, scratch, "raw", "t").count() == 9
+    assert held.count() == 5  # who read the old version still can
+    write_layer(read_layer(spark, scratch, "raw", "t").where("id < 3"), scratch, "raw", "t")  # reads what it replaces
+    assert read_layer(spark, scratch, "raw", "t").count() == 3
+
+
+def test_old_versions_are_dropped_on_request(spark, scratch):
+    from fieldstat.sinks.layers import committed_versions, drop_old_versions
+    for n in (1, 2, 3):
+        write_layer(spark.range(n), scratch, "raw", "t")
+    spark.range(7).write.parquet(f"{layer_path(scratch, 'raw', 't')}/v-lost")
+    assert len(committed_versions(spark, scratch, "raw", "t")) == 3
+    assert len(drop_old_versions(spark, scratch, "raw", "t", keep=2)) == 2
+    assert len(committed_versions(spark, scratch, "raw", "t")) == 2
+    assert read_layer(spark, scratch, "raw", "t").count() == 3
+    assert drop_old_versions(spark, scratch, "raw", "nothing") == []
+    with pytest.raises(ValueError):
+        drop_old_versions(spark, scratch, "raw", "t", keep=0)
+    with pytest.raises(FileNotFoundError):
+        read_layer(spark, scratch, "raw", "nothing")
