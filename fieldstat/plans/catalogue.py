@@ -14,7 +14,7 @@ import zipfile
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -396,14 +396,17 @@ CUSTOMER_SCHEMA = T.StructType([
 ])
 
 
-def _hard_names(customer: DataFrame) -> DataFrame:
+def _hard_name() -> Column:
     """Names as exports hold them: quotes, a backslash before the quote, the
     separator, two quotes in a row."""
     name, kind = F.col("c_name"), F.col("c_custkey") % 5
-    hard = (F.when(kind == 0, F.concat(F.lit('The "Best" '), name)).when(kind == 1, F.concat(name, F.lit("\\")))
+    return (F.when(kind == 0, F.concat(F.lit('The "Best" '), name)).when(kind == 1, F.concat(name, F.lit("\\")))
             .when(kind == 2, F.concat(name, F.lit("\tShop, Ltd"))).when(kind == 3, F.concat(name, F.lit('""')))
             .otherwise(name))
-    return customer.withColumn("c_name", hard)
+
+
+def _hard_names(customer: DataFrame) -> DataFrame:
+    return customer.withColumn("c_name", _hard_name())
 
 
 HARD_NAME_SQL = """CASE c_custkey % 5 WHEN 0 THEN 'The "Best" ' || c_name WHEN 1 THEN c_name || chr(92)
@@ -434,7 +437,7 @@ def _broken_names(customer: DataFrame) -> DataFrame:
     name, kind = F.col("c_name"), F.col("c_custkey") % 12
     broken = (F.when(kind == 1, F.concat(name, F.lit("\nBranch 2"))).when(kind == 5, F.concat(F.lit('"A"\n\n'), name))
               .when(kind == 9, F.concat(name, F.lit('\n"\t\n'))))
-    return _hard_names(customer).withColumn("c_name", F.coalesce(broken, F.col("c_name")))
+    return customer.withColumn("c_name", F.coalesce(broken, _hard_name()))
 
 
 def _stored_blocks(spark: SparkSession, archives: DataFrame, member: str, block_lines: int) -> DataFrame:
