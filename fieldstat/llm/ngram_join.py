@@ -19,13 +19,14 @@ when ``100 * |intersection| >= percent * |union|``.
    filter: the n-grams behind the position are counted in ``BINS`` ranges of
    the hash, and the differences of the counts bound their overlap from above.
 4. Verification.  Candidate pairs are made distinct and verified once, on the
-   whole sets.  Pairs are not listed group by group: a first pass takes only the
-   pairs between the least class of a prefix n-gram and the others (a star); once
-   their links are known, a second pass does so for the components that still
-   meet; the last takes all other pairs whose classes are not yet connected.
-   So a group of k near copies costs about k pairs, and no link between
-   components is lost.  A prefix n-gram of more than ``CELL`` classes is split
-   into blocks, and each pair of blocks is compared by a task of its own.
+   whole sets (before that, on counts of their n-grams by hash range, which
+   bound the intersection).  Pairs are not listed group by group: a first pass
+   takes only the pairs between the first class of a prefix n-gram (the one with
+   the fewest rarer n-grams) and the others (a star); once their links are known, a second pass takes all other
+   pairs whose classes are not yet connected.  So a group of k near copies costs
+   about k pairs, and no link between components is lost.  A prefix n-gram of
+   more than ``CELL`` classes is split into blocks, and each pair of blocks is
+   compared by itself.
 
 Defined results: fewer words than a shingle make one n-gram of the whole
 sequence; a text without words (null, empty, white space) has an empty set and
@@ -60,7 +61,8 @@ ROUND = 1 << 20
 PER_OWNER = 2 << 20
 #: Classes of one prefix n-gram that are compared as one cell.
 CELL = 4096
-#: Pairs held at once while a cell is compared.
+#: Prefix rows that a task compares at a time, and pairs that it holds meanwhile.
+ROWS = 1 << 16
 PAIRS = 1 << 21
 #: Ranges of the suffix filter.
 BINS = 32
@@ -222,8 +224,9 @@ def _prefixes(bits: int, percent: int):
             spots = np.flatnonzero(often[order] > 1)
             after = _histograms(known[order[spots]], bits, np.searchsorted(spots, places))
             key, n = keys[16 * d:16 * d + 16], int(sizes[d])
-            for fp, pos, bins in zip(known[order[places]].astype(np.int64).tolist(), places.tolist(), after):
-                yield fp, key, n, pos, bins.tobytes()
+            fps, first = np.unique(known[order[places]].astype(np.int64), return_index=True)  # the first place counts
+            for fp, at in zip(fps.tolist(), first.tolist()):
+                yield fp, key, n, int(places[at]), after[at].tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk, answers = None, []
@@ -264,72 +267,107 @@ def _passing(cell: dict, i: np.ndarray, j: np.ndarray, percent: int) -> np.ndarr
     return ok
 
 
+def _star_pairs(cell: np.ndarray, group: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """In each cell, the first class of every component with the first of all (rows are in order of cell and place)."""
+    _, heads = np.unique(cell * (group.max() + 1) + group, return_index=True)
+    heads = np.sort(heads)
+    first = np.searchsorted(cell, cell[heads])
+    apart = first != heads
+    yield first[apart], heads[apart]
+
+
+def _all_pairs(cell: np.ndarray, group: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """In each cell, every two classes of different components."""
+    after = np.searchsorted(cell, cell, "right") - np.arange(len(cell)) - 1  # rows of the cell that follow
+    sums, at = np.cumsum(after), 0
+    while at < len(cell):
+        stop = max(at + 1, int(np.searchsorted(sums, (sums[at - 1] if at else 0) + PAIRS, "right")))
+        n = after[at:stop]
+        i = np.repeat(np.arange(at, stop), n)
+        j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(n) - n, n)
+        apart = group[i] != group[j]
+        yield i[apart], j[apart]
+        at = stop
+
+
 def _candidates(percent: int, star: bool):
-    """Cells (rows sorted by cell) to candidate pairs (u, v) of classes that are not yet connected."""
-
-    def star_pairs(cell: dict) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        # the least class of every component (rows are in order of class), joined to the least of all
-        _, heads = np.unique(cell["group"], return_index=True)
-        heads = np.sort(heads)
-        yield np.zeros(len(heads) - 1, np.int64), heads[1:]
-
-    def all_pairs(cell: dict) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        size = len(cell["n"])
-        step = max(1, PAIRS // size)
-        for a in range(0, size, step):
-            i, j = np.nonzero(cell["group"][a:a + step, None] != cell["group"][None, :])
-            i += a
-            ahead = i < j
-            yield i[ahead], j[ahead]
+    """Cells (rows sorted by lead and cell) to candidate pairs (u, v) of classes that are not yet connected."""
+
+    def pairs(table: pa.Table) -> pa.RecordBatch:
+        keys = table.column("key").combine_chunks().dictionary_encode()
+        key, names = keys.indices.to_numpy().astype(np.int64), keys.dictionary
+        group = table.column("component").combine_chunks().dictionary_encode().indices.to_numpy().astype(np.int64)
+        cell = np.cumsum(_breaks(table))
+        rows = {"n": table.column("n").to_numpy().astype(np.int64), "pos": table.column("pos").to_numpy().astype(np.int64),
+                "after": np.frombuffer(b"".join(table.column("after").to_pylist()), np.uint8).reshape(-1, BINS)}
+        bins = None if star else table.column("bins").to_pylist()
+        found = []
+        for i, j in (_star_pairs if star else _all_pairs)(cell, group):
+            ok = np.flatnonzero(_passing(rows, i, j, percent))
+            if bins is not None:
+                ok = ok[_room(bins, i[ok], j[ok], percent)]
+            found.append(np.unique(key[i[ok]] * len(names) + key[j[ok]]))  # a pair meets in many cells of one lead
+        u, v = np.divmod(np.unique(np.concatenate(found)), len(names))
+        return pa.RecordBatch.from_arrays([names.take(pa.array(u)), names.take(pa.array(v))], ["u", "v"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found, held = [], 0
-
-        def emit() -> pa.RecordBatch:
-            distinct = sorted(set().union(*found))
-            return _batch("u binary, v binary", distinct)
-
-        for table in _groups(batches, "cell"):
-            keys = table.column("key").to_pylist()
-            groups = table.column("component").to_pylist()
-            if len(keys) < 2 or len(set(groups)) < 2:
-                continue
-            number = {g: x for x, g in enumerate(dict.fromkeys(groups))}
-            cell = {"n": table.column("n").to_numpy().astype(np.int64), "pos": table.column("pos").to_numpy().astype(np.int64),
-                    "group": np.array([number[g] for g in groups]),
-                    "after": np.frombuffer(b"".join(table.column("after").to_pylist()), np.uint8).reshape(-1, BINS)}
-            for i, j in (star_pairs if star else all_pairs)(cell):
-                ok = _passing(cell, i, j, percent)
-                found.append({(keys[a], keys[b]) for a, b in zip(i[ok].tolist(), j[ok].tolist())})
-                held += len(found[-1])
-                if held > 1 << 16:
-                    yield emit()
-                    found, held = [], 0
-        if found:
-            yield emit()
+        held, n = [], 0
+        for batch in batches:
+            held.append(batch)
+            n += batch.num_rows
+            if n >= ROWS:  # all but the last cell, which may go on, are whole
+                table = pa.Table.from_batches(held)
+                cut = int(np.flatnonzero(_breaks(table))[-1])
+                if cut:
+                    yield pairs(table.slice(0, cut))
+                    held, n = table.slice(cut).to_batches(), n - cut
+        if n:
+            yield pairs(pa.Table.from_batches(held))
 
     return run
 
 
-def _cells(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """Prefix rows by cell: a prefix n-gram, or a pair of blocks of one that many classes have."""
+def _breaks(table: pa.Table) -> np.ndarray:
+    """Where a cell begins."""
+    new = np.ones(table.num_rows, bool)
+    new[1:] = (np.diff(table.column("spread").to_numpy()) != 0) | (np.diff(table.column("cell").to_numpy()) != 0)
+    return new
+
+
+def _cells(rows: DataFrame, labels: DataFrame | None, sets: DataFrame | None) -> DataFrame:
+    """Prefix rows by cell: a prefix n-gram, or a pair of blocks of one that many classes have.
+
+    A cell's first class (lead) is the one with the fewest rarer n-grams: the
+    text that near copies were made from has none of their own changes.  Cells
+    with the same lead go to the same task, because classes that meet once
+    mostly meet in many n-grams; a lead of more than ``ROWS`` rows is spread
+    over several tasks.  With ``sets``, rows carry their set's counts.
+    """
     if labels is None:
         rows = rows.withColumn("component", F.col("key"))
     else:
         rows = attach(rows, labels, ["key"], "size", rows.count()).drop("size")
         rows = rows.withColumn("component", F.coalesce("component", "key"))
-        # n-grams whose classes are all connected are settled
-        open_ = rows.groupBy("fp").agg(F.min("component").alias("a"), F.max("component").alias("b"))
-        rows = rows.join(open_.filter("a <> b").select("fp"), "fp", "left_semi")
-    blocks = F.coalesce(F.ceil(F.col("count") / CELL), F.lit(1)).cast("int")
-    large = rows.groupBy("fp").count().filter(F.col("count") > CELL)
-    rows = rows.join(large, "fp", "left").withColumn("blocks", blocks)
+    grams = rows.groupBy("fp").agg(F.count(F.lit(1)).alias("count"), F.hash(F.min(F.struct("pos", "key"))["key"]).alias("lead"),
+                                   F.min("component").alias("a"), F.max("component").alias("b"))
+    grams = grams.filter("a <> b").drop("a", "b")  # n-grams whose classes are all connected are settled
+    leads = grams.groupBy("lead").agg(F.sum("count").alias("rows"))
+    grams = grams.join(leads, "lead").select("fp", "count", "lead", F.ceil(F.col("rows") / ROWS).alias("parts"))
+    rows = attach(rows, grams.withColumnRenamed("count", "size"), ["fp"], "size", rows.count()).filter("size IS NOT NULL")
+    if sets is not None:
+        rows = stored(rows.withColumnRenamed("size", "often"), "open")
+        uses = rows.groupBy("key").agg(F.count(F.lit(1)).alias("size"))
+        rows = attach(rows, stored(sets.select("key", "bins").join(uses, "key"), "bins"), ["key"], "size", rows.count())
+        rows = rows.drop("size").withColumnRenamed("often", "size")
+    rows = rows.withColumn("blocks", F.ceil(F.col("size") / CELL).cast("int"))
     rows = rows.withColumn("own", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     cell = F.xxhash64("fp", F.least("own", "other"), F.greatest("own", "other"))
+    spread = F.xxhash64("lead", F.pmod(cell, F.col("parts")))
     n = shuffle_partitions(rows.sparkSession)
-    rows = rows.select(cell.alias("cell"), "key", "n", "pos", "after", "component")
-    return rows.repartition(n, "cell").sortWithinPartitions("cell", "key")
+    columns = ["key", "n", "pos", "after", "component"] + ["bins"] * (sets is not None)
+    rows = rows.select(spread.alias("spread"), cell.alias("cell"), *columns)
+    return rows.repartition(n, "spread").sortWithinPartitions("spread", "cell", "pos", "key")
 
 
 def _linked(percent: int) -> Column:
@@ -349,14 +387,59 @@ def _linked(percent: int) -> Column:
     return F.arrow_udf(check, BooleanType())("su", "sv")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (u, v) among distinct candidate pairs; a class of many pairs is spread over tasks."""
+def _bins(grams: np.ndarray) -> bytes:
+    """Counts by hash range, about two n-grams a range; 255 stands for that many or more."""
+    width = min(12, max(5, (len(grams) // 2).bit_length()))
+    return np.minimum(np.bincount((grams >> _U64(64 - width)).astype(np.int64), minlength=1 << width), 255).astype(np.uint8).tobytes()
+
+
+def _room(bins: list[bytes], i: np.ndarray, j: np.ndarray, percent: int) -> np.ndarray:
+    """Which pairs of sets, by their counts, may link: the suffix filter from place 0, with narrower ranges."""
+    widths = np.array([len(b) for b in bins])
+    common, ok = np.minimum(widths[i], widths[j]), np.ones(len(i), bool)
+    for width in np.unique(common).tolist():
+        at = np.flatnonzero(common == width)
+        used, where = np.unique(np.concatenate((i[at], j[at])), return_inverse=True)
+        folded = np.empty((len(used), width), np.uint16)
+        capped = np.empty(len(used), bool)
+        for row, k in enumerate(used.tolist()):
+            counts = np.frombuffer(bins[k], np.uint8)
+            folded[row], capped[row] = counts.reshape(width, -1).sum(axis=1), counts.max() == 255
+        sizes, step = folded.sum(axis=1, dtype=np.int64), max(1, (1 << 24) // width)
+        for a in range(0, len(at), step):
+            x, y = where[:len(at)][a:a + step], where[len(at):][a:a + step]
+            shared = np.minimum(folded[x], folded[y]).sum(axis=1, dtype=np.int64)
+            ok[at[a:a + step]] = capped[x] | capped[y] | (shared >= _needed(sizes[x], sizes[y], percent))
+    return ok
+
+
+def _may_link(percent: int) -> Column:
+    """Whether the counts ``su`` and ``sv`` leave room for a link."""
+
+    def check(left: pa.Array, right: pa.Array) -> pa.Array:
+        n = len(left)
+        return pa.array(_room(left.to_pylist() + right.to_pylist(), np.arange(n), np.arange(n, 2 * n), percent))
+
+    return F.arrow_udf(check, BooleanType())("su", "sv")
+
+
+def _with_ends(pairs: DataFrame, sets: DataFrame, column: str) -> DataFrame:
+    """``pairs`` with that column of both classes, as su and sv; a class of many pairs is spread over tasks."""
     total, found = pairs.count(), pairs
     for end, name in (("u", "su"), ("v", "sv")):
         often = pairs.groupBy(F.col(end).alias("key")).agg(F.count(F.lit(1)).alias("size"))
-        table = stored(sets.join(often, "key"), "ends").select(F.col("key").alias(end), "size", F.col("set").alias(name))
+        table = stored(sets.select("key", column).join(often, "key"), "ends")
+        table = table.select(F.col("key").alias(end), "size", F.col(column).alias(name))
         found = attach(found, table, [end], "size", total).drop("size")
-    return found.filter(_linked(percent)).select("u", "v")
+    return found
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int, counted: bool) -> DataFrame:
+    """Links (u, v) among distinct candidate pairs.  Whole sets travel only for pairs that their counts leave
+    (``counted``: the counts have been compared)."""
+    if not counted:
+        pairs = stored(_with_ends(pairs, sets, "bins").filter(_may_link(percent)).select("u", "v"), "left")
+    return _with_ends(pairs, sets, "set").filter(_linked(percent)).select("u", "v")
 
 
 def _set_rows(size: int):
@@ -364,13 +447,13 @@ def _set_rows(size: int):
         for part in slices(batches):
             sets = [gram_hashes(b, size) for b in part.column("body").to_pylist()]
             right = [_key(s) == k for s, k in zip(sets, part.column("key").to_pylist())]
-            yield _batch("key binary, set binary", [(_key(s), s.tobytes()) for s, r in zip(sets, right) if r])
+            yield _batch("key binary, set binary, bins binary", [(_key(s), s.tobytes(), _bins(s)) for s, r in zip(sets, right) if r])
 
     return run
 
 
 def _sets_of(docs: DataFrame, rows: DataFrame, classes: DataFrame, size: int) -> DataFrame:
-    """key, set (sorted hashes) of each class with a prefix row, from one document of each class."""
+    """key, set (sorted hashes), bins (counts by hash range) of each class with a prefix row, from one document of each class."""
     place = F.struct(F.col("doc_id").isNotNull().alias("known"), F.coalesce("doc_id", F.lit(0)).alias("doc_id"), "th")
     chosen = classes.groupBy("key").agg(F.min(place).alias("p")).join(rows.select("key").distinct(), "key", "left_semi")
     chosen = stored(chosen.select("key", "p.*"), "chosen")
@@ -379,7 +462,7 @@ def _sets_of(docs: DataFrame, rows: DataFrame, classes: DataFrame, size: int) ->
     texts = texts.filter(may_be_in(F.col("th"), chosen.select("th"))).join(chosen, ["known", "doc_id", "th"])
     # rows that repeat id and text: one of them
     texts = texts.groupBy("key").agg(F.first("body").alias("body"))
-    return stored(texts.mapInArrow(_set_rows(size), "key binary, set binary"), "sets")
+    return stored(texts.mapInArrow(_set_rows(size), "key binary, set binary, bins binary"), "sets")
 
 
 def similar(docs: DataFrame, size: int = SHINGLE, percent: int = 80) -> DataFrame:
@@ -398,21 +481,23 @@ def similar(docs: DataFrame, size: int = SHINGLE, percent: int = 80) -> DataFram
     answers = messages.repartition(owners, "owner").sortWithinPartitions("owner").mapInArrow(_answer, _SETS)
     both = answers.unionByName(read.filter("kind = 1")).select("chunk", "kind", "owner", "n", "key", "code", "counts")
     both = both.repartition(max(parts, owners), "chunk").sortWithinPartitions("chunk", "kind")
-    prefixes = both.mapInArrow(_prefixes(bits, percent), _ROWS)
-    # a class of several chunks, or n-grams of one set with equal fingerprints: the first place counts
-    first = F.min(F.struct("pos", "n", "after")).alias("r")
-    prefixes = stored(prefixes.groupBy("fp", "key").agg(first).select("fp", "key", "r.*"), "prefixes")
+    prefixes = both.mapInArrow(_prefixes(bits, percent), _ROWS).distinct()  # a class may lie in several chunks
+    prefixes = stored(prefixes, "prefixes")
     several = prefixes.groupBy("fp").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     prefixes = stored(prefixes.join(several.select("fp"), "fp", "left_semi"), "shared")
     sets = _sets_of(docs, prefixes, classes, size)
 
-    links, labels = None, None
-    for star in (True, True, False):
-        pairs = _cells(prefixes, labels).mapInArrow(_candidates(percent, star), "u binary, v binary").distinct()
-        found = _verified(stored(pairs, "pairs"), sets, percent)
+    uses = prefixes.groupBy("key").agg(F.count(F.lit(1)).alias("size"))
+    links, labels, tried = None, None, None
+    for star in (True, False):
+        cells = _cells(prefixes, labels, None if star else sets)
+        pairs = cells.mapInArrow(_candidates(percent, star), "u binary, v binary").distinct()
+        if tried is not None:
+            pairs = pairs.join(tried, ["u", "v"], "left_anti")  # a pair is verified once
+        tried = stored(pairs, "pairs")
+        found = _verified(tried, sets, percent, counted=not star)
         links = stored(found if links is None else found.unionByName(links), "verified")
         labels = components(links).select(F.col("node").alias("key"), "component")
-        uses = prefixes.groupBy("key").agg(F.count(F.lit(1)).alias("size"))
         labels = stored(labels.join(uses, "key"), "labels")
 
     named = classes.filter("n > 0").groupBy("key").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("docs"))
