@@ -7,7 +7,7 @@ A base64 run is decoded from each of its first four characters, so that what
 stands before a payload doesn't hide it, and runs that only line breaks separate
 also as one; bytes that aren't UTF-8 are read as
 Latin-1, in which the patterns (all ASCII) match as well.  What base64 hides may
-itself be compressed (gzip, zlib, bzip2, xz) any number of times.  A layer whose digest
+itself be compressed (gzip, zlib, raw deflate, bzip2, xz, lzma) any number of times.  A layer whose digest
 has been seen is not scanned again, so cycles end and the list reaches its
 fixpoint.  Each character of a layer carries the span of the original text it
 comes from; findings in a layer are mapped back to code points of the original.
@@ -21,8 +21,9 @@ Compressed payloads are inflated as a stream to its end.  What exceeds a window
 scanned in windows that end where no finding, run or nested payload is open, so
 nothing is cut and memory does not depend on what a payload holds.  Only one run
 or nested payload that is itself longer than ``INFLATED`` bytes is cut (windows
-then overlap); ``scan`` reports such a text in ``fully_scanned``.  A damaged
-payload is scanned as far as it can be read.
+then overlap); ``scan`` reports such a text in ``fully_scanned``, and ``redact``
+takes the whole payload out.  A damaged payload is scanned as far as it can be
+read.
 """
 
 from __future__ import annotations
@@ -56,7 +57,8 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{32,}")
 _WORDS = ("passw", "secret", "token", "api")
 _PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
-_ESCAPE = re.compile(r"(?:\\u[0-9A-Fa-f]{4})+|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2}|&#(?:[0-9]{1,7}|[xX][0-9A-Fa-f]{1,6});")
+_ESCAPE = re.compile(r"(?:\\u[0-9A-Fa-f]{4})+|\\U[0-9A-Fa-f]{8}|\\[ux]\{[0-9A-Fa-f]{1,8}\}|\\x[0-9A-Fa-f]{2}|\\[0-3][0-7]{2}"
+                     r"|&(?:#(?:[0-9]{1,7}|[xX][0-9A-Fa-f]{1,6})|[A-Za-z][A-Za-z0-9]{1,30});")
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 # The same escapes, byte by byte, with those that writers put beside them.
 _PERCENT_BYTE = re.compile(r"%[0-9A-Fa-f]{2}")
@@ -74,8 +76,8 @@ _NULS = re.compile(r"(?:[\x01-\x7f]\0(?:\0\0)?){4,}|(?:\0(?:\0\0)?[\x01-\x7f]){4
 _WIDE = re.compile("[^\x00-\xff]")
 _MAGIC = re.compile("\x1f\x8b\x08|BZh[1-9](?:1AY&SY|\x17rE8P\x90)|\xfd7zXZ\0|x[\x01\x5e\x9c\xda]")
 #: Bytes without a match have no finding, and no decoder changes them.
-_WORTH = re.compile(rb"(?i:passw|secret|token|api)|AKIA|[0-9a-f]{32}|%[0-9A-Fa-f]{2}|\\[uUx]|&#|[A-Za-z0-9+/_-]{16}"
-                    rb"|[\x01-\x7f]\0(?:\0\0)?[\x01-\x7f]\0|\x1f\x8b\x08|BZh[1-9]|\xfd7zXZ\0|x[\x01\x5e\x9c\xda]")
+_WORTH = re.compile(rb"(?i:passw|secret|token|api)|AKIA|[0-9a-f]{32}|%[0-9A-Fa-f]{2}|\\[uUx0-3]|&[#A-Za-z]|[A-Za-z0-9+/_-]{16}"
+                    rb"|[\x01-\x7f]\0(?:\0\0)?[\x01-\x7f]\0|\x1f\x8b\x08|BZh[1-9]|\xfd7zXZ\0|\x5d\0\0|x[\x01\x5e\x9c\xda]")
 
 Finding = tuple[str, int, int]
 
@@ -113,7 +115,7 @@ class _Layer:
 
 
 class _Work(list):
-    """Iterators of layers; ``report`` has an item for each run or payload that was cut."""
+    """Iterators of layers; ``report`` has the span of each payload in which something was cut."""
 
     def __init__(self, report: list):
         self.report = report
@@ -137,11 +139,19 @@ def _url(layer: _Layer) -> list:
     return parts
 
 
+def _form(layer: _Layer) -> list:
+    """URL escapes where ``+`` stands for a space."""
+    if "+" not in layer.text or not _PERCENT.search(layer.text):
+        return []
+    blanks = [(m.start(), m.end(), " ", np.array([m.start()]), np.array([m.end()])) for m in re.finditer(r"\+", layer.text)]
+    return sorted(_url(layer) + blanks, key=lambda part: part[0])
+
+
 def _unicode(layer: _Layer) -> list:
     parts = []
     for m in _ESCAPE.finditer(layer.text):
         s = m.group()
-        if s.startswith("\\u"):
+        if s.startswith("\\u") and s[2] != "{":
             units = bytes.fromhex(s.replace("\\u", ""))
             text = units.decode("utf-16-be", "replace")
             sizes = np.fromiter((2 if ord(c) > 0xFFFF else 1 for c in text), np.int64, len(text))
@@ -150,7 +160,12 @@ def _unicode(layer: _Layer) -> list:
             ends = m.start() + 6 * np.cumsum(sizes)
             parts.append((m.start(), m.end(), text, ends - 6 * sizes, ends))
             continue
-        code = int(s[2:], 16) if s[0] == "\\" else int(s[3:-1], 16) if s[2] in "xX" else int(s[2:-1])
+        if s[0] == "&" and s[1] != "#":
+            if len(text := html.unescape(s)) == 1:
+                parts.append((m.start(), m.end(), text, np.array([m.start()]), np.array([m.end()])))
+            continue
+        code = (int(s[2:].strip("{}"), 16) if s[:2] in ("\\U", "\\x", "\\u") else int(s[1:], 8) if s[0] == "\\"
+                else int(s[3:-1], 16) if s[2] in "xX" else int(s[2:-1]))
         if code < 0x110000 and not 0xD800 <= code < 0xE000:
             parts.append((m.start(), m.end(), chr(code), np.array([m.start()]), np.array([m.end()])))
     return parts
@@ -210,9 +225,25 @@ def _opener(head: bytes) -> Callable | None:
         return bz2.BZ2Decompressor
     if head[:6] == b"\xfd7zXZ\x00":
         return lambda: lzma.LZMADecompressor(memlimit=1 << 28)
+    if head[:3] == b"\x5d\0\0" and len(head) > 13:
+        return lambda: lzma.LZMADecompressor(lzma.FORMAT_ALONE, memlimit=1 << 28)
     return None
 
 
+def _deflated(data: bytes) -> Iterator[bytes] | None:
+    """Pieces of a raw deflate stream that takes all of ``data``; None if it is none."""
+    member, rest = zlib.decompressobj(-15), data
+    try:
+        while not member.eof:
+            out = member.decompress(rest, _HEAD)
+            rest = member.unconsumed_tail
+            if not out and not rest and not member.eof:
+                return None
+    except zlib.error:
+        return None
+    return _opened(iter((data,)), lambda: zlib.decompressobj(-15)) if not member.unused_data else None
+
+
 def _opened(source: Iterator[bytes], opener: Callable) -> Iterator[bytes]:
     """Inflated pieces of ``source``, member after member, up to its end or to damaged data."""
     member = opener()
@@ -289,9 +320,9 @@ def _border(held: bytes) -> int:
     return border
 
 
-def _windows(pieces: Iterator[bytes], report: list) -> Iterator[str]:
-    """Texts of about ``WINDOW`` bytes, each from the last bytes of the one before; ``report`` gets an item where a
-    run or payload had to be cut."""
+def _windows(pieces: Iterator[bytes], report: list, span: tuple[int, int]) -> Iterator[str]:
+    """Texts of about ``WINDOW`` bytes, each from the last bytes of the one before; ``report`` gets the payload's span
+    in the original where a run or payload had to be cut."""
     held, limit, new = bytearray(), WINDOW, False
     for piece in pieces:
         held += piece
@@ -303,7 +334,7 @@ def _windows(pieces: Iterator[bytes], report: list) -> Iterator[str]:
             if len(held) < INFLATED:
                 limit = min(2 * len(held), INFLATED)
                 continue
-            report.append(len(held))
+            report.append(span)
             border = len(held)
         yield from _views(bytes(held[:border]))
         del held[:max(0, border - OVERLAP)]
@@ -345,8 +376,8 @@ def _base64(layer: _Layer, more: _Work) -> list:
             if at == 0:
                 windows = iter(())
                 if (text := _printable(raw)) is None:
-                    pieces = _inflate(raw)
-                    windows = windows if pieces is None else _windows(pieces, more.report)
+                    pieces = _inflate(raw) or _deflated(raw)
+                    windows = windows if pieces is None else _windows(pieces, more.report, (start, end))
                     if (text := next(windows, None)) is None:
                         text = _utf8(raw)
                 if text is not None:
@@ -396,7 +427,8 @@ def _compressed(layer: _Layer, more: _Work) -> None:
         if opener is None or not _opens(data[at:at + 4096], opener) or (pieces := _inflate(data[at:])) is None:
             continue
         stop = m.start() + _extent(data[at:], opener)
-        more.append(_placed(_windows(pieces, more.report), int(layer.starts[m.start():stop].min()), int(layer.ends[m.start():stop].max())))
+        start, end = int(layer.starts[m.start():stop].min()), int(layer.ends[m.start():stop].max())
+        more.append(_placed(_windows(pieces, more.report, (start, end)), start, end))
 
 
 def _opens(head: bytes, opener: Callable) -> bool:
@@ -436,10 +468,16 @@ def findings(text: str) -> tuple[list[Finding], list[Finding]]:
 
 def examined(text: str) -> tuple[list[Finding], list[Finding], bool]:
     """As ``findings``; and whether nothing of the text was cut."""
+    base, found, cut = unwrapped(text)
+    return base, found, not cut
+
+
+def unwrapped(text: str) -> tuple[list[Finding], list[Finding], list[tuple[int, int]]]:
+    """As ``findings``; and the spans of payloads in which something had to be cut."""
     base = base_findings(text)
     found = set(base)
-    if not ("%" in text or "\\" in text or "&#" in text or "\0" in text or _BASE64.search(text) or _LINES.search(text)):
-        return base, base, True
+    if not ("%" in text or "\\" in text or ("&" in text and _ESCAPE.search(text)) or "\0" in text or _BASE64.search(text) or _LINES.search(text)):
+        return base, base, []
     places = np.arange(len(text))
     work: list[Iterator[_Layer]] = [iter((_Layer(text, places, places + 1),))]
     seen, report = set(), []
@@ -457,13 +495,13 @@ def examined(text: str) -> tuple[list[Finding], list[Finding], bool]:
         for reading in (layer, *_bytes_of(layer)):
             _compressed(reading, more)
         _joined(layer, more)
-        for parts in (_url(layer), _unicode(layer), _nuls(layer), _base64(layer, more)):
+        for parts in (_url(layer), _form(layer), _unicode(layer), _nuls(layer), _base64(layer, more)):
             if parts:
                 work.append(iter((layer.replaced(parts),)))
         work += more
     if len(found) == len(base):
-        return base, base, not report
-    return base, sorted(found, key=lambda f: (f[1], KINDS.index(f[0]), f[2])), not report
+        return base, base, report
+    return base, sorted(found, key=lambda f: (f[1], KINDS.index(f[0]), f[2])), report
 
 
 def written(spans: list[Finding]) -> str:
@@ -489,9 +527,11 @@ def scan(docs: DataFrame) -> DataFrame:
 
 
 def _redacted(text: str, mark: str) -> str:
-    spans = findings(text)[1]
+    _, found, cut = unwrapped(text)
+    # a payload that could not be read as a whole may hide a secret: it goes too
+    spans = sorted({(a, b) for _, a, b in found} | set(cut))
     out, at = [], 0
-    for _, start, end in spans:
+    for start, end in spans:
         if end > at:
             if start >= at:  # else it goes on in the span before
                 out += (text[at:start], mark)

@@ -11,6 +11,7 @@ import time
 import urllib.parse
 import zlib
 
+import pytest
 from hypothesis import given, settings, strategies as st
 
 from fieldstat.llm import queries, secret_scan
@@ -228,3 +229,42 @@ def test_redact(spark, edges, no_docs):
     assert secret_scan.redact(edges).count() == len(edge_texts()) and secret_scan.redact(edges).schema == edges.schema
     assert secret_scan.redact(no_docs).count() == 0 and secret_scan.scan(no_docs).count() == 0
     assert json.dumps(got[3].asDict())
+
+
+@pytest.mark.parametrize("text", [
+    "".join(f"\\{ord(c):03o}" for c in "password=hunter2222"),
+    "pass\\u{77}ord=hunter2222", "passwor\\x{64}=hunter2222", "password&equals;hunter2222", "password&colon;&nbsp;x password&equals;hunter2222",
+    "password+%3D+hunter2222",
+])
+def test_further_written_forms(text):
+    assert [f for f in secret_scan.findings(text)[1] if f[0] == "assign"], text
+
+
+@pytest.mark.parametrize("pack", ["deflate", "lzma alone"])
+def test_further_compressions(pack):
+    data = b"some words and password=hunter2222 and more words " * 3
+    if pack == "deflate":
+        c = zlib.compressobj(wbits=-15)
+        packed = c.compress(data) + c.flush()
+    else:
+        packed = lzma.compress(data, lzma.FORMAT_ALONE)
+    text = "x " + base64.b64encode(packed).decode() + " y"
+    assert ("assign", 2, len(text) - 2) in secret_scan.findings(text)[1]
+
+
+def test_plain_texts_with_ampersands_and_octal_digits_have_no_findings():
+    for text in ("A & B; C &amp; D", "C:\\123\\456", "a+b%20c", "AT&T; x&y;"):
+        assert secret_scan.findings(text) == ([], [])
+
+
+def test_a_payload_that_must_be_cut_is_taken_out(monkeypatch):
+    """What cannot be read as a whole does not pass redaction as clean."""
+    monkeypatch.setattr(secret_scan, "INFLATED", 1 << 16)
+    monkeypatch.setattr(secret_scan, "WINDOW", 1 << 14)
+    monkeypatch.setattr(secret_scan, "OVERLAP", 1 << 10)
+    payload = base64.b64encode(zlib.compress(b"A" * (1 << 18))).decode()
+    base, spans, cut = secret_scan.unwrapped("before " + payload + " after")
+    assert base == spans == [] and set(cut) == {(7, 7 + len(payload))}
+    assert secret_scan._redacted("before " + payload + " after", "<X>") == "before <X> after"
+    assert secret_scan.examined("before " + base64.b64encode(zlib.compress(b"A b " * 5000)).decode())[2]
+    assert not secret_scan.examined("before " + payload)[2]
