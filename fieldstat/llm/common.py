@@ -43,6 +43,14 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def free_name(name: str, *frames: DataFrame) -> str:
+    """``name``, lengthened until no column of ``frames`` has it (Spark compares names in any case)."""
+    taken = {c.lower() for df in frames for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def attach(rows: DataFrame, table: DataFrame, keys: list[str], size: str, total: int,
            share: int = 1000) -> DataFrame:
     """``rows`` LEFT JOIN ``table`` (one row per key) without a hot task.
@@ -52,12 +60,13 @@ def attach(rows: DataFrame, table: DataFrame, keys: list[str], size: str, total:
     rows are broadcast (the bound holds at every input size).  The other rows
     take a shuffled join, in which no key has more than ``total / share`` rows.
     """
-    heavy = F.broadcast(table.filter(F.col(size) * share > total).withColumn("__heavy", F.lit(True)))
+    mark = free_name("heavy", rows, table)
+    heavy = F.broadcast(table.filter(F.col(size) * share > total).withColumn(mark, F.lit(True)))
     light = table.filter(F.col(size) * share <= total)
     values = [c for c in table.columns if c not in keys]
     first = rows.join(heavy, keys, "left")
-    hot = first.filter(F.col("__heavy")).drop("__heavy")
-    cold = first.filter(F.col("__heavy").isNull()).drop("__heavy", *values)
+    hot = first.filter(F.col(mark)).drop(mark)
+    cold = first.filter(F.col(mark).isNull()).drop(mark, *values)
     return hot.unionByName(cold.join(light, keys, "left"))
 
 

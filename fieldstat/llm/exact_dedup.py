@@ -122,15 +122,17 @@ def suspects(prints: DataFrame, bits: int, rows: int) -> DataFrame:
 
 
 def _marked(docs: DataFrame, prints: DataFrame) -> tuple[DataFrame, int]:
-    """``docs`` with __text (normalised), __fp and __suspect; number of rows."""
+    """Each row of ``docs`` as the struct ``row`` (so that no name of its columns clashes) with text (normalised), fp and
+    suspect; number of rows."""
     rows = prints.count()
     bits = min(63, max(1, rows).bit_length() + SLACK_BITS)
     found = stored(suspects(prints.select(F.shiftrightunsigned("h", 64 - bits).alias("fp")), bits, rows), "suspects")
-    found = found.select(F.col("fp").alias("__fp"), F.lit(True).alias("__suspect"))
+    found = found.select("fp", F.lit(True).alias("suspect"))
     if found.count() <= BROADCAST_SUSPECTS:
         found = F.broadcast(found)
-    marked = docs.withColumn("__text", normalised()).withColumn("__fp", _fingerprint(F.col("__text"), bits))
-    return marked.join(found, "__fp", "left"), rows
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    marked = docs.select(row.alias("row"), normalised().alias("text")).withColumn("fp", _fingerprint(F.col("text"), bits))
+    return marked.join(found, "fp", "left"), rows
 
 
 def _prints(docs: DataFrame) -> DataFrame:
@@ -143,10 +145,10 @@ def decisions(docs: DataFrame) -> DataFrame:
     prints = _prints(docs.select("doc_id", "text"))
     marked, rows = _marked(docs.select("doc_id", "text"), prints)
     groups = (
-        marked.filter("__suspect").groupBy("__fp", "__text")
-        .agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+        marked.filter("suspect").groupBy("fp", "text")
+        .agg(F.min("row.doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
         .filter("group_size > 1")
-        .select(F.xxhash64("__text").alias("h"), F.sha2("__text", 256).alias("text_sha256"), "keep_id", "group_size")
+        .select(F.xxhash64("text").alias("h"), F.sha2("text", 256).alias("text_sha256"), "keep_id", "group_size")
     )
     groups = stored(groups, "groups")
     return attach(prints, groups, ["h", "text_sha256"], "group_size", rows).select(
@@ -161,8 +163,6 @@ def decisions(docs: DataFrame) -> DataFrame:
 def deduplicate(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each text: the one with the smallest doc_id."""
     marked, _ = _marked(docs, stored(docs.select(F.xxhash64(normalised()).alias("h")), "prints"))
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.xxhash64("text"))
-    first = marked.filter("__suspect").groupBy("__fp", "__text").agg(F.min_by(row, order).alias("__row"))
-    return marked.filter("__suspect is null").select(docs.columns).unionByName(
-        first.select(*[F.col("__row").getField(c).alias(c) for c in docs.columns]))
+    order = F.struct(F.col("row.doc_id").isNull(), F.col("row.doc_id"), F.xxhash64("row.text"))
+    first = marked.filter("suspect").groupBy("fp", "text").agg(F.min_by("row", order).alias("row"))
+    return marked.filter("suspect is null").select("row.*").unionByName(first.select("row.*"))

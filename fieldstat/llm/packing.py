@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import slices, stored, text_bytes
+from .common import free_name, slices, stored, text_bytes
 from .tokens import encoder
 
 #: Pieces packed together, on average.
@@ -106,11 +106,11 @@ def _runs(ordered: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, list[np.n
     return values, np.split(order, first[1:])
 
 
-def _pack(capacity: int):
+def _pack(capacity: int, name: str):
     def run(table: pa.Table) -> pa.Table:
-        group = table.column("__group")[0].as_py()
+        group = table.column(name)[0].as_py()
         bin_no, offset = bins(table.column("length").to_numpy(), capacity)
-        return table.drop_columns("__group").append_column("sequence_id", pa.array(bin_no + (group << 32))).append_column(
+        return table.drop_columns(name).append_column("sequence_id", pa.array(bin_no + (group << 32))).append_column(
             "offset", pa.array(offset))
 
     return run
@@ -124,9 +124,10 @@ def pack(rows: DataFrame, key: list[str], capacity: int = 1024) -> DataFrame:
     full = rows.filter(F.col("length") >= capacity).select(
         "*", (-F.monotonically_increasing_id() - 1).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     number = F.monotonically_increasing_id()  # of a stored row: the same when a task is run again
-    dealt = rows.withColumn("__group", F.pmod(F.xxhash64(*key, number), F.lit(groups))).filter(F.col("length") < capacity)
+    name = free_name("group", rows)
+    dealt = rows.withColumn(name, F.pmod(F.xxhash64(*key, number), F.lit(groups))).filter(F.col("length") < capacity)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
-    packed = dealt.groupBy("__group").applyInArrow(_pack(capacity), f"{schema}, sequence_id long, offset long")
+    packed = dealt.groupBy(name).applyInArrow(_pack(capacity, name), f"{schema}, sequence_id long, offset long")
     return full.unionByName(packed)
 
 

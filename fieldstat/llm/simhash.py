@@ -33,7 +33,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import attach, shuffle_partitions, slices, stored, text_bytes
+from .common import attach, free_name, shuffle_partitions, slices, stored, text_bytes
 from .components import components
 
 #: Fingerprints of one segment value that are compared as one cell.
@@ -249,6 +249,8 @@ def deduplicate(docs: DataFrame, shingle: int = 4, distance: int = 4) -> DataFra
     first = rows.groupBy("component").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("size"))
     judged = attach(rows.select("component", "doc_id", "th"), stored(first, "first"), ["component"], "size", rows.count())
     dropped = judged.filter(~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("th") == F.col("first.th"))))
-    dropped = dropped.select(F.col("doc_id").alias("__id"), F.col("th").alias("__th"))
-    here = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__th"))
+    # the lists' names are put aside, whatever columns the documents have
+    i, h = free_name("id", docs), free_name("th", docs)
+    dropped = dropped.select(F.col("doc_id").alias(i), F.col("th").alias(h))
+    here = F.col("doc_id").cast("long").eqNullSafe(F.col(i)) & (F.xxhash64("text") == F.col(h))
     return docs.join(stored(dropped, "dropped"), here, "left_anti")

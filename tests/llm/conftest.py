@@ -9,7 +9,9 @@ SCHEMA = T.StructType([
     # names that the operators use inside
     *[T.StructField(c, T.StringType()) for c in (
         "fp", "key", "score", "kept", "h", "length", "size", "body", "th", "component", "first", "held_out", "ids",
-        "piece", "start", "spans", "label", "run", "words", "anchor", "keep_id", "group_size")]])
+        "piece", "start", "spans", "label", "run", "words", "anchor", "keep_id", "group_size",
+        "__text", "__fp", "__suspect", "__row", "__id", "__th", "__heavy", "__group", "row", "suspect", "group", "heavy", "id",
+        "Heavy_")]])
 
 
 def rows_of(pairs):

@@ -169,3 +169,20 @@ def test_queries_against_brute_force(spark, sf, sf_docs):
 
 def test_clashing_rows_helper():
     assert len(rows_of([(1, "a")])[0]) == len(SCHEMA)
+
+
+def test_columns_of_any_name_come_back_as_they_were(edges):
+    """Names that the operators use inside, in any case, are carried unchanged."""
+    from fieldstat.llm import packing
+    values = {c: F.concat(F.lit(f"mine {c} "), F.coalesce(F.col("doc_id").cast("string"), F.lit("none")))
+              for c in SCHEMA.names if c not in ("doc_id", "text", "n_chars")}
+    docs = edges.withColumns(values)
+    for kept in (exact_dedup.deduplicate(docs), simhash.deduplicate(docs)):
+        assert kept.columns == docs.columns
+        for row in kept.collect():
+            assert all(row[c] == f"mine {c} {'none' if row.doc_id is None else row.doc_id}" for c in values)
+    rows = docs.withColumn("length", F.lit(5))
+    packed = packing.pack(rows, ["doc_id"], 12)
+    assert packed.columns == [*rows.columns, "sequence_id", "offset"]
+    for row in packed.collect():
+        assert all(row[c] == f"mine {c} {'none' if row.doc_id is None else row.doc_id}" for c in values if c != "length")
