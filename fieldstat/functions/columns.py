@@ -140,6 +140,52 @@ def parse_time(col, formats: dict[str, str] = TIME_FORMATS) -> Column:
     return out
 
 
+#: Date-time forms a column may have, by name: the texts to try a form on, its pattern, and what is done to the text
+#: before.  Of forms that read equally many values the earlier one is taken.
+TIME_FORMS = {
+    "iso": (r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}[T ]", "yyyy-M-d H:m:s"),
+    "mdy": (r"^[0-9]{1,2}([-/.])[0-9]{1,2}\1[0-9]{4} [0-9:]+$", "M-d-yyyy H:m:s"),
+    "dmy": (r"^[0-9]{1,2}([-/.])[0-9]{1,2}\1[0-9]{4} [0-9:]+$", "d-M-yyyy H:m:s"),
+    "mdy am/pm": (r"^[0-9]{1,2}([-/.])[0-9]{1,2}\1[0-9]{4} [0-9:]+ ?[AaPp][Mm]$", "M-d-yyyy h:m:s a"),
+    "dmy am/pm": (r"^[0-9]{1,2}([-/.])[0-9]{1,2}\1[0-9]{4} [0-9:]+ ?[AaPp][Mm]$", "d-M-yyyy h:m:s a"),
+    "mdy short year": (r"^[0-9]{1,2}([-/.])[0-9]{1,2}\1[0-9]{2} [0-9:]+$", "M-d-yy H:m:s"),
+    "dmy short year": (r"^[0-9]{1,2}([-/.])[0-9]{1,2}\1[0-9]{2} [0-9:]+$", "d-M-yy H:m:s"),
+    "month name first": (r"^[A-Za-z]{3,9} [0-9]{1,2},? [0-9]{4} [0-9:]+$", "MMM d yyyy H:m:s"),
+    "month name second": (r"^[0-9]{1,2} [A-Za-z]{3,9},? [0-9]{4} [0-9:]+$", "d MMM yyyy H:m:s"),
+}
+
+
+def read_time(col, form: str) -> Column:
+    """Text in one of ``TIME_FORMS`` as a wall-clock timestamp; other text gives null.  Month names count by their
+    first three letters, in any case; two-digit years from 69 are of the 20th century, as in lubridate."""
+    fits, pattern = TIME_FORMS[form]
+    text = F.regexp_replace(F.btrim(to_col(col).cast("string")), r"\s+", " ")
+    plain = F.regexp_replace(F.regexp_replace(text, "(?<=[0-9])[/.](?=[0-9]+[-/. ])", "-"), "T", " ") if "MMM" not in pattern else text
+    if pattern.endswith(" a"):
+        plain = F.upper(F.regexp_replace(plain, "(?i) ?([ap]m)$", " $1"))
+    if "MMM" in pattern:
+        plain = F.initcap(F.regexp_replace(F.replace(plain, F.lit(","), F.lit("")), "([A-Za-z]{3})[A-Za-z]*", "$1"))
+    if " yy" in f" {pattern.split(' ')[0].rsplit('-', 1)[-1]} " and "yyyy" not in pattern:
+        year = F.regexp_extract(plain, "-([0-9]{2}) ", 1).try_cast("int")
+        century = F.when(year >= 69, "19").otherwise("20")
+        plain = F.regexp_replace(plain, F.lit("-([0-9]{2}) "), F.concat(F.lit("-"), century, F.lit("$1 ")))
+        pattern = pattern.replace("yy", "yyyy")
+    return F.when(text.rlike(fits), F.try_to_timestamp(plain, F.lit(pattern))).cast("timestamp_ntz")
+
+
+def choose_time_forms(df, columns: list[str]) -> dict[str, str]:
+    """The form that reads most values of each column, like ``mdy_hms`` trains on its input, but over all rows: one
+    aggregate counts the values each form reads, for all columns at once."""
+    counts = [F.count(read_time(F.col(f"`{c}`"), form)).alias(f"{i}:{form}") for i, c in enumerate(columns) for form in TIME_FORMS]
+    found = df.agg(*counts).first()
+    return {c: max(TIME_FORMS, key=lambda form: found[f"{i}:{form}"]) for i, c in enumerate(columns)}
+
+
+def parse_times(df, columns: list[str]):
+    """``df`` with each column read once, in the form chosen for it."""
+    return df.withColumns({c: read_time(F.col(f"`{c}`"), form) for c, form in choose_time_forms(df, columns).items()})
+
+
 def minutes_between(start, end) -> Column:
     """X10 ``difftime(end, start, units="mins")``: fractional minutes, end
     minus start (disabled in the reference).  Computed on wall-clock

@@ -102,3 +102,42 @@ def crosstab_totals(df: DataFrame, rows: str, col: str, count_alias: str = "n",
     return (cells.cube(rows, col)
             .agg(F.sum("__n").alias(count_alias),
                  F.grouping_id(rows, col).alias("total_level")))
+
+
+def dense_numbers(df: DataFrame, column: str, number: str = "number") -> DataFrame:
+    """Distinct values of ``column`` (missing ones left out) with a number from
+    0 without gaps.  Values are numbered within hashed parts, and the parts'
+    sizes, of which there are as many as shuffle partitions, are added up; no
+    part holds more than its share, and the result depends on the values only.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    c = F.col(f"`{column}`")
+    values = df.select(c).where(c.isNotNull()).distinct().withColumn("__part", F.pmod(F.xxhash64(c), F.lit(parts)))
+    within = values.withColumn("__rank", F.row_number().over(Window.partitionBy("__part").orderBy(c)))
+    sizes = values.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+    return within.join(F.broadcast(sizes), "__part").select(c, (F.col("__before") + F.col("__rank") - 1).alias(number))
+
+
+def distinct_totals(df: DataFrame, rows: str, col: str, number: str, count_alias: str = "n") -> DataFrame:
+    """A2 with A10: distinct establishments per cell, per row, per column and
+    overall, from one pass over the rows; ``total_level`` as in
+    ``crosstab_totals``.  Counts of cells cannot be added up to totals, because
+    an establishment may lie in several cells; sets of them can.
+
+    ``number`` is a column of whole numbers from 0 (``dense_numbers``; rows
+    where it is missing count for nothing).  A cell's set is a bitmap per
+    32,768 numbers, built where the rows are; the totals are unions of
+    bitmaps.  Numbers without gaps keep the bitmaps full and few.
+    """
+    n = F.col(f"`{number}`")
+    known = df.where(n.isNotNull()).select(F.col(f"`{rows}`").alias("__row"), F.col(f"`{col}`").alias("__col"), n.alias("__n"))
+    cells = known.groupBy("__row", "__col", F.bitmap_bucket_number("__n").alias("__bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("__n")).alias("__set"))
+    r, c, b = F.col("__row"), F.col("__col"), F.col("__bucket")
+    unions = cells.groupingSets([[r, c, b], [r, b], [c, b], [b]], r, c, b).agg(
+        F.bitmap_or_agg("__set").alias("__set"), (F.grouping("__row") * 2 + F.grouping("__col")).alias("total_level"))
+    counted = unions.groupBy("__row", "__col", "total_level").agg(F.sum(F.bitmap_count("__set")).alias(count_alias))
+    return counted.select(F.col("__row").alias(rows), F.col("__col").alias(col), count_alias,
+                          F.col("total_level").cast("long").alias("total_level"))

@@ -133,18 +133,90 @@ def exists_join(df: DataFrame, other: DataFrame, on) -> DataFrame:
     return df.join(other.select(*keys), keys, "left_semi")
 
 
+def code_combinations(df: DataFrame, lists: dict[str, tuple[str, DataFrame, str]]) -> DataFrame:
+    """F4 for several code lists at once: which lists do not know a row's code,
+    counted per combination (``unmatched``: the lists' names in the order
+    given, ``n_lists``, ``n`` rows).
+
+    ``lists``: name -> (code column of ``df``, list, its code column).  Each
+    list sets one bit per row through a broadcast join (sizes checked in one
+    job), so the table is scanned once for all of them and only the
+    combinations that occur are shuffled.
+    """
+    keys, codes = {}, {}
+    for i, (name, (column, codelist, code)) in enumerate(lists.items()):
+        small = codelist.select(F.col(f"`{code}`").alias("__code"))
+        keys[name], known = code_key(df, column, small, "__code")
+        codes[name] = small.select(known.alias(f"__known_{i}")).where(f"__known_{i} IS NOT NULL").distinct()
+    codes = checked_broadcast(codes)
+    needed = [F.col(f"`{c}`") for c in dict.fromkeys(column for column, _, _ in lists.values())]
+    out = df.select(*needed, *[keys[name].alias(f"__key_{i}") for i, name in enumerate(lists)])
+    mask = F.lit(0).cast("long")
+    for i, name in enumerate(lists):
+        out = out.join(codes[name], F.col(f"__key_{i}") == F.col(f"__known_{i}"), "left")
+        mask = mask + F.when(F.col(f"__known_{i}").isNull(), 1 << i).otherwise(0)
+    counted = out.groupBy(mask.alias("mask")).agg(F.count(F.lit(1)).alias("n"))
+    names = [F.when(F.col("mask").bitwiseAND(1 << i) != 0, F.lit(name)) for i, name in enumerate(lists)]
+    return counted.select(F.concat_ws(",", *names).alias("unmatched"), F.bit_count("mask").alias("n_lists"), "n")
+
+
+def unmatched_per_list(combinations: DataFrame) -> DataFrame:
+    """Rows each list does not know (``list_name``, ``n``), from ``code_combinations``."""
+    each = combinations.where("n_lists > 0").select(F.explode(F.split("unmatched", ",")).alias("list_name"), "n")
+    return each.groupBy("list_name").agg(F.sum("n").alias("n"))
+
+
+def hot_keys(x: DataFrame, y: DataFrame, keys: list[str], tasks: int) -> DataFrame:
+    """Keys whose pairs exceed a task's even share of all pairs, with the grid
+    they are joined on: ``__a`` parts of ``x`` by ``__b`` parts of ``y``.
+
+    Counts are exact, missing keys are a key like any other, and fewer than
+    ``tasks`` keys can exceed the share, whatever the size of the data.
+    """
+    named = [F.col(f"`{k}`").alias(f"__hot_{i}") for i, k in enumerate(keys)]
+    sides = x.select(*named, F.lit(1).alias("__nx"), F.lit(0).alias("__ny")).unionByName(
+        y.select(*named, F.lit(0).alias("__nx"), F.lit(1).alias("__ny")))
+    counts = sides.groupBy(*[f"__hot_{i}" for i in range(len(keys))]).agg(
+        F.sum("__nx").cast("double").alias("nx"), F.sum("__ny").cast("double").alias("ny"))
+    pairs = F.col("nx") * F.col("ny")
+    total = counts.agg(F.sum(pairs).alias("total"))
+    hot = counts.where("nx > 0 AND ny > 0").crossJoin(F.broadcast(total)).where(pairs * tasks > F.col("total"))
+    cells = F.ceil(pairs * tasks / F.col("total"))
+    a = F.least(F.greatest(F.ceil(F.sqrt(cells * F.col("nx") / F.col("ny"))), F.lit(1)), cells)
+    return hot.select(*[F.col(f"__hot_{i}").alias(k) for i, k in enumerate(keys)], a.cast("int").alias("__a"),
+                      F.ceil(cells / a).cast("int").alias("__b"))
+
+
+def _on_grid(df: DataFrame, hot: DataFrame, keys: list[str], mine: str, other: str) -> DataFrame:
+    """Rows of a hot key: each in one of its side's parts, once for every part of the other side."""
+    marked = df.alias("__r").join(F.broadcast(hot.select(*[F.col(f"`{k}`").alias(f"__hot_{i}") for i, k in enumerate(keys)], "__a", "__b")),
+                                  reduce(Column.__and__, [F.col(f"__r.`{k}`").eqNullSafe(F.col(f"__hot_{i}"))
+                                                          for i, k in enumerate(keys)]), "left")
+    hashed = [F.col(f"__r.`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+    part = F.pmod(F.xxhash64(*hashed), F.coalesce(F.col(mine), F.lit(1))).cast("int")
+    copies = F.explode(F.sequence(F.lit(0), F.coalesce(F.col(other), F.lit(1)) - 1))
+    return marked.select("__r.*", part.alias(f"__part{mine}"), copies.alias(f"__part{other}"))
+
+
 def merge_frames(x: DataFrame, y: DataFrame, by, suffixes=(".x", ".y"),
-                 sort: bool = True) -> DataFrame:
+                 sort: bool = True, spread: bool = True) -> DataFrame:
     """J8 R ``merge(x, y, by)``: inner join on shared key names where a
     missing key matches a missing key; output is the key, then the rest of
     ``x``, then the rest of ``y``; clashing names get ``.x``/``.y``; rows
     sorted by the key (``sort=False`` skips the global sort).  Keys of
     different types are matched as text, like R.
 
-    Keys that are present join by ``=``, which keeps any partitioning or
-    bucketing by the key; rows with a missing key part are joined on their own
-    by ``<=>`` (their filter reaches the scans).  AQE's skew handling splits a
-    hot key partition.
+    A key that many rows of both sides have (the missing key too) makes the
+    product of their numbers.  Such keys are counted exactly (``hot_keys``) and
+    joined on a grid: one side's rows are split into parts that meet every part
+    of the other side, each pair of parts in a cell of its own.  Rows that are
+    equal in every column stay in one part.
+
+    ``spread=False`` is for merges in which one side has few rows of any key
+    (one side grouped by it): no count is made.  Keys that are present then
+    join by ``=``, which keeps any partitioning or bucketing by the key, and
+    rows with a missing key part on their own by ``<=>`` (their filter reaches
+    the scans).
     """
     keys = as_list(by)
     # R matches keys of different types as text (``match`` coerces to
@@ -158,15 +230,21 @@ def merge_frames(x: DataFrame, y: DataFrame, by, suffixes=(".x", ".y"),
     y_rest = [c for c in y.columns if c not in keys]
     clash = set(x_rest) & set(y_rest)
 
-    def pairs(left: DataFrame, right: DataFrame, same) -> DataFrame:
-        cond = reduce(Column.__and__, [same(F.col(f"__x.`{k}`"), F.col(f"__y.`{k}`")) for k in keys])
+    def pairs(left: DataFrame, right: DataFrame, same, *parts: str) -> DataFrame:
+        cond = reduce(Column.__and__, [same(F.col(f"__x.`{k}`"), F.col(f"__y.`{k}`")) for k in keys]
+                      + [F.col(f"__x.{p}") == F.col(f"__y.{p}") for p in parts])
         cols = [F.col(f"__x.`{k}`").alias(k) for k in keys]
         cols += [F.col(f"__x.`{c}`").alias(c + suffixes[0] if c in clash else c) for c in x_rest]
         cols += [F.col(f"__y.`{c}`").alias(c + suffixes[1] if c in clash else c) for c in y_rest]
         return left.alias("__x").join(right.alias("__y"), cond, "inner").select(*cols)
 
-    out = pairs(x, y, Column.__eq__)
-    if any(x.schema[k].nullable and y.schema[k].nullable for k in keys):
+    if spread:
+        hot = hot_keys(x, y, keys, int(x.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        out = pairs(_on_grid(x, hot, keys, "__a", "__b"), _on_grid(y, hot, keys, "__b", "__a"), Column.eqNullSafe,
+                    "__part__a", "__part__b")
+    else:
+        out = pairs(x, y, Column.__eq__)
+    if not spread and any(x.schema[k].nullable and y.schema[k].nullable for k in keys):
         missing = reduce(Column.__or__, [F.col(f"`{k}`").isNull() for k in keys])
         out = out.unionByName(pairs(x.where(missing), y.where(missing), Column.eqNullSafe))
     if sort:

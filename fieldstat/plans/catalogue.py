@@ -25,13 +25,14 @@ from fieldstat.operators import reshape as P
 from fieldstat.plans import marts, quality, reports
 from fieldstat.plans.standins import census_tables, read_tables
 from fieldstat.session import checkpoint_root
-from fieldstat.sinks.quoted_csv import csv_document, quoted_csv_lines
+from fieldstat.sinks.quoted_csv import csv_document, quoted_csv_lines, read_manifest, write_quoted_csv
 from fieldstat.sources.delimited import read_delimited
 from fieldstat.sources.archive import explode_blocks, read_member
 from fieldstat.sources.records import number_records, records, with_quote_state
 from fieldstat.sinks.layers import read_layer, store_code_lists, write_layer
 from fieldstat.sources.codelists import load_code_lists
 from fieldstat.sources.extract import extract_status
+from fieldstat.sources.types import read_guessed
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -154,7 +155,33 @@ def q_merge_suffixes(spark, sf):
     a = t["interview_actions"].groupBy("id").agg(F.count(F.lit(1)).alias("n"),
                                                  F.max("time").alias("last_action"))
     e = t["errors"].groupBy("id").agg(F.count(F.lit(1)).alias("n"))
-    return J.merge_frames(a, e, "id")
+    return J.merge_frames(a, e, "id", spread=False)
+
+
+def q_merge_heavy_keys(spark, sf):
+    """J8 with a key (and the missing key) that a third of one side's rows have."""
+    s = _src(spark, sf, "orders", "customer")
+    key = F.col("o_orderkey") % 3
+    x = s["orders"].select("o_orderkey", "o_totalprice", F.when(key == 0, F.lit(7)).when(
+        key == 1, F.col("o_custkey") % 1000 + 100).alias("code"))
+    y = s["customer"].where("c_custkey % 50 = 0").select("c_custkey", "c_name", F.when(
+        F.col("c_custkey") % 200 == 0, F.lit(7)).when(F.col("c_custkey") % 200 == 50, F.col("c_custkey") % 1000 + 100).alias("code"))
+    return J.merge_frames(x, y, "code", sort=False)
+
+
+def q_code_combinations(spark, sf):
+    """F4 for three lists in one scan: rows by the lists that do not know them, and per list."""
+    s = _src(spark, sf, "customer", "nation", "region")
+    c = _dirty_codes(s["customer"]).join(s["customer"].select("c_custkey", "c_nationkey", "c_mktsegment"), "c_custkey")
+    c = c.withColumn("segment", F.lower("c_mktsegment"))
+    segments = s["customer"].where("c_nationkey < 3").select(F.lower("c_mktsegment").alias("name")).where(
+        "name <> 'machinery'").distinct()
+    found = J.code_combinations(c, {"area": ("area_code", _big_codes(s["nation"]), "n_nationkey"),
+                                    "region": ("c_nationkey", s["region"], "r_regionkey"),
+                                    "segment": ("segment", segments, "name")})
+    found = spark.createDataFrame(found.toArrow())  # at most one row per combination of three lists
+    each = J.unmatched_per_list(found).select(F.lit("list").alias("level"), F.col("list_name").alias("unmatched"), "n")
+    return found.select(F.lit("combination").alias("level"), "unmatched", "n").unionByName(each)
 
 
 # ------------------------------------------------------ quality / charts ---
@@ -524,6 +551,27 @@ def q_delimited_round_trip(spark, sf):
     return read_delimited(spark, path, CUSTOMER_SCHEMA)
 
 
+def q_guessed_types(spark, sf):
+    """``orders`` as a tab-delimited text export, every column read as
+    text, types guessed over all rows: codes with leading zeros and a number
+    column with one odd value stay text."""
+    o = _src(spark, sf, "orders")["orders"]
+    key = F.col("o_orderkey")
+    rows = o.select(
+        key.cast("string").alias("key"), F.when(key % 5 != 0, F.col("o_totalprice").cast("string")).alias("price"),
+        F.col("o_orderdate").cast("date").cast("string").alias("day"),
+        F.when(key % 3 == 0, F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")).otherwise(
+            F.date_format("o_orderdate", "yyyy-MM-dd")).alias("moment"),
+        F.when(F.col("o_totalprice") > 100000, "TRUE").otherwise("F").alias("large"),
+        F.lpad((key % 1000).cast("string"), 4, "0").alias("code"),
+        F.when(key == 1, "1d").otherwise((key % 7).cast("string")).alias("odd"),
+        F.lit(None).cast("string").alias("nothing"), "o_orderpriority")
+    path = f"{checkpoint_root(spark).rstrip('/')}/text-export-{uuid.uuid4().hex}"
+    rows.write.option("sep", "\t").option("header", True).option("nullValue", "NA").csv(path)
+    text = T.StructType([T.StructField(c, T.StringType()) for c in rows.columns])
+    return read_guessed(read_delimited(spark, path, text))
+
+
 def q_comma_csv_list(spark, sf):
     """The province list as a comma CSV file (labels hold commas, quotes
     and an ``NA`` that is missing), read with its declared schema."""
@@ -556,6 +604,41 @@ def q_orders_csv_lines(spark, sf):
                                      "o_orderdate", "o_orderpriority"))
 
 
+def q_distinct_totals(spark, sf):
+    """A2 with A10: distinct establishments by industry and year, with totals."""
+    t = _t(spark, sf)
+    numbers = G.dense_numbers(t["main"], "id", "number")
+    rows = reports.industry_years(t, _ind(t)).join(numbers, "id")
+    return G.distinct_totals(rows, "Industry", "Reference_Year", "number", "establishments")
+
+
+def q_chosen_time_forms(spark, sf):
+    """The log's moments in four written forms, each column's form found
+    from its values; a few values of another form are missing."""
+    e = _src(spark, sf, "events")["events"]
+    ts, odd = F.col("ts"), F.col("event_id") % 11 == 0
+    text = e.select(
+        "event_id",
+        F.when(odd, "no time").otherwise(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")).alias("iso"),
+        F.when(odd, F.date_format(ts, "yyyy-MM-dd HH:mm:ss")).otherwise(F.date_format(ts, "MM/dd/yyyy hh:mm:ss a")).alias("clock"),
+        F.date_format(ts, "d.M.yy H:m:s").alias("short"), F.date_format(ts, "d MMMM yyyy HH:mm:ss").alias("name"))
+    return X.parse_times(text, ["iso", "clock", "short", "name"])
+
+
+def q_csv_parts(spark, sf):
+    """K3: ``orders`` published as one ordered document in parts; the lines
+    read back through the manifest, with the byte each part begins at."""
+    o = _src(spark, sf, "orders")["orders"].select("o_orderkey", "o_orderstatus", "o_totalprice")
+    path = f"{checkpoint_root(spark).rstrip('/')}/orders-{uuid.uuid4().hex}.csv"
+    write_quoted_csv(spark, o, path, sort_by=["o_orderkey"])
+    parts = read_manifest(spark, path)
+    lines = spark.read.text(path).select("value", F.element_at(F.split("_metadata.file_path", "/"), -1).alias("part"))
+    sizes = lines.groupBy("part").agg(F.sum(F.octet_length("value") + 1).cast("long").alias("read"), F.count(F.lit(1)).alias("n"))
+    same = parts.join(sizes, "part").agg(F.bool_and(F.col("bytes") == F.col("read")).alias("whole"),
+                                         F.sum("bytes").alias("bytes"), F.sum("n").alias("lines"))
+    return same
+
+
 QUERIES: dict[str, Query] = {
     "label_join": q_label_join,
     "mixed_type_label_join": q_mixed_type_label_join,
@@ -565,6 +648,8 @@ QUERIES: dict[str, Query] = {
     "exists_join": q_exists_join,
     "merge_null_keys": q_merge_null_keys,
     "merge_suffixes": q_merge_suffixes,
+    "merge_heavy_keys": q_merge_heavy_keys,
+    "code_combinations": q_code_combinations,
     "positive_code_count": q_positive_code_count,
     "errors_by_variable": q_errors_by_variable,
     "errors_by_interview": q_errors_by_interview,
@@ -593,6 +678,7 @@ QUERIES: dict[str, Query] = {
     "industry_year_crosstab": q_industry_year_crosstab,
     "industry_year_totals": q_industry_year_totals,
     "table_1_pivot": q_table_1_pivot,
+    "distinct_totals": q_distinct_totals,
     "fieldwork_durations": q_fieldwork_durations,
     "cast_integer": q_cast_integer,
     "to_integer_columns": q_to_integer_columns,
@@ -601,6 +687,7 @@ QUERIES: dict[str, Query] = {
     "paste_missing": q_paste_missing,
     "clean_time_text": q_clean_time_text,
     "minutes_between": q_minutes_between,
+    "chosen_time_forms": q_chosen_time_forms,
     "fill_missing": q_fill_missing,
     "rename_first_drop_range": q_rename_first_drop_range,
     "status_extract": q_status_extract,
@@ -608,7 +695,9 @@ QUERIES: dict[str, Query] = {
     "first_action_in_archives": q_first_action_in_archives,
     "delimited_round_trip": q_delimited_round_trip,
     "orders_csv_lines": q_orders_csv_lines,
+    "csv_parts": q_csv_parts,
     "code_list_catalog": q_code_list_catalog,
+    "guessed_types": q_guessed_types,
     "comma_csv_list": q_comma_csv_list,
     "layer_round_trip": q_layer_round_trip,
 }

@@ -403,6 +403,14 @@ UNION ALL
 SELECT 'province' AS list_name, CAST(r_regionkey AS DOUBLE) AS code,
        CASE WHEN r_regionkey = 0 THEN 'NA' ELSE r_name END AS label FROM region"""
 
+SQL["guessed_types"] = """
+SELECT CAST(o_orderkey AS DOUBLE) AS key, CASE WHEN o_orderkey % 5 <> 0 THEN o_totalprice END AS price,
+       CAST(o_orderdate AS DATE) AS day,
+       CASE WHEN o_orderkey % 3 = 0 THEN date_trunc('second', o_orderdate) ELSE CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) END AS moment,
+       o_totalprice > 100000 AS large, lpad(CAST(o_orderkey % 1000 AS VARCHAR), 4, '0') AS code,
+       CASE WHEN o_orderkey = 1 THEN '1d' ELSE CAST(o_orderkey % 7 AS VARCHAR) END AS odd,
+       CAST(NULL AS VARCHAR) AS nothing, o_orderpriority FROM orders"""
+
 SQL["comma_csv_list"] = """
 SELECT CAST(r_regionkey AS DOUBLE) AS province,
        CASE WHEN r_regionkey <> 2 THEN '"' || r_name || '", north' END AS province_desc FROM region"""
@@ -440,3 +448,43 @@ SELECT CAST(o_orderkey AS VARCHAR) || ',' || {_q('o_orderstatus')} || ',' ||
        COALESCE(strftime(o_orderdate, '%Y-%m-%d %H:%M:%S'), 'NA') || ',' ||
        {_q('o_orderpriority')} AS value
 FROM orders"""
+
+SQL["merge_heavy_keys"] = """
+WITH x AS (
+  SELECT o_orderkey, o_totalprice, CASE WHEN o_orderkey % 3 = 0 THEN 7 WHEN o_orderkey % 3 = 1 THEN o_custkey % 1000 + 100 END AS code
+  FROM orders), y AS (
+  SELECT c_custkey, c_name, CASE WHEN c_custkey % 200 = 0 THEN 7 WHEN c_custkey % 200 = 50 THEN c_custkey % 1000 + 100 END AS code
+  FROM customer WHERE c_custkey % 50 = 0)
+SELECT x.code, o_orderkey, o_totalprice, c_custkey, c_name FROM x JOIN y ON x.code IS NOT DISTINCT FROM y.code"""
+
+SQL["code_combinations"] = "WITH " + DIRTY_SQL + """,
+flags AS (
+  SELECT coded.code IS NULL OR coded.code NOT IN (SELECT n_nationkey FROM big) AS a,
+         c.c_nationkey NOT IN (SELECT r_regionkey FROM region) AS r,
+         lower(c.c_mktsegment) = 'machinery'
+           OR c.c_mktsegment NOT IN (SELECT c_mktsegment FROM customer WHERE c_nationkey < 3) AS s
+  FROM coded JOIN customer c USING (c_custkey)),
+combos AS (
+  SELECT concat_ws(',', CASE WHEN a THEN 'area' END, CASE WHEN r THEN 'region' END, CASE WHEN s THEN 'segment' END) AS unmatched,
+         COUNT(*) AS n FROM flags GROUP BY a, r, s)
+SELECT 'combination' AS level, unmatched, n FROM combos
+UNION ALL SELECT 'list', 'area', COUNT(*) FROM flags WHERE a HAVING COUNT(*) > 0
+UNION ALL SELECT 'list', 'region', COUNT(*) FROM flags WHERE r HAVING COUNT(*) > 0
+UNION ALL SELECT 'list', 'segment', COUNT(*) FROM flags WHERE s HAVING COUNT(*) > 0"""
+
+SQL["distinct_totals"] = with_standins("main", "ry", "reference_year", "industry") + """
+SELECT i.Industry, y.reference_year_desc AS Reference_Year, COUNT(DISTINCT i.id) AS establishments,
+       CAST(GROUPING(i.Industry) * 2 + GROUPING(y.reference_year_desc) AS BIGINT) AS total_level
+FROM ry JOIN reference_year y ON TRY_CAST(ry.ref_yearDetails__id AS DOUBLE) = y.reference_year JOIN industry i ON i.id = ry.id
+GROUP BY CUBE (i.Industry, y.reference_year_desc)"""
+
+SQL["chosen_time_forms"] = """
+SELECT event_id, CASE WHEN event_id % 11 <> 0 THEN date_trunc('second', ts) END AS iso,
+       CASE WHEN event_id % 11 <> 0 THEN date_trunc('second', ts) END AS clock,
+       date_trunc('second', ts) AS short, date_trunc('second', ts) AS name FROM events"""
+
+# the header line is 44 bytes
+SQL["csv_parts"] = f"""
+SELECT TRUE AS whole, CAST(SUM(length(value) + 1) + 44 AS BIGINT) AS bytes, COUNT(*) + 1 AS lines
+FROM (SELECT CAST(o_orderkey AS VARCHAR) || ',' || {_q('o_orderstatus')} || ',' ||
+             COALESCE({_CAT.format(x='o_totalprice')}, 'NA') AS value FROM orders)"""

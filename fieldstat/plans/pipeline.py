@@ -12,7 +12,7 @@ DataFrame expressions.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +27,7 @@ from fieldstat.sinks.quoted_csv import write_quoted_csv
 from fieldstat.sources.archive import archive_blocks, archive_headers, check_headers, read_member
 from fieldstat.sources.codelists import CODE_LISTS, load_code_lists
 from fieldstat.sources.records import number_records, records, with_quote_state
+from fieldstat.sources.types import read_guessed
 
 # Export members and the table each becomes, in export order.
 EXPORT_MEMBERS = {
@@ -147,6 +148,17 @@ def _text_schemas(headers: DataFrame, members: list[str]) -> dict[str, T.StructT
             for m, line in heads.items()}
 
 
+def guess_rest(raw: Mapping[str, DataFrame], declared: Iterable[str] = ()) -> dict[str, DataFrame]:
+    """Columns of undeclared tables that no cast list names, read as the
+    types their values have (one aggregate per table).  The key ``id`` stays
+    text in every table, so that tables keep joining by it."""
+    out = dict(raw)
+    for table in set(raw) - set(declared):
+        listed = {"id", *INTEGER_COLUMNS.get(table, ()), *(MAIN_CATEGORIES + GPS_COLUMNS if table == "main" else ())}
+        out[table] = read_guessed(raw[table], [c for c in raw[table].columns if c not in listed])
+    return out
+
+
 def clean_tables(raw: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     """P2 + P7: the reference's cleaning, as one projection per table."""
     out = dict(raw)
@@ -241,7 +253,7 @@ def run(spark: SparkSession, archive_dir: str, codes_dir: str, root: str,
     written = dict(land_raw(spark, archive_dir, root, schemas))
     raw = {name: read_layer(spark, root, "raw", name) for name in EXPORT_MEMBERS.values()}
     bucket = {"bucket_by": ["id"], "buckets": id_buckets} if id_buckets else {}
-    for name, df in clean_tables(raw).items():
+    for name, df in clean_tables(guess_rest(raw, schemas or {})).items():
         written[f"clean.{name}"] = write_layer(df, root, "clean", name, **bucket)
     t: dict[str, DataFrame] = {name: read_layer(spark, root, "clean", name)
                                for name in EXPORT_MEMBERS.values()}

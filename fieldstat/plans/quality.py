@@ -26,7 +26,7 @@ def interviews_per_province(t: Tables, sort: bool = True) -> DataFrame:
     prov = (t["main"].where(positive_code("province"))
             .groupBy("province").agg(F.count("id").alias("total")))
     plist = t["province"].select(category_text("province").alias("province"), "province_desc")
-    return merge_frames(prov, plist, "province", sort=sort)
+    return merge_frames(prov, plist, "province", sort=sort, spread=False)
 
 
 def errors_by_variable(t: Tables) -> DataFrame:
@@ -53,7 +53,7 @@ def first_action(t: Tables) -> DataFrame:
 def interviewer_errors(t: Tables, sort: bool = True) -> DataFrame:
     """R21 ``interviewer_error``: each interview's error count next to every
     originator who acted on it (merge by interview key)."""
-    return merge_frames(errors_by_interview(t), first_action(t), "id", sort=sort)
+    return merge_frames(errors_by_interview(t), first_action(t), "id", sort=sort, spread=False)
 
 
 def errors_by_originator(t: Tables) -> DataFrame:

@@ -23,7 +23,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldstat.functions.columns import label_in
@@ -50,39 +50,79 @@ def _roster_years(t: Tables, cols: list[str], only=None) -> DataFrame:
                       {"reference_year_desc": "Reference_Year"})
 
 
+def _ranked(codes: DataFrame, label: str) -> DataFrame:
+    """A code list with the place of each label in label order (``rank``, equal
+    for equal labels): whole numbers that compare like the labels, so that a
+    least label is a minimum of numbers, which a hash aggregate can keep (of
+    text or structs it cannot; Spark would sort).  A list's broadcast hint
+    carries over."""
+    return codes.withColumn("rank", F.dense_rank().over(Window.orderBy(F.col(label).asc_nulls_first())).cast("long"))
+
+
+def _label_of(df: DataFrame, rank: str, ranked: DataFrame, label: str, alias: str) -> DataFrame:
+    """``df`` with the label of a rank in place of the rank."""
+    names = ranked.select(F.col("rank").alias(rank), F.col(label).alias(alias)).distinct()
+    return df.join(names, rank).drop(rank)
+
+
+#: Bits of one rank in a packed order; a code list has fewer rows than 2 to this power.
+RANK_BITS = 31
+_RANK = (1 << RANK_BITS) - 1
+
+
+def _sector_labels(t: Tables) -> DataFrame:
+    """The labels of both classifications with their ranks."""
+    labels = [t[c].select(F.col(f"{c}_desc").alias("label")) for c in ("major_label_vansic", "major_Infolabel_vanisic")]
+    return _ranked(labels[0].unionByName(labels[1]).distinct(), "label")
+
+
+def _with_sector_rank(ind: DataFrame, labels: DataFrame) -> DataFrame:
+    """``id`` and ``sector``: IndustryType, then Industry, as one number."""
+    names = labels.select(F.col("label").alias("__label"), "rank")
+    place = F.shiftleft((F.col("IndustryType") != "Formal").cast("long"), RANK_BITS) + F.col("rank")
+    return ind.join(names, F.col("Industry").eqNullSafe(F.col("__label"))).select("id", place.alias("sector"))
+
+
+def _sector_of(df: DataFrame, labels: DataFrame) -> DataFrame:
+    """``df`` with Industry and IndustryType in place of ``sector``."""
+    df = df.withColumn("rank", F.col("sector").bitwiseAND(_RANK)).withColumn(
+        "IndustryType", F.when(F.shiftright("sector", RANK_BITS) == 0, "Formal").otherwise("Informal")).drop("sector")
+    return _label_of(df, "rank", labels, "label", "Industry")
+
+
+def _first_sector(t: Tables, ind: DataFrame) -> DataFrame:
+    """One row per establishment: its first (IndustryType, Industry)."""
+    labels = _sector_labels(t)
+    return _sector_of(_with_sector_rank(ind, labels).groupBy("id").agg(F.min("sector").alias("sector")), labels)
+
+
 def establishments_by_industry_year(t: Tables, ind: DataFrame, sort: bool = True) -> DataFrame:
     """R6 ``Table_1``: distinct establishments per (Industry, Reference_Year),
     sorted by Industry; the bare ``Area_Council``/``Province`` are the first
     pair of the group in label order.
 
-    Plan: (id, year) pairs are made distinct map-side and shuffled once, by
-    id; the joins on id reuse that partitioning, and so does the grouping by
-    (Industry, year, id), which keeps the pairs of labels of an establishment
-    and counts it once however often its id is repeated.  Counts are then
-    combined per (Industry, year, pair) map-side, and only that small result
-    meets the last exchange.  All levels are hash aggregates (no sort).
+    Plan: (id, year) pairs are made distinct map-side; the joins on id and the
+    grouping by (Industry, year, id) count an establishment once however often
+    its id is repeated.  The pair of labels travels as one number that compares
+    like the pair (``_ranked``), so all levels are hash aggregates, and counts
+    and least pairs are combined per (Industry, year) map-side before the last,
+    small exchange.
     """
+    areas = _ranked(t["area_council"], "area_council_desc")
+    provinces = _ranked(t["province"], "province_desc")
     m = t["main"].select("id", "area_council", "province")
-    m = label_join(m, t["area_council"], "area_council", "area_council",
-                   {"area_council_desc": "Area_Council"})
-    m = label_join(m, t["province"], "province", "province", {"province_desc": "Province"})
-    # distinct (id, year) pairs, deduplicated map-side and shuffled once by
-    # id (the key of both joins below); a set holds at most one entry per
-    # code of the year list, however hot the id
-    years = (_roster_years(t, []).groupBy("id")
-             .agg(F.collect_set("Reference_Year").alias("years"))
-             .select("id", F.explode("years").alias("Reference_Year")))
-    j = years.join(m.select("id", F.struct("Area_Council", "Province").alias("pair")), "id").join(
-        ind.select("id", "Industry"), "id")
-    per_id = (j.groupBy("Industry", "Reference_Year", "id").agg(F.collect_set("pair").alias("pairs"))
-              .select("Industry", "Reference_Year", F.posexplode("pairs").alias("place", "pair")))
-    counted = per_id.groupBy("Industry", "Reference_Year", "pair").agg(
-        F.count(F.when(F.col("place") == 0, 1)).alias("n"))
-    out = (counted.groupBy("Industry", "Reference_Year")
-           .agg(F.sum("n").alias("Number_Of_Establishments"), F.array_min(F.collect_set("pair")).alias("rep")))
-    out = out.select(F.col("rep.Area_Council").alias("Area_Council"),
-                     F.col("rep.Province").alias("Province"),
-                     "Reference_Year", "Industry", "Number_Of_Establishments")
+    m = label_join(m, areas, "area_council", "area_council", {"rank": "__area"})
+    m = label_join(m, provinces, "province", "province", {"rank": "__province"})
+    m = m.select("id", (F.shiftleft("__area", RANK_BITS) + F.col("__province")).alias("pair"))
+    years = _roster_years(t, []).select("id", "Reference_Year").distinct()
+    j = years.join(m, "id").join(ind.select("id", "Industry"), "id")
+    per_id = j.groupBy("Industry", "Reference_Year", "id").agg(F.min("pair").alias("pair"))
+    out = per_id.groupBy("Industry", "Reference_Year").agg(
+        F.count(F.lit(1)).alias("Number_Of_Establishments"), F.min("pair").alias("pair"))
+    out = out.withColumn("__area", F.shiftright("pair", RANK_BITS)).withColumn("__province", F.col("pair").bitwiseAND(_RANK))
+    out = _label_of(out, "__area", areas, "area_council_desc", "Area_Council")
+    out = _label_of(out, "__province", provinces, "province_desc", "Province")
+    out = out.select("Area_Council", "Province", "Reference_Year", "Industry", "Number_Of_Establishments")
     return out.orderBy("Industry") if sort else out
 
 
@@ -100,9 +140,7 @@ def size_sales_rows(t: Tables, ind: DataFrame, years: Iterable[str] = REPORT_YEA
     r = _roster_years(t, ["tot_paid_emp", "sales_goods_services"],
                       only=list(years) if filter_first else None)
     r = representative_rows(r, "id", ["Reference_Year", "tot_paid_emp", "sales_goods_services"])
-    i = representative_rows(ind.select("id", "Industry", "IndustryType"), "id",
-                            ["IndustryType", "Industry"])
-    j = r.join(i, "id").join(t["main"].select("id", "infor_paidEmp"), "id")
+    j = r.join(_first_sector(t, ind), "id").join(t["main"].select("id", "infor_paidEmp"), "id")
     return (j.where(label_in("Reference_Year", list(years)))
             .select("id", "Industry", "Reference_Year", "IndustryType", "tot_paid_emp",
                     "infor_paidEmp", "sales_goods_services"))
@@ -127,15 +165,22 @@ def size_by_industry(t: Tables, ind: DataFrame, years: Iterable[str] = REPORT_YE
 def legal_status_rows(t: Tables, ind: DataFrame) -> DataFrame:
     """One row per (establishment, legal status), the one with the earliest
     year label (then IndustryType, Industry, Legal_Status): the rows Tables 3
-    and 4 test, so both can share one pass over the roster."""
-    first_year = (_roster_years(t, []).groupBy("id")
-                  .agg(F.min("Reference_Year").alias("Reference_Year")))
+    and 4 test, so both can share one pass over the roster.  Labels are
+    compared by their ranks: every aggregate is a hash aggregate."""
+    sectors, statuses = _sector_labels(t), _ranked(t["legal_status"], "legal_status_desc")
+    years = _ranked(_years(t), "reference_year_desc")
+    r = label_join(t["ref_yearDetails"].select("id", "ref_yearDetails__id"), years, "ref_yearDetails__id", "reference_year",
+                   {"rank": "__year"})
+    first_year = r.groupBy("id").agg(F.min("__year").alias("__year"))
     m = t["main"].select("id", F.col("legal_status").alias("legal_status_code"))
-    m = label_join(m, t["legal_status"], "legal_status_code", "legal_status",
-                   {"legal_status_desc": "Legal_Status"})
-    j = first_year.join(ind.select("id", "Industry", "IndustryType"), "id").join(m, "id")
-    rep = representative_rows(j, ["id", "legal_status_code"],
-                              ["Reference_Year", "IndustryType", "Industry", "Legal_Status"])
+    m = label_join(m, statuses, "legal_status_code", "legal_status", {"rank": "__status"})
+    j = first_year.join(_with_sector_rank(ind, sectors), "id").join(m, "id")
+    place = F.shiftleft("sector", RANK_BITS - 1) + F.col("__status")
+    rep = j.groupBy("id", "legal_status_code").agg(F.min("__year").alias("__year"), F.min(place).alias("place"))
+    rep = rep.withColumn("sector", F.shiftright("place", RANK_BITS - 1)).withColumn(
+        "__status", F.col("place").bitwiseAND(_RANK >> 1))
+    rep = _label_of(_sector_of(rep, sectors), "__status", statuses, "legal_status_desc", "Legal_Status")
+    rep = _label_of(rep, "__year", years, "reference_year_desc", "Reference_Year")
     return rep.select("Industry", "IndustryType", "Reference_Year", "Legal_Status")
 
 
@@ -188,9 +233,7 @@ def _per_year_rows(t: Tables, ind: DataFrame, measures: list[str], only=None,
     r = representative_rows(r, ["id", "ref_yearDetails__id"], measures)
     if require_main:
         r = exists_join(r, t["main"], "id")
-    i = representative_rows(ind.select("id", "Industry", "IndustryType"), "id",
-                            ["IndustryType", "Industry"])
-    return r.join(i, "id")
+    return r.join(_first_sector(t, ind), "id")
 
 
 def employee_rows(t: Tables, ind: DataFrame, years: Iterable[str] = REPORT_YEARS) -> DataFrame:

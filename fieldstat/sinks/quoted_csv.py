@@ -11,12 +11,16 @@ logicals ``TRUE``/``FALSE``.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldstat.functions.columns import NA_TEXT, category_text
 
 QUOTE = '"'
+#: Added to a document's path: the file with the manifest of its parts.
+MANIFEST = ".manifest.json"
 SEP = ","
 
 
@@ -63,13 +67,38 @@ def csv_document(spark: SparkSession, df: DataFrame, sort_by=None, name: str = "
     return header.unionByName(quoted_csv_lines(data, name))
 
 
+def csv_manifest(spark: SparkSession, path: str) -> list[dict]:
+    """Where each part file of a written document lies in the whole: ``part``,
+    ``offset`` (bytes of the parts before it) and ``bytes``, in order.  Parts
+    can be copied to their offsets of one file, or served as ranges of it, side
+    by side; nothing passes through one task."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = sorted((s.getPath().getName(), s.getLen()) for s in fs.listStatus(folder) if s.getPath().getName().startswith("part-"))
+    out, offset = [], 0
+    for part, size in found:
+        out.append({"part": part, "offset": offset, "bytes": size})
+        offset += size
+    return out
+
+
+def read_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """The stored manifest (``part``, ``offset``, ``bytes``) of a document."""
+    return spark.read.schema("part string, offset bigint, bytes bigint").json(f"{path.rstrip('/')}{MANIFEST}").orderBy("offset")
+
+
 def write_quoted_csv(spark: SparkSession, df: DataFrame, path: str, sort_by=None,
                      single_file: bool = False) -> str:
-    """Write the R-format CSV.  By default many part files (header in the
-    first); ``single_file=True`` funnels everything through one task and is
-    meant for small published extracts only."""
+    """Write the R-format CSV as part files in order (header in the first) with
+    a manifest of their offsets beside it (``read_manifest``), so that any number of
+    parts is one document.  ``single_file=True`` funnels everything through one
+    task and is meant for small published extracts only."""
     lines = csv_document(spark, df, sort_by)
     if single_file:
         lines = lines.coalesce(1)
     lines.write.mode("overwrite").option("lineSep", "\n").text(path)
+    record = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}{MANIFEST}")
+    out = record.getFileSystem(spark._jsc.hadoopConfiguration()).create(record, True)
+    out.write(bytearray("".join(json.dumps(r) + "\n" for r in csv_manifest(spark, path)).encode()))
+    out.close()
     return path

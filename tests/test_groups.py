@@ -73,3 +73,23 @@ def test_representative_skips_unsortable_map_columns(spark):
     df = spark.createDataFrame([(1, "b", {"k": 1}), (1, "a", {"k": 2})], "id int, v string, m map<string,int>")
     out = G.representative_rows(df, "id").collect()
     assert [(r.id, r.v, r.m) for r in out] == [(1, "a", {"k": 2})]
+
+
+def test_distinct_totals_count_establishments_once(spark):
+    """Totals are unions of the cells' sets, not sums of their counts."""
+    from fieldstat.operators.groups import dense_numbers, distinct_totals
+    rows = [(f"key-{i}", f"ind{j}", f"y{k}") for i in range(300) for j in range(2) for k in range(1 + (i % 3 == 0)) if (i + j) % 5]
+    rows += [("key-7", None, "y0"), ("key-7", "ind0", None), (None, "ind0", "y0"), ("key-7", "ind0", "y0")]
+    df = spark.createDataFrame(rows, "id string, industry string, year string").repartition(5)
+    numbers = dense_numbers(df, "id")
+    assert sorted(r.number for r in numbers.collect()) == list(range(numbers.count()))
+    assert sorted(map(tuple, numbers.collect())) == sorted(map(tuple, dense_numbers(df.repartition(2), "id").collect()))
+    got = {(r.industry, r.year, r.total_level): r.n
+           for r in distinct_totals(df.join(numbers, "id", "left"), "industry", "year", "number").collect()}
+    known = [r for r in rows if r[0] is not None]
+    for industry, year, level in got:
+        ids = {i for i, a, b in known if (level & 2 or a == industry) and (level & 1 or b == year)}
+        assert got[(industry, year, level)] == len(ids)
+    assert got[(None, None, 3)] == len({r[0] for r in known})
+    assert len(got) == len({(a, b, 0) for _, a, b in known} | {(a, None, 1) for _, a, _ in known} | {(None, b, 2) for _, _, b in known}) + 1
+    assert distinct_totals(df.where("false").withColumn("number", F.lit(1)), "industry", "year", "number").count() == 0

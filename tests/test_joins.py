@@ -124,3 +124,47 @@ def test_merge_with_several_keys_and_missing_parts(spark):
     y = spark.createDataFrame([(1, None, "p"), (None, None, "q"), (1, 2, "r"), (1, 2, "s")], "k int, j int, w string")
     assert sorted((r.v, r.w) for r in J.merge_frames(x, y, ["k", "j"]).collect()) == [
         ("a", "p"), ("b", "q"), ("c", "r"), ("c", "s")]
+
+
+def test_hot_keys_are_spread_over_cells(spark):
+    """A key with a third of both sides' rows, and the missing key with another third."""
+    key = F.when(F.col("id") % 3 == 0, F.lit("hot")).when(F.col("id") % 3 == 1, F.col("id").cast("string"))
+    x = spark.range(600).select(key.alias("k"), F.col("id").alias("v"))
+    y = spark.range(300).select(key.alias("k"), F.col("id").alias("w"))
+    hot = {r.k: (r["__a"], r["__b"]) for r in J.hot_keys(x, y, ["k"], 16).collect()}
+    assert set(hot) == {"hot", None} and all(a * b >= 8 for a, b in hot.values())
+    merged = J.merge_frames(x, y, "k", sort=False)
+    plain = J.merge_frames(x, y, "k", sort=False, spread=False)
+    assert merged.columns == plain.columns
+    assert sorted(map(repr, merged.collect())) == sorted(map(repr, plain.collect()))
+    cells = J._on_grid(x, J.hot_keys(x, y, ["k"], 16), ["k"], "__a", "__b").where("k = 'hot'")
+    sizes = [r["count"] for r in cells.groupBy("__part__a", "__part__b").count().collect()]
+    assert len(sizes) == hot["hot"][0] * hot["hot"][1] and max(sizes) <= 3 * 200 / hot["hot"][0]
+
+
+def test_hot_keys_are_fewer_than_tasks(spark):
+    x = spark.range(1000).select((F.col("id") % 10).alias("k"), F.col("id").alias("v"))
+    assert J.hot_keys(x, x, ["k"], 8).count() == 0  # even keys need no grid
+    assert J.hot_keys(x, x, ["k"], 200).count() <= 10
+    none = x.where("false")
+    assert J.hot_keys(x, none, ["k"], 8).count() == 0 and J.merge_frames(x, none.withColumnRenamed("v", "w"), "k").count() == 0
+
+
+def test_merge_on_two_keys_and_clashing_names(spark):
+    x = spark.createDataFrame([(1, None, "a"), (1, 2, "b"), (None, None, "c")], "k int, l int, v string")
+    y = spark.createDataFrame([(1, None, "d"), (None, None, "e"), (1, 3, "f")], "k int, l int, v string")
+    got = sorted(map(tuple, J.merge_frames(x, y, ["k", "l"]).collect()), key=repr)
+    assert got == [(1, None, "a", "d"), (None, None, "c", "e")]
+    assert J.merge_frames(x, y, ["k", "l"]).columns == ["k", "l", "v.x", "v.y"]
+
+
+def test_code_combinations(spark):
+    df = spark.createDataFrame([("1", "a"), ("1.0", "b"), ("9", "a"), ("9", "z"), (None, None), ("1d", "a")], "code string, name string")
+    codes = spark.createDataFrame([(1.0,), (1.0,), (2.0,), (None,)], "c double")
+    names = spark.createDataFrame([("a",), ("b",), ("a",)], "n string")
+    found = J.code_combinations(df, {"codes": ("code", codes, "c"), "names": ("name", names, "n")})
+    assert {(r.unmatched, r.n_lists): r.n for r in found.collect()} == {("", 0): 2, ("codes", 1): 2, ("codes,names", 2): 2}
+    assert {r.list_name: r.n for r in J.unmatched_per_list(found).collect()} == {"codes": 4, "names": 2}
+    for name, (column, codelist, code) in {"codes": ("code", codes, "c"), "names": ("name", names, "n")}.items():
+        assert J.unmatched_codes(df, codelist, column, code).count() == {"codes": 4, "names": 2}[name]
+    assert J.code_combinations(df.where("false"), {"codes": ("code", codes, "c")}).count() == 0

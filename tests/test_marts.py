@@ -63,3 +63,15 @@ def test_durations_and_missing_columns(spark):
     t["main"] = t["main"].drop("start_time")
     with pytest.raises(Exception, match="start_time"):
         marts.fieldwork_monitor(t)
+
+
+def test_least_labels_need_no_sort(spark):
+    """Tables 1, 3 and 4 keep least labels as numbers: only hash aggregates, and sorts of code lists alone."""
+    from fieldstat.plans import marts, reports
+    from fieldstat.plans.standins import census_tables
+    t = census_tables(spark, "/root/testdata/sf0.001")
+    ind = marts.industry(t)
+    for df in (reports.establishments_by_industry_year(t, ind, sort=False), reports.legal_status_in_year(t, ind, "1996")):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "HashAggregate" in plan and "SortAggregate" not in plan and "ObjectHashAggregate" not in plan
+        assert "WindowGroupLimit" not in plan

@@ -114,3 +114,22 @@ def test_old_versions_are_dropped_on_request(spark, scratch):
         drop_old_versions(spark, scratch, "raw", "t", keep=0)
     with pytest.raises(FileNotFoundError):
         read_layer(spark, scratch, "raw", "nothing")
+
+
+def test_manifest_places_every_part(spark, scratch):
+    import glob
+    import os
+
+    from fieldstat.sinks.quoted_csv import read_manifest, write_quoted_csv
+    df = spark.range(5000).selectExpr("id", 'concat(\'Name "\', id, \'" é\') AS name').repartition(7)
+    path = write_quoted_csv(spark, df, f"{scratch}/out.csv", sort_by=["id"])
+    parts = read_manifest(spark, path).collect()
+    whole = b""
+    for p in parts:
+        assert p.offset == len(whole)
+        data = open(os.path.join(path, p.part), "rb").read()
+        assert len(data) == p.bytes
+        whole += data
+    lines = whole.decode().splitlines()
+    assert len(parts) > 2 and len(glob.glob(f"{path}/part-*")) == len(parts)
+    assert lines[0] == '"id","name"' and [int(x.split(",")[0]) for x in lines[1:]] == list(range(5000))
