@@ -419,10 +419,9 @@ def align(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
     read = stored(rows.mapInArrow(_first_pass(a_path, b_path), _ROWS), "aligned")
     texts, messages = read.filter("kind = 1").select("chunk", "kind", "ids", "pieces"), read.filter("kind = 2")
     chunks = texts.count()
-    tasks = max(parts, SHARDS)
 
     def by_branch(df: DataFrame, *first: str) -> DataFrame:
-        return df.repartition(tasks, "shard", "branch").sortWithinPartitions("shard", "branch", *first)
+        return df.repartition(parts, "shard", "branch").sortWithinPartitions("shard", "branch", *first)
 
     def tree(df: DataFrame, step, schema: str, branches: int) -> DataFrame:
         """``step`` over rows by shard and branch, ``FAN`` branches at a time, until each shard has one."""
