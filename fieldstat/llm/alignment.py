@@ -50,7 +50,7 @@ from .perfect_hash import PerfectHash
 from .tokens import encoder
 
 #: Bytes of text in a chunk.
-CHUNK = 16 << 20
+CHUNK = 4 << 20
 #: Bytes of pieces that are encoded at a time.
 JOINED = 64 << 10
 #: Shards of A ids.
@@ -67,6 +67,7 @@ _SCHEMA = pa.schema([
 _RESULT = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups binary"
 
 _TWO_BLANKS = re.compile(r"\s\s")
+_BYTE = re.compile("<0x[0-9A-F]{2}>")
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -94,7 +95,9 @@ class Vocabularies:
 
     def _piece(self, i: int) -> bytes:
         piece = self.model.id_to_piece(i)
-        return bytes([int(piece[3:5], 16)]) if self.model.is_byte(i) else piece.replace("▁", " ").encode()
+        if _BYTE.fullmatch(piece) and self.model.is_byte(i):
+            return bytes([int(piece[3:5], 16)])
+        return piece.replace("▁", " ").encode()
 
 
 @cache

@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from . import golomb
 from .common import attach, shuffle_partitions, stored
+from .members import may_be_in
 
 #: Fingerprint bits beyond log2(rows).
 SLACK_BITS = 8
@@ -37,8 +38,6 @@ SLACK_BITS = 8
 ROUND = 1 << 20
 #: Fingerprints for one owner, at most on average.
 PER_OWNER = 2 << 20
-#: Suspect fingerprints (8 bytes each) that may be broadcast; more are joined by a shuffle.
-BROADCAST_SUSPECTS = 2_000_000
 
 _MESSAGES = "owner long, sender long, codes binary, twice binary"
 _REPLIES = "owner long, sender long, known binary"
@@ -121,18 +120,20 @@ def suspects(prints: DataFrame, bits: int, rows: int) -> DataFrame:
     return answered.select("owner", "codes", "known").mapInArrow(_read_replies(span), "fp long").distinct()
 
 
-def _marked(docs: DataFrame, prints: DataFrame) -> tuple[DataFrame, int]:
+def _marked(docs: DataFrame, prints: DataFrame) -> tuple[DataFrame, DataFrame, int]:
     """Each row of ``docs`` as the struct ``row`` (so that no name of its columns clashes) with text (normalised), fp and
-    suspect; number of rows."""
+    maybe (false: no suspect); the suspects' fingerprints; number of rows.
+
+    A filter of bounded size tells suspects in the tasks that read the texts, so
+    that of the others about one in a hundred is shuffled, however many suspects
+    there are; the join with the list of suspects then decides.
+    """
     rows = prints.count()
     bits = min(63, max(1, rows).bit_length() + SLACK_BITS)
     found = stored(suspects(prints.select(F.shiftrightunsigned("h", 64 - bits).alias("fp")), bits, rows), "suspects")
-    found = found.select("fp", F.lit(True).alias("suspect"))
-    if found.count() <= BROADCAST_SUSPECTS:
-        found = F.broadcast(found)
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     marked = docs.select(row.alias("row"), normalised().alias("text")).withColumn("fp", _fingerprint(F.col("text"), bits))
-    return marked.join(found, "fp", "left"), rows
+    return marked.withColumn("maybe", may_be_in(F.col("fp"), found)), found, rows
 
 
 def _prints(docs: DataFrame) -> DataFrame:
@@ -143,9 +144,9 @@ def _prints(docs: DataFrame) -> DataFrame:
 def decisions(docs: DataFrame) -> DataFrame:
     """doc_id, keep_id, group_size, kept, text_sha256 of every row of ``docs``."""
     prints = _prints(docs.select("doc_id", "text"))
-    marked, rows = _marked(docs.select("doc_id", "text"), prints)
+    marked, found, rows = _marked(docs.select("doc_id", "text"), prints)
     groups = (
-        marked.filter("suspect").groupBy("fp", "text")
+        marked.filter("maybe").join(found, "fp", "left_semi").groupBy("fp", "text")
         .agg(F.min("row.doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
         .filter("group_size > 1")
         .select(F.xxhash64("text").alias("h"), F.sha2("text", 256).alias("text_sha256"), "keep_id", "group_size")
@@ -162,7 +163,9 @@ def decisions(docs: DataFrame) -> DataFrame:
 
 def deduplicate(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each text: the one with the smallest doc_id."""
-    marked, _ = _marked(docs, stored(docs.select(F.xxhash64(normalised()).alias("h")), "prints"))
+    marked, found, _ = _marked(docs, stored(docs.select(F.xxhash64(normalised()).alias("h")), "prints"))
     order = F.struct(F.col("row.doc_id").isNull(), F.col("row.doc_id"), F.xxhash64("row.text"))
-    first = marked.filter("suspect").groupBy("fp", "text").agg(F.min_by("row", order).alias("row"))
-    return marked.filter("suspect is null").select("row.*").unionByName(first.select("row.*"))
+    shared = marked.filter("maybe").join(found.withColumn("suspect", F.lit(True)), "fp", "left")
+    first = shared.filter("suspect").groupBy("fp", "text").agg(F.min_by("row", order).alias("row"))
+    alone = marked.filter("NOT maybe").select("row").unionByName(shared.filter("suspect IS NULL").select("row"))
+    return alone.unionByName(first.select("row")).select("row.*")

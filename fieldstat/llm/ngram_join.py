@@ -61,6 +61,8 @@ ROUND = 1 << 20
 PER_OWNER = 2 << 20
 #: Classes of one prefix n-gram that are compared as one cell.
 CELL = 4096
+#: Prefix rows of one lead that go to one task.
+LEAD = 1 << 13
 #: Prefix rows that a task compares at a time, and pairs that it holds meanwhile.
 ROWS = 1 << 16
 PAIRS = 1 << 21
@@ -340,7 +342,7 @@ def _cells(rows: DataFrame, labels: DataFrame | None, sets: DataFrame | None) ->
     A cell's first class (lead) is the one with the fewest rarer n-grams: the
     text that near copies were made from has none of their own changes.  Cells
     with the same lead go to the same task, because classes that meet once
-    mostly meet in many n-grams; a lead of more than ``ROWS`` rows is spread
+    mostly meet in many n-grams; a lead of more than ``LEAD`` rows is spread
     over several tasks.  With ``sets``, rows carry their set's counts.
     """
     if labels is None:
@@ -352,7 +354,7 @@ def _cells(rows: DataFrame, labels: DataFrame | None, sets: DataFrame | None) ->
                                    F.min("component").alias("a"), F.max("component").alias("b"))
     grams = grams.filter("a <> b").drop("a", "b")  # n-grams whose classes are all connected are settled
     leads = grams.groupBy("lead").agg(F.sum("count").alias("rows"))
-    grams = grams.join(leads, "lead").select("fp", "count", "lead", F.ceil(F.col("rows") / ROWS).alias("parts"))
+    grams = grams.join(leads, "lead").select("fp", "count", "lead", F.ceil(F.col("rows") / LEAD).alias("parts"))
     rows = attach(rows, grams.withColumnRenamed("count", "size"), ["fp"], "size", rows.count()).filter("size IS NOT NULL")
     if sets is not None:
         rows = stored(rows.withColumnRenamed("size", "often"), "open")
@@ -479,12 +481,16 @@ def similar(docs: DataFrame, size: int = SHINGLE, percent: int = 80) -> DataFram
 
     messages = read.filter("kind = 2").select("chunk", "owner", "code", "counts")
     answers = messages.repartition(owners, "owner").sortWithinPartitions("owner").mapInArrow(_answer, _SETS)
+    answers = stored(answers, "answers")
     both = answers.unionByName(read.filter("kind = 1")).select("chunk", "kind", "owner", "n", "key", "code", "counts")
     both = both.repartition(max(parts, owners), "chunk").sortWithinPartitions("chunk", "kind")
-    prefixes = both.mapInArrow(_prefixes(bits, percent), _ROWS).distinct()  # a class may lie in several chunks
-    prefixes = stored(prefixes, "prefixes")
-    several = prefixes.groupBy("fp").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-    prefixes = stored(prefixes.join(several.select("fp"), "fp", "left_semi"), "shared")
+    prefixes = stored(both.mapInArrow(_prefixes(bits, percent), _ROWS), "prefixes")
+    # n-grams that two classes have (two hashes of the class, as numbers, keep this a hash aggregate)
+    hashes = [(F.xxhash64("key"), "a"), (F.hash("key"), "b")]
+    ends = [f(h).alias(f"{name}{end}") for h, name in hashes for f, end in ((F.min, 0), (F.max, 1))]
+    several = stored(prefixes.groupBy("fp").agg(*ends).filter("a0 <> a1 OR b0 <> b1").select("fp"), "several")
+    prefixes = prefixes.filter(may_be_in(F.col("fp"), several)).join(several, "fp", "left_semi")
+    prefixes = stored(prefixes.distinct(), "shared")  # a class may lie in several chunks
     sets = _sets_of(docs, prefixes, classes, size)
 
     uses = prefixes.groupBy("key").agg(F.count(F.lit(1)).alias("size"))

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from fieldstat.llm import components, exact_dedup, golomb, queries, simhash, substring_dedup
+from fieldstat.llm import components, exact_dedup, golomb, members, queries, simhash, substring_dedup
 
 from . import brute
 from .conftest import SCHEMA, as_lists, edge_texts, rows_of
@@ -33,8 +33,9 @@ def test_exact_with_many_false_suspects(spark, monkeypatch):
     assert got == sorted(brute.equal_texts(docs), key=repr)
 
 
-def test_exact_without_broadcast(spark, edges, monkeypatch):
-    monkeypatch.setattr(exact_dedup, "BROADCAST_SUSPECTS", 0)
+def test_exact_with_a_full_filter(spark, edges, monkeypatch):
+    """A filter too small for its keys lets rows pass and drops none."""
+    monkeypatch.setattr(members, "LARGEST", 8)
     monkeypatch.setattr(exact_dedup, "ROUND", 4)
     got = as_lists(exact_dedup.decisions(edges), "doc_id", "keep_id", "group_size", "kept", "text_sha256")
     assert got == sorted(brute.equal_texts(edge_texts()), key=repr)

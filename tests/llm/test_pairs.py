@@ -75,7 +75,7 @@ def test_join_of_shared_passages(spark, size, percent):
 
 def test_join_by_blocks_chunks_and_equal_fingerprints(spark, monkeypatch):
     """Small chunks, cells and batches, and fingerprints so short that different n-grams share them."""
-    for name, value in (("ROUND", 200), ("PER_OWNER", 300), ("CELL", 4), ("ROWS", 64), ("PAIRS", 50), ("SLACK_BITS", 0)):
+    for name, value in (("ROUND", 200), ("PER_OWNER", 300), ("CELL", 4), ("ROWS", 64), ("LEAD", 100), ("PAIRS", 50), ("SLACK_BITS", 0)):
         monkeypatch.setattr(ngram_join, name, value)
     docs = shared_passages()
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
