@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -67,6 +67,16 @@ def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> Data
     return checked_broadcast({"frame": df}, max_rows)["frame"]
 
 
+def guarded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast hint on a list that is derived in the same query, without a job of its own: the list counts its rows
+    as it is computed, and more than ``max_rows`` stop the query with a message (join such a list without a hint)."""
+    n = F.count(F.lit(1)).over(Window.partitionBy())
+    message = f"a list of more than {max_rows} rows cannot be broadcast: join it without a hint"
+    counted = df.withColumn("__rows", n).where(F.when(F.col("__rows") <= max_rows, True).otherwise(
+        F.raise_error(F.lit(message)).cast("boolean")))
+    return F.broadcast(counted.drop("__rows"))
+
+
 _WHOLE = ("tinyint", "smallint", "int", "bigint")
 
 

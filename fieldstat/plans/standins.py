@@ -16,7 +16,7 @@ errors                 events of type ``error``
 area_council, ...      nation (code n_nationkey, label n_name)
 province, ...          region (code r_regionkey, label r_name)
 reference_year         distinct order years
-enumerators            the event types, as fixed rows
+enumerators            distinct event types
 =====================  ==================================================
 
 Codes are stored as text in ``main`` and the rosters, like the reference's
@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldstat.functions.columns import as_integer, label_in
-from fieldstat.operators.joins import exists_join
+from fieldstat.operators.joins import exists_join, guarded_broadcast
 from fieldstat.operators.reshape import to_category
 from fieldstat.plans.reports import SKILL_MEASURES
 
@@ -55,9 +55,6 @@ def read_tables(spark: SparkSession, sf_dir: str, names=TABLES) -> dict[str, Dat
     return LazyTables({n: lambda n=n: spark.read.parquet(f"{sf_dir.rstrip('/')}/{n}.parquet") for n in names})
 
 
-# The originators that the enumerator list knows (the log's event types).
-ENUMERATORS = ("click", "error", "purchase", "signup", "view")
-
 # main's code columns stored as category text.
 MAIN_CATEGORIES = ("interview__status", "ref_letter", "ref_number", "major_label_vansic",
                    "major_Infolabel_vanisic", "province", "area_council", "legal_status",
@@ -131,7 +128,8 @@ def census_tables(spark: SparkSession, sf_dir: str, measures: bool = False,
     lists read from files (nation, region) carry Spark's own file sizes, which
     decide about a broadcast without a job.  The year list is broadcast: its
     rows are distinct years of timestamps, of which there are at most 600,000
-    (16 bytes each), whatever the data.
+    (16 bytes each), whatever the data.  The list of originators has no such
+    bound: it is checked where it is computed, without a job of its own.
     """
     src = read_tables(spark, sf_dir)
 
@@ -141,8 +139,8 @@ def census_tables(spark: SparkSession, sf_dir: str, measures: bool = False,
             .withColumn("reference_year_desc", F.col("reference_year").cast("string")))
 
     def enumerators():
-        # like the reference's, the list is a sheet of fixed rows, not derived from the log
-        return spark.createDataFrame([(e, e.upper()) for e in ENUMERATORS], "enum string, enumdesc string")
+        return guarded_broadcast(src["events"].select(F.col("event_type").alias("enum")).distinct()
+                                 .withColumn("enumdesc", F.upper("enum")))
 
     def register_id():
         return src["orders"].select(F.col("o_custkey").alias("id"),
@@ -231,7 +229,7 @@ STANDIN_SQL = {
     "errs": """errs AS (
   SELECT user_id AS id, props AS variable FROM events WHERE event_type = 'error')""",
     "enumerators": """enumerators AS (
-  SELECT enum, upper(enum) AS enumdesc FROM (VALUES """ + ", ".join(f"('{e}')" for e in ENUMERATORS) + """) AS v(enum))""",
+  SELECT DISTINCT event_type AS enum, upper(event_type) AS enumdesc FROM events)""",
 }
 
 

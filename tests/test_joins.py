@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from fieldstat.operators import joins as J
@@ -168,3 +169,16 @@ def test_code_combinations(spark):
     for name, (column, codelist, code) in {"codes": ("code", codes, "c"), "names": ("name", names, "n")}.items():
         assert J.unmatched_codes(df, codelist, column, code).count() == {"codes": 4, "names": 2}[name]
     assert J.code_combinations(df.where("false"), {"codes": ("code", codes, "c")}).count() == 0
+
+
+def test_guarded_broadcast_needs_no_job_and_stops_a_long_list(spark):
+    codes = spark.range(50).select((F.col("id") % 20).alias("code")).distinct().withColumn("label", F.col("code").cast("string"))
+    df = spark.range(40).withColumnRenamed("id", "c")
+    jobs = lambda: len(spark.sparkContext.statusTracker().getJobIdsForGroup())
+    before = jobs()
+    listed = J.guarded_broadcast(codes, 20)
+    assert jobs() == before
+    joined = J.label_join(df, listed, "c", "code", ["label"])
+    assert joined.count() == 20 and "BroadcastHashJoin" in joined._jdf.queryExecution().executedPlan().toString()
+    with pytest.raises(Exception, match="cannot be broadcast"):
+        J.label_join(df, J.guarded_broadcast(codes, 19), "c", "code", ["label"]).count()
