@@ -12,10 +12,11 @@ order.  An anchor q that still needs scores of at least t has, in a bucket of
 lengths up to l, the threshold c = t / (|q| l) on the cosine:
 
 * c > 1: nothing in the bucket, nor in any shorter one, can reach t;
-* 0 < c <= 1: with unit vectors u (anchor) and v, u.v >= c needs
-  |v_f - c u_f| <= sqrt((1 - u_f**2) (1 - c**2)) in every coordinate f.  The
-  anchor's ``FOCUS`` largest coordinates give value ranges, found in the sorted
-  lists by bisection, and only rows inside all of them are candidates;
+* 0 < c <= 1: unit vectors v with u.v >= c (u: the anchor's) lie within an angle
+  of u, which bounds every coordinate: v_f >= c u_f - r (no bound if u_f <= -c)
+  and v_f <= c u_f + r (no bound if u_f >= c), r = sqrt((1 - u_f**2) (1 - c**2)).
+  The anchor's ``FOCUS`` largest coordinates give value ranges, found in the
+  sorted lists by bisection, and only rows inside all of them are candidates;
 * otherwise every row of the bucket is one.
 
 Candidates are verified by the exact inner product and go to the anchor's list
@@ -149,7 +150,9 @@ class _Bucket:
         for f in focus:
             order, values = self.sorted_list(f)
             off = np.sqrt(max(0.0, (1 - unit[f] ** 2) * (1 - c * c))) + _SLACK
-            low, high = np.searchsorted(values, (c * unit[f] - off, c * unit[f] + off))
+            least_f = -1.0 if unit[f] <= -c + _SLACK else c * unit[f] - off
+            most_f = 1.0 if unit[f] >= c - _SLACK else c * unit[f] + off
+            low, high = np.searchsorted(values, least_f - _SLACK), np.searchsorted(values, most_f + _SLACK, "right")
             inside[order[low:high]] += 1
         return np.flatnonzero(inside == len(focus))
 

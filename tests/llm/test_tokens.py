@@ -201,3 +201,18 @@ def test_empty_tables(no_docs):
     assert chunk_bpe.encode_decode(no_docs, WORD).count() == 0
     assert length_histogram.limits_of(no_docs, BYTE).count() == 0
     assert packing.pack_documents(no_docs, BYTE).count() == 0
+
+
+def test_length_query_equals_a_count_of_every_column(spark, sf, sf_docs):
+    """All rows and columns of the query, from the library's lengths."""
+    lengths = [len(library_ids(BYTE, t)) for _, t in sf_docs]
+    n, asked = len(lengths), [0.01, 0.05, 0.1, 0.25, 0.5, 0.75, 0.9, 0.95, 0.99, 1.0]
+    smallest = {s: min(v for v in set(lengths) if sum(x <= v for x in lengths) / n >= s) for s in asked}
+    rows = queries.op6_length_histogram(spark, sf).collect()
+    assert sorted(r.context_limit for r in rows) == sorted(set(lengths) | {1 << k for k in range(18)})
+    for r in rows:
+        v = r.context_limit
+        over = [x for x in lengths if x > v]
+        assert (r.n_docs, r.docs_within, r.docs_over, r.tokens_over) == (lengths.count(v), n - len(over), len(over), sum(over))
+        assert (r.truncated_total, r.total_tokens) == (sum(min(x, v) for x in lengths), sum(lengths))
+        assert r.quantile == (n - len(over)) / n and r.shares == [s for s in asked if smallest[s] == v]
