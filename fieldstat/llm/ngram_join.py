@@ -61,6 +61,8 @@ ROUND = 1 << 20
 PER_OWNER = 2 << 20
 #: Classes of one prefix n-gram that are compared as one cell.
 CELL = 4096
+#: A class with more than one in so many pairs is joined by a broadcast.
+SHARE = 1000
 #: Prefix rows of one lead that go to one task.
 LEAD = 1 << 13
 #: Prefix rows that a task compares at a time, and pairs that it holds meanwhile.
@@ -426,13 +428,15 @@ def _may_link(percent: int) -> Column:
 
 
 def _with_ends(pairs: DataFrame, sets: DataFrame, column: str) -> DataFrame:
-    """``pairs`` with that column of both classes, as su and sv; a class of many pairs is spread over tasks."""
+    """``pairs`` with that column of both classes, as su and sv.  Classes with more than one in ``SHARE`` of all pairs,
+    which number fewer than ``SHARE``, are broadcast."""
     total, found = pairs.count(), pairs
     for end, name in (("u", "su"), ("v", "sv")):
-        often = pairs.groupBy(F.col(end).alias("key")).agg(F.count(F.lit(1)).alias("size"))
-        table = stored(sets.select("key", column).join(often, "key"), "ends")
-        table = table.select(F.col("key").alias(end), "size", F.col(column).alias(name))
-        found = attach(found, table, [end], "size", total).drop("size")
+        often = pairs.groupBy(end).agg(F.count(F.lit(1)).alias("size"))
+        hot = F.broadcast(often.filter(F.col("size") * SHARE > total).select(end))
+        table = sets.select(F.col("key").alias(end), F.col(column).alias(name))
+        few = F.broadcast(table.join(hot, end, "left_semi"))
+        found = found.join(few, end).unionByName(found.join(hot, end, "left_anti").join(table, end))
     return found
 
 
@@ -474,7 +478,7 @@ def similar(docs: DataFrame, size: int = SHINGLE, percent: int = 80) -> DataFram
     parts = shuffle_partitions(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), text_bytes().alias("body"))
     volume = rows.agg(F.sum(F.octet_length("body"))).first()[0] or 0
-    bits = min(62, max(1, volume // 6).bit_length() + SLACK_BITS)
+    bits = min(62, max(1, volume // 12).bit_length() + SLACK_BITS)
     owners = max(parts, -(-(volume // 6) // PER_OWNER))
     read = stored(rows.mapInArrow(_read_sets(size, bits, owners), _SETS), "sets-read")
     classes = read.filter("kind = 0").select("doc_id", "th", "n", "key")
