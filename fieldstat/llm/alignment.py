@@ -50,7 +50,7 @@ from .perfect_hash import PerfectHash
 from .tokens import encoder
 
 #: Bytes of text in a chunk.
-CHUNK = 4 << 20
+CHUNK = 2 << 20
 #: Bytes of pieces that are encoded at a time.
 JOINED = 64 << 10
 #: Shards of A ids.
@@ -282,7 +282,7 @@ def _first_pass(a_path: str, b_path: str):
         from pyspark import TaskContext
 
         chunk, ids, texts, held = TaskContext.get().partitionId() << 32, [], [], 0
-        for part in slices(batches):
+        for part in slices(batches, budget=CHUNK):
             for doc_id, body in zip(part.column("doc_id").to_pylist(), part.column("body").to_pylist()):
                 ids.append(doc_id)
                 texts.append(body.decode())
