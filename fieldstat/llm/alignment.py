@@ -45,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .common import shuffle_partitions, slices, stored, text_bytes
-from .packed import pack, unpack
+from .packed import pack, pack_unordered, unpack, unpack_unordered
 from .perfect_hash import PerfectHash
 from .tokens import encoder
 
@@ -275,7 +275,7 @@ def _first_pass(a_path: str, b_path: str):
                 for s, (x, y) in enumerate(zip(cuts, cuts[1:])) if y > x]
         sizes = np.fromiter(map(len, found), np.int64, len(found))
         rows.append({"kind": 1, "chunk": chunk, "ids": ids, "pieces": [
-            pack(x) for x in (sizes, np.concatenate([np.empty(0, np.int64), *found]), a, n_a, b, n_b)]})
+            pack_unordered(x) for x in (sizes, np.concatenate([np.empty(0, np.int64), *found]), a, n_a, b, n_b)]})
         return _batch(rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -374,7 +374,7 @@ def _second_pass(a_path: str, b_path: str):
 
     def documents_of(row: dict, answers: list) -> Iterator[tuple]:
         v = vocabularies(a_path, b_path)
-        sizes, found, *encoded = (unpack(x).astype(np.int64) for x in row["pieces"])
+        sizes, found, *encoded = (unpack_unordered(x).astype(np.int64) for x in row["pieces"])
         aligned = Aligned(*encoded, v, texts=True)
         stops = np.cumsum(sizes)
         n = len(aligned.n_a)

@@ -113,6 +113,8 @@ def test_join_equals_its_sql_and_ignores_other_columns(spark, no_docs):
 @pytest.mark.parametrize("values", [[], [0], [5, 5, 7], [2 ** 63, 1, 2 ** 64 - 1], list(range(0, 10 ** 6, 37))])
 def test_packed_round_trip(values):
     assert packed.unpack(packed.pack(np.array(values, np.uint64))).tolist() == values
+    short = [v % (1 << 32) for v in reversed(values)]
+    assert packed.unpack_unordered(packed.pack_unordered(np.array(short, np.int64))).tolist() == short
 
 
 def test_membership_filter_never_drops_a_key(spark):

@@ -14,7 +14,7 @@ from .conftest import edge_texts
 
 def test_registered():
     found = entry.queries()
-    assert [n for n in found if n.startswith("op")] == list(queries.QUERIES) and len(queries.QUERIES) == 10
+    assert [n for n in found if n.startswith("op")] == list(queries.QUERIES) and len(queries.QUERIES) == 13
     assert found["pipeline"] is corpus_pipeline.run and set(queries.SQL) <= set(queries.QUERIES)
     assert [n for n, _ in corpus_pipeline.STAGES] == [
         "quality classifier", "exact dedup", "simhash near-dedup", "secret scans", "best-fit packing"]
