@@ -82,14 +82,20 @@ def block_starts(blocks: DataFrame) -> DataFrame:
     return b.select(*_KEYS, "inside", F.when(F.col("inside"), F.col("open_in")).otherwise(F.col("open_out")).alias("open"))
 
 
-def _states(sep: str) -> Column:
-    """One character per line: 1 where the line begins inside a quoted field."""
+def _begins(sep: str) -> Column:
+    """Places (from 0) of the lines that do not begin inside a quoted field.
+
+    One pass over the lines notes a character per line.  The notes are the argument of ``split``, outside any lambda:
+    Spark moves a column that is named once to where it is named, and inside a lambda the pass would be made anew for
+    every line.
+    """
     start = F.struct(F.col("inside").alias("now"), F.lit("").alias("seen"))
-    return F.aggregate(
+    seen = F.aggregate(
         "lines", start,
         lambda a, x: F.struct(_after_line(x, a["now"], sep).alias("now"),
                               F.concat(a["seen"], F.when(a["now"], "1").otherwise("0")).alias("seen")),
         lambda a: a["seen"])
+    return F.filter(F.transform(F.split(seen, ""), lambda x, i: F.when(x == "0", i)), lambda i: i.isNotNull())
 
 
 def records(blocks: DataFrame, sep: str = "\t") -> DataFrame:
@@ -107,10 +113,7 @@ def records(blocks: DataFrame, sep: str = "\t") -> DataFrame:
     out = out.select("archive", "member", (F.col("first_line") + F.col("at")).alias("line_no"), "line")
 
     quoted = b.where(F.col("inside") | F.exists("lines", lambda x: F.contains(x, F.lit(QUOTE))))
-    quoted = quoted.withColumn("states", _states(sep))
-    at = F.filter(F.sequence(F.lit(0), F.col("n_lines").cast("int") - 1),
-                  lambda i: F.substring(F.col("states"), i + 1, F.lit(1)) == "0")
-    quoted = quoted.withColumn("at", at).withColumn("ends", F.when(F.col("inside"), F.col("open_in")).otherwise(F.col("open_out")))
+    quoted = quoted.withColumn("at", _begins(sep)).withColumn("ends", F.when(F.col("inside"), F.col("open_in")).otherwise(F.col("open_out")))
     text = lambda a, z: F.array_join(F.slice("lines", a + 1, z - a), "\n", "")
     n = F.col("n_lines").cast("int")
     whole = F.transform(F.arrays_zip(F.col("at").alias("a"), F.concat(F.slice("at", 2, F.greatest(F.size("at"), F.lit(1))),
