@@ -324,6 +324,12 @@ def _hash_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_pylist([{"shard": shard, "hash": table.dump(), "keys": held.tobytes()}])
 
 
+def _join_and_hash_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The last join of a shard's pairs, and its hash, in one worker: a second one per task would stay with the
+    executor and hold the vocabularies too in the second pass."""
+    return _hash_keys(_join_keys(batches))
+
+
 def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A shard's table (kind 0), then a branch of its messages, to the branch's dense count vector."""
     for (shard, branch), rows in _runs(batches, ["shard", "branch"]):
@@ -435,9 +441,11 @@ def align(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
 
     branches = max(1, -(-chunks // FAN))
     messages = messages.select("shard", F.pmod(F.xxhash64("chunk"), F.lit(branches)).alias("branch"), "chunk", "pairs", "counts")
-    keys = by_branch(messages.select("shard", "branch", "pairs")).mapInArrow(_join_keys, "shard long, branch long, pairs binary")
-    keys = tree(keys, _join_keys, "shard long, branch long, pairs binary", branches)
-    tables = stored(keys.select("shard", "pairs").mapInArrow(_hash_keys, "shard long, hash binary, keys binary"), "hashes")
+    keys, left = messages.select("shard", "branch", "pairs"), branches
+    while left > 1:
+        keys, left = by_branch(keys).mapInArrow(_join_keys, "shard long, branch long, pairs binary"), -(-left // FAN)
+        keys = keys.withColumn("branch", F.floor(F.col("branch") / FAN).cast("long"))
+    tables = stored(by_branch(keys).mapInArrow(_join_and_hash_keys, "shard long, hash binary, keys binary"), "hashes")
 
     def with_messages(table: DataFrame) -> DataFrame:
         every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(branches - 1).cast("long"))).alias("branch")
@@ -450,5 +458,5 @@ def align(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
     width = len(vocabularies(a_path, b_path).bytes_b)
     answers = with_messages(counted).mapInArrow(_answers(width), _ROWS).select("chunk", "kind", "pairs", "counts")
     both = answers.unionByName(texts, allowMissingColumns=True)
-    both = both.repartition(max(parts, chunks // 4), "chunk").sortWithinPartitions("chunk", "kind")
+    both = both.repartition(max(parts, chunks), "chunk").sortWithinPartitions("chunk", "kind")
     return both.mapInArrow(_second_pass(a_path, b_path), _RESULT)
