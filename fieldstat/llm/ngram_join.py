@@ -46,7 +46,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import BooleanType
 
-from .common import attach, shuffle_partitions, slices, stored, text_bytes
+from .common import attach, batches_of, released, shuffle_partitions, slices, stored, text_bytes
 from .components import components
 from .members import may_be_in
 from .packed import pack, unpack
@@ -56,7 +56,7 @@ SHINGLE = 5
 #: Fingerprint bits beyond log2(n-grams).
 SLACK_BITS = 8
 #: N-grams of a chunk.
-ROUND = 1 << 20
+ROUND = 1 << 19
 #: Fingerprints for one owner, on average.
 PER_OWNER = 2 << 20
 #: Classes of one prefix n-gram that are compared as one cell.
@@ -67,7 +67,11 @@ SHARE = 1000
 LEAD = 1 << 13
 #: Prefix rows that a task compares at a time, and pairs that it holds meanwhile.
 ROWS = 1 << 16
-PAIRS = 1 << 21
+PAIRS = 1 << 19
+#: Counts of sets that are compared at a time.
+COUNTS = 1 << 22
+#: Rows of texts or sets that are handed to Python at a time.
+BATCH = 2000
 #: Ranges of the suffix filter.
 BINS = 32
 
@@ -409,7 +413,7 @@ def _room(bins: list[bytes], i: np.ndarray, j: np.ndarray, percent: int) -> np.n
         for row, k in enumerate(used.tolist()):
             counts = np.frombuffer(bins[k], np.uint8)
             folded[row], capped[row] = counts.reshape(width, -1).sum(axis=1), counts.max() == 255
-        sizes, step = folded.sum(axis=1, dtype=np.int64), max(1, (1 << 24) // width)
+        sizes, step = folded.sum(axis=1, dtype=np.int64), max(1, COUNTS // width)
         for a in range(0, len(at), step):
             x, y = where[:len(at)][a:a + step], where[len(at):][a:a + step]
             shared = np.minimum(folded[x], folded[y]).sum(axis=1, dtype=np.int64)
@@ -468,27 +472,32 @@ def _sets_of(docs: DataFrame, rows: DataFrame, classes: DataFrame, size: int) ->
     texts = texts.filter(may_be_in(F.col("th"), chosen.select("th"))).join(chosen, ["known", "doc_id", "th"])
     # rows that repeat id and text: one of them
     texts = texts.groupBy("key").agg(F.first("body").alias("body"))
-    return stored(texts.mapInArrow(_set_rows(size), "key binary, set binary, bins binary"), "sets")
+    return stored(texts.mapInArrow(released(_set_rows(size)), "key binary, set binary, bins binary"), "sets")
 
 
 def similar(docs: DataFrame, size: int = SHINGLE, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles (set size), component_id (smallest doc_id reachable by links, its own included) and
     component_size (rows) of every row of ``docs`` (doc_id, text)."""
+    with batches_of(docs.sparkSession, BATCH):  # all steps in Python run before this returns
+        return _similar(docs, size, percent)
+
+
+def _similar(docs: DataFrame, size: int, percent: int) -> DataFrame:
     spark = docs.sparkSession
     parts = shuffle_partitions(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), text_bytes().alias("body"))
     volume = rows.agg(F.sum(F.octet_length("body"))).first()[0] or 0
     bits = min(62, max(1, volume // 12).bit_length() + SLACK_BITS)
     owners = max(parts, -(-(volume // 6) // PER_OWNER))
-    read = stored(rows.mapInArrow(_read_sets(size, bits, owners), _SETS), "sets-read")
+    read = stored(rows.mapInArrow(released(_read_sets(size, bits, owners)), _SETS), "sets-read")
     classes = read.filter("kind = 0").select("doc_id", "th", "n", "key")
 
     messages = read.filter("kind = 2").select("chunk", "owner", "code", "counts")
-    answers = messages.repartition(owners, "owner").sortWithinPartitions("owner").mapInArrow(_answer, _SETS)
+    answers = messages.repartition(owners, "owner").sortWithinPartitions("owner").mapInArrow(released(_answer), _SETS)
     answers = stored(answers, "answers")
     both = answers.unionByName(read.filter("kind = 1")).select("chunk", "kind", "owner", "n", "key", "code", "counts")
     both = both.repartition(max(parts, owners), "chunk").sortWithinPartitions("chunk", "kind")
-    prefixes = stored(both.mapInArrow(_prefixes(bits, percent), _ROWS), "prefixes")
+    prefixes = stored(both.mapInArrow(released(_prefixes(bits, percent)), _ROWS), "prefixes")
     # n-grams that two classes have (two hashes of the class, as numbers, keep this a hash aggregate)
     hashes = [(F.xxhash64("key"), "a"), (F.hash("key"), "b")]
     ends = [f(h).alias(f"{name}{end}") for h, name in hashes for f, end in ((F.min, 0), (F.max, 1))]
@@ -501,7 +510,7 @@ def similar(docs: DataFrame, size: int = SHINGLE, percent: int = 80) -> DataFram
     links, labels, tried = None, None, None
     for star in (True, False):
         cells = _cells(prefixes, labels, None if star else sets)
-        pairs = cells.mapInArrow(_candidates(percent, star), "u binary, v binary").distinct()
+        pairs = cells.mapInArrow(released(_candidates(percent, star)), "u binary, v binary").distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["u", "v"], "left_anti")  # a pair is verified once
         tried = stored(pairs, "pairs")

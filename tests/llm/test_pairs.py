@@ -83,6 +83,17 @@ def test_join_by_blocks_chunks_and_equal_fingerprints(spark, monkeypatch):
     assert got == sorted(jaccard(docs), key=repr)
 
 
+def test_join_hands_few_rows_to_python_at_a_time(spark, monkeypatch):
+    """Batches are bounded while the join's own jobs run, and the session's setting is as before afterwards."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before, seen, keep = spark.conf.get(key), [], ngram_join.stored
+    monkeypatch.setattr(ngram_join, "stored", lambda *a: seen.append(int(spark.conf.get(key))) or keep(*a))
+    df = spark.createDataFrame(shared_passages(), "doc_id long, text string")
+    ngram_join.similar(df).count()
+    assert seen and max(seen) <= ngram_join.BATCH
+    assert spark.conf.get(key) == before
+
+
 def test_join_of_a_hot_group_lists_few_pairs(spark, monkeypatch):
     """Near copies of one text are a third of all rows: candidate pairs grow with the group, not with its square."""
     rng = random.Random(3)
