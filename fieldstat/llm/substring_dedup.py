@@ -9,9 +9,11 @@ Equal windows have equal anchors and meet in one shard, whatever stands around
 them.  Consecutive windows of a document with the same anchor form a *run*,
 and only runs move:
 
-1. Tasks send the anchors of their documents to owners, once per task where a
-   task has an anchor repeatedly.  Owners answer with the places of anchors
-   that occur more than once: only there can a window repeat.
+1. Tasks send the anchors of their documents to owners, once per round (about
+   ``ROUND`` bytes of texts) where a round has an anchor repeatedly.  Owners
+   answer, per message, with the places of anchors that occur more than once:
+   only there can a window repeat.  A round's answers meet again, so a document
+   has one row however many owners there are.
 2. Those runs are cut from their texts.  Equal runs are merged before the
    shuffle; the smallest doc_id of each distinct run is kept.
 3. Each shard (all distinct runs of its anchors, by ascending doc_id) streams
@@ -63,9 +65,9 @@ _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9))
 _UNMIX = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _COLUMNS = ("anchor", "doc", "run", "start", "length")
 _KINDS = {"anchor": np.uint64, "doc": np.uint32, "run": np.uint64, "start": np.uint32, "length": np.uint32}
-_MESSAGE = [("owner", pa.int64()), ("kind", pa.int32()), ("n", pa.int32()), ("docs", pa.binary()),
+_MESSAGE = [("owner", pa.int64()), ("round", pa.int64()), ("kind", pa.int32()), ("n", pa.int32()), ("docs", pa.binary()),
             *[(c, pa.binary()) for c in _COLUMNS]]
-_MESSAGES = "owner long, kind int, n int, docs binary, " + ", ".join(f"{c} binary" for c in _COLUMNS)
+_MESSAGES = "owner long, round long, kind int, n int, docs binary, " + ", ".join(f"{c} binary" for c in _COLUMNS)
 _PLACES = "key long, doc_id long, anchors array<long>, runs array<long>, starts array<int>, lengths array<int>"
 
 
@@ -108,12 +110,19 @@ def _runs(words: list[bytes], window: int, anchor: int) -> tuple[np.ndarray, ...
     return least[first], run, first.astype(np.uint32), length.astype(np.uint32)
 
 
-def _send(owners: int, window: int, anchor: int):
-    def message(owner: int, kind: int, docs: np.ndarray, columns: dict[str, np.ndarray]) -> pa.RecordBatch:
-        """``docs``: key and doc_id of the documents that column doc counts."""
-        row = [owner, kind, len(columns["anchor"]), docs.tobytes(), *[_planes(columns[c]) for c in _COLUMNS]]
-        return pa.RecordBatch.from_arrays([pa.array([v], t) for v, (_, t) in zip(row, _MESSAGE)], [c for c, _ in _MESSAGE])
+def _message(owner: int, round_no: int, kind: int, docs: np.ndarray, columns: dict[str, np.ndarray]) -> pa.RecordBatch:
+    """``docs``: key and doc_id of the documents that column doc counts."""
+    row = [owner, round_no, kind, len(columns["anchor"]), docs.tobytes(), *[_planes(columns[c]) for c in _COLUMNS]]
+    return pa.RecordBatch.from_arrays([pa.array([v], t) for v, (_, t) in zip(row, _MESSAGE)], [c for c, _ in _MESSAGE])
+
+
+def _of_some(docs: np.ndarray, columns: dict[str, np.ndarray], rows: np.ndarray) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+    """Documents and columns of some places."""
+    used, doc_here = np.unique(columns["doc"][rows], return_inverse=True)
+    return docs[used], {c: v[rows] for c, v in columns.items()} | {"doc": doc_here.astype(np.uint32)}
 
+
+def _send(owners: int, window: int, anchor: int):
     def flush(keys: list[tuple[int, int]], parts: list, round_no: int) -> Iterator[pa.RecordBatch]:
         docs = np.array(keys, np.int64)
         table = dict(zip(("anchor", "run", "start", "length"), (np.concatenate(x) for x in zip(*parts))))
@@ -125,23 +134,21 @@ def _send(owners: int, window: int, anchor: int):
         last = np.concatenate((first[1:], [True]))
         alone = first & last
         if not alone.all():  # here twice already: these places need no answer, the owner only needs the anchor
-            yield message(round_no, 0, docs, {c: v[~alone] for c, v in table.items()})
+            yield _message(0, round_no, 0, docs, {c: v[~alone] for c, v in table.items()})
         step = min((1 << 64) // owners + 1, (1 << 64) - 1)
         for kind, rows in ((1, alone), (2, first & ~alone)):
             at = np.flatnonzero(rows)
             cuts = np.searchsorted(value[at], np.arange(1, owners, dtype=np.uint64) * np.uint64(step))
             for owner, part in enumerate(np.split(at, cuts)):
                 if len(part) and kind == 1:
-                    used, doc_here = np.unique(table["doc"][part], return_inverse=True)
-                    mine = {c: v[part] for c, v in table.items()} | {"doc": doc_here.astype(np.uint32)}
-                    yield message(owner, 1, docs[used], mine)
+                    yield _message(owner, round_no, 1, *_of_some(docs, table, part))
                 elif len(part):
-                    yield message(owner, 2, docs[:0], {c: value[part] if c == "anchor" else v[:0] for c, v in table.items()})
+                    yield _message(owner, round_no, 2, docs[:0], {c: value[part] if c == "anchor" else v[:0] for c, v in table.items()})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        round_no, keys, parts, held = TaskContext.get().partitionId(), [], [], 0
+        round_no, keys, parts, held = TaskContext.get().partitionId() << 32, [], [], 0
         for part in slices(batches):
             for key, doc_id, body in zip(*(part.column(c).to_pylist() for c in ("key", "doc_id", "body"))):
                 words = body.split()
@@ -151,32 +158,23 @@ def _send(owners: int, window: int, anchor: int):
                     held += len(body)
             if held >= ROUND:
                 yield from flush(keys, parts, round_no)
-                keys, parts, held = [], [], 0
+                round_no, keys, parts, held = round_no + 1, [], [], 0
         if parts:
             yield from flush(keys, parts, round_no)
 
     return run
 
 
-def _hits(m: dict, hit: np.ndarray | slice) -> Iterator[pa.RecordBatch]:
-    """One row per document of a message: its places at ``hit``, as arrays."""
-    docs = np.frombuffer(m["docs"], np.int64).reshape(-1, 2)
-    table = {c: _unplanes(m[c], m["n"], _KINDS[c])[hit] for c in _COLUMNS}
-    order = np.argsort(table["doc"], kind="stable")
-    table = {c: v[order] for c, v in table.items()}
-    doc = table["doc"]
-    first = np.flatnonzero(np.concatenate(([True], doc[1:] != doc[:-1])))
-    offsets = pa.array(np.append(first, len(doc)).astype(np.int32))
-    lists = (table["anchor"].view(np.int64), table["run"].view(np.int64), table["start"].astype(np.int32),
-             table["length"].astype(np.int32))
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(docs[doc[first], 0]), pa.array(docs[doc[first], 1])]
-        + [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in lists],
-        ["key", "doc_id", "anchors", "runs", "starts", "lengths"])
+def _docs_of(m: dict) -> np.ndarray:
+    return np.frombuffer(m["docs"], np.int64).reshape(-1, 2)
+
+
+def _columns_of(m: dict) -> dict[str, np.ndarray]:
+    return {c: _unplanes(m[c], m["n"], _KINDS[c]) for c in _COLUMNS}
 
 
 def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Owners: rows come sorted by kind and owner; kind 0 passes."""
+    """Owners: rows come sorted by kind and owner; kind 0 passes, of kind 1 the places of repeated anchors."""
 
     def owner_hits(messages: list[dict]) -> Iterator[pa.RecordBatch]:
         found = [_unplanes(m["anchor"], m["n"], np.uint64) for m in messages]
@@ -188,13 +186,13 @@ def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 at = np.minimum(np.searchsorted(repeated, value), len(repeated) - 1)
                 hit = repeated[at] == value
                 if hit.any():
-                    yield from _hits(m, hit)
+                    yield _message(m["owner"], m["round"], 0, *_of_some(_docs_of(m), _columns_of(m), np.flatnonzero(hit)))
 
     held: list[dict] = []
     for batch in batches:
         for m in batch.to_pylist():
             if m["kind"] == 0:
-                yield from _hits(m, slice(None))
+                yield _message(m["owner"], m["round"], 0, _docs_of(m), _columns_of(m))
                 continue
             if held and held[0]["owner"] != m["owner"]:
                 yield from owner_hits(held)
@@ -204,15 +202,50 @@ def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from owner_hits(held)
 
 
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Answers, sorted by round, to one row per document of a round: its places as arrays, by their start."""
+
+    def documents(messages: list[dict]) -> pa.RecordBatch:
+        tables = [_columns_of(m) for m in messages]
+        owner = np.concatenate([_docs_of(m)[t["doc"]] for m, t in zip(messages, tables)])
+        table = {c: np.concatenate([t[c] for t in tables]) for c in ("anchor", "run", "start", "length")}
+        order = np.lexsort((table["start"], owner[:, 1], owner[:, 0]))
+        owner, start = owner[order], table["start"][order]
+        new = np.concatenate(([True], (owner[1:] != owner[:-1]).any(axis=1)))
+        once = new | np.concatenate(([True], start[1:] != start[:-1]))  # rows that repeat have the same places
+        owner, new, order = owner[once], new[once], order[once]
+        first = np.flatnonzero(new)
+        offsets = pa.array(np.append(first, len(owner)).astype(np.int32))
+        table = {c: v[order] for c, v in table.items()}
+        lists = (table["anchor"].view(np.int64), table["run"].view(np.int64), table["start"].astype(np.int32),
+                 table["length"].astype(np.int32))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(owner[first, 0]), pa.array(owner[first, 1])]
+            + [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in lists],
+            ["key", "doc_id", "anchors", "runs", "starts", "lengths"])
+
+    held: list[dict] = []
+    for batch in batches:
+        for m in batch.to_pylist():
+            if held and held[0]["round"] != m["round"]:
+                yield documents(held)
+                held = []
+            held.append(m)
+    if held:
+        yield documents(held)
+
+
 def repeated_places(docs: DataFrame, window: int, anchor: int) -> DataFrame:
     """key, doc_id, anchors, runs, starts, lengths: runs of ``docs`` (key, doc_id, body) whose anchor occurs
-    more than once.  A key has several rows (one per owner that answered)."""
+    more than once.  A row of ``docs`` has at most one."""
     size = docs.agg(F.sum(F.octet_length("body").cast("long"))).first()[0] or 0
     n = max(shuffle_partitions(docs.sparkSession), -(-size // PER_OWNER))
     sent = docs.select("key", "doc_id", "body").mapInArrow(_send(n, window, anchor), _MESSAGES)
     local = F.col("kind") == 0
-    dealt = sent.repartition(n, F.when(local, F.xxhash64("docs")).otherwise(F.col("owner")), local)
-    return dealt.sortWithinPartitions(~local, "owner").mapInArrow(_answer, _PLACES)
+    dealt = sent.repartition(n, F.when(local, F.col("round")).otherwise(F.col("owner")), local)
+    answers = dealt.sortWithinPartitions(~local, "owner").mapInArrow(_answer, _MESSAGES)
+    rounds = answers.repartition(shuffle_partitions(docs.sparkSession), "round").sortWithinPartitions("round")
+    return rounds.mapInArrow(_merged, _PLACES)
 
 
 def _squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

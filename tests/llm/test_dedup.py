@@ -187,3 +187,17 @@ def test_columns_of_any_name_come_back_as_they_were(edges):
     assert packed.columns == [*rows.columns, "sequence_id", "offset"]
     for row in packed.collect():
         assert all(row[c] == f"mine {c} {'none' if row.doc_id is None else row.doc_id}" for c in values if c != "length")
+
+
+def test_places_are_one_row_per_document_whatever_the_owners(spark, monkeypatch):
+    """A document's places lie with many owners; their answers meet before they become rows."""
+    monkeypatch.setattr(substring_dedup, "PER_OWNER", 500)
+    rng = random.Random(11)
+    passages = [" ".join(f"p{k}-{rng.randrange(9)}" for _ in range(40)) for k in range(8)]
+    docs = [(i, " ".join(rng.sample(passages, 4))) for i in range(60)] + [(3, passages[0] + " " + passages[1])] * 2
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    rows = df.select("doc_id", F.col("text").cast("binary").alias("body")).withColumn("key", F.xxhash64("doc_id", "body"))
+    places = substring_dedup.repeated_places(rows, 13, substring_dedup.ANCHOR)
+    assert 0 < places.count() <= len(docs)
+    got = substring_dedup.remove_repeats(df).withColumn("sha", F.sha2("kept", 256))
+    assert as_lists(got, "doc_id", "n_words", "n_removed", "sha") == sorted(brute.repeats_removed(docs), key=repr)
