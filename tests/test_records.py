@@ -143,3 +143,16 @@ def test_long_blocks_cost_in_proportion_to_their_lines(spark, scratch):
     began = time.time()
     assert records(blocks).count() == 2041
     assert time.time() - began < 20
+
+
+def test_archives_of_a_small_table_are_dealt_to_all_tasks(spark, monkeypatch, scratch):
+    """One file is one scan task; its archives are unpacked and cut by as many as the session shuffles with."""
+    from fieldstat.plans import catalogue
+
+    seen, keep = [], catalogue.explode_blocks
+    monkeypatch.setattr(catalogue, "explode_blocks", lambda files, *a: seen.append(files.rdd.getNumPartitions()) or keep(files, *a))
+    rows = [(i, f"Customer {i}", i % 25, 1.5, "BUILDING") for i in range(40)]
+    columns = "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
+    spark.createDataFrame(rows, columns).coalesce(1).write.parquet(f"{scratch}/customer.parquet")
+    assert catalogue.q_zip_members(spark, scratch).count() == 40
+    assert seen == [int(spark.conf.get("spark.sql.shuffle.partitions"))]
