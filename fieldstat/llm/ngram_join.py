@@ -304,7 +304,9 @@ def _candidates(percent: int, star: bool):
     def pairs(table: pa.Table) -> pa.RecordBatch:
         keys = table.column("key").combine_chunks().dictionary_encode()
         key, names = keys.indices.to_numpy().astype(np.int64), keys.dictionary
-        group = table.column("component").combine_chunks().dictionary_encode().indices.to_numpy().astype(np.int64)
+        group = key  # in the first pass no classes are connected yet
+        if not star:
+            group = table.column("component").combine_chunks().dictionary_encode().indices.to_numpy().astype(np.int64)
         cell = np.cumsum(_breaks(table))
         rows = {"n": table.column("n").to_numpy().astype(np.int64), "pos": table.column("pos").to_numpy().astype(np.int64),
                 "after": np.frombuffer(b"".join(table.column("after").to_pylist()), np.uint8).reshape(-1, BINS)}
@@ -342,6 +344,23 @@ def _breaks(table: pa.Table) -> np.ndarray:
     return new
 
 
+def _several(rows: DataFrame, column: Column) -> DataFrame:
+    """fp that rows with different values of ``column`` have (two hashes of the value, as numbers, keep this a hash aggregate)."""
+    hashes = [(F.xxhash64(column), "a"), (F.hash(column), "b")]
+    ends = [f(h).alias(f"{name}{end}") for h, name in hashes for f, end in ((F.min, 0), (F.max, 1))]
+    return rows.groupBy("fp").agg(*ends).filter("a0 <> a1 OR b0 <> b1").select("fp")
+
+
+def _unsettled(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """Rows of the prefix n-grams whose classes are not all connected yet (and now and then of others), with their
+    components.  Which n-grams these are is told from two columns: no other row is shuffled whole."""
+    component = F.coalesce("component", "key")
+    named = attach(rows.select("fp", "key"), labels, ["key"], "size", rows.count())
+    wanted = stored(_several(named, component), "unsettled")
+    rows = stored(rows.filter(may_be_in(F.col("fp"), wanted)), "unsettled-rows")
+    return attach(rows, labels, ["key"], "size", rows.count()).drop("size").withColumn("component", component)
+
+
 def _cells(rows: DataFrame, labels: DataFrame | None, sets: DataFrame | None) -> DataFrame:
     """Prefix rows by cell: a prefix n-gram, or a pair of blocks of one that many classes have.
 
@@ -351,14 +370,10 @@ def _cells(rows: DataFrame, labels: DataFrame | None, sets: DataFrame | None) ->
     mostly meet in many n-grams; a lead of more than ``LEAD`` rows is spread
     over several tasks.  With ``sets``, rows carry their set's counts.
     """
-    if labels is None:
-        rows = rows.withColumn("component", F.col("key"))
-    else:
-        rows = attach(rows, labels, ["key"], "size", rows.count()).drop("size")
-        rows = rows.withColumn("component", F.coalesce("component", "key"))
-    grams = rows.groupBy("fp").agg(F.count(F.lit(1)).alias("count"), F.hash(F.min(F.struct("pos", "key"))["key"]).alias("lead"),
-                                   F.min("component").alias("a"), F.max("component").alias("b"))
-    grams = grams.filter("a <> b").drop("a", "b")  # n-grams whose classes are all connected are settled
+    if labels is not None:
+        rows = _unsettled(rows, labels)
+    first = F.min(F.struct("pos", F.hash("key").alias("lead")))
+    grams = rows.groupBy("fp").agg(F.count(F.lit(1)).alias("count"), first["lead"].alias("lead"))
     leads = grams.groupBy("lead").agg(F.sum("count").alias("rows"))
     grams = grams.join(leads, "lead").select("fp", "count", "lead", F.ceil(F.col("rows") / LEAD).alias("parts"))
     rows = attach(rows, grams.withColumnRenamed("count", "size"), ["fp"], "size", rows.count()).filter("size IS NOT NULL")
@@ -373,7 +388,7 @@ def _cells(rows: DataFrame, labels: DataFrame | None, sets: DataFrame | None) ->
     cell = F.xxhash64("fp", F.least("own", "other"), F.greatest("own", "other"))
     spread = F.xxhash64("lead", F.pmod(cell, F.col("parts")))
     n = shuffle_partitions(rows.sparkSession)
-    columns = ["key", "n", "pos", "after", "component"] + ["bins"] * (sets is not None)
+    columns = ["key", "n", "pos", "after"] + ["component"] * (labels is not None) + ["bins"] * (sets is not None)
     rows = rows.select(spread.alias("spread"), cell.alias("cell"), *columns)
     return rows.repartition(n, "spread").sortWithinPartitions("spread", "cell", "pos", "key")
 
@@ -470,8 +485,8 @@ def _sets_of(docs: DataFrame, rows: DataFrame, classes: DataFrame, size: int) ->
     texts = docs.select(F.col("doc_id").isNotNull().alias("known"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("doc_id"),
                         F.xxhash64("text").alias("th"), text_bytes().alias("body"))
     texts = texts.filter(may_be_in(F.col("th"), chosen.select("th"))).join(chosen, ["known", "doc_id", "th"])
-    # rows that repeat id and text: one of them
-    texts = texts.groupBy("key").agg(F.first("body").alias("body"))
+    # rows that repeat id and text: one of them, found where the join has put them
+    texts = texts.groupBy("known", "doc_id", "th").agg(F.first("key").alias("key"), F.first("body").alias("body"))
     return stored(texts.mapInArrow(released(_set_rows(size)), "key binary, set binary, bins binary"), "sets")
 
 
@@ -498,10 +513,7 @@ def _similar(docs: DataFrame, size: int, percent: int) -> DataFrame:
     both = answers.unionByName(read.filter("kind = 1")).select("chunk", "kind", "owner", "n", "key", "code", "counts")
     both = both.repartition(max(parts, owners), "chunk").sortWithinPartitions("chunk", "kind")
     prefixes = stored(both.mapInArrow(released(_prefixes(bits, percent)), _ROWS), "prefixes")
-    # n-grams that two classes have (two hashes of the class, as numbers, keep this a hash aggregate)
-    hashes = [(F.xxhash64("key"), "a"), (F.hash("key"), "b")]
-    ends = [f(h).alias(f"{name}{end}") for h, name in hashes for f, end in ((F.min, 0), (F.max, 1))]
-    several = stored(prefixes.groupBy("fp").agg(*ends).filter("a0 <> a1 OR b0 <> b1").select("fp"), "several")
+    several = stored(_several(prefixes, F.col("key")), "several")  # n-grams that two classes have
     prefixes = prefixes.filter(may_be_in(F.col("fp"), several)).join(several, "fp", "left_semi")
     prefixes = stored(prefixes.distinct(), "shared")  # a class may lie in several chunks
     sets = _sets_of(docs, prefixes, classes, size)

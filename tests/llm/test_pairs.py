@@ -114,6 +114,52 @@ def test_join_of_a_hot_group_lists_few_pairs(spark, monkeypatch):
     assert sum(sizes) < 6000  # of 179,700
 
 
+def test_join_shuffles_whole_rows_only_of_unsettled_grams(spark, monkeypatch):
+    rng = random.Random(17)
+    rows = list(enumerate(text for _ in range(12) for text in near_copies(rng, 9, 120, 3)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    whole, passes, keep_attach, keep_stored = [], [], ngram_join.attach, ngram_join.stored
+
+    def attached(some, *a):
+        if "after" in some.columns:
+            whole.append((len(passes), some.count()))
+        return keep_attach(some, *a)
+
+    def stored(some, name):
+        if name == "labels":
+            passes.append(name)
+        return keep_stored(some, name)
+
+    monkeypatch.setattr(ngram_join, "attach", attached)
+    monkeypatch.setattr(ngram_join, "stored", stored)
+    got = as_lists(ngram_join.similar(df), "doc_id", "n_shingles", "component_id")
+    assert got == sorted(jaccard(rows), key=repr)
+    first, later = [n for p, n in whole if p == 0], [n for p, n in whole if p == 1]
+    assert first and later and 4 * max(later) < max(first)  # near copies are connected by the first pass
+
+
+def test_join_shuffles_a_text_once_for_its_set(spark, monkeypatch, capsys):
+    rng = random.Random(18)
+    df = spark.createDataFrame(list(enumerate(near_copies(rng, 6, 120, 3))) * 2, "doc_id long, text string").repartition(3)
+    plans, keep = [], ngram_join.stored
+
+    def stored(some, name):
+        if name == "sets":
+            capsys.readouterr()
+            some.explain()
+            plans.append(capsys.readouterr().out)
+        return keep(some, name)
+
+    monkeypatch.setattr(ngram_join, "stored", stored)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        ngram_join.similar(df).count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(plans) == 1 and plans[0].count("Exchange hashpartitioning") == 2  # the texts, and the list of those wanted
+
+
 def test_join_equals_its_sql_and_ignores_other_columns(spark, no_docs):
     assert ngram_join.similar(no_docs).count() == 0
     rows = spark.createDataFrame(rows_of([(1, "a b c d e f"), (2, "A b c d e f"), (2, "A b c d e f")]), SCHEMA)
