@@ -151,6 +151,36 @@ def test_hot_keys_are_fewer_than_tasks(spark):
     assert J.hot_keys(x, none, ["k"], 8).count() == 0 and J.merge_frames(x, none.withColumnRenamed("v", "w"), "k").count() == 0
 
 
+def test_hot_pairs_come_in_blocks_from_many_tasks(spark, monkeypatch):
+    """Few values at a time, so that a stored result stays small, and no merging of cells that are small to read."""
+    monkeypatch.setattr(J, "BLOCK_ROWS", 8)
+    x = spark.range(400).select(F.lit(7).alias("k"), F.col("id").alias("v"))
+    y = spark.range(400).select(F.lit(7).alias("k"), F.col("id").alias("w"))
+    rows = J.merge_frames(x, y, "k", sort=False).select("v", "w", F.spark_partition_id().alias("task")).collect()
+    assert len({(r.v, r.w) for r in rows}) == len(rows) == 400 * 400
+    assert len({r.task for r in rows}) >= 3
+    again = sum(new.w == old.w for old, new in zip(rows, rows[8:]))  # a block is gone through once per row of the other
+    assert again > 0.7 * len(rows)
+
+
+@pytest.mark.parametrize("nx, ny", [(255, 257), (256, 512), (1, 700)])
+def test_hot_keys_give_every_pair(spark, nx, ny):
+    """Equal rows, missing keys, both zeros and NaN as keys, with and without columns beside the key."""
+    def side(n, name, extra):
+        hot = spark.range(n).select(F.explode(F.array(F.lit(None).cast("double"), F.lit(0.0), F.lit(float("nan")))).alias("k"),
+                                    F.floor(F.col("id") / 3).alias(name))
+        return hot.unionByName(spark.createDataFrame(extra, f"k double, {name} bigint"))
+    x = side(nx, "v", [(1.0, 1), (2.0, 2), (-0.0, 3)])
+    y = side(ny, "w", [(1.0, 5), (1.0, 5), (3.0, 6), (-0.0, 7)])
+    assert J.hot_keys(x, y, ["k"], 8).count() == 3
+    for other in (y, y.select("k")):
+        got, plain = J.merge_frames(x, other, "k", sort=False), J.merge_frames(x, other, "k", sort=False, spread=False)
+        assert got.schema.simpleString() == plain.schema.simpleString()
+        count = lambda df: {tuple(map(str, r[:-1])): r[-1] for r in df.withColumn(
+            "k", F.col("k").cast("string")).groupBy(*df.columns).count().collect()}
+        assert count(got) == count(plain)
+
+
 def test_merge_on_two_keys_and_clashing_names(spark):
     x = spark.createDataFrame([(1, None, "a"), (1, 2, "b"), (None, None, "c")], "k int, l int, v string")
     y = spark.createDataFrame([(1, None, "d"), (None, None, "e"), (1, 3, "f")], "k int, l int, v string")
