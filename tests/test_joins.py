@@ -163,6 +163,19 @@ def test_hot_pairs_come_in_blocks_from_many_tasks(spark, monkeypatch):
     assert again > 0.7 * len(rows)
 
 
+def test_hot_cells_are_numbered_and_dealt_evenly(spark):
+    """Two hot keys, the missing one with twice the pairs: each cell has a number, and no task gets several times another's pairs."""
+    key = F.when(F.col("id") % 3 == 0, F.lit(7)).when(F.col("id") % 3 == 1, -F.col("id"))
+    x = spark.range(3000).select(key.alias("k"), F.col("id").alias("v"))
+    y = spark.range(900).select(F.when(F.col("id") % 3 == 0, F.lit(7)).alias("k"), F.col("id").alias("w"))
+    hot = sorted((r["__first"], r["__first"] + r["__a"] * r["__b"]) for r in J.hot_keys(x, y, ["k"], 8).collect())
+    assert len(hot) == 2 and hot[0][0] == 0 and hot[0][1] == hot[1][0] and hot[1][1] >= 32
+    merged = J.merge_frames(x, y, "k", sort=False).where("k = 7 OR k IS NULL")
+    pairs = [r["count"] for r in merged.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(pairs) == 1000 * 300 + 1000 * 600
+    assert len(pairs) == 16 and max(pairs) <= 2 * sum(pairs) / len(pairs)
+
+
 @pytest.mark.parametrize("nx, ny", [(255, 257), (256, 512), (1, 700)])
 def test_hot_keys_give_every_pair(spark, nx, ny):
     """Equal rows, missing keys, both zeros and NaN as keys, with and without columns beside the key."""
